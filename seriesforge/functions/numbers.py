@@ -29,13 +29,13 @@ def number(raw: Column | str, mode: str = "html") -> Column:
     ordinary spaces and reads accounting negatives.
     """
     c = F.col(raw) if isinstance(raw, str) else raw
-    s = F.regexp_replace(ascii_digits(c), r"^[\s ]+|[\s ]+$", "")
+    s = F.regexp_replace(ascii_digits(c), r"^[\s\x{a0}]+|[\s\x{a0}]+$", "")
     if mode == "html":
-        s = F.trim(F.regexp_replace(s, r"[,% ]", ""))
+        s = F.trim(F.regexp_replace(s, r"[,%\x{a0}]", ""))
         return F.when(~s.isin(MISSING_HTML), _parse(s))
     if mode != "sheet":
         raise ValueError(f"unknown number mode {mode!r}")
-    s = F.regexp_replace(s, r"[,%  ]", "")
+    s = F.regexp_replace(s, r"[,%\s\x{a0}]", "")
     bracketed = s.rlike(r"^\(.*\)$")
     inner = F.regexp_replace(s, r"^\(|\)$", "")
     return F.when(

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import html
+import re
+import unicodedata
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,7 +42,14 @@ MAX_PAGE_CHARS = 20_000
 
 @arrow_udf(T.StringType())
 def nfkc(text: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(text, form="NFKC")
+    # Most text is ASCII or composed already; only the rest is rewritten.
+    return pa.array(
+        [
+            t if t is None or t.isascii() else unicodedata.normalize("NFKC", t)
+            for t in text.to_pylist()
+        ],
+        type=pa.string(),
+    )
 
 
 @arrow_udf(T.StringType())
@@ -66,9 +74,6 @@ def search_form(c: Column, compose: bool = True) -> Column:
 
 def fold_text(s: str) -> str:
     """`search_form` of a query string, on the driver."""
-    import re
-    import unicodedata
-
     t = re.sub(TASHKEEL, "", unicodedata.normalize("NFKC", s))
     t = t.translate(str.maketrans(FOLD_FROM + ARABIC_INDIC_DIGITS, FOLD_TO + ASCII_DIGITS))
     return re.sub(r"\s+", " ", t).strip().lower()

@@ -1 +1,322 @@
+"""Cleaning, dates, ids, units and readings, over text that Spark prints from the tables.
 
+The printed forms are built from known values, so the check states those values
+directly from the tables.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from seriesforge.functions import dates, ids, numbers, reading, text, units
+from seriesforge.operators import summary
+from seriesforge.plans import views as v
+from seriesforge.plans.catalog import query
+
+ARABIC = numbers.ARABIC_INDIC_DIGITS
+
+
+def _case(selector, *forms):
+    out = F.lit(None).cast("string")
+    for i, form in reversed(list(enumerate(forms))):
+        out = F.when(selector == i, form).otherwise(out)
+    return out
+
+
+@query(
+    "c1_html_numbers", "C1",
+    """SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 7 IN (0, 1, 3, 5) THEN l_extendedprice END AS value FROM lineitem""",
+)
+def html_numbers(spark, sf):
+    price = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
+    raw = _case(
+        F.col("l_linenumber") % 7,
+        F.format_number("l_extendedprice", 2), F.concat(F.lit("  "), price, F.lit("%")), F.lit("-"),
+        F.translate(price, "0123456789", ARABIC), F.lit("n/a"), F.concat(F.lit("\u00a0"), price), F.lit("12 abc"),
+    )
+    return v.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", numbers.number(raw).alias("value"))
+
+
+@query(
+    "c2_sheet_numbers", "C2",
+    """SELECT l_orderkey, l_linenumber, CASE l_linenumber % 7 WHEN 0 THEN l_extendedprice WHEN 1 THEN -l_extendedprice
+  WHEN 3 THEN l_extendedprice WHEN 5 THEN l_extendedprice END AS value FROM lineitem""",
+)
+def sheet_numbers(spark, sf):
+    price = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
+    raw = _case(
+        F.col("l_linenumber") % 7,
+        F.regexp_replace(F.format_number("l_extendedprice", 2), ",", " "),
+        F.concat(F.lit("("), F.format_number("l_extendedprice", 2), F.lit(")")), F.lit("..."),
+        F.translate(price, "0123456789", ARABIC), F.lit("*"), F.concat(price, F.lit("\u00a0")), F.lit("true"),
+    )
+    return v.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", numbers.number(raw, "sheet").alias("value"))
+
+
+@query(
+    "c3_printed_dates", "C3 C4",
+    """SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS dmy, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS range_end,
+  CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS mon_year, CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS mon_text,
+  CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS dmy_text, CAST(NULL AS VARCHAR) AS impossible FROM orders""",
+)
+def printed_dates(spark, sf):
+    d = F.col("o_orderdate").cast("date")
+    fmt = F.date_format
+    return v.iso(v.table(spark, sf, "orders").select(
+        "o_orderkey",
+        dates.period(F.concat(fmt(d, "d/M/yyyy"), F.lit(" 00:00"))).alias("dmy"),
+        dates.period(F.concat(fmt(F.date_sub(d, 13), "dd/MM/yyyy"), F.lit(" - "), fmt(d, "dd/MM/yyyy")), "period_range").alias("range_end"),
+        dates.period(fmt(d, "MMM - yyyy"), "mon_year").alias("mon_year"),
+        dates.period(fmt(d, "MMMM yyyy"), "mon_year_text").alias("mon_text"),
+        dates.period(F.translate(fmt(d, "d MMM yyyy"), "0123456789", ARABIC), "dmy_text").alias("dmy_text"),
+        dates.dmy(F.concat(F.lit("31/02/"), fmt(d, "yyyy"))).alias("impossible"),
+    ))
+
+
+@query(
+    "c5_header_tokens", "C5 C6 C7 C8",
+    """SELECT o_orderkey, CAST(month(o_orderdate) AS INT) AS month, CAST(year(o_orderdate) AS INT) AS year,
+  CAST(year(o_orderdate) + 1 AS INT) AS fy_end, 'FY' || year(o_orderdate) || '/' || right(CAST(year(o_orderdate) + 1 AS VARCHAR), 2) AS fy_label,
+  CAST(NULL AS INT) AS too_long, CAST(quarter(o_orderdate) AS INT) AS quarter, CAST(NULL AS INT) AS inside_number FROM orders""",
+)
+def header_tokens(spark, sf):
+    d = F.col("o_orderdate").cast("date")
+    y = F.date_format(d, "yyyy")
+    return v.table(spark, sf, "orders").select(
+        "o_orderkey",
+        dates.month_token(F.concat(F.upper(F.date_format(d, "MMM")), F.lit(". "))).alias("month"),
+        dates.year_token(F.concat(F.lit("End of June "), y, F.lit("*"))).alias("year"),
+        dates.fiscal_token(F.concat(y, F.lit(" / "), y.cast("int") + 1))["end_year"].alias("fy_end"),
+        dates.fiscal_token(F.concat(y, F.lit("/"), F.date_format(F.add_months(d, 12), "yy")))["label"].alias("fy_label"),
+        dates.fiscal_token(F.concat(y, F.lit("/"), y.cast("int") + 3))["end_year"].alias("too_long"),
+        dates.quarter_token(F.concat(F.lit(" q "), F.quarter(d), F.lit(" "))).alias("quarter"),
+        dates.year_token(F.concat(F.lit("7"), y, F.lit("55"))).alias("inside_number"),
+    )
+
+
+@query(
+    "c9_fiscal_year", "C9",
+    v.dated(v.with_ctes("obs_orders", """SELECT series_id, period, last_day(period) AS month_end,
+  CASE WHEN month(period) >= 7 THEN printf('FY%d/%02d', year(period), (year(period) + 1) % 100)
+  ELSE printf('FY%d/%02d', year(period) - 1, year(period) % 100) END AS fy FROM obs_orders"""), "period", "month_end"),
+)
+def fiscal_year(spark, sf):
+    return v.iso(v.obs_orders(spark, sf).select(
+        "series_id", "period", dates.month_end(F.year("period"), F.month("period")).alias("month_end"),
+        dates.fiscal_year("period").alias("fy"),
+    ))
+
+
+@query(
+    "c10_slugs", "C10 C12",
+    """SELECT p_partkey, upper(regexp_replace(p_name, '[^A-Za-z0-9]+', '', 'g')) AS key,
+  trim(substr(trim(upper(regexp_replace(p_brand || ': ' || p_name || '!', '[^A-Za-z0-9]+', '_', 'g')), '_'), 1, 12), '_') AS label,
+  'EG.' || upper(regexp_replace(p_name, '[^A-Za-z0-9]+', '', 'g')) || '.SELL' AS series_id FROM part""",
+)
+def slugs(spark, sf):
+    key = ids.key_slug(F.col("p_name"))
+    return v.table(spark, sf, "part").select(
+        "p_partkey", key.alias("key"),
+        ids.label_slug(F.concat("p_brand", F.lit(": "), "p_name", F.lit("!")), 12).alias("label"),
+        ids.from_pattern("EG.{key}.{col}", key=key, col=F.lit("SELL")).alias("series_id"),
+    )
+
+
+@query(
+    "c11_document_ids", "C10 C11 C30",
+    """SELECT page_id, substr(sha1(url), 1, 16) AS id, 'R' || upper(substr(sha1(url), 1, 8)) AS digest,
+  right(trim(regexp_replace(lower(trim(url, '/')), '[^a-z0-9]+', '-', 'g'), '-'), 90) AS slug, '.html' AS ext,
+  CASE page_id % 3 WHEN 0 THEN '.pdf' WHEN 1 THEN '.xlsx' ELSE '.html' END AS file_ext, true AS is_file FROM pages""",
+)
+def document_ids(spark, sf):
+    url = F.col("url")
+    tail = F.element_at(F.array(F.lit(".PDF?rev=1.doc"), F.lit(".xlsx"), F.lit(".aspx")), (F.col("page_id") % 3).cast("int") + 1)
+    return v.table(spark, sf, "pages").select(
+        "page_id", ids.document_id(url).alias("id"),
+        ids.label_tail(F.regexp_replace(url, "[A-Za-z0-9]", "")).alias("_"),
+        F.concat(F.lit("R"), F.upper(F.substring(F.sha1(url.cast("binary")), 1, 8))).alias("digest"),
+        ids.url_slug(url).alias("slug"), ids.file_extension(url).alias("ext"),
+        ids.file_extension(F.concat(F.lit("/-/media/files/"), ids.url_slug(url), tail)).alias("file_ext"),
+        ids.is_file_url(url).alias("is_file"),
+    ).drop("_")
+
+
+@query(
+    "c11_label_digest", "C11",
+    """SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN upper(regexp_replace(p_name, '[^A-Za-z0-9]+', '_', 'g'))
+  ELSE 'R' || upper(substr(sha1(translate(p_name, 'abcdefghijklmnopqrstuvwxyz', 'ابتثجحخدذرزسشصضطظعغفقكلمنه')), 1, 8)) END AS tail FROM part""",
+)
+def label_digest(spark, sf):
+    arabic = F.translate("p_name", "abcdefghijklmnopqrstuvwxyz", "ابتثجحخدذرزسشصضطظعغفقكلمنه")
+    label = F.when(F.col("p_partkey") % 2 == 0, F.col("p_name")).otherwise(arabic)
+    return v.table(spark, sf, "part").select("p_partkey", ids.label_tail(label).alias("tail"))
+
+
+CATEGORIES = ["GDP", "Domestic Debt", "External Debt", "Banking Surveys", "State Budget", "Something New"]
+
+
+@query(
+    "c14_category_codes", "C14",
+    """SELECT p_partkey, list_extract(['GDP', 'DDEBT', 'XDEBT', 'BANK', 'BUDGET', 'SOMETHIN'], p_size % 6 + 1) AS code,
+  list_extract(['gdp', 'domestic_debt', 'external_debt', 'banking_surveys', 'state_budget', 'something_new'], p_size % 6 + 1) AS family FROM part""",
+)
+def category_codes(spark, sf):
+    cat = F.element_at(F.array(*[F.lit(c) for c in CATEGORIES]), F.col("p_size") % 6 + 1)
+    return v.table(spark, sf, "part").select("p_partkey", ids.category_code(cat).alias("code"), ids.category_family(cat).alias("family"))
+
+
+CAPTIONS = ["(LE mn)", "( US.$m. )", "EGP billion", "Index 2010 = 100", "Number of tourists", "(000 nights)", "plain words"]
+
+
+@query(
+    "c15_units", "C15 C16",
+    """SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN 'percent' WHEN l_returnflag = 'A' THEN 'USD billion'
+  ELSE list_extract(['EGP million', 'USD million', 'EGP billion', 'index', 'number', 'thousand', NULL], CAST(l_orderkey % 7 AS INT) + 1) END AS unit,
+  CAST(l_linenumber // 2 AS INT) AS level FROM lineitem""",
+)
+def unit_sniffing(spark, sf):
+    cap = F.element_at(F.array(*[F.lit(c) for c in CAPTIONS]), (F.col("l_orderkey") % 7).cast("int") + 1)
+    label = F.concat(
+        F.repeat(F.lit(" "), F.col("l_linenumber")),
+        F.when(F.col("l_returnflag") == "R", "Growth (%)").when(F.col("l_returnflag") == "A", "Debt, US$ bn").otherwise("Line"),
+    )
+    return v.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", units.sniff_unit(cap, label).alias("unit"), units.indent_level(label).alias("level")
+    )
+
+
+@query(
+    "c17_search_form", "C17",
+    """SELECT doc_id, md5(lower(trim(regexp_replace(nfc_normalize(text), '\\s+', ' ', 'g')))) AS folded FROM documents""",
+)
+def search_form(spark, sf):
+    return v.table(spark, sf, "documents").select("doc_id", F.md5(text.search_form(F.col("text")).cast("binary")).alias("folded"))
+
+
+@query(
+    "c17_arabic_folding", "C17 D-06",
+    """SELECT p_partkey, 'اايه ' || p_size AS folded FROM part""",
+)
+def arabic_folding(spark, sf):
+    size = F.translate(F.col("p_size").cast("string"), "0123456789", ARABIC)
+    raw = F.concat(F.lit("أَإىـة  "), size)
+    return v.table(spark, sf, "part").select("p_partkey", text.search_form(raw).alias("folded"))
+
+
+@query(
+    "c18_display_form", "C18",
+    """SELECT doc_id, md5(trim(regexp_replace(regexp_replace(replace(text, '. ', E'.\\n\\n\\n\\n'), '\\n{3,}', E'\\n\\n', 'g'), '[ \\t]+', ' ', 'g'), E' \\n\\r\\t')) AS shown FROM documents""",
+)
+def display_form(spark, sf):
+    loose = F.regexp_replace("text", r"\. ", ".\n\n\n\n")
+    return v.table(spark, sf, "documents").select("doc_id", F.md5(text.display_form(loose).cast("binary")).alias("shown"))
+
+
+@query(
+    "c19_language", "C19",
+    """WITH n AS (SELECT doc_id, length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS latin, length(regexp_replace(t, '[^\\x{0600}-\\x{06FF}]', '', 'g')) AS arabic
+  FROM (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN translate(text, 'etaoinsrhl', 'اوىيتةسرهل') ELSE '123 ' END AS t FROM documents))
+SELECT doc_id, CASE WHEN arabic > latin * 1.5 THEN 'ar' WHEN latin > arabic * 1.5 THEN 'en' WHEN arabic > 0 OR latin > 0 THEN 'mixed' ELSE 'unknown' END AS script FROM n""",
+)
+def language(spark, sf):
+    t = (
+        F.when(F.col("doc_id") % 3 == 0, F.col("text"))
+        .when(F.col("doc_id") % 3 == 1, F.translate("text", "etaoinsrhl", "اوىيتةسرهل"))
+        .otherwise(F.lit("123 "))
+    )
+    return v.table(spark, sf, "documents").select("doc_id", text.language(t).alias("script"))
+
+
+@query(
+    "c20_readable_text", "C20 D15",
+    """SELECT doc_id, md5(trim(regexp_replace(replace(text, 'e', ' '), '\\s+', ' ', 'g'))) AS shown,
+  (length(text) - length(replace(text, 'e', ''))) / length(text)::DOUBLE AS lost,
+  (length(text) - length(replace(text, 'e', ''))) / length(text)::DOUBLE >= 0.15 AS damaged FROM documents""",
+)
+def readable_text(spark, sf):
+    glyphs = F.translate("text", "e", "\ue001")
+    r = text.readable(F.concat(glyphs, F.lit("\x07\ufffd")))
+    return v.table(spark, sf, "documents").withColumn("_r", r).select(
+        "doc_id", F.md5(F.col("_r.text").cast("binary")).alias("shown"), F.col("_r.lost").alias("lost"),
+        (F.col("_r.lost") >= text.DAMAGED_AT).alias("damaged"),
+    )
+
+
+STOP_SQL = ", ".join(f"'{w}'" for w in text.stop_words())
+FOLD_SQL = "lower(trim(regexp_replace(text, '\\s+', ' ', 'g')))"
+TOKENS_SQL = (
+    f"list_filter(regexp_extract_all({FOLD_SQL}, '[a-z0-9\\x{{0600}}-\\x{{06FF}}]+'), "
+    f"lambda t: length(t) BETWEEN 2 AND 28 AND t NOT IN ({STOP_SQL}) AND NOT regexp_full_match(t, '[0-9]+'))"
+)
+
+
+@query(
+    "c21_tokens", "C21",
+    f"SELECT doc_id, len({TOKENS_SQL}) AS n, md5(array_to_string({TOKENS_SQL}, ' ')) AS words FROM documents",
+)
+def tokens(spark, sf):
+    t = v.table(spark, sf, "documents").select("doc_id", text.tokens(text.search_form(F.col("text"))).alias("_t"))
+    return t.select("doc_id", F.size("_t").cast("bigint").alias("n"), F.md5(F.array_join("_t", " ").cast("binary")).alias("words"))
+
+
+@query(
+    "c22_shards", "C22",
+    f"""SELECT term, CAST(list_reduce(list_prepend(5381::BIGINT, list_transform(string_split(term, ''), lambda c: unicode(c)::BIGINT)),
+  lambda h, c: (h * 33 + c) % 4294967296) % 256 AS INT) AS shard FROM (SELECT DISTINCT unnest({TOKENS_SQL}) AS term FROM documents)""",
+)
+def shards(spark, sf):
+    words = v.table(spark, sf, "documents").select(F.explode(text.tokens(text.search_form(F.col("text")))).alias("term")).distinct()
+    return words.select("term", ids.shard(F.col("term")).alias("shard"))
+
+
+@query(
+    "c23_table_and_line", "C23 C24",
+    v.with_ctes("parts", """SELECT series_id, substr(title_en, 1, instr(title_en, ' - ') - 1) AS "table", substr(title_en, instr(title_en, ' - ') + 3) AS line,
+  CASE family WHEN 'fx' THEN 'money' WHEN 'govt' THEN 'rates' WHEN 'gdp' THEN 'growth' WHEN 'bop' THEN 'bop' ELSE 'other' END AS topic FROM parts"""),
+)
+def table_and_line(spark, sf):
+    from seriesforge.operators.index import with_place
+
+    return with_place(v.parts(spark, sf)).select("series_id", "table", "line", "topic")
+
+
+@query(
+    "c26_direction", "C26",
+    v.dated(v.with_ctes("obs_orders", """, c AS (SELECT series_id, period, (value - lag(value) OVER (PARTITION BY series_id ORDER BY period)) / 1000000 AS change FROM obs_orders)
+SELECT series_id, period, CASE WHEN change IS NULL OR round(abs(change), CASE WHEN abs(change) >= 100 THEN 0 WHEN abs(change) >= 1 THEN 2 ELSE 3 END) = 0 THEN 'flat'
+  WHEN change > 0 THEN 'up' ELSE 'down' END AS direction FROM c"""), "period"),
+)
+def direction(spark, sf):
+    c = summary.changes(v.obs_orders(spark, sf))
+    return v.iso(c.select("series_id", "period", reading.direction(F.col("change") / 1000000, F.lit("EGP million")).alias("direction")))
+
+
+@query(
+    "c28_age_label", "C28",
+    v.with_ctes("obs_orders", f""", d AS (SELECT series_id, CAST(period AS VARCHAR) AS period, date_diff('day', period, DATE '{v.AS_OF}') AS days FROM obs_orders)
+SELECT series_id, period, CASE WHEN days <= 1 THEN 'today' WHEN days < 14 THEN days || ' days ago' WHEN days < 60 THEN CAST(round(days / 7) AS BIGINT) || ' weeks ago'
+  WHEN days < 730 THEN CAST(round(days / 30) AS BIGINT) || ' months ago' ELSE CAST(days // 365 AS BIGINT) || ' years ago' END AS age FROM d"""),
+)
+def age_label(spark, sf):
+    as_of = F.lit(v.AS_OF).cast("date")
+    return v.iso(v.obs_orders(spark, sf).select("series_id", "period", reading.age_label(F.col("period"), as_of).alias("age")))
+
+
+@query(
+    "c29_tenor_buckets", "C29",
+    v.with_ctes("auctions bucketed", "SELECT tenor, count(*) AS auctions FROM bucketed GROUP BY 1"),
+)
+def tenor_buckets(spark, sf):
+    return v.auctions(spark, sf).groupBy(reading.tenor_bucket(F.col("tenor_days")).alias("tenor")).agg(F.count(F.lit(1)).alias("auctions"))
+
+
+@query(
+    "c32_against_median", "C32",
+    """WITH m AS (SELECT l_partkey, median(l_extendedprice) AS med, max(l_extendedprice) AS top FROM lineitem GROUP BY 1)
+SELECT l_partkey, CASE WHEN top / med >= 2 THEN printf('%.1f', top / med) || '×' ELSE printf('%.0f', abs((top / med - 1) * 100)) || '% above' END AS said FROM m""",
+)
+def against_median(spark, sf):
+    m = v.table(spark, sf, "lineitem").groupBy("l_partkey").agg(
+        F.percentile("l_extendedprice", F.lit(0.5)).alias("med"), F.max("l_extendedprice").alias("top")
+    )
+    return m.select("l_partkey", reading.against_median(F.col("top"), F.col("med")).alias("said"))
