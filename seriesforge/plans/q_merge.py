@@ -1 +1,313 @@
+"""Dedupe, merges, upserts, vintages and set operations."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from seriesforge.operators import merge
+from seriesforge.plans import views as v
+from seriesforge.plans.catalog import query
+from seriesforge.sinks import publish
+from seriesforge.sources import landed
+from seriesforge.streaming import landing
+
+
+@query(
+    "f1_keep_first", "F1",
+    v.dated(v.with_ctes("obs_events", "SELECT series_id, period, arg_min(value, ord) AS value FROM obs_events GROUP BY 1, 2"), "period"),
+)
+def keep_first(spark, sf):
+    return v.iso(merge.keep_first(v.obs_events(spark, sf)))
+
+
+@query(
+    "f1_anomalies", "F1 B4",
+    v.dated(v.with_ctes("obs_events", """, k AS (SELECT series_id, period, arg_min(value, ord) AS kept FROM obs_events GROUP BY 1, 2)
+SELECT series_id, period, kept, value AS discarded, 'events' AS dataset FROM obs_events JOIN k USING (series_id, period) WHERE value <> kept"""), "period"),
+)
+def anomalies(spark, sf):
+    return v.iso(merge.anomalies(v.obs_events(spark, sf), dataset="events"))
+
+
+@query(
+    "f2_keep_last", "F2 F11",
+    v.dated(v.with_ctes("obs_events", "SELECT series_id, period, arg_max(value, (ord % 7, ord)) AS value FROM obs_events GROUP BY 1, 2"), "period"),
+)
+def keep_last(spark, sf):
+    files = v.obs_events(spark, sf).withColumn("file_ord", F.col("ord") % 7)
+    return v.iso(merge.keep_last(files, ["file_ord", "ord"]))
+
+
+@query(
+    "f3_daily_mean", "F3",
+    v.dated(v.with_ctes("obs_events", """SELECT series_id, period, CAST(sum(CAST(value AS DECIMAL(18, 4))) AS DOUBLE) / count(*) AS value
+FROM obs_events GROUP BY 1, 2"""), "period"),
+)
+def daily_mean(spark, sf):
+    return v.iso(merge.daily_mean(v.obs_events(spark, sf), digits=None, exact=True))
+
+
+@query(
+    "f4_merge_items", "F4 A13 K2 E15",
+    """SELECT sha1(text) AS id, arg_min(source, doc_id) AS source, arg_min(lang, doc_id) AS title,
+  array_to_string(list_sort(list_distinct(list(source))), ',') AS categories FROM documents GROUP BY 1""",
+)
+def merge_items(spark, sf):
+    items = v.table(spark, sf, "documents").select(
+        F.sha1(F.col("text").cast("binary")).alias("id"), F.col("doc_id").alias("ord"), "source",
+        F.col("lang").alias("title"), F.col("source").alias("category"),
+    )
+    m = merge.merge_items(items, "id", "ord", ["source", "title"])
+    return m.select("id", "source", "title", F.array_join("categories", ",").alias("categories"))
+
+
+@query(
+    "a13_listing_manifest", "A13 F4 C11 C30 J7",
+    """WITH i AS (SELECT substr(sha1('/en/' || sha1(text)), 1, 16) AS id, CAST(doc_id % 3 AS INT) AS src, doc_id, source FROM documents)
+SELECT id, arg_min(list_extract(['publications', 'News', 'circulars'], src + 1), (src, doc_id)) AS source, false AS is_file,
+  array_to_string(list_sort(list_distinct(list(source))), ',') AS categories FROM i GROUP BY 1""",
+)
+def listing_manifest(spark, sf):
+    rank = (F.col("doc_id") % 3).cast("int")
+    items = v.table(spark, sf, "documents").select(
+        F.struct(rank, F.col("doc_id")).alias("ord"),
+        F.element_at(F.array(F.lit("publications"), F.lit("News"), F.lit("circulars")), rank + 1).alias("source"),
+        F.col("lang").alias("title"), F.lit("2020-01-01T00:00").alias("customDate"),
+        F.concat(F.lit("/en/"), F.sha1(F.col("text").cast("binary"))).alias("url"),
+        F.array(F.struct(F.lit("k").alias("key"), F.col("source").alias("value"))).alias("categories"),
+    )
+    m = landed.manifest_from_items(items)
+    return m.select("id", "source", "is_file", F.array_join("categories", ",").alias("categories"))
+
+
+CATALOG_NEW = "SELECT 'PART.' || (p_partkey + 500) AS series_id, 'new ' || p_name AS title FROM part WHERE p_partkey % 2 = 0"
+
+
+@query(
+    "f5_catalog_upsert", "F5",
+    f"""WITH old AS (SELECT 'PART.' || p_partkey AS series_id, p_name AS title FROM part), new AS ({CATALOG_NEW})
+SELECT series_id, coalesce(new.title, old.title) AS title FROM old FULL OUTER JOIN new USING (series_id)""",
+)
+def catalog_upsert(spark, sf):
+    p = v.table(spark, sf, "part")
+    old = p.select(F.concat(F.lit("PART."), "p_partkey").alias("series_id"), F.col("p_name").alias("title"))
+    new = p.filter("p_partkey % 2 = 0").select(
+        F.concat(F.lit("PART."), F.col("p_partkey") + 500).alias("series_id"), F.concat(F.lit("new "), "p_name").alias("title")
+    )
+    return merge.upsert(old, new, "series_id")
+
+
+@query(
+    "f6_replace_namespace", "F6",
+    """SELECT 'EG.FX.' || p_partkey AS series_id, p_name AS title FROM part WHERE p_partkey % 3 <> 0
+UNION ALL SELECT 'EG.XL.' || p_partkey, 'again' FROM part WHERE p_partkey % 3 = 1""",
+)
+def replace_namespace(spark, sf):
+    p = v.table(spark, sf, "part")
+    head = F.when(F.col("p_partkey") % 3 == 0, F.lit("EG.XL.")).otherwise(F.lit("EG.FX."))
+    old = p.select(F.concat(head, "p_partkey").alias("series_id"), F.col("p_name").alias("title"))
+    new = p.filter("p_partkey % 3 = 1").select(F.concat(F.lit("EG.XL."), "p_partkey").alias("series_id"), F.lit("again").alias("title"))
+    return merge.replace_namespace(old, new, "EG.XL.")
+
+
+@query(
+    "f7_advertise", "F7 G2",
+    """SELECT 'PART.' || p_partkey AS series_id FROM part WHERE p_partkey NOT IN (1, 2, 3, 4, 5)
+  OR p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 40)""",
+)
+def advertise(spark, sf):
+    cat = v.table(spark, sf, "part").select(F.concat(F.lit("PART."), "p_partkey").alias("series_id"))
+    obs = v.table(spark, sf, "lineitem").filter("l_quantity > 40").select(F.concat(F.lit("PART."), "l_partkey").alias("series_id"))
+    return merge.advertise(cat, obs, [f"PART.{i}" for i in range(1, 6)])
+
+
+@query(
+    "f8_preserve_labels", "F8",
+    v.dated(v.with_ctes("obs_orders", """, e AS (SELECT period AS date, series_id AS type, 'machine' AS label FROM obs_orders)
+SELECT date, type, CASE WHEN day(date) = 1 THEN 'by hand' ELSE label END AS label, CASE WHEN day(date) IN (1, 2) THEN 'note ' || type END AS note FROM e"""), "date"),
+)
+def preserve_labels(spark, sf):
+    new = v.obs_orders(spark, sf).select(F.col("period").alias("date"), F.col("series_id").alias("type"), F.lit("machine").alias("label"))
+    old = new.filter(F.dayofmonth("date") <= 2).select(
+        "date", "type", F.when(F.dayofmonth("date") == 1, F.lit("by hand")).otherwise(F.lit("")).alias("label"),
+        F.concat(F.lit("note "), "type").alias("note"),
+    )
+    return v.iso(merge.preserve_labels(new, old, ["date", "type"], ["label", "note"]))
+
+
+@query(
+    "f9_work_list", "F9",
+    "SELECT url FROM pages WHERE page_id % 4 = 0",
+)
+def work_list(spark, sf):
+    pages = v.table(spark, sf, "pages")
+    previous = pages.filter("page_id % 4 <> 0").select("url", F.sha2(F.col("html").cast("binary"), 256).alias("sha256"), F.length("html").alias("bytes"))
+    manifest = merge.carry_forward(pages.select("url"), previous, "url", ["sha256", "bytes"])
+    return merge.work_list(manifest).select("url")
+
+
+@query(
+    "f10_prefer_source", "F10",
+    v.dated(v.with_ctes("meetings", """, s AS (SELECT series_id, date, 'pdf' AS format, 'p' AS title FROM meetings
+  UNION ALL SELECT series_id, date, 'html', 'h' FROM meetings WHERE month(date) <> 1)
+SELECT series_id, date, arg_min(format, format) AS format, arg_min(title, format) AS title FROM s GROUP BY 1, 2"""), "date"),
+)
+def prefer_source(spark, sf):
+    m = v.meetings(spark, sf)
+    pdf = m.withColumn("format", F.lit("pdf")).withColumn("title", F.lit("p"))
+    html = m.filter(F.month("date") != 1).withColumn("format", F.lit("html")).withColumn("title", F.lit("h"))
+    return v.iso(merge.prefer_source(pdf.unionByName(html), ["series_id", "date"], ["html", "pdf"]))
+
+
+@query(
+    "f12_bilingual", "F12",
+    "SELECT url, 'Q' || page_id AS subcategory, CASE WHEN page_id % 2 = 0 THEN 'ق' || page_id END AS subcategory_ar FROM pages",
+)
+def bilingual(spark, sf):
+    p = v.table(spark, sf, "pages")
+    en = p.select("url", F.concat(F.lit("Q"), "page_id").alias("subcategory"))
+    ar = p.filter("page_id % 2 = 0").select("url", F.concat(F.lit("ق"), "page_id").alias("subcategory"))
+    return merge.bilingual(en, ar, "url", ["subcategory"])
+
+
+@query(
+    "f13_first_category", "F13",
+    "SELECT md5(text) AS url, arg_min(source, doc_id) AS category FROM documents GROUP BY 1",
+)
+def first_category(spark, sf):
+    items = v.table(spark, sf, "documents").select(
+        F.md5(F.col("text").cast("binary")).alias("url"), F.col("doc_id").alias("ord"), F.col("source").alias("category")
+    )
+    return merge.first_category(items, "url", "ord")
+
+
+VINTAGE_SQL = """, land AS (SELECT series_id, period, value, DATE '2002-01-01' AS seen_on FROM obs_orders WHERE day(period) <= 20
+  UNION ALL SELECT series_id, period, CASE WHEN day(period) % 5 = 0 THEN value + 1 ELSE value END, DATE '2002-02-01' FROM obs_orders
+  UNION ALL SELECT series_id, period, CASE WHEN day(period) % 10 = 0 THEN value + 2 WHEN day(period) % 5 = 0 THEN value + 1 ELSE value END, DATE '2002-03-01' FROM obs_orders),
+w AS (SELECT *, lag(value) OVER (PARTITION BY series_id, period ORDER BY seen_on) AS was FROM land),
+vint AS (SELECT series_id, period, value, seen_on AS seen_from, lead(seen_on) OVER (PARTITION BY series_id, period ORDER BY seen_on) AS seen_to, was AS replaced
+  FROM w WHERE was IS NULL OR was <> value)
+"""
+
+
+def _vintages(spark, sf):
+    o = v.obs_orders(spark, sf)
+    day = F.dayofmonth("period")
+    plus1 = F.when(day % 5 == 0, F.col("value") + 1).otherwise(F.col("value"))
+    plus2 = F.when(day % 10 == 0, F.col("value") + 2).otherwise(plus1)
+    seen = lambda s: F.lit(s).cast("date")
+    landings = merge.union_all(
+        [
+            o.filter(day <= 20).withColumn("seen_on", seen("2002-01-01")),
+            o.withColumn("value", plus1).withColumn("seen_on", seen("2002-02-01")),
+            o.withColumn("value", plus2).withColumn("seen_on", seen("2002-03-01")),
+        ]
+    )
+    return merge.vintages(landings)
+
+
+@query(
+    "f14_vintages", "F14",
+    v.dated(v.with_ctes("obs_orders", VINTAGE_SQL + "SELECT series_id, period, value, seen_from, seen_to FROM vint"), "period", "seen_from", "seen_to"),
+)
+def vintages(spark, sf):
+    return v.iso(_vintages(spark, sf).drop("replaced"))
+
+
+@query(
+    "f14_as_published", "F14",
+    v.dated(v.with_ctes("obs_orders", VINTAGE_SQL + """SELECT series_id, period, value FROM vint
+WHERE seen_from <= DATE '2002-02-15' AND (seen_to IS NULL OR seen_to > DATE '2002-02-15')"""), "period"),
+)
+def as_published(spark, sf):
+    return v.iso(merge.as_published(_vintages(spark, sf), F.lit("2002-02-15").cast("date")))
+
+
+@query(
+    "f14_revisions", "F14",
+    v.dated(v.with_ctes("obs_orders", VINTAGE_SQL + """SELECT series_id, period, replaced AS old_value, value AS new_value, seen_from AS revised_on
+FROM vint WHERE replaced IS NOT NULL"""), "period", "revised_on"),
+)
+def revisions(spark, sf):
+    return v.iso(merge.revisions(_vintages(spark, sf)))
+
+
+@query(
+    "b3_changed_only", "B3",
+    """SELECT doc_id FROM documents WHERE doc_id % 10 = 0 OR doc_id % 7 = 0""",
+)
+def changed_only(spark, sf):
+    docs = v.table(spark, sf, "documents")
+    digest = F.sha2(F.col("text").cast("binary"), 256).alias("content_hash")
+    stored = docs.filter("doc_id % 10 <> 0").select("doc_id", digest, F.lit(1).alias("seen")).unionByName(
+        docs.filter("doc_id % 10 <> 0").select("doc_id", F.sha2(F.concat("text", F.lit("old")).cast("binary"), 256).alias("content_hash"), F.lit(0).alias("seen"))
+    )
+    now = docs.withColumn("text", F.when(F.col("doc_id") % 7 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")))
+    return merge.changed_only(now, stored, "doc_id", "text", "seen").select("doc_id")
+
+
+@query(
+    "b14_integrity_manifest", "B14 K4",
+    """WITH p AS (SELECT 'pages/' || doc_id || '.txt' AS path, octet_length(encode(text)) AS bytes, sha256(text) AS sha256, doc_id FROM documents)
+SELECT path, bytes, sha256 FROM p WHERE doc_id % 10 <> 0""",
+)
+def integrity_manifest(spark, sf):
+    files = v.table(spark, sf, "documents").select(
+        F.concat(F.lit("pages/"), "doc_id", F.lit(".txt")).alias("path"),
+        F.octet_length("text").cast("bigint").alias("bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), "doc_id",
+    )
+    old = files.filter("doc_id % 2 = 0").drop("doc_id")
+    present = files.filter("doc_id % 10 <> 0").drop("doc_id")
+    return publish.refresh_manifest(old, present)
+
+
+@query(
+    "k4_manifest_changes", "K4",
+    """SELECT 'pages/' || doc_id AS path, CASE WHEN doc_id % 2 = 0 THEN 'vanished' ELSE 'new' END AS change FROM documents WHERE doc_id % 10 = 0 OR (doc_id % 2 = 1)""",
+)
+def manifest_changes(spark, sf):
+    files = v.table(spark, sf, "documents").select(F.concat(F.lit("pages/"), "doc_id").alias("path"), "doc_id")
+    return publish.manifest_changes(files.filter("doc_id % 2 = 0"), files.filter("doc_id % 10 <> 0"))
+
+
+@query(
+    "k1_union_batches", "K1",
+    v.with_ctes("obs_orders obs_parts", """SELECT split_part(series_id, '.', 1) AS source, count(*) AS n FROM
+  (SELECT series_id FROM obs_orders UNION ALL SELECT series_id FROM obs_parts UNION ALL SELECT 'EV.' FROM events) GROUP BY 1"""),
+)
+def union_batches(spark, sf):
+    all_obs = merge.union_all([v.obs_orders(spark, sf), v.obs_parts(spark, sf), v.obs_events(spark, sf)])
+    return all_obs.groupBy(F.split_part("series_id", F.lit("."), F.lit(1)).alias("source")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "k2_category_union", "K2",
+    """SELECT lang, array_to_string(list_sort(list_distinct(list_concat(list(DISTINCT source), ['all']))), ',') AS categories FROM documents GROUP BY 1""",
+)
+def category_union(spark, sf):
+    d = v.table(spark, sf, "documents").groupBy("lang").agg(F.collect_set("source").alias("_s"))
+    return d.select("lang", F.array_join(F.array_sort(F.array_union("_s", F.array(F.lit("all")))), ",").alias("categories"))
+
+
+@query(
+    "h10_reject_reasons", "H10",
+    """SELECT CASE WHEN doc_id % 11 = 0 THEN 'file missing' WHEN n_chars < 500 THEN 'short' ELSE 'no period row' END AS reason, count(*) AS n
+FROM documents WHERE doc_id % 2 = 0 OR doc_id % 11 = 0 GROUP BY 1 ORDER BY n DESC, reason LIMIT 8""",
+)
+def reject_reasons(spark, sf):
+    reason = F.when(F.col("doc_id") % 11 == 0, F.lit("file missing")).when(F.col("n_chars") < 500, F.lit("short")).otherwise(F.lit("no period row"))
+    return (
+        v.table(spark, sf, "documents").filter("doc_id % 2 = 0 or doc_id % 11 = 0")
+        .groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "reason").limit(8)
+    )
+
+
+@query(
+    "p1_landed_batches", "P1 F1 F5",
+    v.dated(v.with_ctes("obs_events", """, b AS (SELECT *, ord // 1000 AS batch FROM obs_events),
+i AS (SELECT series_id, period, batch, arg_min(value, ord) AS value FROM b GROUP BY 1, 2, 3)
+SELECT series_id, period, arg_max(value, batch) AS value FROM i GROUP BY 1, 2"""), "period"),
+)
+def landed_batches(spark, sf):
+    b = v.obs_events(spark, sf).withColumn("batch", F.floor(F.col("ord") / 1000))
+    return v.iso(landing.merge_batches(b))
