@@ -1 +1,378 @@
+"""Page text, statements, the full-text index and searches."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from seriesforge.functions import text
+from seriesforge.operators import quality, search, statements
+from seriesforge.plans import views as v
+from seriesforge.plans.catalog import query
+from seriesforge.plans.q_scalar import STOP_SQL
+from seriesforge.sinks import publish
+from seriesforge.sources import landed
+
+# Entities the driver pages hold; the operator itself decodes all of them.
+UNESCAPE_SQL = """regexp_replace(replace(replace(replace({x}, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g')"""
+
+
+def _markup_sql(x: str, unescape: bool) -> str:
+    t = f"regexp_replace({x}, '<[^>]+>', ' ', 'g')"
+    if unescape:
+        t = UNESCAPE_SQL.format(x=t)
+    return f"trim(regexp_replace({t}, '\\s+', ' ', 'g'))"
+
+
+def _page_sql(unescape: bool) -> str:
+    body = "CASE WHEN instr(html, '<footer') > 1 THEN substr(html, 1, instr(html, '<footer') - 1) ELSE html END"
+    body = f"regexp_replace({body}, '(?s)<script.*?</script>', ' ', 'g')"
+    body = f"regexp_replace({body}, '(?s)<style.*?</style>', ' ', 'g')"
+    return _markup_sql(body, unescape)
+
+
+@query("a8_page_text", "A8 A5", f"SELECT page_id, md5({_page_sql(True)}) AS body FROM pages")
+def page_text(spark, sf):
+    return v.table(spark, sf, "pages").select("page_id", F.md5(text.page_text(F.col("html")).cast("binary")).alias("body"))
+
+
+@query("a8_page_text_native", "A8", f"SELECT page_id, length({_page_sql(False)}) AS chars FROM pages")
+def page_text_native(spark, sf):
+    return v.table(spark, sf, "pages").select("page_id", F.length(text.page_text(F.col("html"), unescape=False)).cast("bigint").alias("chars"))
+
+
+@query(
+    "a5_clean_cells", "A5",
+    f"SELECT page_id, {_markup_sql(chr(39).join(['regexp_extract(html, ', '(?s)<h1>(.*?)</h1>', ', 1)']), True)} AS title FROM pages",
+)
+def clean_cells(spark, sf):
+    return v.table(spark, sf, "pages").select(
+        "page_id", text.clean_markup(F.regexp_extract("html", "(?s)<h1>(.*?)</h1>", 1)).alias("title")
+    )
+
+
+@query(
+    "b16_published_pages", "B16 C20",
+    v.with_ctes("doc_pages", """SELECT doc_id, page, md5(substr(trim(regexp_replace(text, '\\s+', ' ', 'g')), 1, 20000)) AS digest FROM doc_pages WHERE trim(regexp_replace(text, '\\s+', ' ', 'g')) <> ''"""),
+)
+def published_pages(spark, sf):
+    p = publish.published_pages(v.doc_pages(spark, sf))
+    return p.select("doc_id", "page", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
+LANG_SQL = """, l AS (SELECT *, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS latin FROM doc_pages),
+g AS (SELECT *, CASE WHEN latin > 0 THEN 'en' ELSE 'unknown' END AS lang FROM l),
+d AS (SELECT doc_id, lang, count(*) AS n, min(page) AS first, sum(chars) AS c FROM g GROUP BY 1, 2),
+doc AS (SELECT doc_id, arg_max(lang, (n, -first)) AS lang, CAST(sum(n) AS BIGINT) AS pages, CAST(sum(c) AS BIGINT) AS chars FROM d GROUP BY 1)
+"""
+
+
+@query("h9_document_language", "H9 C19", v.with_ctes("doc_pages", LANG_SQL + "SELECT * FROM doc"))
+def document_language(spark, sf):
+    p = v.doc_pages(spark, sf).withColumn("lang", text.language(F.col("text")))
+    return publish.dominant_language(p)
+
+
+@query(
+    "b22_extraction_report", "B22 D14",
+    v.with_ctes("doc_pages", LANG_SQL + """SELECT lang, count(*) AS documents, CAST(sum(pages) AS BIGINT) AS pages, count(*) FILTER (chars < pages * 90) AS needs_ocr FROM doc GROUP BY 1"""),
+)
+def extraction_report(spark, sf):
+    return publish.extraction_report(v.doc_pages(spark, sf).withColumn("lang", text.language(F.col("text"))))
+
+
+SENT_SQL = (
+    "list_filter(list_transform(string_split(regexp_replace(regexp_replace(text, '\\s+', ' ', 'g'), '([.!?])\\s+([A-Z(])', "
+    "'\\1' || chr(1) || '\\2', 'g'), chr(1)), lambda s: trim(s)), lambda s: length(s) > 40)"
+)
+
+
+@query(
+    "m6_sentences", "M6",
+    f"SELECT conv_id, turn, len({SENT_SQL}) AS n, md5(array_to_string({SENT_SQL}, '|')) AS digest FROM conversations",
+)
+def sentences(spark, sf):
+    c = v.table(spark, sf, "conversations").select("conv_id", "turn", statements.sentences(F.col("text")).alias("_s"))
+    return c.select("conv_id", "turn", F.size("_s").cast("bigint").alias("n"), F.md5(F.array_join("_s", "|").cast("binary")).alias("digest"))
+
+
+@query(
+    "g9_consecutive_statements", "G9 I8",
+    """SELECT conv_id, turn, lag(turn) OVER w AS previous_turn, md5(lag(text) OVER w) AS previous_digest FROM conversations
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""",
+)
+def consecutive_statements(spark, sf):
+    p = statements.consecutive(v.table(spark, sf, "conversations"), ["conv_id"], "turn", ["turn", "text"], width=3)
+    return p.select("conv_id", "turn", F.col("previous.turn").alias("previous_turn"), F.md5(F.col("previous.text").cast("binary")).alias("previous_digest"))
+
+
+PAIR_SQL = f""", s AS (SELECT conv_id, turn, list_distinct({SENT_SQL.replace('> 40', '> 20')}) AS now FROM conversations),
+p AS (SELECT *, lag(now) OVER (PARTITION BY conv_id ORDER BY turn) AS was FROM s)
+"""
+
+
+@query(
+    "k3_sentence_sets", "K3 M8",
+    f"""WITH x AS (SELECT 1){PAIR_SQL}SELECT conv_id, turn, len(list_filter(now, lambda t: NOT list_contains(was, t))) AS added, len(list_filter(was, lambda t: NOT list_contains(now, t))) AS removed,
+  len(list_intersect(now, was)) AS common, CASE WHEN len(list_distinct(list_concat(now, was))) > 0 THEN len(list_intersect(now, was)) / len(list_distinct(list_concat(now, was)))::DOUBLE END AS jaccard
+FROM p WHERE was IS NOT NULL""",
+)
+def sentence_sets(spark, sf):
+    p = statements.consecutive(v.table(spark, sf, "conversations"), ["conv_id"], "turn", ["text"]).filter("previous is not null")
+    s = statements.sentence_sets(p, longer_than=20)
+    big = lambda c: F.size(c).cast("bigint").alias(c)
+    return s.select("conv_id", "turn", big("added"), big("removed"), big("common"), "jaccard")
+
+
+@query("m7_statement_diffs", "M7 M8 B11 M12")
+def statement_diffs(spark, sf):
+    c = v.table(spark, sf, "conversations")
+    p = statements.consecutive(c, ["conv_id"], "turn", ["text"]).filter("previous is not null")
+    before, after = F.col("previous.text"), F.col("text")
+    d = p.select(
+        "conv_id", "turn",
+        statements.diff_texts(before, after, statements.sentences(before), statements.sentences(after)).alias("_d"),
+    ).select("conv_id", "turn", "_d.*")
+    return statements.slim_diffs(d)
+
+
+@query(
+    "m9_rate_moves", "M9 M10 H11 G10",
+    v.dated(v.with_ctes("meetings obs_orders", """, s AS (SELECT m.series_id, m.date, o.value AS deposit_rate, CASE WHEN month(m.date) <> 1 THEN o.value + 1 END AS lending_rate
+  FROM meetings m JOIN obs_orders o ON m.series_id = o.series_id AND m.date = o.period),
+l AS (SELECT *, lag(deposit_rate) OVER w AS pd, lag(lending_rate) OVER w AS pl, lag(date) OVER w AS from_date FROM s WINDOW w AS (PARTITION BY series_id ORDER BY date))
+SELECT series_id, from_date, date AS to_date, round_even(deposit_rate - pd, 2) AS deposit_change, round_even(lending_rate - pl, 2) AS lending_change FROM l WHERE from_date IS NOT NULL"""), "from_date", "to_date"),
+)
+def rate_moves(spark, sf):
+    from seriesforge.operators.spread import neighbour_row
+
+    m = v.meetings(spark, sf)
+    o = v.obs_orders(spark, sf).withColumnRenamed("period", "date")
+    s = m.join(o, ["series_id", "date"]).select(
+        "series_id", "date", F.unix_date("date").alias("_day"),
+        F.struct(
+            F.col("value").alias("deposit_rate"), F.when(F.month("date") != 1, F.col("value") + 1).alias("lending_rate"),
+            F.lit(None).cast("double").alias("main_operation_rate"),
+        ).alias("rates"),
+    )
+    p = neighbour_row(s, ["series_id"], "_day", ["date", "rates"], width=365).filter("previous is not null")
+    move = statements.rate_move(F.col("rates"), F.col("previous.rates"))
+    return v.iso(p.withColumn("_m", move).select(
+        "series_id", F.col("previous.date").alias("from_date"), F.col("date").alias("to_date"),
+        F.col("_m")["deposit_rate"]["change"].alias("deposit_change"), F.col("_m")["lending_rate"]["change"].alias("lending_change"),
+    ))
+
+
+POSTINGS_SQL = f""", raw AS (SELECT doc_id, page, unnest(regexp_extract_all(lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))), '[a-z0-9\\x{{0600}}-\\x{{06FF}}]+')) AS term FROM doc_pages),
+tok AS (SELECT * FROM raw WHERE length(term) BETWEEN 2 AND 28 AND term NOT IN ({STOP_SQL}) AND NOT regexp_full_match(term, '[0-9]+')),
+postings AS (SELECT term, doc_id, page, CAST(least(count(*), 255) AS INT) AS tf FROM tok GROUP BY ALL),
+freq AS (SELECT term, count(*) AS df FROM postings GROUP BY 1),
+terms AS (SELECT term, df, df > greatest(1, floor((SELECT count(*) FROM doc_pages) * 0.28)) AS common FROM freq),
+kept AS (SELECT p.* FROM postings p JOIN terms t USING (term) WHERE NOT t.common)
+"""
+
+
+def _folded():
+    return text.search_form(F.col("text"))
+
+
+@query("n1_postings", "N1 C21", v.with_ctes("doc_pages", POSTINGS_SQL + "SELECT term, doc_id, page, tf FROM postings"))
+def postings(spark, sf):
+    return search.term_counts(v.doc_pages(spark, sf), _folded())
+
+
+@query("h7_document_frequency", "H7", v.with_ctes("doc_pages", POSTINGS_SQL + "SELECT term, df FROM freq"))
+def document_frequency(spark, sf):
+    return search.document_frequency(search.term_counts(v.doc_pages(spark, sf), _folded()))
+
+
+@query("n2_common_terms", "N2", v.with_ctes("doc_pages", POSTINGS_SQL + "SELECT term, df, common FROM terms"))
+def common_terms(spark, sf):
+    pages = v.doc_pages(spark, sf)
+    return search.term_table(search.term_counts(pages, _folded()), pages)
+
+
+SHARD_SQL = """CAST(list_reduce(list_prepend(5381::BIGINT, list_transform(string_split(term, ''), lambda c: unicode(c)::BIGINT)), lambda h, c: (h * 33 + c) % 4294967296) % 256 AS INT)"""
+
+
+@query(
+    "n3_index_postings", "N3 J4 B17 C22",
+    v.with_ctes("doc_pages", POSTINGS_SQL + f"""SELECT term, doc_id, page, tf, {SHARD_SQL} AS shard FROM kept
+QUALIFY row_number() OVER (PARTITION BY term ORDER BY tf DESC, doc_id, page) <= 4000"""),
+)
+def index_postings(spark, sf):
+    return search.index_postings(v.doc_pages(spark, sf), _folded())
+
+
+@query(
+    "j4_posting_cap", "J4",
+    v.with_ctes("doc_pages", POSTINGS_SQL + """SELECT term, count(*) AS kept, max(tf) AS top_tf, min(tf) AS least_tf FROM
+(SELECT * FROM kept QUALIFY row_number() OVER (PARTITION BY term ORDER BY tf DESC, doc_id, page) <= 25) GROUP BY 1"""),
+)
+def posting_cap(spark, sf):
+    p = search.index_postings(v.doc_pages(spark, sf), _folded(), cap=25)
+    return p.groupBy("term").agg(F.count(F.lit(1)).alias("kept"), F.max("tf").alias("top_tf"), F.min("tf").alias("least_tf"))
+
+
+QUERY = "The Elle, tion-que 12"
+
+
+@query(
+    "n4_full_text", "N4 G13 J5",
+    v.with_ctes("doc_pages", POSTINGS_SQL + """SELECT doc_id, page, CAST(sum(tf) AS BIGINT) AS score FROM kept WHERE term IN ('elle', 'tion', 'que') GROUP BY 1, 2 HAVING count(*) = 3
+ORDER BY score DESC, doc_id, page LIMIT 60"""),
+)
+def full_text(spark, sf):
+    p = search.index_postings(v.doc_pages(spark, sf), _folded(), cap=None)
+    return search.full_text(p, QUERY)
+
+
+@query(
+    "n4_full_text_ignoring_common", "N4 D-05",
+    v.with_ctes("doc_pages", POSTINGS_SQL + """SELECT doc_id, page, CAST(sum(tf) AS BIGINT) AS score FROM kept WHERE term IN ('of', 'erat', 'tion') GROUP BY 1, 2
+HAVING count(*) = (SELECT count(*) FROM terms WHERE term IN ('of', 'erat', 'tion') AND NOT common) + (3 - (SELECT count(*) FROM terms WHERE term IN ('of', 'erat', 'tion')))"""),
+)
+def full_text_ignoring_common(spark, sf):
+    pages = v.doc_pages(spark, sf)
+    counted = search.term_counts(pages, _folded())
+    common = search.term_table(counted, pages).filter("common")
+    kept = counted.join(common.select("term"), "term", "left_anti")
+    return search.full_text(kept, "of erat tion", common, limit=None)
+
+
+@query(
+    "g13_conjunction", "G13",
+    v.with_ctes("doc_pages", POSTINGS_SQL + """SELECT doc_id, page, CAST(sum(tf) AS BIGINT) AS score FROM kept WHERE term IN ('der', 'und') GROUP BY 1, 2 HAVING count(*) = 2"""),
+)
+def conjunction(spark, sf):
+    p = search.index_postings(v.doc_pages(spark, sf), _folded(), cap=None)
+    return search.full_text(p, "und der", limit=None)
+
+
+@query(
+    "n11_restricted_hits", "N11 D17",
+    v.with_ctes("doc_pages", POSTINGS_SQL + """, hits AS (SELECT doc_id, page, CAST(sum(tf) AS BIGINT) AS score FROM kept WHERE term IN ('elle', 'tion', 'que') GROUP BY 1, 2 HAVING count(*) = 3)
+SELECT * FROM hits WHERE doc_id IN (SELECT doc_id FROM documents WHERE source IN ('src1', 'src2', 'src3'))"""),
+)
+def restricted_hits(spark, sf):
+    p = search.index_postings(v.doc_pages(spark, sf), _folded(), cap=None)
+    hits = search.full_text(p, QUERY, limit=None)
+    return search.restrict(hits, v.table(spark, sf, "documents"), F.col("source").isin("src1", "src2", "src3"))
+
+
+@query(
+    "n12_index_metadata", "N12",
+    v.with_ctes("doc_pages", POSTINGS_SQL + """SELECT (SELECT count(DISTINCT doc_id) FROM doc_pages) AS documents, (SELECT count(*) FROM doc_pages) AS pages,
+  (SELECT count(*) FROM terms WHERE NOT common) AS terms, (SELECT count(*) FROM terms WHERE common) AS terms_dropped, 256 AS shards"""),
+)
+def index_metadata(spark, sf):
+    pages = v.doc_pages(spark, sf)
+    terms = search.term_table(search.term_counts(pages, _folded()), pages)
+    return search.index_metadata(pages, terms)
+
+
+@query("n8_snippets", "N8")
+def snippets(spark, sf):
+    pages = v.doc_pages(spark, sf)
+    p = search.index_postings(pages, _folded(), cap=None)
+    s = search.snippets(search.full_text(p, QUERY), pages, QUERY)
+    marked = F.filter("snippet", lambda x: x["mark"])
+    return s.select("doc_id", "page", "score", F.array_join(F.transform("snippet", lambda x: x["text"]), "").alias("quote"), F.size(marked).alias("marks"))
+
+
+def _positions(term: str, i: int) -> str:
+    n, width = f"len(string_split(hay, '{term}')) - 1", len(term)
+    return (
+        f"list_transform(range(1, least({n}, 40) + 1), lambda k: {{'at': length(array_to_string(list_slice(string_split(hay, '{term}'), 1, k), '{term}')), 'ti': {i}}})"
+    )
+
+
+@query(
+    "n8_snippet_anchor", "N8",
+    v.with_ctes("doc_pages", POSTINGS_SQL + f""", hits AS (SELECT doc_id, page, CAST(sum(tf) AS BIGINT) AS score FROM kept WHERE term IN ('elle', 'tion', 'que') GROUP BY 1, 2 HAVING count(*) = 3
+  ORDER BY score DESC, doc_id, page LIMIT 60),
+h AS (SELECT doc_id, page, score, lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS hay FROM hits JOIN doc_pages USING (doc_id, page)),
+mk AS (SELECT doc_id, page, score, unnest(list_concat({_positions('elle', 0)}, {_positions('tion', 1)}, {_positions('que', 2)})) AS m FROM h),
+b AS (SELECT a.doc_id, a.page, a.score, a.m.at AS pos, count(DISTINCT o.m.ti) AS k FROM mk a JOIN mk o ON a.doc_id = o.doc_id AND a.page = o.page AND o.m.at >= a.m.at AND o.m.at < a.m.at + 260 GROUP BY ALL)
+SELECT doc_id, page, score, CAST(arg_max(pos, (k, -pos)) AS INT) AS anchor, CAST(max(k) AS INT) AS terms_in_window FROM b GROUP BY 1, 2, 3"""),
+)
+def snippet_anchor(spark, sf):
+    pages = v.doc_pages(spark, sf)
+    p = search.index_postings(pages, _folded(), cap=None)
+    return search.best_anchor(search.full_text(p, QUERY), pages, QUERY)
+
+
+@query(
+    "n5_title_search", "N5",
+    """SELECT doc_id FROM documents WHERE contains(lower(trim(regexp_replace(substr(text, 1, instr(text || '.', '.')) || ' ' || source || ' ' || lang, '\\s+', ' ', 'g'))), 'en')
+  AND contains(lower(trim(regexp_replace(substr(text, 1, instr(text || '.', '.')) || ' ' || source || ' ' || lang, '\\s+', ' ', 'g'))), 'src1')""",
+)
+def title_search(spark, sf):
+    first = F.substring("text", F.lit(1), F.instr(F.concat("text", F.lit(".")), "."))
+    docs = v.table(spark, sf, "documents").select("doc_id", first.alias("title"), F.array("source", "lang").alias("categories"))
+    return search.title_search(docs, " EN  Src1 ").select("doc_id")
+
+
+@query(
+    "n6_series_search", "N6 J5",
+    v.with_ctes("parts", """SELECT series_id, title_en FROM parts WHERE contains(lower(series_id || ' ' || title_en), 'ring') AND contains(lower(series_id || ' ' || title_en), 'eco') ORDER BY series_id LIMIT 100"""),
+)
+def series_search(spark, sf):
+    return search.series_search(v.parts(spark, sf), "Ring ECO").select("series_id", "title_en")
+
+
+def _score_sql(term: str) -> str:
+    at = f"instr(hay, '{term}')"
+    brevity = "least(40.0::DOUBLE, length(hay) / 6.0::DOUBLE)"
+    return (
+        f"(CASE WHEN {at} = 0 THEN 0 WHEN {at} = 1 THEN 100 - {brevity} WHEN regexp_matches(substr(hay, {at} - 1, 1), '[\\s\\-./(,:]') THEN 60 - {brevity} ELSE 25 - {brevity} / 2 END)"
+    )
+
+
+@query(
+    "n7_ranked_search", "N7 J5",
+    v.with_ctes("parts", f""", pool AS (SELECT 'Series' AS kind, title_en AS label, lower(series_id || ' ' || title_en) AS hay, 0.0::DOUBLE AS w FROM parts
+  UNION ALL SELECT DISTINCT 'Topic', family, family || ' tables of ring prices', 38.0 FROM parts
+  UNION ALL SELECT DISTINCT 'Documents', source, source || ' red papers', 30.0 FROM documents),
+s AS (SELECT kind, label, hay, {_score_sql('r')} AS a, {_score_sql('in')} AS b, w FROM pool)
+SELECT kind, label, hay, w + a + b AS score FROM s WHERE a <> 0 AND b <> 0 ORDER BY score DESC, kind, label, hay LIMIT 40"""),
+)
+def ranked_search(spark, sf):
+    p = v.parts(spark, sf)
+    pool = (
+        p.select(F.lit("Series").alias("kind"), F.col("title_en").alias("label"), text.search_form(F.concat_ws(" ", "series_id", "title_en")).alias("hay"))
+        .unionByName(p.select("family").distinct().select(F.lit("Topic").alias("kind"), F.col("family").alias("label"), F.concat("family", F.lit(" tables of ring prices")).alias("hay")))
+        .unionByName(v.table(spark, sf, "documents").select("source").distinct().select(F.lit("Documents").alias("kind"), F.col("source").alias("label"), F.concat("source", F.lit(" red papers")).alias("hay")))
+    )
+    return search.ranked_search(pool, "R in", tie=("kind", "label", "hay")).select("kind", "label", "hay", "score")
+
+
+@query(
+    "n10_collections", "N10 H5",
+    """SELECT category, name, documents FROM (SELECT c AS category, count(*) AS documents FROM (SELECT unnest([source, lang]) AS c FROM documents) GROUP BY 1)
+JOIN (VALUES ('src1', 'Bulletin'), ('fr', 'French'), ('none', 'Nothing')) t(category, name) USING (category)""",
+)
+def collections(spark, sf):
+    docs = v.table(spark, sf, "documents").select(F.array("source", "lang").alias("categories"))
+    return search.collections(docs, [("src1", "Bulletin"), ("fr", "French"), ("none", "Nothing")])
+
+
+@query(
+    "d15_near_empty_documents", "D15",
+    v.with_ctes("doc_pages", "SELECT doc_id FROM doc_pages GROUP BY 1 HAVING sum(chars) < count(*) * 60"),
+)
+def near_empty(spark, sf):
+    return (
+        quality.scanned(v.doc_pages(spark, sf)).filter(F.col("chars") < F.col("pages") * 60).select("doc_id")
+    )
+
+
+@query(
+    "a11_page_totals", "A11 E15",
+    v.with_ctes("doc_pages", "SELECT source, count(*) AS pages, CAST(sum(chars) AS BIGINT) AS chars FROM doc_pages JOIN documents USING (doc_id) GROUP BY 1"),
+)
+def page_totals(spark, sf):
+    nested = v.table(spark, sf, "documents").select(
+        F.col("doc_id").alias("id"), "source",
+        F.transform(F.split("text", "\n"), lambda t, i: F.struct((i + 1).alias("page"), F.length(t).alias("chars"))).alias("pages"),
+    )
+    return landed.explode_pages(nested).groupBy("source").agg(F.count(F.lit(1)).alias("pages"), F.sum("chars").alias("chars"))
