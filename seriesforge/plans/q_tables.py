@@ -1 +1,361 @@
+"""Printed tables, spreadsheet grids, listings and releases, read back into figures.
 
+Spark prints the fragments, cells and sentences from the driver tables; the
+operators read them back; the check states the figures straight from the tables.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from seriesforge.functions import dates
+from seriesforge.functions.numbers import number
+from seriesforge.operators import merge, press, quality, statements
+from seriesforge.plans import views as v
+from seriesforge.plans.catalog import query
+from seriesforge.sources import grids, tables
+
+
+def _wrap(tag, *parts):
+    return F.concat(F.lit(f"<{tag}>"), *parts, F.lit(f"</{tag}>"))
+
+
+def order_fragments(spark, sf):
+    """One HTML fragment per order: a price panel with a grouped header, then a tax panel.
+
+    Headers repeat after each row, some rows are short, some orders have no second
+    panel, some say there is nothing. An order has a handful of lines.
+    """
+    day = F.date_format(F.col("l_shipdate").cast("date"), "d/M/yyyy")
+    head = '<tr class="h"><th>Issue Date</th><th colspan="2">Line&nbsp;item</th></tr><tr><th></th><th> Price </th><th>Qty</th></tr>'
+    qty = F.when(F.col("l_linenumber") == 2, F.lit("")).otherwise(_wrap("td", F.col("l_quantity").cast("int").cast("string")))
+    price_row = F.concat(_wrap("tr", _wrap("td", day), _wrap("td", F.lit("<b>"), F.format_number("l_extendedprice", 2), F.lit("</b>")), qty), F.lit("<tr><th>Issue Date</th><th>x</th><th>y</th></tr>"))
+    tax_row = _wrap("tr", _wrap("td", day), _wrap("td", (F.col("l_tax") * 100).cast("int").cast("string"), F.lit(" %")))
+    lines = v.table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.array_join(F.array_sort(F.collect_list(price_row)), "").alias("_p"),
+        F.array_join(F.array_sort(F.collect_list(tax_row)), "").alias("_t"),
+    )
+    first = F.concat(F.lit('<div><table border="1">' + head), "_p", F.lit("</table>"))
+    other = F.when(F.col("l_orderkey") % 10 == 0, F.lit("Date")).otherwise(F.lit("Issue Date"))
+    second = F.concat(F.lit("<table><tr><th>"), other, F.lit("</th><th>Tax</th></tr>"), "_t", F.lit("</table>"))
+    body = (
+        F.when(F.col("l_orderkey") % 17 == 0, F.lit("<p>There are no matching results.</p><table><tr><th>a</th></tr></table>"))
+        .when(F.col("l_orderkey") % 5 == 0, F.concat(first, second))
+        .otherwise(first)
+    )
+    return lines.select(F.col("l_orderkey").alias("doc_id"), body.alias("html"))
+
+
+@query(
+    "a3_table_records", "A3 A5 A6 A7 A2 E5 C1 C3",
+    v.dated("""SELECT l_orderkey AS doc_id, CAST(l_shipdate AS DATE) AS issued, l_extendedprice AS price,
+  CASE WHEN l_linenumber <> 2 THEN l_quantity END AS qty FROM lineitem WHERE l_orderkey % 17 <> 0""", "issued"),
+)
+def table_records(spark, sf):
+    cells = tables.html_cells(order_fragments(spark, sf))
+    rec = tables.records(
+        tables.table_values(cells).filter("table_ix = 0"),
+        ["Issue Date", "Line item - Price", "Line item - Qty"],
+    )
+    return v.iso(rec.select(
+        "doc_id", dates.dmy("Issue Date").alias("issued"), number("Line item - Price").alias("price"), number("Line item - Qty").alias("qty")
+    ))
+
+
+@query(
+    "a6_table_headers", "A6 A7",
+    """WITH d AS (SELECT DISTINCT l_orderkey AS doc_id FROM lineitem WHERE l_orderkey % 17 <> 0),
+w AS (SELECT l_orderkey AS doc_id, max(CASE WHEN l_linenumber <> 2 THEN 3 ELSE 2 END) AS width FROM lineitem GROUP BY 1)
+SELECT doc_id, 0 AS table_ix, CASE WHEN width = 3 THEN 'Issue Date|Line item - Price|Line item - Qty' ELSE 'Issue Date|Line item - Price' END AS columns FROM d JOIN w USING (doc_id)
+UNION ALL SELECT doc_id, 1, CASE WHEN doc_id % 10 = 0 THEN 'Date|Tax' ELSE 'Issue Date|Tax' END FROM d WHERE doc_id % 5 = 0""",
+)
+def table_headers(spark, sf):
+    h = tables.header_layouts(tables.html_cells(order_fragments(spark, sf)))
+    return h.select("doc_id", "table_ix", F.array_join("columns", "|").alias("columns"))
+
+
+@query(
+    "e3_panels", "E3 D4",
+    v.dated("""WITH l AS (SELECT l_orderkey, CAST(l_shipdate AS DATE) AS period, l_extendedprice, l_tax FROM lineitem WHERE l_orderkey % 17 <> 0)
+SELECT l_orderkey AS doc_id, 'P.PRICE' AS series_id, period, l_extendedprice AS value FROM l
+UNION ALL SELECT l_orderkey, 'P.TAX', period, CAST(CAST(trunc(l_tax * 100) AS INT) AS DOUBLE) FROM l WHERE l_orderkey % 5 = 0""", "period"),
+)
+def panels(spark, sf):
+    cells = tables.html_cells(order_fragments(spark, sf))
+    vals = tables.panel_values(tables.table_values(cells), [{"id_pattern": "P.PRICE"}, {"id_pattern": "P.TAX"}])
+    long = vals.groupBy("doc_id", "table_ix", "row_ix", "pattern").agg(
+        F.max(F.when(F.col("col_ix") == 0, F.col("text"))).alias("_d"), F.max(F.when(F.col("col_ix") == 1, F.col("text"))).alias("_v")
+    )
+    return v.iso(long.select("doc_id", F.col("pattern").alias("series_id"), dates.dmy("_d").alias("period"), number("_v").alias("value")))
+
+
+@query(
+    "d4_panel_guard", "D4",
+    "SELECT DISTINCT l_orderkey AS doc_id FROM lineitem WHERE l_orderkey % 5 = 0 AND l_orderkey % 17 <> 0 AND l_orderkey % 2 = 1",
+)
+def panel_guard(spark, sf):
+    cells = tables.html_cells(order_fragments(spark, sf), unescape=False).withColumn(
+        "dataset", F.when(F.col("doc_id") % 2 == 0, F.lit("declared")).otherwise(F.lit("undeclared"))
+    )
+    specs = cells.select("dataset").distinct().withColumn("panels", F.when(F.col("dataset") == "declared", 2).otherwise(0))
+    return quality.panel_guard(cells, specs).select("doc_id")
+
+
+@query(
+    "d5_layout_guard", "D5 D6",
+    """SELECT DISTINCT l_orderkey AS doc_id FROM lineitem WHERE l_orderkey % 5 = 0 AND l_orderkey % 17 <> 0""",
+)
+def layout_guard(spark, sf):
+    h = tables.header_layouts(tables.html_cells(order_fragments(spark, sf), unescape=False))
+    return quality.layout_guard(h).select("doc_id")
+
+
+@query(
+    "d6_missing_columns", "D6",
+    """SELECT DISTINCT l_orderkey AS doc_id, 1 AS table_ix, 'Issue Date' AS missing FROM lineitem WHERE l_orderkey % 10 = 0 AND l_orderkey % 17 <> 0""",
+)
+def missing_columns(spark, sf):
+    h = tables.header_layouts(tables.html_cells(order_fragments(spark, sf), unescape=False))
+    return quality.missing_columns(h, ["Issue Date", "Tax"], optional=["Tax"]).select("doc_id", "table_ix", F.array_join("missing", ",").alias("missing"))
+
+
+@query(
+    "a14_archive_cards", "A14",
+    """SELECT p_partkey, CAST(i AS INT) AS link_ix, '/-/media/' || p_partkey || '/' || i || '.xlsx' AS url, 'Jul ' || i || ' & on' AS period_label,
+  p_type AS frequency, p_name AS subcategory FROM part, (VALUES (0), (1)) t(i)""",
+)
+def archive_cards(spark, sf):
+    link = lambda i: F.concat(
+        F.lit('<a href="/-/media/'), F.col("p_partkey"), F.lit(f'/{i}.xlsx" target="_blank" class="uploaded-doc"> <i>Jul</i> {i} &amp; on</a>')
+    )
+    card = F.concat(
+        F.lit('<div class="data-list dlList-item"><span class="tag"> '), "p_type", F.lit('\n</span><h2 class="title">'), "p_name",
+        F.lit("</h2>"), link(0), link(1), F.lit("</div>"),
+    )
+    frag = v.table(spark, sf, "part").select("p_partkey", F.concat(F.lit("<section>"), card, F.lit("</section>")).alias("html"))
+    return tables.archive_cards(frag, keep=["p_partkey"]).drop("card_ix")
+
+
+@query(
+    "a15_sheet_caps", "A15",
+    """SELECT l_suppkey AS file_id, count(*) AS cells FROM lineitem WHERE l_orderkey % 2000 < 1500 AND l_linenumber * 20 < 120 GROUP BY 1""",
+)
+def sheet_caps(spark, sf):
+    c = v.table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").alias("file_id"), (F.col("l_orderkey") % 2000).cast("int").alias("r"), (F.col("l_linenumber") * 20).alias("c"),
+        F.col("l_quantity").cast("string").alias("v"), F.lit(False).alias("is_text"),
+    )
+    return grids.within_caps(c).groupBy("file_id").agg(F.count(F.lit(1)).alias("cells"))
+
+
+FLAGS = ["A", "N", "R"]
+
+
+def sheets(spark, sf):
+    """(cells, merges, files): one sheet per supplier and fiscal year, in four header layouts.
+
+    The supplier number picks the layout: months under merged years, quarters with
+    the year printed below, fiscal years in the header, bare years. A fifth kind has
+    no period row at all.
+    """
+    d = F.col("l_shipdate").cast("date")
+    month, year = F.month(d), F.year(d)
+    fy = F.when(month >= 7, year).otherwise(year - 1)
+    kind = F.col("l_suppkey") % 5
+    c = (
+        F.when(kind == 0, F.lit(2) + (month + 5) % 12)
+        .when(kind == 1, F.lit(2) + F.floor(((month + 5) % 12) / 3))
+        .when(kind == 2, F.lit(2) + fy - 1990)
+        .when(kind == 3, F.lit(2) + year - 1990)
+        .otherwise(F.lit(2))
+    ).cast("int")
+    sheet = F.when(kind <= 1, fy).otherwise(F.lit(0))
+    base = (
+        v.table(spark, sf, "lineitem")
+        .groupBy(
+            F.col("l_suppkey").alias("supp"), kind.alias("kind"), sheet.alias("fy"), c.alias("c"),
+            F.when(kind <= 2, fy).otherwise(year).alias("y"), "l_returnflag",
+        )
+        .agg(F.max("l_extendedprice").alias("price"))
+    )
+    fid = F.concat_ws("-", "supp", "fy")
+    row = F.array_position(F.array(*[F.lit(f) for f in FLAGS]), F.col("l_returnflag")).cast("int") + 3
+    values = base.select(fid.alias("file_id"), row.alias("r"), "c", F.format_number("price", 2).alias("v"), F.lit(False).alias("is_text"))
+    labels = base.select(fid.alias("file_id"), row.alias("r"), "l_returnflag").distinct()
+    sheets_ = base.select(fid.alias("file_id"), "kind", "fy").distinct()
+    text = lambda df, r, c_, v_, t=True: df.select(
+        "file_id", (r if not isinstance(r, int) else F.lit(r)).cast("int").alias("r"),
+        (c_ if not isinstance(c_, int) else F.lit(c_)).cast("int").alias("c"), v_.cast("string").alias("v"), F.lit(t).alias("is_text"),
+    )
+    months = sheets_.filter("kind = 0").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(11))))
+    quarters = sheets_.filter("kind = 1").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(3))))
+    yearly = base.filter("kind in (2, 3)").select(fid.alias("file_id"), "kind", "c", "y").distinct()
+    names = F.array(*[F.lit(n) for n in "Jul. Aug. Sept. Oct. Nov. Dec. Jan. Feb. Mar. Apr. May. June".split()])
+    windows = F.array(*[F.lit(n) for n in ("July/Sep", "Oct/Dec", "Jan/Mar", "Apr/June")])
+    parts = [
+        values,
+        text(labels, F.col("r"), 0, F.concat(F.lit("    Flag "), "l_returnflag")),
+        text(labels, F.col("r"), 1, F.concat(F.lit("بند "), "l_returnflag")),
+        text(sheets_, 0, 0, F.lit("Flows of the year (LE mn)")),
+        text(months, 2, F.col("i") + 2, F.element_at(names, F.col("i") + 1)),
+        text(sheets_.filter("kind = 0"), 1, 2, F.col("fy"), False),
+        text(sheets_.filter("kind = 0"), 1, 8, F.col("fy") + 1, False),
+        text(quarters, 1, F.col("i") + 2, F.concat(F.lit("Q"), F.col("i") + 1)),
+        text(quarters, 2, F.col("i") + 2, F.concat_ws(" ", F.element_at(windows, F.col("i") + 1), (F.col("fy") + F.floor(F.col("i") / 2)).cast("string"))),
+        text(yearly.filter("kind = 2"), 2, F.col("c"), F.concat_ws("/", F.col("y").cast("string"), (F.col("y") + 1).cast("string"))),
+        text(yearly.filter("kind = 3"), 2, F.col("c"), F.col("y"), False),
+        text(sheets_.filter("kind = 3"), 2, 0, F.lit("End of December")),
+    ]
+    tops = sheets_.filter("kind = 0")
+    box = lambda c0, c1: tops.select("file_id", *[F.lit(x).alias(n) for n, x in (("r0", 1), ("c0", c0), ("r1", 1), ("c1", c1))])
+    files = sheets_.select(
+        "file_id", F.lit("GDP").alias("category"), F.concat(F.lit("Supplier "), F.split_part("file_id", F.lit("-"), F.lit(1))).alias("subcategory"),
+        F.when(F.col("kind") == 1, F.lit("Quarterly")).when(F.col("kind") >= 2, F.lit("Annual")).otherwise(F.lit("Monthly")).alias("frequency"),
+        F.concat(F.lit("/-/media/"), "file_id").alias("url"), F.col("fy").alias("file_ord"),
+    )
+    return merge.union_all(parts), box(2, 7).unionByName(box(8, 13)), files
+
+
+SHEET_SQL = """WITH d AS (SELECT l_suppkey AS supp, l_suppkey % 5 AS kind, l_returnflag AS flag, CAST(l_shipdate AS DATE) AS day, l_extendedprice AS price FROM lineitem),
+p AS (SELECT *, year(day) - CASE WHEN month(day) >= 7 THEN 0 ELSE 1 END AS fy FROM d WHERE kind < 4),
+q AS (SELECT 'EG.XL.GDP.SUPPLIER_' || supp || '.FLAG_' || flag AS series_id,
+  CASE kind WHEN 0 THEN last_day(day) WHEN 1 THEN last_day(CAST(date_trunc('quarter', day) AS DATE) + INTERVAL 2 MONTH)
+    WHEN 2 THEN make_date(fy + 1, 6, 30) ELSE make_date(year(day), 12, 31) END AS period,
+  CASE WHEN kind = 3 THEN CAST(year(day) AS VARCHAR) ELSE 'FY' || fy || '/' || right(CAST(fy + 1 AS VARCHAR), 2) END AS fy, price FROM p)
+SELECT series_id, period, fy, max(price) AS value, 'EGP million' AS unit, 2 AS level FROM q GROUP BY 1, 2, 3"""
+
+
+@query("e13_grid_observations", "E6 E7 E8 E9 E10 E11 E12 E13 C15 C16 F2 I5", v.dated(SHEET_SQL, "period"))
+def grid_observations(spark, sf):
+    cells, merged, files = sheets(spark, sf)
+    obs, _ = grids.melt(grids.fill_merges(grids.within_caps(cells), merged), files)
+    return v.iso(obs.select("series_id", "period", "fy", "value", "unit", "level"))
+
+
+@query(
+    "e7_grid_layouts", "E7",
+    """WITH s AS (SELECT DISTINCT l_suppkey AS supp, l_suppkey % 5 AS kind, CASE WHEN l_suppkey % 5 <= 1
+  THEN year(l_shipdate) - CASE WHEN month(l_shipdate) >= 7 THEN 0 ELSE 1 END ELSE 0 END AS fy FROM lineitem WHERE l_suppkey % 5 < 4)
+SELECT supp || '-' || fy AS file_id, list_extract(['month', 'quarter', 'fiscal_year', 'year'], CAST(kind AS INT) + 1) AS strategy, CASE WHEN kind = 1 THEN 1 ELSE 2 END AS period_row FROM s""",
+)
+def grid_layouts(spark, sf):
+    cells, merged, _ = sheets(spark, sf)
+    found = grids.find_period_row(grids.fill_merges(grids.within_caps(cells), merged))
+    return found.filter("strategy is not null").select("file_id", "strategy", "period_row")
+
+
+@query(
+    "e6_merged_cells", "E6",
+    """WITH s AS (SELECT DISTINCT l_suppkey AS supp, year(l_shipdate) - CASE WHEN month(l_shipdate) >= 7 THEN 0 ELSE 1 END AS fy FROM lineitem WHERE l_suppkey % 5 = 0)
+SELECT supp || '-' || fy AS file_id, CAST(c AS INT) AS c, CAST(CASE WHEN c < 8 THEN fy ELSE fy + 1 END AS VARCHAR) AS year FROM s, range(2, 14) t(c)""",
+)
+def merged_cells(spark, sf):
+    cells, merged, _ = sheets(spark, sf)
+    filled = grids.fill_merges(grids.within_caps(cells), merged)
+    monthly = F.split_part("file_id", F.lit("-"), F.lit(1)).cast("int") % 5 == 0
+    return filled.filter((F.col("r") == 1) & monthly).select("file_id", "c", F.col("v").alias("year"))
+
+
+@query(
+    "e13_grid_quarantine", "E7 H10",
+    """SELECT DISTINCT l_suppkey || '-0' AS file_id, 'no period row found (best scores: month=0, quarter=0, fiscal_year=0, year=0)' AS reason FROM lineitem WHERE l_suppkey % 5 = 4""",
+)
+def grid_quarantine(spark, sf):
+    cells, merged, files = sheets(spark, sf)
+    _, bad = grids.melt(grids.fill_merges(grids.within_caps(cells), merged), files)
+    return bad
+
+
+@query(
+    "e13_grid_catalog", "F6 E13 B6",
+    """SELECT DISTINCT 'EG.XL.GDP.SUPPLIER_' || l_suppkey || '.FLAG_' || l_returnflag AS series_id, 'Supplier ' || l_suppkey || ' - Flag ' || l_returnflag AS title_en,
+  'بند ' || l_returnflag AS title_ar, 'gdp' AS family, 'EGP million' AS unit FROM lineitem WHERE l_suppkey % 5 < 4""",
+)
+def grid_catalog(spark, sf):
+    cells, merged, files = sheets(spark, sf)
+    obs, _ = grids.melt(grids.fill_merges(grids.within_caps(cells), merged), files)
+    return grids.catalog_entries(obs).select("series_id", "title_en", "title_ar", "family", "unit")
+
+
+VERBS = ["keep", "maintain", "raise", "cut", "lower", "reduce", "increase"]
+
+
+def releases(spark, sf):
+    """One release per order: reserves, remittances, a policy statement, or nothing to read."""
+    o = v.table(spark, sf, "orders")
+    day = F.col("o_orderdate").cast("date")
+    kind = F.col("o_orderkey") % 5
+    fy = F.year(day) - F.when(F.month(day) >= 7, 0).otherwise(1)
+    bn = F.format_string("%d.%d", F.floor(F.col("o_totalprice") / 1000), F.col("o_orderkey") % 10)
+    window = F.concat(F.lit("July/"), F.date_format(day, "MMMM"), F.lit(" of FY "), fy, F.lit("/"), fy + 1)
+    verb = F.element_at(F.array(*[F.lit(x) for x in VERBS]), (F.col("o_orderkey") % 7).cast("int") + 1)
+    rate = F.format_string("%d.%02d", F.floor(F.col("o_totalprice") / 10000), F.col("o_orderkey") % 100)
+    text = (
+        F.when(kind == 0, F.concat(F.lit("Net International Reserves reached US$ "), F.format_number("o_totalprice", 2), F.lit(" mn at the end of the month.")))
+        .when(kind == 1, F.concat(F.lit("Transfers surged during "), window, F.lit(", to register about USD "), bn, F.lit(" billion.")))
+        .when(kind == 2, F.concat(F.lit("Transfers recorded USD "), bn, F.lit(" billion during "), window, F.lit(". Remittances rose by 3 percent in "), F.date_format(day, "MMMM yyyy"), F.lit(" to USD "), bn, F.lit(" billion.")))
+        .when(kind == 3, F.concat(F.lit("The Committee decided to "), verb, F.lit(" the overnight deposit rate, overnight lending rate, and the rate of the main operation by 1,050 basis points at "), rate, F.lit(" percent, "), rate, F.lit(" percent, and "), rate, F.lit(" percent, respectively. The discount rate stands at "), rate, F.lit(" percent.")))
+        .otherwise(F.lit("Page not found"))
+    )
+    cats = (
+        F.when(kind == 0, F.array(F.lit(press.RESERVES_CATEGORY), F.lit(press.REMIT_CATEGORY)))
+        .when(kind.isin(1, 2), F.array(F.lit(press.REMIT_CATEGORY)))
+        .when(kind == 3, F.array(F.lit(press.POLICY_CATEGORY), F.lit(press.RESERVES_CATEGORY)))
+        .otherwise(F.array(F.lit(press.POLICY_CATEGORY)))
+    )
+    return o.select(
+        F.col("o_orderkey").cast("string").alias("url"), day.alias("date"), F.concat(F.lit("Release "), "o_orderkey").alias("title"),
+        cats.alias("categories"), text.alias("text"),
+    )
+
+
+@query(
+    "m1_release_figures", "M1 M2 M13 C9",
+    v.dated("""WITH o AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS day, o_totalprice AS p, CAST(printf('%d.%d', CAST(floor(o_totalprice / 1000) AS BIGINT), o_orderkey % 10) AS DOUBLE) * 1000 AS mn FROM orders)
+SELECT 'EG.RES.NIR' AS series_id, day AS period, p AS value FROM o WHERE k % 5 = 0
+UNION ALL SELECT 'EG.EXT.REMIT.FYTD', last_day(day), mn FROM o WHERE k % 5 IN (1, 2)
+UNION ALL SELECT 'EG.EXT.REMIT.M', CAST(date_trunc('month', day) AS DATE), mn FROM o WHERE k % 5 = 2""", "period"),
+)
+def release_figures(spark, sf):
+    obs, _, _, _ = press.route_releases(releases(spark, sf))
+    return v.iso(obs.select("series_id", "period", "value"))
+
+
+@query(
+    "m3_policy_statements", "M3 M4 M10",
+    v.dated("""SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS date, CAST(printf('%d.%02d', CAST(floor(o_totalprice / 10000) AS BIGINT), o_orderkey % 100) AS DOUBLE) AS deposit_rate,
+  CAST(printf('%d.%02d', CAST(floor(o_totalprice / 10000) AS BIGINT), o_orderkey % 100) AS DOUBLE) AS main_operation_rate, CAST(printf('%d.%02d', CAST(floor(o_totalprice / 10000) AS BIGINT), o_orderkey % 100) AS DOUBLE) AS discount_rate, 1050 AS basis_points,
+  list_extract(['hold', 'hold', 'hike', 'cut', 'cut', 'cut', 'hike'], CAST(o_orderkey % 7 AS INT) + 1) AS decision FROM orders WHERE o_orderkey % 5 = 3""", "date"),
+)
+def policy_statements(spark, sf):
+    _, st, _, _ = press.route_releases(releases(spark, sf))
+    a = statements.archive(st)
+    return v.iso(a.select(F.col("url").cast("bigint").alias("k"), "date", "deposit_rate", "main_operation_rate", "discount_rate", "basis_points", "decision"))
+
+
+@query(
+    "m13_release_misses", "M13 D12",
+    """SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 = 0 THEN 'remittances' WHEN o_orderkey % 5 = 3 THEN 'NIR' ELSE 'dead' END AS kind FROM orders WHERE o_orderkey % 5 IN (0, 3, 4)""",
+)
+def release_misses(spark, sf):
+    _, _, misses, dead = press.route_releases(releases(spark, sf))
+    return misses.select(F.col("url").cast("bigint").alias("k"), "kind").unionByName(dead.select(F.col("url").cast("bigint").alias("k"), F.lit("dead").alias("kind")))
+
+
+@query(
+    "d19_decision_filter", "D19 H5",
+    """SELECT list_extract(['hold', 'hold', 'hike', 'cut', 'cut', 'cut', 'hike'], CAST(o_orderkey % 7 AS INT) + 1) AS decision, count(*) AS statements
+FROM orders WHERE o_orderkey % 5 = 3 GROUP BY 1 HAVING decision <> 'hold'""",
+)
+def decision_filter(spark, sf):
+    _, st, _, _ = press.route_releases(releases(spark, sf))
+    return st.filter(F.col("decision").isin("hike", "cut")).groupBy("decision").agg(F.count(F.lit(1)).alias("statements"))
+
+
+@query(
+    "m5_breadcrumb", "M5",
+    "SELECT conv_id, turn, md5(trim(text)) AS body FROM conversations",
+)
+def breadcrumb(spark, sf):
+    lead = F.concat(F.lit("Home > News & Publications News  Rates of the year kept Rates of the year kept 18 Aug 2026 "), "text")
+    return v.table(spark, sf, "conversations").select("conv_id", "turn", F.md5(statements.strip_breadcrumb(lead).cast("binary")).alias("body"))

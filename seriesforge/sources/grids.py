@@ -2,8 +2,8 @@
 
 Input: cells (file_id, r, c, v, is_text) and merges (file_id, r0, c0, r1, c1), both
 zero based. All files are read at once; each step is keyed by file, and a file is
-bounded by the row and column caps. Each header layout is its own function of the
-header cells; the results are unioned, since a file has exactly one layout.
+bounded by the row and column caps. Each header layout is its own expression over
+the header cells; a file has exactly one layout.
 """
 
 from __future__ import annotations
@@ -55,43 +55,50 @@ def fill_merges(cells: DataFrame, merges: DataFrame) -> DataFrame:
     )
 
 
-def header_scores(cells: DataFrame, compat: bool = False) -> DataFrame:
-    """Per file: best row and hits of each detector over the first rows."""
-    hits = {
+def _tokens(compat: bool) -> dict[str, Column]:
+    return {
         "month": dates.month_token("v"),
         "quarter": dates.quarter_token("v"),
         "fiscal_year": dates.fiscal_token("v"),
         "year": dates.year_token("v", compat),
     }
-    by_row = (
-        cells.filter(F.col("r") < HEADER_ROWS)
-        .groupBy("file_id", "r")
-        .agg(*[F.count_if(c.isNotNull()).alias(n) for n, c in hits.items()])
-    )
-    # Most hits wins; the earliest row on a tie.
-    return by_row.groupBy("file_id").agg(
-        *[F.max(n).alias(f"{n}_hits") for n in hits],
-        *[F.max_by("r", F.struct(F.col(n), -F.col("r"))).alias(f"{n}_row") for n in hits],
-    )
 
 
-def find_period_row(cells: DataFrame, compat: bool = False) -> DataFrame:
-    """(file_id, strategy, period_row, reason); strategy null and a reason where none was found."""
-    s = header_scores(cells, compat)
+def _choose(hits: dict[str, Column], rows: dict[str, Column]) -> tuple[Column, Column, Column]:
+    """(strategy, row, reason) from the best row of each detector.
+
+    Two hits are asked for first, then one; quarters and fiscal years are
+    unambiguous, months come next, bare years last.
+    """
     strategy, row = F.lit(None).cast("string"), F.lit(None).cast("int")
     for threshold in (1, 2):
         for name in reversed(LAYOUTS):
-            ok = F.col(f"{name}_hits") >= threshold
+            ok = hits[name] >= threshold
             strategy = F.when(ok, F.lit(name)).otherwise(strategy)
-            row = F.when(ok, F.col(f"{name}_row")).otherwise(row)
+            row = F.when(ok, rows[name]).otherwise(row)
     scores = F.format_string(
         "no period row found (best scores: month=%d, quarter=%d, fiscal_year=%d, year=%d)",
-        "month_hits", "quarter_hits", "fiscal_year_hits", "year_hits",
+        *[F.coalesce(hits[n], F.lit(0).cast("bigint")) for n in ("month", "quarter", "fiscal_year", "year")],
+    )
+    return strategy, row, F.when(strategy.isNull(), scores)
+
+
+def find_period_row(cells: DataFrame, compat: bool = False) -> DataFrame:
+    """(file_id, strategy, period_row, reason); strategy null and a reason where none was found."""
+    tokens = _tokens(compat)
+    by_row = (
+        cells.filter(F.col("r") < HEADER_ROWS)
+        .groupBy("file_id", "r")
+        .agg(*[F.count_if(c.isNotNull()).alias(n) for n, c in tokens.items()])
+    )
+    # Most hits wins; the earliest row on a tie.
+    best = by_row.groupBy("file_id").agg(
+        *[F.max(F.struct(F.col(n).alias("hits"), (-F.col("r")).alias("up"))).alias(n) for n in tokens]
     )
-    return s.select(
-        "file_id", strategy.alias("strategy"), row.alias("period_row"),
-        F.when(strategy.isNull(), scores).alias("reason"),
+    strategy, row, reason = _choose(
+        {n: F.col(f"{n}.hits") for n in tokens}, {n: -F.col(f"{n}.up") for n in tokens}
     )
+    return best.select("file_id", strategy.alias("strategy"), row.alias("period_row"), reason.alias("reason"))
 
 
 def _fy(y: Column) -> Column:
@@ -99,169 +106,149 @@ def _fy(y: Column) -> Column:
     return F.concat(F.lit("FY"), y - 1, F.lit("/"), F.substring(y.cast("string"), 3, 2))
 
 
-def _carried_year(c: Column) -> Column:
-    along = Window.partitionBy("file_id").orderBy("c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return F.last(c, ignorenulls=True).over(along)
+def _month_layout(annual: Column) -> tuple[Column, Column]:
+    """Months under a year row: month end, and the fiscal year the month falls in."""
+    y, m = F.col("_year"), F.col("month")
+    opens = (m >= 7) & ~annual
+    return dates.month_end(y, m), F.when(opens, _fy(y + 1)).otherwise(_fy(y))
 
 
-def _on_row(cells: DataFrame, found: DataFrame, strategy: str) -> DataFrame:
-    mine = found.filter(F.col("strategy") == strategy).select("file_id", "period_row", "frequency")
-    return cells.join(mine, "file_id").filter(F.col("r") == F.col("period_row"))
+def _quarter_layout() -> tuple[Column, Column]:
+    """Fiscal quarters end in September, December, March, June; the first two open a year."""
+    y, q = F.col("_year"), F.col("quarter")
+    end_month = F.when(q <= 2, q * 3 + 6).otherwise(q * 3 - 6)
+    return dates.month_end(y, end_month), F.when(q <= 2, _fy(y + 1)).otherwise(_fy(y))
 
 
-def fiscal_year_periods(cells: DataFrame, found: DataFrame) -> DataFrame:
-    t = dates.fiscal_token("v")
-    return (
-        _on_row(cells, found, "fiscal_year")
-        .withColumn("_t", t)
-        .filter(F.col("_t").isNotNull())
-        .select(
-            "file_id", "c", F.make_date("_t.end_year", F.lit(6), F.lit(30)).alias("period"),
-            F.col("_t.label").alias("fy"), F.col("period_row").alias("data_start"),
-        )
-    )
+def _fiscal_year_layout() -> tuple[Column, Column]:
+    t = F.col("fiscal_year")
+    return F.make_date(t["end_year"], F.lit(6), F.lit(30)), t["label"]
 
 
-def year_periods(cells: DataFrame, found: DataFrame, compat: bool = False) -> DataFrame:
-    """Bare years; the month they close is named near the header, else June for annual files."""
-    mine = found.filter(F.col("strategy") == "year").select("file_id", "period_row", "frequency")
-    near = (
-        cells.join(mine, "file_id")
-        .filter((F.col("r") < F.col("period_row") + 2) & (F.col("c") < 3) & F.col("is_text"))
-        .groupBy("file_id")
-        .agg(
-            F.bool_or(F.lower("v").contains("june")).alias("_june"),
-            F.bool_or(F.lower("v").contains("december")).alias("_december"),
-        )
-    )
-    month = (
-        F.when(F.col("_june"), 6).when(F.col("_december"), 12)
-        .when(F.col("frequency") == "Annual", 6).otherwise(12)
-    )
-    y = F.col("_y")
-    return (
-        _on_row(cells, found, "year")
-        .withColumn("_y", dates.year_token("v", compat))
-        .filter(y.isNotNull())
-        .join(near, "file_id", "left")
-        .withColumn("_m", month)
-        .select(
-            "file_id", "c", dates.month_end(y, F.col("_m")).alias("period"),
-            F.when(F.col("_m") == 6, _fy(y)).otherwise(y.cast("string")).alias("fy"),
-            F.col("period_row").alias("data_start"),
-        )
-    )
+def _year_layout(annual: Column) -> tuple[Column, Column]:
+    """Bare years; the closing month is named near the header, else June for annual files."""
+    y = F.col("year")
+    m = F.when(F.col("_june"), 6).when(F.col("_december"), 12).when(annual, 6).otherwise(12)
+    return dates.month_end(y, m), F.when(m == 6, _fy(y)).otherwise(y.cast("string"))
 
 
-def quarter_periods(cells: DataFrame, found: DataFrame, compat: bool = False) -> DataFrame:
-    """Quarters of the fiscal year; the year is printed below or above and carried right."""
-    quarters = (
-        _on_row(cells, found, "quarter")
-        .withColumn("q", dates.quarter_token("v"))
-        .filter(F.col("q").isNotNull())
-        .select("file_id", "c", "q", "period_row")
-    )
-    # Search order: one and two rows down, then up to three rows up.
-    off = F.col("r") - F.col("period_row")
-    rank = F.when(off.isin(1, 2), off).when(off.between(-3, -1), F.lit(2) - off)
-    years = (
-        cells.join(quarters, ["file_id", "c"])
-        .withColumn("_rank", rank)
-        .withColumn("_y", dates.year_token("v", compat))
-        .filter(F.col("_rank").isNotNull() & F.col("_y").isNotNull())
-        .groupBy("file_id", "c")
-        .agg(F.min_by("_y", "_rank").alias("_y"))
-    )
-    y = F.col("_year")
-    end_month = F.when(F.col("q") == 1, 9).when(F.col("q") == 2, 12).when(F.col("q") == 3, 3).otherwise(6)
-    return (
-        quarters.join(years, ["file_id", "c"], "left")
-        .withColumn("_year", _carried_year(F.col("_y")))
-        .filter(y.isNotNull())
-        .select(
-            "file_id", "c", dates.month_end(y, end_month).alias("period"),
-            F.when(F.col("q") <= 2, _fy(y + 1)).otherwise(_fy(y)).alias("fy"),
-            F.col("period_row").alias("data_start"),
-        )
-    )
-
+def read_headers(cells: DataFrame, files: DataFrame, compat: bool = False) -> DataFrame:
+    """Header and label cells with everything their sheet's layout says.
 
-def month_periods(cells: DataFrame, found: DataFrame, compat: bool = False) -> DataFrame:
-    """Months under (or over) a year row; a missing year is carried from the left."""
-    months = (
-        _on_row(cells, found, "month")
-        .withColumn("m", dates.month_token("v"))
-        .filter(F.col("m").isNotNull())
-        .select("file_id", "c", "m", "period_row", "frequency")
+    One shuffle by file: every window below is keyed by file, or by file and row or
+    column, so they all run on that partitioning. A sheet is bounded by its caps.
+    """
+    by_file = Window.partitionBy("file_id")
+    by_row = Window.partitionBy("file_id", "r")
+    by_col = Window.partitionBy("file_id", "c")
+    to_the_right = by_file.orderBy("c").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+
+    tokens = _tokens(compat)
+    h = (
+        cells.filter((F.col("r") < HEADER_ROWS + 3) | (F.col("c") < LABEL_COLUMNS))
+        .join(files.select("file_id", "frequency"), "file_id")
+        .withColumns(tokens)
     )
-    needed = months.groupBy("file_id").agg(
-        F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / 3)).alias("_needed")
+    top = F.col("r") < HEADER_ROWS
+    h = h.withColumns({f"_n_{n}": F.count(F.when(top, F.col(n))).over(by_row) for n in tokens})
+    h = h.withColumns(
+        {
+            f"_best_{n}": F.max(
+                F.when(top, F.struct(F.col(f"_n_{n}").alias("hits"), (-F.col("r")).alias("up")))
+            ).over(by_file)
+            for n in tokens
+        }
     )
-    yearly = (
-        cells.join(months.select("file_id", "c", "period_row"), ["file_id", "c"])
-        .withColumn("_y", dates.year_token("v", compat))
-        .filter(F.col("_y").isNotNull())
+    strategy, row, reason = _choose(
+        {n: F.col(f"_best_{n}.hits") for n in tokens}, {n: -F.col(f"_best_{n}.up") for n in tokens}
     )
-    # Search order: upward from the period row, then up to three rows down.
+    h = h.withColumns({"strategy": strategy, "period_row": row, "reason": reason})
+
+    at = F.col("r") == F.col("period_row")
     off = F.col("r") - F.col("period_row")
-    rank = F.when(off < 0, -off).when(off.between(1, 3), off + 100_000)
-    year_row = (
-        yearly.withColumn("_rank", rank)
-        .filter(F.col("_rank").isNotNull())
-        .groupBy("file_id", "r", "_rank")
-        .agg(F.count(F.lit(1)).alias("_hits"))
-        .join(needed, "file_id")
-        .filter(F.col("_hits") >= F.col("_needed"))
-        .groupBy("file_id")
-        .agg(F.min_by("r", "_rank").alias("year_row"))
+    near = (off < 2) & (F.col("c") < 3) & F.col("is_text")
+    word = lambda w: F.coalesce(F.max(near & F.lower("v").contains(w)).over(by_file), F.lit(False))
+    # Years of a quarter header: one and two rows down, then up to three rows up.
+    rank_q = F.when(off.isin(1, 2), off).when(off.between(-3, -1), F.lit(2) - off)
+    h = h.withColumns(
+        {
+            "_col_month": F.max(F.when(at, F.col("month"))).over(by_col),
+            "_months": F.count(F.when(at, F.col("month"))).over(by_file),
+            "_june": word("june"),
+            "_december": word("december"),
+            "_year_q": F.min(
+                F.when(rank_q.isNotNull() & F.col("year").isNotNull(), F.struct(rank_q.alias("k"), F.col("year").alias("y")))
+            ).over(by_col)["y"],
+        }
     )
-    years = (
-        yearly.join(year_row, "file_id")
-        .filter(F.col("r") == F.col("year_row"))
-        .select("file_id", "c", "_y")
+    # Year row of a month header: upward from the months, then up to three rows down.
+    rank_m = F.when(off < 0, -off).when(off.between(1, 3), off + 100_000)
+    enough = F.greatest(F.lit(1), F.floor(F.col("_months") / 3))
+    h = h.withColumn("_row_years", F.count(F.when(F.col("_col_month").isNotNull(), F.col("year"))).over(by_row))
+    h = h.withColumn(
+        "_year_row",
+        F.min(F.when(rank_m.isNotNull() & (F.col("_row_years") >= enough), F.struct(rank_m.alias("k"), F.col("r").alias("r")))).over(by_file)["r"],
     )
-    y = F.col("_year")
-    opens = (F.col("m") >= 7) & (F.coalesce("frequency", F.lit("")) != "Annual")
-    return (
-        months.join(year_row, "file_id")
-        .join(years, ["file_id", "c"], "left")
-        .withColumn("_year", _carried_year(F.col("_y")))
-        .filter(y.isNotNull())
-        .select(
-            "file_id", "c", dates.month_end(y, F.col("m")).alias("period"),
-            F.when(opens, _fy(y + 1)).otherwise(_fy(y)).alias("fy"),
-            F.greatest("period_row", "year_row").alias("data_start"),
-        )
+    h = h.withColumn("_year_m", F.max(F.when(F.col("r") == F.col("_year_row"), F.col("year"))).over(by_col))
+    # A column without a printed year inherits the one to its left.
+    printed = (
+        F.when(F.col("strategy") == "month", F.when(at & F.col("month").isNotNull(), F.col("_year_m")))
+        .when(F.col("strategy") == "quarter", F.when(at & F.col("quarter").isNotNull(), F.col("_year_q")))
+    )
+    h = h.withColumn("_year", F.last(printed, ignorenulls=True).over(to_the_right))
+
+    annual = F.coalesce(F.col("frequency") == "Annual", F.lit(False))
+    layouts = {
+        "month": _month_layout(annual),
+        "quarter": _quarter_layout(),
+        "fiscal_year": _fiscal_year_layout(),
+        "year": _year_layout(annual),
+    }
+    period, fy = F.lit(None).cast("date"), F.lit(None).cast("string")
+    for name, (p, label) in layouts.items():
+        mine = at & (F.col("strategy") == name) & F.col(name).isNotNull()
+        period, fy = F.when(mine, p).otherwise(period), F.when(mine, label).otherwise(fy)
+    start = F.when(F.col("strategy") == "month", F.greatest("period_row", "_year_row")).otherwise(F.col("period_row"))
+    return h.select(
+        "file_id", "r", "c", "v", "is_text", "strategy", "period_row", "reason",
+        period.alias("period"), F.when(period.isNotNull(), fy).alias("fy"), start.alias("data_start"),
     )
 
 
-def build_periods(cells: DataFrame, found: DataFrame, compat: bool = False) -> DataFrame:
-    """(file_id, c, period, fy, basis, data_start) of every file."""
-    parts = [
-        quarter_periods(cells, found, compat),
-        fiscal_year_periods(cells, found),
-        month_periods(cells, found, compat),
-        year_periods(cells, found, compat),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("basis", F.lit("end"))
-
-
-def label_columns(cells: DataFrame, periods: DataFrame) -> DataFrame:
-    """(file_id, en_col, ar_col): among the first columns before the data, by script."""
-    first = periods.groupBy("file_id").agg(F.min("c").alias("_first"))
-    cols = (
-        cells.filter(F.col("is_text") & (F.col("c") < LABEL_COLUMNS))
-        .join(first, "file_id")
-        .filter(F.col("c") < F.col("_first"))
-        .groupBy("file_id", "c")
-        .agg(F.bool_or(script_arabic(F.col("v"))).alias("_arabic"))
+def sheet_info(cells: DataFrame, files: DataFrame, compat: bool = False) -> DataFrame:
+    """One row per sheet: strategy, periods by column, label columns, first data row, caption.
+
+    The map of periods has at most MAX_COLS entries and the caption at most
+    HEADER_ROWS + 3 rows of cells.
+    """
+    h = read_headers(cells, files, compat)
+    entry = F.struct("c", F.struct("period", "fy"))
+    above = F.struct("r", "c", "v")
+    labels = []
+    for i in range(LABEL_COLUMNS):
+        here = (F.col("c") == i) & F.col("is_text")
+        labels.append(F.max(F.when(here, F.when(script_arabic(F.col("v")), F.lit(2)).otherwise(F.lit(1)))).alias(f"_l{i}"))
+    # Cells without a strategy keep a null data_start and add nothing to the caption.
+    info = h.groupBy("file_id").agg(
+        F.max("strategy").alias("strategy"),
+        F.max("reason").alias("reason"),
+        F.max("data_start").alias("data_start"),
+        F.map_from_entries(F.collect_list(F.when(F.col("period").isNotNull(), entry))).alias("periods"),
+        F.min(F.when(F.col("period").isNotNull(), F.col("c"))).alias("_first"),
+        F.array_sort(F.collect_list(F.when(F.col("r") <= F.col("data_start"), above))).alias("_above"),
+        *labels,
     )
-    return cols.groupBy("file_id").agg(
-        F.min(F.when(~F.col("_arabic"), F.col("c"))).alias("en_col"),
-        F.min(F.when(F.col("_arabic"), F.col("c"))).alias("ar_col"),
+
+    def first_column(kind: int) -> Column:
+        expr = F.lit(None).cast("int")
+        for i in reversed(range(LABEL_COLUMNS)):
+            expr = F.when((F.col(f"_l{i}") == kind) & (F.col("_first") > i), F.lit(i)).otherwise(expr)
+        return expr
+
+    return info.select(
+        "file_id", "strategy", "reason", "data_start", "periods",
+        first_column(1).alias("en_col"), first_column(2).alias("ar_col"),
+        F.array_join(F.transform("_above", lambda x: x["v"]), " ").alias("caption"),
     )
 
 
@@ -270,71 +257,52 @@ def melt(cells: DataFrame, files: DataFrame, prefix: str = "EG.XL", compat: bool
 
     `files` has file_id, category, subcategory, frequency, url and file_ord. An
     observation carries file_ord and row_ord, so `keep_last` merges files and
-    collisions inside one file stay visible.
+    collisions inside one file stay visible. Cells are scanned twice: once for the
+    header and label cells, once for the values.
     """
-    known = files.select("file_id", F.coalesce("frequency", F.lit("Monthly")).alias("frequency"))
-    found = find_period_row(cells, compat).join(known, "file_id")
-    ok = found.filter(F.col("strategy").isNotNull())
-    periods = build_periods(cells, ok, compat)
-    labels = label_columns(cells, periods)
-    start = periods.groupBy("file_id").agg(F.max("data_start").alias("data_start"))
-
-    above = cells.join(start, "file_id").filter(F.col("r") <= F.col("data_start"))
-    # Header cells only: at most HEADER_ROWS + 3 rows of MAX_COLS cells a file.
-    caption = above.groupBy("file_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "c", "v"))), lambda x: x["v"]), " ").alias("caption")
-    )
-    below = cells.join(start.join(labels, "file_id"), "file_id").filter(F.col("r") > F.col("data_start"))
-    en, ar = F.col("c") == F.col("en_col"), F.col("c") == F.col("ar_col")
-    lines = (
-        below.filter(en | ar)
-        .groupBy("file_id", "r")
-        .agg(F.max(F.when(en, F.col("v"))).alias("_en"), F.max(F.when(ar, F.col("v"))).alias("_ar"))
-        .withColumn("label_en", F.nullif(F.trim(F.coalesce("_en", F.lit(""))), F.lit("")))
-        .withColumn("label_ar", F.nullif(F.trim(F.coalesce("_ar", F.lit(""))), F.lit("")))
-        .withColumn("label", F.coalesce("label_en", "label_ar"))
-        .filter(F.col("label").isNotNull())
-        .withColumn("level", units.indent_level(F.coalesce("_en", "_ar")))
-        .select("file_id", "r", "label", "label_ar", "level")
-    )
-    values = (
-        cells.join(periods.select("file_id", "c", "period", "fy", "data_start"), ["file_id", "c"])
-        .filter(F.col("r") > F.col("data_start"))
-        .withColumn("value", number("v", "sheet"))
-        .filter(F.col("value").isNotNull())
-        .select("file_id", "r", "c", "period", "fy", "value")
-    )
-    meta = files.select("file_id", "category", "subcategory", "file_ord", "url")
+    known = files.withColumn("frequency", F.coalesce("frequency", F.lit("Monthly")))
+    info = sheet_info(cells, known, compat)
+    usable = info.filter(
+        F.col("strategy").isNotNull() & (F.size("periods") > 0)
+        & (F.col("en_col").isNotNull() | F.col("ar_col").isNotNull())
+    ).join(known.select("file_id", "category", "subcategory", "file_ord", "url"), "file_id")
+
+    line = Window.partitionBy("file_id", "r")
+    text_at = lambda col: F.max(F.when(F.col("c") == F.col(col), F.col("v"))).over(line)
+    clean = lambda c: F.nullif(F.trim(F.coalesce(c, F.lit(""))), F.lit(""))
     obs = (
-        values.join(lines, ["file_id", "r"])
-        .join(caption, "file_id", "left")
-        .join(meta, "file_id")
+        cells.join(usable, "file_id")
+        .filter(F.col("r") > F.col("data_start"))
+        .withColumns({"_en": text_at("en_col"), "_ar": text_at("ar_col")})
+        .withColumns({"_when": F.col("periods")[F.col("c")], "value": number("v", "sheet")})
+        .filter(F.col("_when").isNotNull() & F.col("value").isNotNull())
+        .withColumns({"label": F.coalesce(clean(F.col("_en")), clean(F.col("_ar"))), "label_ar": clean(F.col("_ar"))})
+        .filter(F.col("label").isNotNull())
         .select(
             F.concat_ws(
                 ".", F.lit(prefix), ids.category_code(F.col("category")),
                 ids.label_slug(F.col("subcategory"), 30), ids.label_tail(F.col("label")),
             ).alias("series_id"),
-            "period", "value", "fy", "file_id", "file_ord", F.col("r").alias("row_ord"), F.col("c").alias("col_ord"),
-            "label", "label_ar", "level",
+            F.col("_when.period").alias("period"), "value", F.col("_when.fy").alias("fy"), F.lit("end").alias("basis"),
+            "file_id", "file_ord", F.col("r").alias("row_ord"), F.col("c").alias("col_ord"),
+            "label", "label_ar", units.indent_level(F.coalesce("_en", "_ar")).alias("level"),
             units.sniff_unit(F.col("caption"), F.col("label")).alias("unit"),
             ids.category_family(F.col("category")).alias("family"),
             F.concat_ws(" - ", "subcategory", "label").alias("title_en"),
             F.col("url").alias("source_file"),
         )
     )
-    no_row = found.filter(F.col("strategy").isNull()).select("file_id", "reason")
-    produced = obs.select("file_id").distinct()
-    empty = (
-        ok.select("file_id")
-        .join(produced, "file_id", "left_anti")
-        .select("file_id", F.lit("parsed but produced no observations").alias("reason"))
+    problem = (
+        F.when(F.col("reason").isNotNull(), F.col("reason"))
+        .when(F.size("periods") == 0, F.lit("no periods resolved"))
+        .when(F.col("en_col").isNull() & F.col("ar_col").isNull(), F.lit("no label column found"))
     )
-    silent = (
-        files.select("file_id")
-        .join(cells.select("file_id").distinct(), "file_id", "left_anti")
-        .select("file_id", F.lit("empty sheet").alias("reason"))
+    refused = info.select("file_id", problem.alias("reason")).filter(F.col("reason").isNotNull())
+    told = refused.select("file_id").unionByName(obs.select("file_id")).distinct()
+    quiet = files.select("file_id").join(told, "file_id", "left_anti").select(
+        "file_id", F.lit("parsed but produced no observations").alias("reason")
     )
-    return obs, no_row.unionByName(empty).unionByName(silent)
+    return obs, refused.unionByName(quiet)
 
 
 def collisions(obs: DataFrame) -> DataFrame:

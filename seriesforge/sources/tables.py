@@ -114,7 +114,7 @@ def table_values(cells: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     shapes = table_shapes(cells).filter("has_header and first_data is not null")
     rows = kinds.join(shapes, ["doc_id", "table_ix"]).select(
         "doc_id", "table_ix", "row_ix",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("width") - 1)).cast("int").alias("col_ix"),
+        F.explode(F.sequence(F.lit(0), F.col("width").cast("int") - 1)).alias("col_ix"),
     )
     body = cells.select("doc_id", "table_ix", "row_ix", F.col("cell_ix").cast("int").alias("col_ix"), "text")
     return (
