@@ -85,16 +85,17 @@ def nearest(
         .orderBy("_at", "_side")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # On equal dates the observation has already answered in `back`.
+    # Backward in time, so the frame only grows; on equal dates the observation has
+    # already answered in `back`.
     ahead = (
         Window.partitionBy(*on)
-        .orderBy("_at", "_side")
-        .rowsBetween(Window.currentRow, Window.unboundedFollowing)
+        .orderBy(F.col("_at").desc(), "_side")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     line = _timeline(probe, obs, on, at, obs_at, cols)
     both = (
         line.withColumn("_b", F.last("_row", ignorenulls=True).over(back))
-        .withColumn("_f", F.first("_row", ignorenulls=True).over(ahead))
+        .withColumn("_f", F.last("_row", ignorenulls=True).over(ahead))
         .filter("_side = 1")
     )
     db = F.datediff(F.col("_at"), F.col("_b._obs_at"))

@@ -45,10 +45,17 @@ POLICY_CATEGORY = "MPC Press Release"
 EXCERPT = 300
 
 
-def _num(text: Column, pattern: str, group: int = 1) -> Column:
+def _number(raw: Column) -> Column:
     # A sentence end can follow a figure directly, as in "56,293."
-    raw = F.regexp_replace(F.regexp_extract(text, pattern, group), ",", "")
-    return F.regexp_replace(raw, r"\.+$", "").try_cast("double")
+    return F.regexp_replace(F.regexp_replace(raw, ",", ""), r"\.+$", "").try_cast("double")
+
+
+def _num(text: Column, pattern: str, group: int = 1) -> Column:
+    return _number(F.regexp_extract(text, pattern, group))
+
+
+def _when_all(period: Column, value: Column) -> Column:
+    return F.when(period.isNotNull() & value.isNotNull(), F.struct(period.alias("period"), value.alias("value")))
 
 
 def reserves(text: Column) -> Column:
@@ -60,32 +67,31 @@ def remittances_to_date(text: Column) -> Column:
     """struct(period, value): fiscal-year-to-date USD million dated to the window end."""
 
     def build(pattern: str, amount: int, month: int, y1: int, y2: int) -> Column:
+        # The matched stretch is short; its groups are read from it, not from the page.
+        hit = F.regexp_extract(text, pattern, 0)
         period = dates.fiscal_window_end(
-            F.regexp_extract(text, pattern, month),
-            F.regexp_extract(text, pattern, y1).try_cast("int"),
-            F.regexp_extract(text, pattern, y2).try_cast("int"),
+            F.regexp_extract(hit, pattern, month),
+            F.regexp_extract(hit, pattern, y1).try_cast("int"),
+            F.regexp_extract(hit, pattern, y2).try_cast("int"),
         )
-        value = _num(text, pattern, amount) * 1000
-        return F.when(period.isNotNull() & value.isNotNull(), F.struct(period.alias("period"), value.alias("value")))
+        return _when_all(period, _num(hit, pattern, amount) * 1000)
 
     # The wording that starts earlier in the text is the one that counts.
-    at_first = F.length(F.regexp_extract(text, r"(?s)^(.*?)" + REMIT_WINDOW_FIRST[4:], 1))
-    at_amount = F.length(F.regexp_extract(text, r"(?s)^(.*?)" + REMIT_AMOUNT_FIRST[4:], 1))
-    has_first, has_amount = text.rlike(REMIT_WINDOW_FIRST), text.rlike(REMIT_AMOUNT_FIRST)
-    window_first = build(REMIT_WINDOW_FIRST, 4, 1, 2, 3)
-    amount_first = build(REMIT_AMOUNT_FIRST, 1, 2, 3, 4)
-    return F.when(has_first & (~has_amount | (at_first <= at_amount)), window_first).when(has_amount, amount_first)
+    first, amount = F.regexp_instr(text, F.lit(REMIT_WINDOW_FIRST)), F.regexp_instr(text, F.lit(REMIT_AMOUNT_FIRST))
+    return F.when((first > 0) & ((amount == 0) | (first <= amount)), build(REMIT_WINDOW_FIRST, 4, 1, 2, 3)).when(
+        amount > 0, build(REMIT_AMOUNT_FIRST, 1, 2, 3, 4)
+    )
 
 
 def remittances_month(text: Column) -> Column:
     """struct(period, value): one month's USD million dated to its first day."""
+    hit = F.regexp_extract(text, REMIT_MONTH, 0)
     period = dates.safe_date(
-        F.regexp_extract(text, REMIT_MONTH, 2).try_cast("int"),
-        dates.month_from_name(F.regexp_extract(text, REMIT_MONTH, 1)),
+        F.regexp_extract(hit, REMIT_MONTH, 2).try_cast("int"),
+        dates.month_from_name(F.regexp_extract(hit, REMIT_MONTH, 1)),
         F.lit(1),
     )
-    value = _num(text, REMIT_MONTH, 3) * 1000
-    return F.when(period.isNotNull() & value.isNotNull(), F.struct(period.alias("period"), value.alias("value")))
+    return _when_all(period, _num(hit, REMIT_MONTH, 3) * 1000)
 
 
 def decision(text: Column) -> Column:
@@ -99,10 +105,11 @@ def decision(text: Column) -> Column:
 
 def policy(text: Column) -> Column:
     """One extractor for every statement, whatever file it came from."""
+    rates = F.regexp_extract(text, RATES, 0)
     return F.struct(
-        _num(text, RATES, 1).alias("deposit_rate"),
-        _num(text, RATES, 2).alias("lending_rate"),
-        _num(text, RATES, 3).alias("main_operation_rate"),
+        _num(rates, RATES, 1).alias("deposit_rate"),
+        _num(rates, RATES, 2).alias("lending_rate"),
+        _num(rates, RATES, 3).alias("main_operation_rate"),
         _num(text, DISCOUNT).alias("discount_rate"),
         F.regexp_replace(F.regexp_extract(text, BASIS_POINTS, 1), ",", "").try_cast("int").alias("basis_points"),
         decision(text).alias("decision"),

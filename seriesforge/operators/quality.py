@@ -53,33 +53,32 @@ def require_floor(status: DataFrame) -> None:
         raise ShortDataset(", ".join(sorted(short)))
 
 
-def panel_guard(cells: DataFrame, specs: DataFrame, key: str = "dataset") -> DataFrame:
+def panel_guard(tables: DataFrame, specs: DataFrame, key: str = "dataset") -> DataFrame:
     """Documents with several tables and no declared panels: refused, not guessed."""
-    tables = cells.groupBy(key, "doc_id").agg(F.count_distinct("table_ix").alias("tables"))
+    counted = tables.groupBy(key, "doc_id").agg(F.count(F.lit(1)).alias("tables"))
     return (
-        tables.join(specs.select(key, "panels"), key, "left")
-        .filter((F.col("tables") > 1) & (F.coalesce("panels", F.lit(0)) == 0))
+        counted.filter(F.col("tables") > 1)
+        .join(specs.select(key, "panels"), key, "left")
+        .filter(F.coalesce("panels", F.lit(0)) == 0)
         .select(key, "doc_id", "tables", F.lit("several tables, no declared panels").alias("reason"))
     )
 
 
-def layout_guard(headers: DataFrame) -> DataFrame:
-    """Documents whose tables differ in column layout.
-
-    `headers` has one row per (doc_id, table_ix) with an array column `columns`.
-    """
+def layout_guard(tables: DataFrame) -> DataFrame:
+    """Documents whose tables differ in column layout."""
+    layout = F.xxhash64("columns")
     return (
-        headers.groupBy("doc_id")
-        .agg(F.count_distinct(F.to_json("columns")).alias("layouts"))
-        .filter("layouts > 1")
-        .withColumn("reason", F.lit("tables differ in columns"))
+        tables.groupBy("doc_id")
+        .agg(F.min(layout).alias("_lo"), F.max(layout).alias("_hi"))
+        .filter(F.col("_lo") != F.col("_hi"))
+        .select("doc_id", F.lit("tables differ in columns").alias("reason"))
     )
 
 
-def missing_columns(headers: DataFrame, required: Sequence[str], optional: Sequence[str] = ()) -> DataFrame:
+def missing_columns(tables: DataFrame, required: Sequence[str], optional: Sequence[str] = ()) -> DataFrame:
     """Tables lacking a required column; optional ones may be absent."""
     gap = F.array_except(F.array(*[F.lit(c) for c in required if c not in set(optional)]), F.col("columns"))
-    return headers.withColumn("missing", gap).filter(F.size("missing") > 0)
+    return tables.withColumn("missing", gap).filter(F.size("missing") > 0)
 
 
 def duplicate_periods(obs: DataFrame) -> DataFrame:

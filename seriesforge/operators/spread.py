@@ -44,6 +44,23 @@ def salted_lookup(
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Give heavy row-wise work every core where the input comes in a few pieces.
+
+    A table of fewer scan partitions than cores gets one round-robin shuffle; a
+    large table has partitions enough and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def spread_for_python(df: DataFrame) -> DataFrame:
+    """Even partitions in front of a slow Python helper, which adaptive coalescing would merge."""
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(n)
+
+
 def top_per_group(
     df: DataFrame,
     keys: Sequence[str],

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from seriesforge.functions import text
 from seriesforge.operators import quality, search, statements
+from seriesforge.operators.spread import spread_for_python
 from seriesforge.plans import views as v
 from seriesforge.plans.catalog import query
 from seriesforge.plans.q_scalar import STOP_SQL
@@ -32,12 +33,12 @@ def _page_sql(unescape: bool) -> str:
 
 @query("a8_page_text", "A8 A5", f"SELECT page_id, md5({_page_sql(True)}) AS body FROM pages")
 def page_text(spark, sf):
-    return v.table(spark, sf, "pages").select("page_id", F.md5(text.page_text(F.col("html")).cast("binary")).alias("body"))
+    return v.text_table(spark, sf, "pages").select("page_id", F.md5(text.page_text(F.col("html")).cast("binary")).alias("body"))
 
 
 @query("a8_page_text_native", "A8", f"SELECT page_id, length({_page_sql(False)}) AS chars FROM pages")
 def page_text_native(spark, sf):
-    return v.table(spark, sf, "pages").select("page_id", F.length(text.page_text(F.col("html"), unescape=False)).cast("bigint").alias("chars"))
+    return v.text_table(spark, sf, "pages").select("page_id", F.length(text.page_text(F.col("html"), unescape=False)).cast("bigint").alias("chars"))
 
 
 @query(
@@ -45,7 +46,7 @@ def page_text_native(spark, sf):
     f"SELECT page_id, {_markup_sql(chr(39).join(['regexp_extract(html, ', '(?s)<h1>(.*?)</h1>', ', 1)']), True)} AS title FROM pages",
 )
 def clean_cells(spark, sf):
-    return v.table(spark, sf, "pages").select(
+    return v.text_table(spark, sf, "pages").select(
         "page_id", text.clean_markup(F.regexp_extract("html", "(?s)<h1>(.*?)</h1>", 1)).alias("title")
     )
 
@@ -91,7 +92,7 @@ SENT_SQL = (
     f"SELECT conv_id, turn, len({SENT_SQL}) AS n, md5(array_to_string({SENT_SQL}, '|')) AS digest FROM conversations",
 )
 def sentences(spark, sf):
-    c = v.table(spark, sf, "conversations").select("conv_id", "turn", statements.sentences(F.col("text")).alias("_s"))
+    c = v.text_table(spark, sf, "conversations").select("conv_id", "turn", statements.sentences(F.col("text")).alias("_s"))
     return c.select("conv_id", "turn", F.size("_s").cast("bigint").alias("n"), F.md5(F.array_join("_s", "|").cast("binary")).alias("digest"))
 
 
@@ -101,7 +102,7 @@ def sentences(spark, sf):
   WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""",
 )
 def consecutive_statements(spark, sf):
-    p = statements.consecutive(v.table(spark, sf, "conversations"), ["conv_id"], "turn", ["turn", "text"], width=3)
+    p = statements.consecutive(v.text_table(spark, sf, "conversations"), ["conv_id"], "turn", ["turn", "text"], width=3)
     return p.select("conv_id", "turn", F.col("previous.turn").alias("previous_turn"), F.md5(F.col("previous.text").cast("binary")).alias("previous_digest"))
 
 
@@ -117,7 +118,7 @@ p AS (SELECT *, lag(now) OVER (PARTITION BY conv_id ORDER BY turn) AS was FROM s
 FROM p WHERE was IS NOT NULL""",
 )
 def sentence_sets(spark, sf):
-    p = statements.consecutive(v.table(spark, sf, "conversations"), ["conv_id"], "turn", ["text"]).filter("previous is not null")
+    p = statements.consecutive(v.text_table(spark, sf, "conversations"), ["conv_id"], "turn", ["text"]).filter("previous is not null")
     s = statements.sentence_sets(p, longer_than=20)
     big = lambda c: F.size(c).cast("bigint").alias(c)
     return s.select("conv_id", "turn", big("added"), big("removed"), big("common"), "jaccard")
@@ -125,8 +126,8 @@ def sentence_sets(spark, sf):
 
 @query("m7_statement_diffs", "M7 M8 B11 M12")
 def statement_diffs(spark, sf):
-    c = v.table(spark, sf, "conversations")
-    p = statements.consecutive(c, ["conv_id"], "turn", ["text"]).filter("previous is not null")
+    c = v.text_table(spark, sf, "conversations")
+    p = spread_for_python(statements.consecutive(c, ["conv_id"], "turn", ["text"]).filter("previous is not null"))
     before, after = F.col("previous.text"), F.col("text")
     d = p.select(
         "conv_id", "turn",
@@ -256,7 +257,7 @@ SELECT * FROM hits WHERE doc_id IN (SELECT doc_id FROM documents WHERE source IN
 def restricted_hits(spark, sf):
     p = search.index_postings(v.doc_pages(spark, sf), _folded(), cap=None)
     hits = search.full_text(p, QUERY, limit=None)
-    return search.restrict(hits, v.table(spark, sf, "documents"), F.col("source").isin("src1", "src2", "src3"))
+    return search.restrict(hits, v.text_table(spark, sf, "documents"), F.col("source").isin("src1", "src2", "src3"))
 
 
 @query(
@@ -308,7 +309,7 @@ def snippet_anchor(spark, sf):
 )
 def title_search(spark, sf):
     first = F.substring("text", F.lit(1), F.instr(F.concat("text", F.lit(".")), "."))
-    docs = v.table(spark, sf, "documents").select("doc_id", first.alias("title"), F.array("source", "lang").alias("categories"))
+    docs = v.text_table(spark, sf, "documents").select("doc_id", first.alias("title"), F.array("source", "lang").alias("categories"))
     return search.title_search(docs, " EN  Src1 ").select("doc_id")
 
 
@@ -341,7 +342,7 @@ def ranked_search(spark, sf):
     pool = (
         p.select(F.lit("Series").alias("kind"), F.col("title_en").alias("label"), text.search_form(F.concat_ws(" ", "series_id", "title_en")).alias("hay"))
         .unionByName(p.select("family").distinct().select(F.lit("Topic").alias("kind"), F.col("family").alias("label"), F.concat("family", F.lit(" tables of ring prices")).alias("hay")))
-        .unionByName(v.table(spark, sf, "documents").select("source").distinct().select(F.lit("Documents").alias("kind"), F.col("source").alias("label"), F.concat("source", F.lit(" red papers")).alias("hay")))
+        .unionByName(v.text_table(spark, sf, "documents").select("source").distinct().select(F.lit("Documents").alias("kind"), F.col("source").alias("label"), F.concat("source", F.lit(" red papers")).alias("hay")))
     )
     return search.ranked_search(pool, "R in", tie=("kind", "label", "hay")).select("kind", "label", "hay", "score")
 
@@ -352,7 +353,7 @@ def ranked_search(spark, sf):
 JOIN (VALUES ('src1', 'Bulletin'), ('fr', 'French'), ('none', 'Nothing')) t(category, name) USING (category)""",
 )
 def collections(spark, sf):
-    docs = v.table(spark, sf, "documents").select(F.array("source", "lang").alias("categories"))
+    docs = v.text_table(spark, sf, "documents").select(F.array("source", "lang").alias("categories"))
     return search.collections(docs, [("src1", "Bulletin"), ("fr", "French"), ("none", "Nothing")])
 
 
@@ -371,7 +372,7 @@ def near_empty(spark, sf):
     v.with_ctes("doc_pages", "SELECT source, count(*) AS pages, CAST(sum(chars) AS BIGINT) AS chars FROM doc_pages JOIN documents USING (doc_id) GROUP BY 1"),
 )
 def page_totals(spark, sf):
-    nested = v.table(spark, sf, "documents").select(
+    nested = v.text_table(spark, sf, "documents").select(
         F.col("doc_id").alias("id"), "source",
         F.transform(F.split("text", "\n"), lambda t, i: F.struct((i + 1).alias("page"), F.length(t).alias("chars"))).alias("pages"),
     )

@@ -131,7 +131,7 @@ def slugs(spark, sf):
 def document_ids(spark, sf):
     url = F.col("url")
     tail = F.element_at(F.array(F.lit(".PDF?rev=1.doc"), F.lit(".xlsx"), F.lit(".aspx")), (F.col("page_id") % 3).cast("int") + 1)
-    return v.table(spark, sf, "pages").select(
+    return v.text_table(spark, sf, "pages").select(
         "page_id", ids.document_id(url).alias("id"),
         ids.label_tail(F.regexp_replace(url, "[A-Za-z0-9]", "")).alias("_"),
         F.concat(F.lit("R"), F.upper(F.substring(F.sha1(url.cast("binary")), 1, 8))).alias("digest"),
@@ -190,7 +190,7 @@ def unit_sniffing(spark, sf):
     """SELECT doc_id, md5(lower(trim(regexp_replace(nfc_normalize(text), '\\s+', ' ', 'g')))) AS folded FROM documents""",
 )
 def search_form(spark, sf):
-    return v.table(spark, sf, "documents").select("doc_id", F.md5(text.search_form(F.col("text")).cast("binary")).alias("folded"))
+    return v.text_table(spark, sf, "documents").select("doc_id", F.md5(text.search_form(F.col("text")).cast("binary")).alias("folded"))
 
 
 @query(
@@ -209,7 +209,7 @@ def arabic_folding(spark, sf):
 )
 def display_form(spark, sf):
     loose = F.regexp_replace("text", r"\. ", ".\n\n\n\n")
-    return v.table(spark, sf, "documents").select("doc_id", F.md5(text.display_form(loose).cast("binary")).alias("shown"))
+    return v.text_table(spark, sf, "documents").select("doc_id", F.md5(text.display_form(loose).cast("binary")).alias("shown"))
 
 
 @query(
@@ -224,7 +224,7 @@ def language(spark, sf):
         .when(F.col("doc_id") % 3 == 1, F.translate("text", "etaoinsrhl", "اوىيتةسرهل"))
         .otherwise(F.lit("123 "))
     )
-    return v.table(spark, sf, "documents").select("doc_id", text.language(t).alias("script"))
+    return v.text_table(spark, sf, "documents").select("doc_id", text.language(t).alias("script"))
 
 
 @query(
@@ -236,7 +236,7 @@ def language(spark, sf):
 def readable_text(spark, sf):
     glyphs = F.translate("text", "e", "\ue001")
     r = text.readable(F.concat(glyphs, F.lit("\x07\ufffd")))
-    return v.table(spark, sf, "documents").withColumn("_r", r).select(
+    return v.text_table(spark, sf, "documents").withColumn("_r", r).select(
         "doc_id", F.md5(F.col("_r.text").cast("binary")).alias("shown"), F.col("_r.lost").alias("lost"),
         (F.col("_r.lost") >= text.DAMAGED_AT).alias("damaged"),
     )
@@ -255,7 +255,7 @@ TOKENS_SQL = (
     f"SELECT doc_id, len({TOKENS_SQL}) AS n, md5(array_to_string({TOKENS_SQL}, ' ')) AS words FROM documents",
 )
 def tokens(spark, sf):
-    t = v.table(spark, sf, "documents").select("doc_id", text.tokens(text.search_form(F.col("text"))).alias("_t"))
+    t = v.text_table(spark, sf, "documents").select("doc_id", text.tokens(text.search_form(F.col("text"))).alias("_t"))
     return t.select("doc_id", F.size("_t").cast("bigint").alias("n"), F.md5(F.array_join("_t", " ").cast("binary")).alias("words"))
 
 
@@ -265,7 +265,7 @@ def tokens(spark, sf):
   lambda h, c: (h * 33 + c) % 4294967296) % 256 AS INT) AS shard FROM (SELECT DISTINCT unnest({TOKENS_SQL}) AS term FROM documents)""",
 )
 def shards(spark, sf):
-    words = v.table(spark, sf, "documents").select(F.explode(text.tokens(text.search_form(F.col("text")))).alias("term")).distinct()
+    words = v.text_table(spark, sf, "documents").select(F.explode(text.tokens(text.search_form(F.col("text")))).alias("term")).distinct()
     return words.select("term", ids.shard(F.col("term")).alias("shard"))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from seriesforge.functions import dates
 from seriesforge.functions.numbers import number
 from seriesforge.operators import merge, press, quality, statements
+from seriesforge.operators.spread import spread_for_python
 from seriesforge.plans import views as v
 from seriesforge.plans.catalog import query
 from seriesforge.sources import grids, tables
@@ -43,7 +44,8 @@ def order_fragments(spark, sf):
         .when(F.col("l_orderkey") % 5 == 0, F.concat(first, second))
         .otherwise(first)
     )
-    return lines.select(F.col("l_orderkey").alias("doc_id"), body.alias("html"))
+    # Landed responses come as many files; a shuffled stand-in this small would come as one piece.
+    return spread_for_python(lines.select(F.col("l_orderkey").alias("doc_id"), body.alias("html")))
 
 
 @query(
@@ -52,11 +54,8 @@ def order_fragments(spark, sf):
   CASE WHEN l_linenumber <> 2 THEN l_quantity END AS qty FROM lineitem WHERE l_orderkey % 17 <> 0""", "issued"),
 )
 def table_records(spark, sf):
-    cells = tables.html_cells(order_fragments(spark, sf))
-    rec = tables.records(
-        tables.table_values(cells).filter("table_ix = 0"),
-        ["Issue Date", "Line item - Price", "Line item - Qty"],
-    )
+    rows = tables.table_rows(tables.html_tables(order_fragments(spark, sf))).filter("table_ix = 0")
+    rec = tables.records(rows, ["Issue Date", "Line item - Price", "Line item - Qty"])
     return v.iso(rec.select(
         "doc_id", dates.dmy("Issue Date").alias("issued"), number("Line item - Price").alias("price"), number("Line item - Qty").alias("qty")
     ))
@@ -70,7 +69,7 @@ SELECT doc_id, 0 AS table_ix, CASE WHEN width = 3 THEN 'Issue Date|Line item - P
 UNION ALL SELECT doc_id, 1, CASE WHEN doc_id % 10 = 0 THEN 'Date|Tax' ELSE 'Issue Date|Tax' END FROM d WHERE doc_id % 5 = 0""",
 )
 def table_headers(spark, sf):
-    h = tables.header_layouts(tables.html_cells(order_fragments(spark, sf)))
+    h = tables.html_tables(order_fragments(spark, sf))
     return h.select("doc_id", "table_ix", F.array_join("columns", "|").alias("columns"))
 
 
@@ -81,12 +80,12 @@ SELECT l_orderkey AS doc_id, 'P.PRICE' AS series_id, period, l_extendedprice AS
 UNION ALL SELECT l_orderkey, 'P.TAX', period, CAST(CAST(trunc(l_tax * 100) AS INT) AS DOUBLE) FROM l WHERE l_orderkey % 5 = 0""", "period"),
 )
 def panels(spark, sf):
-    cells = tables.html_cells(order_fragments(spark, sf))
-    vals = tables.panel_values(tables.table_values(cells), [{"id_pattern": "P.PRICE"}, {"id_pattern": "P.TAX"}])
-    long = vals.groupBy("doc_id", "table_ix", "row_ix", "pattern").agg(
-        F.max(F.when(F.col("col_ix") == 0, F.col("text"))).alias("_d"), F.max(F.when(F.col("col_ix") == 1, F.col("text"))).alias("_v")
-    )
-    return v.iso(long.select("doc_id", F.col("pattern").alias("series_id"), dates.dmy("_d").alias("period"), number("_v").alias("value")))
+    rows = tables.table_rows(tables.html_tables(order_fragments(spark, sf)))
+    p = tables.panel_rows(rows, [{"id_pattern": "P.PRICE"}, {"id_pattern": "P.TAX"}])
+    return v.iso(p.select(
+        "doc_id", F.col("pattern").alias("series_id"), dates.dmy(F.get("cells", F.lit(0))).alias("period"),
+        number(F.get("cells", F.lit(1))).alias("value"),
+    ))
 
 
 @query(
@@ -94,11 +93,11 @@ def panels(spark, sf):
     "SELECT DISTINCT l_orderkey AS doc_id FROM lineitem WHERE l_orderkey % 5 = 0 AND l_orderkey % 17 <> 0 AND l_orderkey % 2 = 1",
 )
 def panel_guard(spark, sf):
-    cells = tables.html_cells(order_fragments(spark, sf), unescape=False).withColumn(
+    found = tables.html_tables(order_fragments(spark, sf)).withColumn(
         "dataset", F.when(F.col("doc_id") % 2 == 0, F.lit("declared")).otherwise(F.lit("undeclared"))
     )
-    specs = cells.select("dataset").distinct().withColumn("panels", F.when(F.col("dataset") == "declared", 2).otherwise(0))
-    return quality.panel_guard(cells, specs).select("doc_id")
+    specs = spark.createDataFrame([("declared", 2), ("undeclared", 0)], "dataset string, panels int")
+    return quality.panel_guard(found, specs).select("doc_id")
 
 
 @query(
@@ -106,7 +105,7 @@ def panel_guard(spark, sf):
     """SELECT DISTINCT l_orderkey AS doc_id FROM lineitem WHERE l_orderkey % 5 = 0 AND l_orderkey % 17 <> 0""",
 )
 def layout_guard(spark, sf):
-    h = tables.header_layouts(tables.html_cells(order_fragments(spark, sf), unescape=False))
+    h = tables.html_tables(order_fragments(spark, sf))
     return quality.layout_guard(h).select("doc_id")
 
 
@@ -115,7 +114,7 @@ def layout_guard(spark, sf):
     """SELECT DISTINCT l_orderkey AS doc_id, 1 AS table_ix, 'Issue Date' AS missing FROM lineitem WHERE l_orderkey % 10 = 0 AND l_orderkey % 17 <> 0""",
 )
 def missing_columns(spark, sf):
-    h = tables.header_layouts(tables.html_cells(order_fragments(spark, sf), unescape=False))
+    h = tables.html_tables(order_fragments(spark, sf))
     return quality.missing_columns(h, ["Issue Date", "Tax"], optional=["Tax"]).select("doc_id", "table_ix", F.array_join("missing", ",").alias("missing"))
 
 
@@ -282,7 +281,7 @@ VERBS = ["keep", "maintain", "raise", "cut", "lower", "reduce", "increase"]
 
 def releases(spark, sf):
     """One release per order: reserves, remittances, a policy statement, or nothing to read."""
-    o = v.table(spark, sf, "orders")
+    o = v.text_table(spark, sf, "orders")
     day = F.col("o_orderdate").cast("date")
     kind = F.col("o_orderkey") % 5
     fy = F.year(day) - F.when(F.month(day) >= 7, 0).otherwise(1)
@@ -358,4 +357,4 @@ def decision_filter(spark, sf):
 )
 def breadcrumb(spark, sf):
     lead = F.concat(F.lit("Home > News & Publications News  Rates of the year kept Rates of the year kept 18 Aug 2026 "), "text")
-    return v.table(spark, sf, "conversations").select("conv_id", "turn", F.md5(statements.strip_breadcrumb(lead).cast("binary")).alias("body"))
+    return v.text_table(spark, sf, "conversations").select("conv_id", "turn", F.md5(statements.strip_breadcrumb(lead).cast("binary")).alias("body"))

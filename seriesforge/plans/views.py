@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesforge.operators.shape import split_pages
+from seriesforge.operators.spread import spread_small_input
 
 REGIMES = [("1995-01-01", "1997-06-30", "A"), ("1997-07-01", "1999-12-31", "B"), ("2000-01-01", None, "C")]
 AS_OF = "2001-12-31"
@@ -19,6 +20,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table for heavy work on its text, spread where it is stored in few pieces."""
+    return spread_small_input(table(spark, sf, name))
+
+
 def obs_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Largest order a day for each priority: one row per (series_id, period)."""
     return (
@@ -72,7 +78,7 @@ def wide(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def doc_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return split_pages(table(spark, sf, "documents"))
+    return split_pages(text_table(spark, sf, "documents"))
 
 
 def parts(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,147 +1,155 @@
-"""Tables out of landed HTML, as one long cell table.
+"""Tables out of landed HTML.
 
-cells: (doc_id, table_ix, row_ix, col_ix, tag, text, colspan). Every step is an
-expression or an aggregation keyed by document and table; a fragment never leaves
-the executors.
+A fragment is one row, and its tables are worked out inside that row with array
+expressions: no shuffle, one pass over the text. Every table becomes
+(doc_id, table_ix, columns, rows), `rows` an array of equally wide arrays.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.functions.text import clean_markup
+from seriesforge.functions.text import clean_markup, unescape_entities
 
 NO_RESULTS = r"(?i)There are no matching results"
 
+# Separators of cells and rows while a table's texts are decoded in one string.
+CELL_MARK, ROW_MARK = "\u0001", "\u0002"
+
 
 def _all(c: Column, pattern: str, group: int) -> Column:
     return F.regexp_extract_all(c, F.lit(pattern), F.lit(group))
 
 
-def html_cells(docs: DataFrame, html: str = "html", doc: str = "doc_id", keep: Sequence[str] = (), unescape: bool = True) -> DataFrame:
-    """Every cell of every table, in document order. Rows without cells are dropped."""
-    has = docs.filter(~F.col(html).rlike(NO_RESULTS))
-    tables = has.select(
-        F.col(doc).alias("doc_id"), *keep,
-        F.posexplode(_all(F.col(html), r"(?s)<table[^>]*>(.*?)</table>", 1)).alias("table_ix", "_table"),
-    )
-    rows = tables.select(
-        "doc_id", *keep, "table_ix",
-        F.posexplode(_all(F.col("_table"), r"(?s)<tr[^>]*>(.*?)</tr>", 1)).alias("row_ix", "_row"),
-    )
-    cells = rows.select(
-        "doc_id", *keep, "table_ix", "row_ix",
-        F.posexplode(_all(F.col("_row"), r"(?s)(<(th|td)[^>]*>.*?</\2>)", 1)).alias("cell_ix", "_cell"),
-    )
-    attrs = F.regexp_extract("_cell", r"(?s)^<(?:th|td)([^>]*)>", 1)
-    body = F.regexp_extract("_cell", r"(?s)^<(?:th|td)[^>]*>(.*)</(?:th|td)>$", 1)
-    span = F.regexp_extract(attrs, r'colspan="(\d+)"', 1).try_cast("int")
-    return cells.select(
-        "doc_id", *keep, "table_ix", "row_ix", "cell_ix",
-        F.regexp_extract("_cell", "^<(th|td)", 1).alias("tag"),
-        clean_markup(body, unescape).alias("text"),
-        F.coalesce(span, F.lit(1)).alias("colspan"),
-    )
-
-
-def _row_kinds(cells: DataFrame) -> DataFrame:
-    """One row per table row: is it a header row, how many cells."""
-    return cells.groupBy("doc_id", "table_ix", "row_ix").agg(
-        F.bool_and(F.col("tag") == "th").alias("is_header"),
-        F.count(F.lit(1)).alias("cells"),
-    )
-
-
-def table_shapes(cells: DataFrame) -> DataFrame:
-    """Per table: first data row and width. A table without a header row is reported, not read."""
-    kinds = _row_kinds(cells)
-    data = ~F.col("is_header")
-    return kinds.groupBy("doc_id", "table_ix").agg(
-        F.min(F.when(data, F.col("row_ix"))).alias("first_data"),
-        F.max(F.when(data, F.col("cells"))).alias("width"),
-        F.min("row_ix").alias("_first_row"),
-        F.min(F.when(F.col("is_header"), F.col("row_ix"))).alias("_first_header"),
-    ).select(
-        "doc_id", "table_ix", "first_data", "width",
-        F.coalesce(F.col("_first_header") == F.col("_first_row"), F.lit(False)).alias("has_header"),
-    )
-
+def _settle(df: DataFrame, **cols: Column) -> DataFrame:
+    """Work columns out once, so that array lambdas further up read them as plain values.
 
-def table_headers(cells: DataFrame) -> DataFrame:
-    """Column names of each table: (doc_id, table_ix, col_ix, name).
-
-    The leading header rows are expanded by colspan and flattened per column, each
-    distinct part once, joined by " - ". Later header rows are repeats.
+    A one-row generator: expressions are not folded through it, and it moves no data.
     """
-    shapes = table_shapes(cells).filter("has_header")
-    head = (
-        cells.filter("tag = 'th'")
-        .join(shapes, ["doc_id", "table_ix"])
-        .filter(F.col("first_data").isNull() | (F.col("row_ix") < F.col("first_data")))
-    )
-    # Running width of the row gives each spanned cell its first column.
-    along = Window.partitionBy("doc_id", "table_ix", "row_ix").orderBy("cell_ix")
-    placed = (
-        head.withColumn("_end", F.sum("colspan").over(along))
-        .withColumn("col_ix", F.explode(F.sequence(F.col("_end") - F.col("colspan"), F.col("_end") - 1)))
-        .filter(F.col("width").isNull() | (F.col("col_ix") < F.col("width")))
-    )
-    parts = F.array_sort(F.collect_list(F.when(F.col("text") != "", F.struct("row_ix", "text"))))
-    return placed.groupBy("doc_id", "table_ix", F.col("col_ix").cast("int").alias("col_ix")).agg(
-        F.array_join(F.array_distinct(F.transform(parts, lambda p: p["text"])), " - ").alias("name")
-    )
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
 
 
-def header_layouts(cells: DataFrame) -> DataFrame:
-    """One row per table with its names as an array, for the layout and column guards."""
-    pairs = F.array_sort(F.collect_list(F.struct("col_ix", "name")))
-    return (
-        table_headers(cells)
-        .groupBy("doc_id", "table_ix")
-        .agg(F.transform(pairs, lambda p: p["name"]).alias("columns"))
+def _row_cells(row: Column) -> Column:
+    """array<struct(tag, span, raw)> of one table row."""
+    cells = _all(row, r"(?s)(<(?:th|td)[^>]*>.*?</(?:th|td)>)", 1)
+    return F.transform(
+        cells,
+        lambda c: F.struct(
+            F.substring(c, 2, 2).alias("tag"),
+            F.coalesce(
+                F.regexp_extract(F.regexp_extract(c, "^<[^>]*>", 0), r'colspan="(\d+)"', 1).try_cast("int"),
+                F.lit(1),
+            ).alias("span"),
+            F.regexp_replace(F.regexp_replace(c, r"(?s)^<[^>]*>|</t[hd]>$", ""), "<[^>]+>", " ").alias("raw"),
+        ),
     )
 
 
-def table_values(cells: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Data cells under their names, rows padded to the table's width.
+def html_tables(docs: DataFrame, html: str = "html", doc: str = "doc_id", keep: Sequence[str] = (), unescape: bool = True) -> DataFrame:
+    """(doc_id, table_ix, columns, rows, has_header) of every table, in document order.
 
-    (doc_id, table_ix, row_ix, col_ix, name, text). Columns past the header are `col{i}`.
+    Leading all-header rows are the header: expanded by colspan and flattened per
+    column, each distinct part once, joined by " - ". Later header rows are repeats
+    and dropped. Rows are padded to the widest data row; columns past the header
+    are `col{i}`. A table that does not open with a header row is kept with
+    has_header false and no columns.
     """
-    kinds = _row_kinds(cells).filter("not is_header")
-    shapes = table_shapes(cells).filter("has_header and first_data is not null")
-    rows = kinds.join(shapes, ["doc_id", "table_ix"]).select(
-        "doc_id", "table_ix", "row_ix",
-        F.explode(F.sequence(F.lit(0), F.col("width").cast("int") - 1)).alias("col_ix"),
-    )
-    body = cells.select("doc_id", "table_ix", "row_ix", F.col("cell_ix").cast("int").alias("col_ix"), "text")
-    return (
-        rows.join(body, ["doc_id", "table_ix", "row_ix", "col_ix"], "left")
-        .join(table_headers(cells), ["doc_id", "table_ix", "col_ix"], "left")
+    bodies = (
+        docs.filter(~F.col(html).rlike(NO_RESULTS))
         .select(
-            "doc_id", "table_ix", "row_ix", "col_ix",
-            F.coalesce("name", F.concat(F.lit("col"), F.col("col_ix"))).alias("name"),
-            F.coalesce("text", F.lit("")).alias("text"),
+            F.col(doc).alias("doc_id"), *keep,
+            F.posexplode(_all(F.translate(html, CELL_MARK + ROW_MARK, ""), r"(?s)<table[^>]*>(.*?)</table>", 1)).alias("table_ix", "_body"),
         )
     )
+    grid = F.filter(
+        F.transform(_all(F.col("_body"), r"(?s)<tr[^>]*>(.*?)</tr>", 1), _row_cells),
+        lambda cells: F.size(cells) > 0,
+    )
+    t = _settle(bodies, _grid=grid).drop("_body").filter(F.size("_grid") > 0)
+    # One decode per table, not per cell.
+    joined = F.array_join(
+        F.transform("_grid", lambda cells: F.array_join(F.transform(cells, lambda c: c["raw"]), CELL_MARK)), ROW_MARK
+    )
+    t = t.withColumn("_text", unescape_entities(joined) if unescape else joined)
+    flat = F.regexp_replace("_text", r"(?U)\s+", " ")
+    t = _settle(
+        t,
+        _texts=F.transform(
+            F.split(flat, ROW_MARK), lambda r: F.transform(F.split(r, CELL_MARK), lambda x: F.trim(x))
+        ),
+        _is_data=F.transform("_grid", lambda cells: F.exists(cells, lambda c: c["tag"] != "th")),
+        _spans=F.transform("_grid", lambda cells: F.transform(cells, lambda c: c["span"])),
+    )
+    first = F.array_position("_is_data", F.lit(True))
+    t = _settle(
+        t,
+        _heads=F.when(first > 0, first - 1).otherwise(F.size("_is_data")).cast("int"),
+        _data=F.filter("_texts", lambda _r, i: F.get("_is_data", i)),
+    )
+    head = F.transform(
+        F.slice("_texts", F.lit(1), F.col("_heads")),
+        lambda cells, r: F.flatten(
+            F.transform(cells, lambda text, c: F.array_repeat(text, F.get(F.get("_spans", r), c)))
+        ),
+    )
+    t = _settle(t, _head=head, _width=F.array_max(F.transform("_data", lambda r: F.size(r))))
+    t = _settle(t, _depth=F.array_max(F.transform("_head", lambda r: F.size(r))))
+    names = F.transform(
+        F.sequence(F.lit(0), F.coalesce("_width", "_depth", F.lit(1)) - 1),
+        lambda i: F.when(i >= F.col("_depth"), F.concat(F.lit("col"), i)).otherwise(
+            F.array_join(
+                F.array_distinct(F.filter(F.transform("_head", lambda h: F.get(h, i)), lambda p: p.isNotNull() & (p != ""))),
+                " - ",
+            )
+        ),
+    )
+    pad = lambda r: F.concat(r, F.array_repeat(F.lit(""), F.col("_width") - F.size(r)))
+    ok = F.col("_heads") > 0
+    return t.select(
+        "doc_id", *keep, F.col("table_ix"),
+        F.when(ok, names).otherwise(F.array().cast("array<string>")).alias("columns"),
+        F.when(ok, F.transform("_data", pad)).otherwise(F.array().cast("array<array<string>>")).alias("rows"),
+        ok.alias("has_header"),
+    )
+
+
+def unparsed(tables: DataFrame) -> DataFrame:
+    """Tables without a header row: reported, not guessed at."""
+    return tables.filter(~F.col("has_header")).select("doc_id", "table_ix", F.lit("no header row found").alias("reason"))
+
+
+def table_rows(tables: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per data row: (doc_id, table_ix, row_ix, columns, cells).
+
+    Tables of one document that share a layout concatenate by (table_ix, row_ix).
+    """
+    return tables.select("doc_id", *keep, "table_ix", "columns", F.posexplode("rows").alias("row_ix", "cells"))
 
 
-def records(values: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Cell table to one string row per table row, for declared columns.
+def records(rows: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Rows as text columns for declared names; a name the table lacks is null."""
 
-    Tables of one document with the same layout concatenate by (table_ix, row_ix).
-    """
-    return values.groupBy("doc_id", "table_ix", "row_ix").agg(
-        *[F.max(F.when(F.col("name") == c, F.col("text"))).alias(c) for c in columns]
-    )
+    def named(name: str) -> Column:
+        at = F.array_position("columns", F.lit(name)).cast("int")
+        return F.when(at > 0, F.get("cells", at - 1)).alias(name)
+
+    return rows.select("doc_id", *keep, "table_ix", "row_ix", *[named(c) for c in columns])
+
+
+def cell_values(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, table_ix, row_ix, col_ix, name, text) of every data cell."""
+    return rows.select(
+        "doc_id", *keep, "table_ix", "row_ix", "columns", F.posexplode("cells").alias("col_ix", "text")
+    ).select("doc_id", *keep, "table_ix", "row_ix", "col_ix", F.get("columns", F.col("col_ix")).alias("name"), "text")
 
 
-def panel_values(values: DataFrame, panels: Sequence[dict]) -> DataFrame:
+def panel_rows(rows: DataFrame, panels: Sequence[dict]) -> DataFrame:
     """Table i of a response under panel i: adds `pattern`. Tables past the last panel are left out."""
     patterns = F.array(*[F.lit(p["id_pattern"]) for p in panels])
-    return values.filter(F.col("table_ix") < len(panels)).withColumn("pattern", F.get(patterns, F.col("table_ix")))
+    return rows.filter(F.col("table_ix") < len(panels)).withColumn("pattern", F.get(patterns, F.col("table_ix")))
 
 
 def archive_cards(fragments: DataFrame, html: str = "html", keep: Sequence[str] = (), unescape: bool = True) -> DataFrame:
@@ -165,7 +173,7 @@ def archive_cards(fragments: DataFrame, html: str = "html", keep: Sequence[str]
     )
     return links.select(
         *keep, "card_ix", "link_ix",
-        F.col("_l.url").alias("url"),
+        (unescape_entities(F.col("_l.url")) if unescape else F.col("_l.url")).alias("url"),
         clean_markup(F.col("_l.label"), unescape).alias("period_label"),
         "frequency", "subcategory",
     )
