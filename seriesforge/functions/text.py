@@ -19,6 +19,9 @@ FOLD_FROM = "أإآٱىةؤئ"
 FOLD_TO = "اااايهوي"
 TASHKEEL = "[ً-ْٰـ]"
 
+# Every Unicode space, spelled out: a plain class is matched faster than a property.
+SPACES = r"[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
 # Index token limits and stop words.
 TOKEN = "[a-z0-9؀-ۿ]+"
 MIN_TERM = 2
@@ -60,11 +63,15 @@ def unescape_entities(text: pa.Array) -> pa.Array:
     )
 
 
+def collapse_space(c: Column) -> Column:
+    return F.regexp_replace(c, SPACES, " ")
+
+
 def fold(c: Column) -> Column:
     """Search folding after compatibility normalisation."""
     t = F.regexp_replace(c, TASHKEEL, "")
     t = F.translate(t, FOLD_FROM + ARABIC_INDIC_DIGITS, FOLD_TO + ASCII_DIGITS)
-    return F.lower(F.trim(F.regexp_replace(t, r"(?U)\s+", " ")))
+    return F.lower(F.trim(collapse_space(t)))
 
 
 def search_form(c: Column, compose: bool = True) -> Column:
@@ -107,7 +114,7 @@ def readable(c: Column, compose: bool = True) -> Column:
     t = F.regexp_replace(nfkc(c) if compose else c, CONTROL, "")
     lost = F.regexp_count(t, F.lit(PRIVATE_USE))
     share = F.when(F.length(t) > 0, lost / F.length(t)).otherwise(F.lit(0.0))
-    text = F.trim(F.regexp_replace(F.regexp_replace(t, PRIVATE_USE, " "), r"(?U)\s+", " "))
+    text = F.trim(collapse_space(F.regexp_replace(t, PRIVATE_USE, " ")))
     return F.struct(text.alias("text"), share.cast("double").alias("lost"))
 
 
@@ -130,7 +137,7 @@ def clean_markup(c: Column, unescape: bool = True) -> Column:
     t = F.regexp_replace(c, "<[^>]+>", " ")
     if unescape:
         t = unescape_entities(t)
-    return F.trim(F.regexp_replace(t, r"(?U)\s+", " "))
+    return F.trim(collapse_space(t))
 
 
 def page_text(c: Column, unescape: bool = True) -> Column:

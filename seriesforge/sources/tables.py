@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.functions.text import clean_markup, unescape_entities
+from seriesforge.functions.text import clean_markup, collapse_space, unescape_entities
 
 NO_RESULTS = r"(?i)There are no matching results"
 
@@ -32,20 +32,13 @@ def _settle(df: DataFrame, **cols: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
 
 
-def _row_cells(row: Column) -> Column:
-    """array<struct(tag, span, raw)> of one table row."""
-    cells = _all(row, r"(?s)(<(?:th|td)[^>]*>.*?</(?:th|td)>)", 1)
-    return F.transform(
-        cells,
-        lambda c: F.struct(
-            F.substring(c, 2, 2).alias("tag"),
-            F.coalesce(
-                F.regexp_extract(F.regexp_extract(c, "^<[^>]*>", 0), r'colspan="(\d+)"', 1).try_cast("int"),
-                F.lit(1),
-            ).alias("span"),
-            F.regexp_replace(F.regexp_replace(c, r"(?s)^<[^>]*>|</t[hd]>$", ""), "<[^>]+>", " ").alias("raw"),
-        ),
-    )
+def _span(cell: Column) -> Column:
+    """Columns a cell covers; the pattern runs only where the attribute occurs."""
+    opening = F.substring_index(cell, ">", 1)
+    return F.when(
+        opening.contains("colspan"),
+        F.coalesce(F.regexp_extract(opening, r'colspan="(\d+)"', 1).try_cast("int"), F.lit(1)),
+    ).otherwise(F.lit(1))
 
 
 def html_tables(docs: DataFrame, html: str = "html", doc: str = "doc_id", keep: Sequence[str] = (), unescape: bool = True) -> DataFrame:
@@ -65,24 +58,26 @@ def html_tables(docs: DataFrame, html: str = "html", doc: str = "doc_id", keep:
         )
     )
     grid = F.filter(
-        F.transform(_all(F.col("_body"), r"(?s)<tr[^>]*>(.*?)</tr>", 1), _row_cells),
+        F.transform(
+            _all(F.col("_body"), r"(?s)<tr[^>]*>(.*?)</tr>", 1),
+            lambda row: _all(row, r"(?s)(<(?:th|td)[^>]*>.*?</(?:th|td)>)", 1),
+        ),
         lambda cells: F.size(cells) > 0,
     )
     t = _settle(bodies, _grid=grid).drop("_body").filter(F.size("_grid") > 0)
-    # One decode per table, not per cell.
-    joined = F.array_join(
-        F.transform("_grid", lambda cells: F.array_join(F.transform(cells, lambda c: c["raw"]), CELL_MARK)), ROW_MARK
-    )
-    t = t.withColumn("_text", unescape_entities(joined) if unescape else joined)
-    flat = F.regexp_replace("_text", r"(?U)\s+", " ")
+    # Tags go and entities are decoded once per table, not per cell.
+    joined = F.array_join(F.transform("_grid", lambda cells: F.array_join(cells, CELL_MARK)), ROW_MARK)
+    bare = F.regexp_replace(joined, "<[^>]+>", " ")
+    t = t.withColumn("_text", unescape_entities(bare) if unescape else bare)
+    flat = collapse_space(F.col("_text"))
     t = _settle(
         t,
         _texts=F.transform(
             F.split(flat, ROW_MARK), lambda r: F.transform(F.split(r, CELL_MARK), lambda x: F.trim(x))
         ),
-        _is_data=F.transform("_grid", lambda cells: F.exists(cells, lambda c: c["tag"] != "th")),
-        _spans=F.transform("_grid", lambda cells: F.transform(cells, lambda c: c["span"])),
-    )
+        _is_data=F.transform("_grid", lambda cells: F.exists(cells, lambda c: F.substring(c, 2, 2) != "th")),
+        _spans=F.transform("_grid", lambda cells: F.transform(cells, _span)),
+    ).drop("_grid", "_text")
     first = F.array_position("_is_data", F.lit(True))
     t = _settle(
         t,
