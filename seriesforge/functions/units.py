@@ -40,20 +40,28 @@ def _ladder(text: Column, rungs: list[tuple[Column, str]]) -> Column:
     return expr
 
 
-def sniff_unit(caption: Column, label: Column) -> Column:
-    """The row label decides; the table caption is the fallback."""
+def _flat(c: Column) -> Column:
+    return F.lower(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s+", " "))
+
+
+def _named(t: Column) -> list[tuple[Column, str]]:
+    return [(t.rlike(p), u) for p, u in UNIT_PATTERNS] + [(_has_any(t, PERCENT_WORDS), "percent")]
+
 
-    def flat(c: Column) -> Column:
-        return F.lower(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s+", " "))
+def label_unit(label: Column) -> Column:
+    t = _flat(label)
+    return _ladder(t, _named(t))
 
-    def rungs(t: Column) -> list[tuple[Column, str]]:
-        return [(t.rlike(p), u) for p, u in UNIT_PATTERNS] + [
-            (_has_any(t, PERCENT_WORDS), "percent")
-        ]
 
-    own, cap = flat(label), flat(caption)
-    from_caption = rungs(cap) + [(_has_any(cap, words), unit) for unit, words in CAPTION_WORDS]
-    return F.coalesce(_ladder(own, rungs(own)), _ladder(cap, from_caption))
+def caption_unit(caption: Column) -> Column:
+    """Captions alone also say index, thousand or number."""
+    t = _flat(caption)
+    return _ladder(t, _named(t) + [(_has_any(t, words), unit) for unit, words in CAPTION_WORDS])
+
+
+def sniff_unit(caption: Column, label: Column) -> Column:
+    """The row label decides; the table caption is the fallback."""
+    return F.coalesce(label_unit(label), caption_unit(caption))
 
 
 def indent_level(label: Column) -> Column:

@@ -267,28 +267,42 @@ def melt(cells: DataFrame, files: DataFrame, prefix: str = "EG.XL", compat: bool
         & (F.col("en_col").isNotNull() | F.col("ar_col").isNotNull())
     ).join(known.select("file_id", "category", "subcategory", "file_ord", "url"), "file_id")
 
+    usable = usable.withColumn("_caption_unit", units.caption_unit(F.col("caption"))).drop("caption", "strategy", "reason")
+
+    # What a label says is worked out on its own cell, then shared along the line.
     line = Window.partitionBy("file_id", "r")
-    text_at = lambda col: F.max(F.when(F.col("c") == F.col(col), F.col("v"))).over(line)
-    clean = lambda c: F.nullif(F.trim(F.coalesce(c, F.lit(""))), F.lit(""))
+    name = F.trim("v")
+    label = F.when(
+        (F.col("c") == F.col("en_col")) | (F.col("c") == F.col("ar_col")),
+        F.when(
+            name != "",
+            F.struct(
+                name.alias("label"), ids.label_tail(name).alias("tail"),
+                units.label_unit(name).alias("unit"), units.indent_level(F.col("v")).alias("level"),
+            ),
+        ),
+    )
+    shared = lambda col: F.max(F.when(F.col("c") == F.col(col), F.col("_label"))).over(line)
     obs = (
         cells.join(usable, "file_id")
         .filter(F.col("r") > F.col("data_start"))
-        .withColumns({"_en": text_at("en_col"), "_ar": text_at("ar_col")})
+        .withColumn("_label", label)
+        .withColumns({"_en": shared("en_col"), "_ar": shared("ar_col")})
         .withColumns({"_when": F.col("periods")[F.col("c")], "value": number("v", "sheet")})
         .filter(F.col("_when").isNotNull() & F.col("value").isNotNull())
-        .withColumns({"label": F.coalesce(clean(F.col("_en")), clean(F.col("_ar"))), "label_ar": clean(F.col("_ar"))})
-        .filter(F.col("label").isNotNull())
+        .withColumn("_line", F.coalesce("_en", "_ar"))
+        .filter(F.col("_line").isNotNull())
         .select(
             F.concat_ws(
                 ".", F.lit(prefix), ids.category_code(F.col("category")),
-                ids.label_slug(F.col("subcategory"), 30), ids.label_tail(F.col("label")),
+                ids.label_slug(F.col("subcategory"), 30), F.col("_line.tail"),
             ).alias("series_id"),
             F.col("_when.period").alias("period"), "value", F.col("_when.fy").alias("fy"), F.lit("end").alias("basis"),
             "file_id", "file_ord", F.col("r").alias("row_ord"), F.col("c").alias("col_ord"),
-            "label", "label_ar", units.indent_level(F.coalesce("_en", "_ar")).alias("level"),
-            units.sniff_unit(F.col("caption"), F.col("label")).alias("unit"),
+            F.col("_line.label").alias("label"), F.col("_ar.label").alias("label_ar"), F.col("_line.level").alias("level"),
+            F.coalesce("_line.unit", "_caption_unit").alias("unit"),
             ids.category_family(F.col("category")).alias("family"),
-            F.concat_ws(" - ", "subcategory", "label").alias("title_en"),
+            F.concat_ws(" - ", "subcategory", "_line.label").alias("title_en"),
             F.col("url").alias("source_file"),
         )
     )
