@@ -43,7 +43,8 @@ def month_from_name(c: Column) -> Column:
 
 def safe_date(y: Column, m: Column, d: Column) -> Column:
     """year, month, day to DATE; null for a day that does not exist."""
-    return F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), m.cast("string"), d.cast("string")).try_cast("date")
+    dash = F.lit("-")
+    return F.concat(F.lpad(y.cast("string"), 4, "0"), dash, m.cast("string"), dash, d.cast("string")).try_cast("date")
 
 
 def _group(c: Column, pattern: str, i: int) -> Column:
