@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,19 +32,20 @@ def build(app: str = "seriesforge", master: str | None = None, **conf: str) -> S
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder.
+    """The cluster's shared checkpoint folder, as the session names it.
 
-    A folder is chosen here only where neither the session nor its context names
-    one, which happens in local tests.
+    A folder of our own is made only where none is named and the master is local,
+    which happens in tests.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None:
-            named = tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR"))
-        spark.sparkContext.setCheckpointDir(named)
-        return named
-    return named or current
+            if not sc.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+            named = tempfile.mkdtemp(prefix="spark-")
+        sc.setCheckpointDir(named)
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
