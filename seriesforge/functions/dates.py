@@ -47,17 +47,14 @@ def safe_date(y: Column, m: Column, d: Column) -> Column:
     return F.concat(F.lpad(y.cast("string"), 4, "0"), dash, m.cast("string"), dash, d.cast("string")).try_cast("date")
 
 
-def _group(c: Column, pattern: str, i: int) -> Column:
-    return F.nullif(F.regexp_extract(c, pattern, i), F.lit(""))
-
-
 def dmy(raw: Column | str) -> Column:
     """Strict `d/m/yyyy` prefix."""
     c = F.col(raw) if isinstance(raw, str) else raw
-    s = F.trim(ascii_digits(c))
     p = r"^(\d{1,2})/(\d{1,2})/(\d{4})"
-    y, m, d = _group(s, p, 3), _group(s, p, 2), _group(s, p, 1)
-    return F.when(s.rlike(p), safe_date(y, m, d))
+    hit = F.regexp_extract(F.trim(ascii_digits(c)), p, 0)
+    part = lambda i: F.split_part(hit, F.lit("/"), F.lit(i))
+    # Without a match every part is empty and there is no such date.
+    return safe_date(part(3), part(2), part(1))
 
 
 def period(raw: Column | str, kind: str | None = None) -> Column:
@@ -67,17 +64,17 @@ def period(raw: Column | str, kind: str | None = None) -> Column:
     c = F.col(raw) if isinstance(raw, str) else raw
     s = F.trim(ascii_digits(c))
     if kind == "period_range":
-        parts = F.split(s, "-")
-        return dmy(F.trim(F.get(parts, F.size(parts) - 1)))
+        return dmy(F.trim(F.substring_index(s, "-", -1)))
     if kind in ("mon_year", "mon_year_text"):
         sep = r"\s*-\s*" if kind == "mon_year" else r"\s+"
-        p = r"^([A-Za-z]{3})\w*" + sep + r"(\d{4})"
-        return F.when(s.rlike(p), safe_date(_group(s, p, 2), _month3(_group(s, p, 1)), F.lit(1)))
+        hit = F.regexp_extract(s, r"^[A-Za-z]{3}\w*" + sep + r"\d{4}", 0)
+        return safe_date(F.right(hit, F.lit(4)), _month3(F.substring(hit, 1, 3)), F.lit(1))
     if kind == "dmy_text":
-        p = r"^(\d{1,2})\s+([A-Za-z]{3})\w*\s+(\d{4})"
-        return F.when(
-            s.rlike(p),
-            safe_date(_group(s, p, 3), _month3(_group(s, p, 2)), _group(s, p, 1)),
+        hit = F.regexp_extract(s, r"^\d{1,2}\s+[A-Za-z]{3}\w*\s+\d{4}", 0)
+        return safe_date(
+            F.right(hit, F.lit(4)),
+            _month3(F.regexp_extract(hit, "([A-Za-z]{3})", 1)),
+            F.regexp_extract(hit, r"^(\d{1,2})", 1),
         )
     return dmy(s)
 

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Digit forms and the spellings that mean "no figure".
+# Digit forms.
 ARABIC_INDIC_DIGITS = "٠١٢٣٤٥٦٧٨٩"
 ASCII_DIGITS = "0123456789"
-MISSING_HTML = ["", "-", "--", "N/A", "n/a", "NA", ".."]
-MISSING_SHEET = ["", "-", "--", "..", "...", "N/A", "n/a", "NA", "*"]
 
+# What counts as a figure. Dashes, dots, asterisks, N/A and blanks do not match, so
+# they read as no figure.
 _NUMERIC = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+_BLANKS = " \t\n\r\f\x0b"
+_NO_BREAK = "\u00a0"
 
 
 def ascii_digits(c: Column) -> Column:
@@ -26,19 +28,15 @@ def number(raw: Column | str, mode: str = "html") -> Column:
     """Printed text to double, null where no figure was printed.
 
     `html` drops separators, percent signs and no-break spaces. `sheet` also drops
-    ordinary spaces and reads accounting negatives.
+    ordinary spaces and reads accounting negatives. Characters past the digits in
+    the first list have no counterpart, so `translate` removes them.
     """
     c = F.col(raw) if isinstance(raw, str) else raw
-    s = F.regexp_replace(ascii_digits(c), r"^[\s\x{a0}]+|[\s\x{a0}]+$", "")
     if mode == "html":
-        s = F.trim(F.regexp_replace(s, r"[,%\x{a0}]", ""))
-        return F.when(~s.isin(MISSING_HTML), _parse(s))
+        s = F.translate(c, ARABIC_INDIC_DIGITS + ",%" + _NO_BREAK, ASCII_DIGITS)
+        return _parse(F.trim(s, F.lit(_BLANKS)))
     if mode != "sheet":
         raise ValueError(f"unknown number mode {mode!r}")
-    s = F.regexp_replace(s, r"[,%\s\x{a0}]", "")
-    bracketed = s.rlike(r"^\(.*\)$")
-    inner = F.regexp_replace(s, r"^\(|\)$", "")
-    return F.when(
-        ~s.isin(MISSING_SHEET),
-        F.when(bracketed, -_parse(inner)).otherwise(_parse(s)),
-    )
+    s = F.translate(c, ARABIC_INDIC_DIGITS + ",%" + _NO_BREAK + _BLANKS, ASCII_DIGITS)
+    inner = F.substring(s, F.lit(2), F.length(s) - 2)
+    return F.when(s.startswith("(") & s.endswith(")"), -_parse(inner)).otherwise(_parse(s))

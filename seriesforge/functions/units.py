@@ -44,19 +44,22 @@ def _flat(c: Column) -> Column:
     return F.lower(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s+", " "))
 
 
-def _named(t: Column) -> list[tuple[Column, str]]:
-    return [(t.rlike(p), u) for p, u in UNIT_PATTERNS] + [(_has_any(t, PERCENT_WORDS), "percent")]
+def _money(t: Column) -> Column:
+    """Most text names no currency: one pattern says so before the ten are tried."""
+    any_of = "|".join(f"(?:{p})" for p, _ in UNIT_PATTERNS)
+    return F.when(t.rlike(any_of), _ladder(t, [(t.rlike(p), u) for p, u in UNIT_PATTERNS]))
 
 
 def label_unit(label: Column) -> Column:
     t = _flat(label)
-    return _ladder(t, _named(t))
+    return F.coalesce(_money(t), _ladder(t, [(_has_any(t, PERCENT_WORDS), "percent")]))
 
 
 def caption_unit(caption: Column) -> Column:
     """Captions alone also say index, thousand or number."""
     t = _flat(caption)
-    return _ladder(t, _named(t) + [(_has_any(t, words), unit) for unit, words in CAPTION_WORDS])
+    words = [(_has_any(t, PERCENT_WORDS), "percent")] + [(_has_any(t, w), unit) for unit, w in CAPTION_WORDS]
+    return F.coalesce(_money(t), _ladder(t, words))
 
 
 def sniff_unit(caption: Column, label: Column) -> Column:

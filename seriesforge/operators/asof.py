@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesforge.operators.spread import salted_lookup
+from seriesforge.operators.spread import default_salts, salted_lookup
 
 
 def _timeline(probe: DataFrame, obs: DataFrame, on: Sequence[str], at: str, obs_at: str, cols: Sequence[str]) -> DataFrame:
@@ -152,7 +152,7 @@ def interval_join(
     exact bounds checked after; an open end stops at `last_day`. Months are spread
     over salts because one month may hold most rows.
     """
-    salts = 16
+    salts = default_salts(df)
     month = F.trunc(F.col(at), "month")
     spans = (
         intervals.withColumn("_hi", F.coalesce(F.col(hi), last_day.cast("date")))

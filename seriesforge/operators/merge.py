@@ -108,7 +108,7 @@ def advertise(catalog: DataFrame, obs: DataFrame, owned: Sequence[str]) -> DataF
 def preserve_labels(new: DataFrame, old: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
     """Keep hand-written fields of the previous run where they are not empty."""
     was = old.groupBy(*keys).agg(*[F.max(f).alias(f"_old_{f}") for f in fields])
-    out = new.join(was, list(keys), "left")
+    out = salted_lookup(new, was, list(keys))
     for f in fields:
         hand = F.nullif(F.col(f"_old_{f}"), F.lit(""))
         out = out.withColumn(f, F.coalesce(hand, F.col(f)) if f in new.columns else hand)

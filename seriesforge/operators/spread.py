@@ -17,7 +17,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_SALTS = 16
+def default_salts(df: DataFrame) -> int:
+    """Salts that cut a key with a third of all rows down to one partition's share."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(1024, max(4, partitions // 3))
 
 
 def _salt_of(df: DataFrame, salts: int) -> Column:
@@ -29,13 +32,14 @@ def salted_lookup(
     small: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    salts: int = DEFAULT_SALTS,
+    salts: int | None = None,
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join where `small` has one row per key and `big` may repeat a key without bound.
 
     Rows of a hot key go to `salts` tasks; the lookup row is repeated to each of them.
     """
+    salts = salts or default_salts(big)
     basis = [F.col(c) for c in (spread_by or big.columns)]
     left = big.withColumn("_salt", F.pmod(F.xxhash64(*basis), F.lit(salts)).cast("int"))
     right = small.withColumn(
@@ -67,12 +71,13 @@ def top_per_group(
     order: Sequence[Column],
     k: int,
     rank: str | None = None,
-    salts: int = DEFAULT_SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """The first k rows of each group in `order`, ranked within salted parts first.
 
     The final window sees at most `k * salts` rows of a group, whatever its size.
     """
+    salts = salts or default_salts(df)
     part = Window.partitionBy(*keys, "_salt").orderBy(*order)
     whole = Window.partitionBy(*keys).orderBy(*order)
     name = rank or "_rank"

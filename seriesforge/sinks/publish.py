@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from seriesforge.functions import ids
 from seriesforge.functions.text import MAX_PAGE_CHARS, readable
+from seriesforge.operators import search
 from seriesforge.operators import summary as summary_ops
 from seriesforge.operators.quality import SCAN_THRESHOLD
 from seriesforge.operators.shape import series_documents
@@ -197,6 +198,26 @@ def write_search_index(postings: DataFrame, docs: DataFrame, meta: DataFrame, pa
     meta.write.mode("overwrite").json(f"{path}/meta")
 
 
+def build_search_index(
+    pages: DataFrame, folded: Column, path: str, docs: DataFrame, doc: str = "doc_id",
+    fraction: float = search.MAX_DOC_FRACTION, cap: int | None = search.MAX_POSTINGS,
+) -> None:
+    """Build and publish an index in two steps.
+
+    Counted postings are written first: they feed the term table, the capped terms and
+    the published postings, and a table on shared storage survives lost executors
+    where recounting the text three times would not pay.
+    """
+    spark = pages.sparkSession
+    counted = f"{path}/counted"
+    search.term_counts(pages, folded, doc).write.mode("overwrite").parquet(counted)
+    postings = spark.read.parquet(counted)
+    terms = search.term_table(postings, pages, fraction)
+    write_search_index(
+        search.published_postings(postings, terms, cap), docs, search.index_metadata(pages, terms, doc), path
+    )
+
+
 def integrity_manifest(spark: SparkSession, root: str) -> DataFrame:
     """path, bytes and sha256 of every published file."""
     files = (

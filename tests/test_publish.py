@@ -78,14 +78,13 @@ def test_search_index_and_pages(spark, tmp_path):
     p = spark.createDataFrame([(1, 1, "alpha beta"), (1, 2, "  "), (2, 1, "beta " * 6000)], "doc_id int, page int, text string")
     pub = publish.published_pages(p)
     assert rows(pub, "doc_id", "page", "truncated") == [(1, 1, False), (2, 1, True)]
-    idx = search.index_postings(p, text.search_form(F.col("text")), fraction=1.0)
-    terms = search.term_table(search.term_counts(p, text.search_form(F.col("text"))), p, 1.0)
     path = str(tmp_path / "search")
-    publish.write_search_index(idx, p.select("doc_id").distinct(), search.index_metadata(p, terms), path)
+    publish.build_search_index(p, text.search_form(F.col("text")), path, p.select("doc_id").distinct(), fraction=1.0)
     stored = spark.read.parquet(path + "/postings")
     hits = search.full_text(stored, "beta")
     assert rows(hits) == [(1, 1, 1), (2, 1, 255)]
-    assert "PartitionFilters: [shard" in hits._jdf.queryExecution().executedPlan().toString().replace("(shard", "shard").replace("[cast(shard", "[shard") or "PartitionFilters" in hits._jdf.queryExecution().toString()
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(shard" in plan and "PushedFilters: [IsNotNull(term), EqualTo(term,beta)]" in plan
     assert spark.read.json(path + "/meta").first()["documents"] == 2
 
 
