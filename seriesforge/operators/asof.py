@@ -15,30 +15,40 @@ from pyspark.sql import functions as F
 from seriesforge.operators.spread import default_salts, salted_lookup
 
 
-def _timeline(probe: DataFrame, obs: DataFrame, on: Sequence[str], at: str, obs_at: str, cols: Sequence[str]) -> DataFrame:
-    """Probe dates and observation rows on one line: (on, _at, _side, _row)."""
+def _timeline(
+    probe: DataFrame, obs: DataFrame, on: Sequence[str], at: str, obs_at: str, cols: Sequence[str], daily: bool
+) -> DataFrame:
+    """Probe and observation dates on one line: (on, _at, _side, _row, _probe)."""
     row = F.struct(F.col(obs_at).alias("_obs_at"), *[F.col(c) for c in cols])
-    points = (
-        obs.groupBy(*on, F.col(obs_at).alias("_at"))
-        .agg(F.max(row).alias("_row"))
-        .withColumn("_side", F.lit(0))
-    )
-    asks = (
-        probe.select(*on, F.col(at).alias("_at"))
-        .distinct()
-        .withColumn("_row", F.lit(None).cast(points.schema["_row"].dataType))
-        .withColumn("_side", F.lit(1))
+    points = obs.select(*on, F.col(obs_at).alias("_at"), row.alias("_row"))
+    asks = probe.select(*on, F.col(at).alias("_at"), F.struct(*probe.columns).alias("_probe"))
+    if not daily:
+        points = points.groupBy(*on, "_at").agg(F.max("_row").alias("_row"))
+        asks = asks.select(*on, "_at").distinct().withColumn("_probe", F.lit(None).cast("boolean"))
+    kind = asks.schema["_probe"].dataType
+    return points.select("*", F.lit(0).alias("_side"), F.lit(None).cast(kind).alias("_probe")).unionByName(
+        asks.select("*", F.lit(1).alias("_side"), F.lit(None).cast(points.schema["_row"].dataType).alias("_row"))
     )
-    return points.unionByName(asks)
 
 
-def _attach(probe: DataFrame, found: DataFrame, on: Sequence[str], at: str, how: str) -> DataFrame:
-    """Answers back to every probe row; (on, _at) is unique in `found`."""
+def _answer(
+    probe: DataFrame, line: DataFrame, on: Sequence[str], at: str, picked: Sequence[Column], daily: bool
+) -> DataFrame:
+    """Answers (struct `_hit` on the probe dates of the line) beside every probe row."""
+    asked = line.filter("_side = 1")
+    if daily:
+        return asked.select("_probe.*", *picked)
     if "_ask" in probe.columns:
         raise ValueError("probe already has a column _ask")
-    left = probe.withColumn("_ask", F.col(at))
-    right = found.withColumnRenamed("_at", "_ask")
-    return salted_lookup(left, right, [*on, "_ask"], how).drop("_ask")
+    found = asked.select(*on, F.col("_at").alias("_ask"), *picked)
+    return salted_lookup(probe.withColumn("_ask", F.col(at)), found, [*on, "_ask"]).drop("_ask")
+
+
+def _picked(cols: Sequence[str], names: Sequence[str] | None, obs_at_name: str | None) -> list[Column]:
+    out = [F.col(f"_hit.{c}").alias(n) for c, n in zip(cols, names or cols, strict=True)]
+    if obs_at_name:
+        out.append(F.col("_hit._obs_at").alias(obs_at_name))
+    return out
 
 
 def asof_backward(
@@ -50,22 +60,21 @@ def asof_backward(
     cols: Sequence[str],
     names: Sequence[str] | None = None,
     obs_at_name: str | None = None,
-    how: str = "left",
+    daily: bool = False,
 ) -> DataFrame:
-    """For each probe row the last observation dated on or before it."""
-    names = list(names or cols)
+    """For each probe row the last observation dated on or before it.
+
+    `daily` states that both sides hold one row per (on, date): the probe rows then
+    ride along the window themselves, one shuffle in all.
+    """
     w = (
         Window.partitionBy(*on)
         .orderBy("_at", "_side")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    line = _timeline(probe, obs, on, at, obs_at, cols)
-    hit = line.withColumn("_hit", F.last("_row", ignorenulls=True).over(w)).filter("_side = 1")
-    picked = [F.col(f"_hit.{c}").alias(n) for c, n in zip(cols, names, strict=True)]
-    if obs_at_name:
-        picked.append(F.col("_hit._obs_at").alias(obs_at_name))
-    found = hit.select(*on, "_at", *picked)
-    return _attach(probe, found, on, at, how)
+    line = _timeline(probe, obs, on, at, obs_at, cols, daily)
+    hit = line.withColumn("_hit", F.last("_row", ignorenulls=True).over(w))
+    return _answer(probe, hit, on, at, _picked(cols, names, obs_at_name), daily)
 
 
 def nearest(
@@ -77,9 +86,9 @@ def nearest(
     cols: Sequence[str],
     names: Sequence[str] | None = None,
     obs_at_name: str | None = None,
+    daily: bool = False,
 ) -> DataFrame:
     """For each probe row the observation closest in time; the earlier one on a tie."""
-    names = list(names or cols)
     back = (
         Window.partitionBy(*on)
         .orderBy("_at", "_side")
@@ -92,21 +101,17 @@ def nearest(
         .orderBy(F.col("_at").desc(), "_side")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    line = _timeline(probe, obs, on, at, obs_at, cols)
-    both = (
-        line.withColumn("_b", F.last("_row", ignorenulls=True).over(back))
+    line = (
+        _timeline(probe, obs, on, at, obs_at, cols, daily)
+        .withColumn("_b", F.last("_row", ignorenulls=True).over(back))
         .withColumn("_f", F.last("_row", ignorenulls=True).over(ahead))
-        .filter("_side = 1")
     )
-    db = F.datediff(F.col("_at"), F.col("_b._obs_at"))
-    df = F.datediff(F.col("_f._obs_at"), F.col("_at"))
-    hit = both.withColumn(
-        "_hit", F.when(df.isNull() | (db <= df), F.col("_b")).otherwise(F.col("_f"))
+    before = F.datediff(F.col("_at"), F.col("_b._obs_at"))
+    after = F.datediff(F.col("_f._obs_at"), F.col("_at"))
+    hit = line.withColumn(
+        "_hit", F.when(after.isNull() | (before <= after), F.col("_b")).otherwise(F.col("_f"))
     )
-    picked = [F.col(f"_hit.{c}").alias(n) for c, n in zip(cols, names, strict=True)]
-    if obs_at_name:
-        picked.append(F.col("_hit._obs_at").alias(obs_at_name))
-    return _attach(probe, hit.select(*on, "_at", *picked), on, at, "left")
+    return _answer(probe, hit, on, at, _picked(cols, names, obs_at_name), daily)
 
 
 def clip_with_carry(obs: DataFrame, start: Column) -> DataFrame:
@@ -205,14 +210,17 @@ def meeting_effect(meetings: DataFrame, rates: DataFrame, on: Sequence[str], dat
         )
         .withColumn("day_before", F.date_sub(F.col(date), 1))
     )
-    after = asof_backward(capped, rates, on, "look_at", "period", ["value"], ["rate_after"])
-    return asof_backward(after, rates, on, "day_before", "period", ["value"], ["rate_before"])
+    after = asof_backward(capped, rates, on, "look_at", "period", ["value"], ["rate_after"], daily=True)
+    return asof_backward(after, rates, on, "day_before", "period", ["value"], ["rate_before"], daily=True)
 
 
 def corridor_position(benchmark: DataFrame, floor: DataFrame, ceiling: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Benchmark against the corridor midpoint, reading the corridor backward only."""
-    a = asof_backward(benchmark, floor, on, "period", "period", ["value"], ["floor"])
-    b = asof_backward(a, ceiling, on, "period", "period", ["value"], ["ceiling"])
+    """Benchmark against the corridor midpoint, reading the corridor backward only.
+
+    Each of the three has one row per (on, period).
+    """
+    a = asof_backward(benchmark, floor, on, "period", "period", ["value"], ["floor"], daily=True)
+    b = asof_backward(a, ceiling, on, "period", "period", ["value"], ["ceiling"], daily=True)
     off = F.col("value") - (F.col("floor") + F.col("ceiling")) / 2
     return (
         b.filter(F.col("floor").isNotNull() & F.col("ceiling").isNotNull())

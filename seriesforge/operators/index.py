@@ -127,7 +127,7 @@ def compare(obs: DataFrame, first: str, second: str) -> DataFrame:
     a = two.filter(F.col("series_id") == first).select(F.lit("pair").alias("pair"), "period", F.col("value").alias("first_value"))
     b = two.filter(F.col("series_id") == second).select(F.lit("pair").alias("pair"), "period", "value")
     return (
-        nearest(a, b, ["pair"], "period", "period", ["value"], ["second_value"], "second_period")
+        nearest(a, b, ["pair"], "period", "period", ["value"], ["second_value"], "second_period", daily=True)
         .withColumn("gap", F.col("second_value") - F.col("first_value"))
         .drop("pair")
     )
