@@ -198,8 +198,8 @@ def meeting_effect(meetings: DataFrame, rates: DataFrame, on: Sequence[str], dat
     """The rate a meeting set and the rate before it.
 
     A rate takes effect some days after its meeting: the one set is the rate a week
-    later, but never later than the day before the next meeting. `meetings` has one
-    row per (on, date).
+    later, but never later than the day before the next meeting. `meetings` and
+    `rates` have one row per (on, date).
     """
     w = Window.partitionBy(*on).orderBy(date)
     capped = (

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from seriesforge.functions import dates
 from seriesforge.functions.numbers import number
-from seriesforge.operators import merge, press, quality, statements
+from seriesforge.operators import press, quality, statements
 from seriesforge.operators.spread import spread_for_python
 from seriesforge.plans import views as v
 from seriesforge.plans.catalog import query
@@ -179,32 +179,44 @@ def sheets(spark, sf):
     )
     fid = F.concat_ws("-", "supp", "fy")
     row = F.array_position(F.array(*[F.lit(f) for f in FLAGS]), F.col("l_returnflag")).cast("int") + 3
-    values = base.select(fid.alias("file_id"), row.alias("r"), "c", F.format_number("price", 2).alias("v"), F.lit(False).alias("is_text"))
-    labels = base.select(fid.alias("file_id"), row.alias("r"), "l_returnflag").distinct()
-    sheets_ = base.select(fid.alias("file_id"), "kind", "fy").distinct()
-    text = lambda df, r, c_, v_, t=True: df.select(
-        "file_id", (r if not isinstance(r, int) else F.lit(r)).cast("int").alias("r"),
-        (c_ if not isinstance(c_, int) else F.lit(c_)).cast("int").alias("c"), v_.cast("string").alias("v"), F.lit(t).alias("is_text"),
-    )
-    months = sheets_.filter("kind = 0").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(11))))
-    quarters = sheets_.filter("kind = 1").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(3))))
-    yearly = base.filter("kind in (2, 3)").select(fid.alias("file_id"), "kind", "c", "y").distinct()
     names = F.array(*[F.lit(n) for n in "Jul. Aug. Sept. Oct. Nov. Dec. Jan. Feb. Mar. Apr. May. June".split()])
     windows = F.array(*[F.lit(n) for n in ("July/Sep", "Oct/Dec", "Jan/Mar", "Apr/June")])
-    parts = [
-        values,
-        text(labels, F.col("r"), 0, F.concat(F.lit("    Flag "), "l_returnflag")),
-        text(labels, F.col("r"), 1, F.concat(F.lit("بند "), "l_returnflag")),
-        text(sheets_, 0, 0, F.lit("Flows of the year (LE mn)")),
-        text(months, 2, F.col("i") + 2, F.element_at(names, F.col("i") + 1)),
-        text(sheets_.filter("kind = 0"), 1, 2, F.col("fy"), False),
-        text(sheets_.filter("kind = 0"), 1, 8, F.col("fy") + 1, False),
-        text(quarters, 1, F.col("i") + 2, F.concat(F.lit("Q"), F.col("i") + 1)),
-        text(quarters, 2, F.col("i") + 2, F.concat_ws(" ", F.element_at(windows, F.col("i") + 1), (F.col("fy") + F.floor(F.col("i") / 2)).cast("string"))),
-        text(yearly.filter("kind = 2"), 2, F.col("c"), F.concat_ws("/", F.col("y").cast("string"), (F.col("y") + 1).cast("string"))),
-        text(yearly.filter("kind = 3"), 2, F.col("c"), F.col("y"), False),
-        text(sheets_.filter("kind = 3"), 2, 0, F.lit("End of December")),
-    ]
+
+    def cell(r, c_, text, is_text=True):
+        at = lambda x: (F.lit(x) if isinstance(x, int) else x).cast("int")
+        return F.struct(at(r).alias("r"), at(c_).alias("c"), text.cast("string").alias("v"), F.lit(is_text).alias("is_text"))
+
+    def across(n, make):
+        return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), make)
+
+    fy_, y = F.col("fy"), F.col("y")
+    heads = (
+        F.when(F.col("kind") == 0, F.concat(
+            across(12, lambda i: cell(2, i + 2, F.get(names, i))),
+            F.array(cell(1, 2, fy_, False), cell(1, 8, fy_ + 1, False)),
+        ))
+        .when(F.col("kind") == 1, F.concat(
+            across(4, lambda i: cell(1, i + 2, F.concat(F.lit("Q"), i + 1))),
+            across(4, lambda i: cell(2, i + 2, F.concat_ws(" ", F.get(windows, i), (fy_ + F.floor(i / 2)).cast("string")))),
+        ))
+        .when(F.col("kind") == 2, F.array(cell(2, F.col("c"), F.concat_ws("/", y.cast("string"), (y + 1).cast("string")))))
+        .when(F.col("kind") == 3, F.array(cell(2, F.col("c"), y, False), cell(2, 0, F.lit("End of December"))))
+        .otherwise(F.array(cell(0, 1, F.lit("no header"))))
+    )
+    body = F.array(
+        cell(row, F.col("c"), F.format_number("price", 2), False),
+        cell(row, 0, F.concat(F.lit("    Flag "), "l_returnflag")),
+        cell(row, 1, F.concat(F.lit("بند "), "l_returnflag")),
+        cell(0, 0, F.lit("Flows of the year (LE mn)")),
+    )
+    # Shared headers and labels come once per reading; one aggregation keeps one of each.
+    cells = (
+        base.select(fid.alias("file_id"), F.inline(F.concat(body, heads)))
+        .groupBy("file_id", "r", "c")
+        .agg(F.max(F.struct("v", "is_text")).alias("_x"))
+        .select("file_id", "r", "c", "_x.v", "_x.is_text")
+    )
+    sheets_ = base.select(fid.alias("file_id"), "kind", "fy").distinct()
     tops = sheets_.filter("kind = 0")
     box = lambda c0, c1: tops.select("file_id", *[F.lit(x).alias(n) for n, x in (("r0", 1), ("c0", c0), ("r1", 1), ("c1", c1))])
     files = sheets_.select(
@@ -212,7 +224,7 @@ def sheets(spark, sf):
         F.when(F.col("kind") == 1, F.lit("Quarterly")).when(F.col("kind") >= 2, F.lit("Annual")).otherwise(F.lit("Monthly")).alias("frequency"),
         F.concat(F.lit("/-/media/"), "file_id").alias("url"), F.col("fy").alias("file_ord"),
     )
-    return merge.union_all(parts), box(2, 7).unionByName(box(8, 13)), files
+    return cells, box(2, 7).unionByName(box(8, 13)), files
 
 
 SHEET_SQL = """WITH d AS (SELECT l_suppkey AS supp, l_suppkey % 5 AS kind, l_returnflag AS flag, CAST(l_shipdate AS DATE) AS day, l_extendedprice AS price FROM lineitem),
