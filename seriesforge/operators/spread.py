@@ -65,6 +65,14 @@ def spread_for_python(df: DataFrame) -> DataFrame:
     return df.repartition(n)
 
 
+def checked_broadcast(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """Broadcast a list only after counting that it is short; otherwise leave it to a shuffle.
+
+    Runs a small job, so it belongs in steps that write, over inputs already written.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def top_per_group(
     df: DataFrame,
     keys: Sequence[str],

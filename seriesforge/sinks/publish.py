@@ -202,19 +202,20 @@ def build_search_index(
     pages: DataFrame, folded: Column, path: str, docs: DataFrame, doc: str = "doc_id",
     fraction: float = search.MAX_DOC_FRACTION, cap: int | None = search.MAX_POSTINGS,
 ) -> None:
-    """Build and publish an index in two steps.
+    """Build and publish an index in steps.
 
-    Counted postings are written first: they feed the term table, the capped terms and
-    the published postings, and a table on shared storage survives lost executors
+    Counted postings and the term table are written first: they feed the capped terms
+    and the published postings, and a table on shared storage survives lost executors
     where recounting the text three times would not pay.
     """
     spark = pages.sparkSession
     counted = f"{path}/counted"
     search.term_counts(pages, folded, doc).write.mode("overwrite").parquet(counted)
     postings = spark.read.parquet(counted)
-    terms = search.term_table(postings, pages, fraction)
+    search.term_table(postings, pages, fraction).write.mode("overwrite").parquet(f"{path}/terms")
+    terms = spark.read.parquet(f"{path}/terms")
     write_search_index(
-        search.published_postings(postings, terms, cap), docs, search.index_metadata(pages, terms, doc), path
+        search.published_postings(postings, terms, cap, settled=True), docs, search.index_metadata(pages, terms, doc), path
     )
 
 
