@@ -73,13 +73,20 @@ def compare(spark, con, sf, reg) -> tuple[str, int, float]:
 def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--plain", action="store_true", help="a session with no settings of ours")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
     from seriesforge import session
     from seriesforge.plans.catalog import load_all
 
-    spark = session.build(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
-                          spark__driver__memory="8g")
+    if args.plain:
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").getOrCreate()
+    else:
+        spark = session.build(
+            master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="8g"
+        )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(args.sf)
     failed = 0
