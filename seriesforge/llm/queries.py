@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from seriesforge.llm import chat, mixing
+from seriesforge.llm import chat, compression, mixing, pages, rules
 
 QUERIES = {
+    "op3_compression_quality": compression.query,
     "op5_mix_sources": mixing.query,
+    "op6_quality_rules": rules.query,
     "op8_chat_format": chat.query,
+    "op10_page_text": pages.query,
 }
 
 #: Where SQL can express the result; the others are held against brute force in tests/llm.
