@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from seriesforge.llm import chat, compression, mixing, pages, rules
+from seriesforge.llm import chat, compression, mixing, pages, rules, secrets
 
 QUERIES = {
+    "op1_secret_scan": secrets.query,
     "op3_compression_quality": compression.query,
     "op5_mix_sources": mixing.query,
     "op6_quality_rules": rules.query,
