@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from seriesforge.llm import chat, compression, mixing, pages, rules, secrets
+from seriesforge.llm import chat, compression, mixing, packing, pages, rules, secrets
 
 QUERIES = {
     "op1_secret_scan": secrets.query,
     "op3_compression_quality": compression.query,
     "op5_mix_sources": mixing.query,
     "op6_quality_rules": rules.query,
+    "op7_pack_retrieval": packing.query,
     "op8_chat_format": chat.query,
     "op10_page_text": pages.query,
 }
