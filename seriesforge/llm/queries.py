@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from seriesforge.llm import chat, compression, mixing, packing, pages, rules, secrets
+from seriesforge.llm import chat, compression, jaccard, mixing, packing, pages, rules, secrets
 
 QUERIES = {
     "op1_secret_scan": secrets.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_quality_rules": rules.query,
     "op7_pack_retrieval": packing.query,
     "op8_chat_format": chat.query,
+    "op9_jaccard_join": jaccard.query,
     "op10_page_text": pages.query,
 }
 
@@ -18,4 +19,5 @@ QUERIES = {
 SQL = {
     "op5_mix_sources": mixing.SQL,
     "op8_chat_format": chat.SQL,
+    "op9_jaccard_join": jaccard.SQL,
 }
