@@ -5,8 +5,8 @@ term), lies in a band. Of a text its distinct terms in the lexicon are kept, sor
 once for each of `SLOTS` random subsets of the lexicon; the fingerprint is the list of these
 hashes. A subset holds each lexicon term with probability 2^-level. Many edits leave a subset
 untouched only if it is small beside the text, so a text takes the level at which about a third
-of its subsets have a term, and the next finer one for comparison with texts of half the terms
-or twice as many. Likeness is the share of equal hashes among the subsets that either text has a
+of its subsets have a term, and the next two finer ones for comparison with texts of up to four
+times as many terms. Likeness is the share of equal hashes among the subsets that either text has a
 term in, an estimate of the share of kept terms that both texts have.
 
 Since every lexicon term occurs in at least exp(-highest idf) of the documents, the lexicon has at
@@ -45,7 +45,8 @@ SLOTS = 96
 LEAST = 4
 STRETCH = 512
 FLUSH = 2_000_000
-EMPTY = "0" * 2 + "0" * 6 * SLOTS
+LEVELS = 3  # of each text, so that texts with up to four times as many terms share one
+EMPTY = "0" * (2 + 3 * LEVELS * SLOTS)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -115,7 +116,7 @@ def lexicon(docs: DataFrame, band: tuple[float, float] = IDF_BAND) -> np.ndarray
 
 
 def fingerprint(text: bytes, lex: np.ndarray) -> str:
-    """Two hex digits of the level, then three for each slot at that level and at the next; 000 where a subset has no term."""
+    """Two hex digits of the level, then three for each slot at that level and the next ones; 000 where a subset has no term."""
     t = terms(text)
     if not len(t):
         return EMPTY
@@ -126,7 +127,7 @@ def fingerprint(text: bytes, lex: np.ndarray) -> str:
     level = (len(t) - 1).bit_length() + 1
     h = _mix(t[:, None] ^ SEEDS[None, :])
     out = [f"{level:02x}"]
-    for k in (level, level + 1):
+    for k in range(level, level + LEVELS):
         inside = h < np.uint64(1 << (64 - k))
         total = np.where(inside, _mix(h + SEEDS), np.uint64(0)).sum(axis=0, dtype=np.uint64)
         value = np.where(inside.any(axis=0), 1 + _mix(total) % np.uint64(4095), 0)
@@ -141,7 +142,7 @@ def likeness(a: str, b: str) -> float:
         return 0.0
     la, lb = int(a[:2], 16), int(b[:2], 16)
     k = max(la, lb)
-    if abs(la - lb) > 1:
+    if abs(la - lb) >= LEVELS:
         return 0.0
     width = 3 * SLOTS
     x, y = (s[2 + width * (k - lev) : 2 + width * (k - lev + 1)] for s, lev in ((a, la), (b, lb)))
