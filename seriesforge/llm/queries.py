@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from seriesforge.llm import chat, compression, fingerprints, jaccard, mixing, packing, pages, rules, secrets
+from seriesforge.llm import chat, compression, fingerprints, jaccard, lines, mixing, packing, pages, rules, secrets
 
 QUERIES = {
     "op1_secret_scan": secrets.query,
     "op2_imatch_fingerprint": fingerprints.query,
     "op3_compression_quality": compression.query,
+    "op4_line_dedup": lines.query,
     "op5_mix_sources": mixing.query,
     "op6_quality_rules": rules.query,
     "op7_pack_retrieval": packing.query,
