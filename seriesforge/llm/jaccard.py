@@ -32,10 +32,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesforge.llm.common import in_batches, table, utf8, written
+from seriesforge.llm.common import WORD, fresh, in_batches, table, utf8, written
 
 WIDTH = 5
 SIMILAR = 75  # per cent
@@ -82,7 +82,7 @@ def point_of(s: np.ndarray) -> int:
 
 
 def points(docs: DataFrame, width: int) -> DataFrame:
-    """kind 0: (doc_id, point, n); kind 1: point is a shingle that is frequent among n documents' points of one stretch of the input."""
+    """kind 0: (doc_id, key, point, n), key telling rows of different id or text apart; kind 1: point is a shingle that is frequent among n documents' points of one stretch of the input."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, np.ndarray] = {}
@@ -92,7 +92,7 @@ def points(docs: DataFrame, width: int) -> DataFrame:
             keys, n = np.unique(np.concatenate([*held.values(), np.zeros(0, np.uint64)]), return_counts=True)
             many = n >= max(2, HOT_SHARE * len(held))
             k = int(many.sum())
-            return pd.DataFrame({"kind": np.ones(k, int), "doc_id": pd.array([None] * k, dtype="Int64"), "point": keys[many].view(np.int64), "n": n[many]})
+            return pd.DataFrame({"kind": np.ones(k, int), "doc_id": pd.array([None] * k, dtype="Int64"), "key": np.zeros(k, int), "point": keys[many].view(np.int64), "n": n[many]})
 
         for b in batches:
             sets = [shingles(t, width) for t in b["text"]]
@@ -101,15 +101,19 @@ def points(docs: DataFrame, width: int) -> DataFrame:
                 if p not in held:
                     held[p] = s
                     count += len(s)
-            yield pd.DataFrame({"kind": 0, "doc_id": b["doc_id"].astype("Int64"), "point": ids, "n": [len(s) for s in sets]})
+            yield pd.DataFrame({"kind": 0, "doc_id": b["doc_id"].astype("Int64"), "key": b["key"], "point": ids, "n": [len(s) for s in sets]})
             if count >= FLUSH:
                 yield frequent()
                 held, count = {}, 0
         if len(held) >= HOT_LEAST:
             yield frequent()
 
-    whole = docs.select(F.col("doc_id").cast("long"), utf8("text").alias("text"))
-    return in_batches(whole).mapInPandas(run, "kind int, doc_id long, point long, n long")
+    whole = docs.select(F.col("doc_id").cast("long"), row_key(docs).alias("key"), utf8("text").alias("text"))
+    return in_batches(whole).mapInPandas(run, "kind int, doc_id long, key long, point long, n long")
+
+
+def row_key(docs: DataFrame) -> Column:
+    return F.xxhash64(docs["doc_id"].cast("long"), utf8("text"))
 
 
 def _five(h: np.ndarray) -> bytes:
@@ -313,41 +317,38 @@ def unfinished(members: DataFrame) -> DataFrame:
 def linked(kept: DataFrame, similar: int) -> DataFrame:
     """(point, label) of all points that have a link."""
     radius = 1 - similar / 100
-    central = kept.select("point", "central")
-    members = regions(kept, similar).join(central, "point").withColumn("label", F.col("point"))
-    links = None
+    members = regions(kept, similar).join(kept.select("point", "central"), "point").withColumn("label", F.col("point"))
+    links = kept.select("point", F.col("point").alias("pivot")).limit(0)
+    labels = kept.select("point", F.col("point").alias("label")).limit(0)
     pivots_wanted = 1
     while True:
         members = written(unfinished(members).select("region", "point", "central", "label"), "regions")
         if members.isEmpty():
-            break
+            return labels
         part = F.pmod(F.xxhash64("point", "region"), F.lit(pivots_wanted))
         pivots = members.groupBy("region", part.alias("part")).agg(F.max(F.struct("central", "point")).alias("top")).select("region", F.col("top.point").alias("pivot"))
         near = members.join(pivots, "region")
         pairs = near.filter("point <> pivot").select("point", "pivot").distinct()
         told = written(distances(pairs, kept).withColumn("distance", 1 - F.col("shared") / F.col("united")), "distances")
         found = told.filter(F.col("shared") * 100 >= F.col("united") * similar).select("point", "pivot")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            labels = components(links)
         left = near.join(pivots.select("region", F.col("pivot").alias("point")), ["region", "point"], "left_anti").join(told, ["point", "pivot"])
         cells = left.filter(F.col("distance") <= 3 * radius + 1e-9).select(F.xxhash64("region", "pivot").alias("region"), "point", "central")
         far = (
             left.groupBy("region", "point", "central").agg(F.min("distance").alias("nearest")).filter(F.col("nearest") > 2 * radius - 1e-9)
             .select(F.xxhash64("region", F.lit("far")).alias("region"), "point", "central")
         )
-        members = (
-            cells.unionByName(far).join(labels, "point", "left").withColumn("label", F.coalesce("label", "point"))
-        )
+        members = cells.unionByName(far).join(labels, "point", "left").withColumn("label", F.coalesce("label", "point"))
         pivots_wanted = min(4 * pivots_wanted, 64)
-    return components(links) if links is not None else kept.select("point", F.col("point").alias("label")).limit(0)
 
 
-def joined(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
-    """(doc_id, n_shingles, component_id), one row per document."""
+def grouped(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
+    """(doc_id, key, n_shingles, label): rows of one label are linked, directly or through others."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
     told = written(points(docs, width), "points")
-    narrow = told.filter("kind = 0").select("doc_id", "point", "n")
+    narrow = told.filter("kind = 0").select("doc_id", "key", "point", "n")
     sizes = narrow.agg(F.sum("n").alias("postings"), F.count(F.lit(1)).alias("rows")).first()
     often = told.filter("kind = 1").groupBy("point").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(HOT_LEAST, HOT_SHARE * sizes["rows"]))
     # At most mean set size / HOT_SHARE rows.
@@ -355,10 +356,31 @@ def joined(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR) -> DataF
     bits = min(22, max(4, int(sizes["postings"] or 0) // BUCKET).bit_length())
     kept = written(survivors(shared_shingles(postings(docs, width, bits, hot), 1 << bits), similar), "shared")
     labels = linked(kept, similar)
-    grouped = narrow.join(labels, "point", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "point").alias("label"))
-    smallest = grouped.filter("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    full = grouped.filter("n_shingles > 0").join(smallest, "label").select("doc_id", "n_shingles", "component_id")
-    return full.unionByName(grouped.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    return narrow.join(labels, "point", "left").select("doc_id", "key", F.col("n").alias("n_shingles"), F.coalesce("label", "point").alias("label"))
+
+
+def joined(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
+    """(doc_id, n_shingles, component_id), one row per document."""
+    rows = grouped(docs.select("doc_id", "text"), width, similar)
+    smallest = rows.filter("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    full = rows.filter("n_shingles > 0").join(smallest, "label").select("doc_id", "n_shingles", "component_id")
+    return full.unionByName(rows.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
+    """`docs` with one row of each group, that of the smallest doc_id; texts without words all stay."""
+    n = fresh(docs, "key", "stays", "nth")
+    rows = written(grouped(docs.select("doc_id", "text"), width, similar), "grouped")
+    first = rows.filter("n_shingles > 0").groupBy("label").agg(F.min_by("key", F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first"))
+    gone = rows.filter("n_shingles > 0").join(first, "label").filter("key <> first").select(F.col("key").alias(n["key"])).distinct()
+    single = Window.partitionBy(n["key"]).orderBy(n["key"])
+    return (
+        docs.withColumn(n["key"], row_key(docs))
+        .join(gone, n["key"], "left_anti")
+        .withColumn(n["nth"], F.row_number().over(single))
+        .filter((F.col(n["nth"]) == 1) | ~F.coalesce(F.col("text"), F.lit("")).rlike(WORD))
+        .select(*docs.columns)
+    )
 
 
 def query(spark, sf: str) -> DataFrame:

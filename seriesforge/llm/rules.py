@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from seriesforge.llm.common import in_batches, table, utf8
+from seriesforge.llm.common import fresh, in_batches, table, utf8
 
 SAMPLE = 12_000
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_upper long, n_distinct long, n_lines long"
@@ -225,6 +225,13 @@ def judged(docs: DataFrame, rules: Sequence[Rule], into: str = "stats") -> DataF
     return told.withColumn("kept", ~F.col("base_failed") & verdict(rules, ratios(into)))
 
 
+def kept_only(docs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The documents that are kept, in the columns of `docs`."""
+    n = fresh(docs, "stats")
+    told = with_stats(docs, n["stats"])
+    return told.filter(~base_failed(n["stats"]) & verdict(rules, ratios(n["stats"]))).select(*docs.columns)
+
+
 def query(spark, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     out = judged(docs, fit(docs, table(spark, sf, "labels")))
