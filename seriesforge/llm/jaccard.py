@@ -13,7 +13,9 @@ are one point) and never lists the pairs of a group:
    inequality a partner of a point within twice the radius of a pivot lies within three times the
    radius: such boundary points are replicated into the pivot's region, all other points go to
    the region of those far from every pivot. Regions whose points are already connected are
-   done, the others are divided again with more pivots, until none is left.
+   done, the others are divided again with more pivots. After `DIVISIONS` divisions a region of at
+   most `SMALL` points is joined by an index of its own; larger ones are divided on, until none
+   is left.
 
 Shingles that a large share of documents has are found first, a list whose length is bounded by
 the mean set size over that share; they come last in the order and are not sent through the
@@ -43,6 +45,8 @@ HOT_SHARE = 0.0025
 HOT_LEAST = 8
 FLUSH = 2_000_000  # postings gathered before they are sent
 BUCKET = 1_000_000  # postings of an index bucket, about
+DIVISIONS = 3  # of every region by pivots, before small ones are joined at once
+SMALL = 512  # points
 LOW = np.uint64((1 << 40) - 1)
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -305,13 +309,42 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def unfinished(members: DataFrame) -> DataFrame:
-    """(region, point, ...) of regions with points of different components, one region for each membership."""
+    """(region, point, central, label, rows) of regions with points of different components, one region for each membership."""
     told = members.groupBy("region").agg(
         F.count(F.lit(1)).alias("rows"), F.min("label").alias("lo"), F.max("label").alias("hi"),
         F.sum(F.hash("point").cast("long")).alias("sum_a"), F.sum(F.xxhash64("point").cast("decimal(20,0)")).alias("sum_b"),
     )
     one = told.filter("lo <> hi").groupBy("rows", "sum_a", "sum_b").agg(F.min("region").alias("region"))
-    return members.join(one.select("region"), "region")
+    return members.join(one.select("region", "rows"), "region").select("region", "point", "central", "label", "rows")
+
+
+def small_joins(members: DataFrame, kept: DataFrame, similar: int) -> DataFrame:
+    """(point, pivot): links between points of different components within regions of at most `SMALL` points, by a local index."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        m = len(rows)
+        sets = [np.frombuffer(k, "<u8") for k in rows["keys"]]
+        sizes, label, n, points_ = np.array([len(x) for x in sets]), rows["label"].to_numpy().copy(), rows["n"].to_numpy(), rows["point"].to_numpy()
+        key = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        owner = np.repeat(np.arange(m), sizes)
+        order = np.argsort(key, kind="stable")
+        holders, first = owner[order], np.concatenate([[0], np.cumsum(np.bincount(key))])
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        out = []
+        for i in range(m - 1):
+            mine = key[ends[i] : ends[i + 1]]
+            spans = [holders[first[k] : first[k + 1]] for k in mine]
+            both = np.bincount(np.concatenate(spans), minlength=m)
+            hit = (100 * both >= similar * (n + n[i] - both)) & (label != label[i])
+            hit[: i + 1] = False
+            for j in np.flatnonzero(hit):
+                if label[j] != label[i]:
+                    out.append((points_[i], points_[j]))
+                    label[label == label[j]] = label[i]
+        return pd.DataFrame(out, columns=["point", "pivot"], dtype="int64")
+
+    whole = members.join(kept.select("point", "n", "keys"), "point").select("region", "point", "label", "n", "keys")
+    return whole.groupBy("region").applyInPandas(run, "point long, pivot long")
 
 
 def linked(kept: DataFrame, similar: int) -> DataFrame:
@@ -320,28 +353,33 @@ def linked(kept: DataFrame, similar: int) -> DataFrame:
     members = regions(kept, similar).join(kept.select("point", "central"), "point").withColumn("label", F.col("point"))
     links = kept.select("point", F.col("point").alias("pivot")).limit(0)
     labels = kept.select("point", F.col("point").alias("label")).limit(0)
-    pivots_wanted = 1
+    turn = 0
     while True:
-        members = written(unfinished(members).select("region", "point", "central", "label"), "regions")
+        members = written(unfinished(members), "regions")
+        if turn >= DIVISIONS:
+            # Divided so often, most regions are small: they join at once, the others are divided on.
+            links = links.unionByName(written(small_joins(members.filter(F.col("rows") <= SMALL), kept, similar), "links"))
+            members = members.filter(F.col("rows") > SMALL)
         if members.isEmpty():
-            return labels
-        part = F.pmod(F.xxhash64("point", "region"), F.lit(pivots_wanted))
+            return components(links) if turn >= DIVISIONS else labels
+        part = F.pmod(F.xxhash64("point", "region"), F.lit(4**turn))
         pivots = members.groupBy("region", part.alias("part")).agg(F.max(F.struct("central", "point")).alias("top")).select("region", F.col("top.point").alias("pivot"))
         near = members.join(pivots, "region")
-        pairs = near.filter("point <> pivot").select("point", "pivot").distinct()
+        pairs = near.filter("point <> pivot").select(F.least("point", "pivot").alias("point"), F.greatest("point", "pivot").alias("pivot")).distinct()
         told = written(distances(pairs, kept).withColumn("distance", 1 - F.col("shared") / F.col("united")), "distances")
         found = told.filter(F.col("shared") * 100 >= F.col("united") * similar).select("point", "pivot")
         if not found.isEmpty():
             links = links.unionByName(found)
             labels = components(links)
-        left = near.join(pivots.select("region", F.col("pivot").alias("point")), ["region", "point"], "left_anti").join(told, ["point", "pivot"])
+        either = told.select("point", "pivot", "distance").unionByName(told.select(F.col("pivot").alias("point"), F.col("point").alias("pivot"), "distance"))
+        left = near.join(pivots.select("region", F.col("pivot").alias("point")), ["region", "point"], "left_anti").join(either, ["point", "pivot"])
         cells = left.filter(F.col("distance") <= 3 * radius + 1e-9).select(F.xxhash64("region", "pivot").alias("region"), "point", "central")
         far = (
             left.groupBy("region", "point", "central").agg(F.min("distance").alias("nearest")).filter(F.col("nearest") > 2 * radius - 1e-9)
             .select(F.xxhash64("region", F.lit("far")).alias("region"), "point", "central")
         )
         members = cells.unionByName(far).join(labels, "point", "left").withColumn("label", F.coalesce("label", "point"))
-        pivots_wanted = min(4 * pivots_wanted, 64)
+        turn += 1
 
 
 def grouped(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:

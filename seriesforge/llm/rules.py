@@ -152,16 +152,18 @@ def learn(values: dict[str, np.ndarray], bad: np.ndarray, precision: float = 0.9
     n = len(bad)
     third = np.arange(n) % 3 == 2
     left, rules = np.ones(n, bool), []
-    while (left & bad & ~third).any() and (left & ~bad & ~third).any():
+    open_to = dict(values)  # statistics that may begin the next rule
+    while open_to and (left & bad & ~third).any() and (left & ~bad & ~third).any():
         rule: Rule = ()
         inside = left & ~third
         while (inside & ~bad).any() and len(rule) < 4:
-            c = _best_condition(values, bad, inside, steps)
+            c = _best_condition(values if rule else open_to, bad, inside, steps)
             if c is None:
                 break
             rule, inside = (*rule, c), inside & c.holds(values)
         if not rule:
             break
+        first = rule[0].name
 
         def worth(r):
             hit = left & third & covers(r, values, n)
@@ -172,10 +174,12 @@ def learn(values: dict[str, np.ndarray], bad: np.ndarray, precision: float = 0.9
             rule = rule[:-1]
         hit = left & covers(rule, values, n)
         held = hit & third
-        if int((hit & bad).sum()) < least or (held & bad).sum() < precision * max(1, held.sum()):
-            break
-        rules.append(rule)
-        left &= ~hit
+        if int((hit & bad).sum()) >= least and held.any() and (held & bad).sum() >= precision * held.sum():
+            rules.append(rule)
+            left &= ~hit
+            open_to = dict(values)
+        else:  # it does not hold on the other third: begin with another statistic
+            del open_to[first]
     return rules
 
 

@@ -6,7 +6,7 @@ log-likelihood ratio of the two models, summed over its character pairs, exceeds
 
 Everything is DataFrame functions: matches and the pieces between them come from the regular
 expression functions, positions are running lengths along both, a score is a fold over a
-string's characters with the table of pair ratios as a constant. Only that table, 66 x 66
+string's characters with the table of pair ratios as a constant. Only that table, 67 x 67
 numbers, passes the driver.
 
 Labelled samples come from the documents themselves: of the documented bound `SAMPLE` of
@@ -81,21 +81,29 @@ def pair_counts(samples: DataFrame) -> DataFrame:
     return pairs.filter("pair IS NOT NULL").groupBy("random", "pair").agg(F.count(F.lit(1)).alias("n"))
 
 
-def train(samples: DataFrame, smooth: float = 0.5) -> list[int]:
-    """Log-likelihood ratio of each character pair, random over ordinary, in thousandths. Empty if a class is missing."""
+def train(samples: DataFrame, smooth: float = 0.5, prior: float = 4.0) -> list[int]:
+    """Log-likelihood ratio of each character pair, random over ordinary, in thousandths. Empty if a class is missing.
+
+    A model is its pair counts and, with the weight of `prior` pairs, its single characters, so that a
+    character seldom seen in a class speaks against the class whatever stands before it.
+    """
     k = len(ALPHABET)
-    counts = {True: [smooth] * (k * k), False: [smooth] * (k * k)}
-    seen = {True: 0, False: 0}
-    for row in pair_counts(samples).collect():  # at most 2 x 66 x 66 rows
-        counts[row["random"]][row["pair"]] += row["n"]
-        seen[row["random"]] += row["n"]
-    if not seen[True] or not seen[False]:
+    counts = {True: [0] * (k * k), False: [0] * (k * k)}
+    for row in pair_counts(samples).collect():  # at most 2 x 67 x 67 rows
+        counts[row["random"]][row["pair"]] = row["n"]
+    if not sum(counts[True]) or not sum(counts[False]):
         return []
-    ratios = []
-    for a in range(k):
-        totals = {c: sum(counts[c][a * k : a * k + k]) for c in counts}
-        ratios += [round(SCALE * math.log(counts[True][a * k + b] / totals[True] / (counts[False][a * k + b] / totals[False]))) for b in range(k)]
-    return ratios
+
+    def chance(c: list[int]) -> list[float]:
+        single = [sum(c[b::k]) + smooth for b in range(k)]
+        total = sum(single)
+        out = []
+        for a in range(k):
+            row = c[a * k : a * k + k]
+            out += [(row[b] + prior * single[b] / total) / (sum(row) + prior) for b in range(k)]
+        return out
+
+    return [round(SCALE * math.log(p / q)) for p, q in zip(chance(counts[True]), chance(counts[False]))]
 
 
 def ratio_of(token: str, ratios: list[int]) -> str:
