@@ -11,8 +11,8 @@ numbers, passes the driver.
 
 Labelled samples come from the documents themselves: of the documented bound `SAMPLE` of
 documents, those with the smallest hash, the values found by the base rules and digests of the
-ids in three alphabets stand for random strings; long tokens outside base matches, and
-neighbouring words joined as identifiers are joined, stand for ordinary ones. All documents and
+ids in three alphabets stand for random strings; long tokens of plain words outside base matches,
+and neighbouring words joined as identifiers are joined, stand for ordinary ones. All documents and
 whole texts are scanned.
 
 Defined results: null text is empty and has no spans; positions are code points, ends exclusive;
@@ -40,6 +40,8 @@ KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 SHORTEST = 16
 TOKEN = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{SHORTEST},}}"
+#: Long tokens that may stand for ordinary ones: words of one case, capitalised or not, and short numbers, joined by separators.
+SHAPED = r"^([A-Z]?[a-z]+|[A-Z]+)([_/=+-]+([A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}))*$"
 SAMPLE = 20_000
 ODDS = 12.0
 SCALE = 1000  # ratios are whole thousandths, so that sums do not depend on their order
@@ -128,12 +130,16 @@ def labelled_samples(docs: DataFrame, most: int = SAMPLE) -> DataFrame:
         F.explode(F.array(F.substring(digest, 1, 40), F.base64(F.unhex(digest)), F.upper(F.regexp_replace(F.base64(F.unhex(digest)), "[+/=]", "")))).alias("token"), F.lit(True).alias("random")
     )
     words = F.regexp_extract_all(F.col("text"), F.lit(r"\b[A-Za-z]{2,15}\b"), F.lit(0))
+    # Names as people write them: words joined in the usual ways, with dates and numbers.
     three = F.slice(words, 1, 3)
+    number = lambda most: F.pmod(F.hash("doc_id", F.lit(most)), F.lit(most)).cast("string")
+    day = lambda k: F.date_add(F.lit("2000-01-01").cast("date"), F.pmod(F.hash("doc_id", F.lit(k)), F.lit(12_000))).cast("string")
     joined = F.array(
+        F.concat_ws("_", day(1), day(2)), F.concat_ws("-", F.lower(F.try_element_at(words, F.lit(1))), number(100), number(1000), number(10)), F.concat_ws("-", number(1000), number(999), number(10_000), number(9999)),
         F.lower(F.array_join(three, "_")), F.array_join(F.transform(three, F.initcap), ""), F.lower(F.array_join(three, "-")), F.array_join(three, "/"), F.upper(F.array_join(three, "_"))
     )
     made = text.select(F.explode(joined).alias("token"), F.lit(False).alias("random")).filter(F.length("token") > 1)
-    ordinary = found.select(F.explode(F.transform(outside, lambda t: t["t"])).alias("token"), F.lit(False).alias("random"))
+    ordinary = found.select(F.explode(F.transform(outside, lambda t: t["t"])).alias("token"), F.lit(False).alias("random")).filter(F.col("token").rlike(SHAPED))
     return by_rule.unionByName(drawn).unionByName(made).unionByName(ordinary)
 
 
