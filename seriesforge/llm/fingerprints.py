@@ -55,7 +55,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-SEEDS = _mix(np.arange(1, SLOTS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+SEEDS = _mix(np.arange(1, SLOTS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
 def terms(text: bytes) -> np.ndarray:
@@ -125,13 +125,18 @@ def fingerprint(text: bytes, lex: np.ndarray) -> str:
         inside = t[lex[at] == t]
         t = inside if len(inside) >= LEAST else t
     level = (len(t) - 1).bit_length() + 1
-    h = _mix(t[:, None] ^ SEEDS[None, :])
+    # Terms are hashes already, so one odd factor a slot scatters them anew.
+    h = t[:, None] * SEEDS[None, :]
+    term, slot = np.nonzero(h < np.uint64(1 << (64 - level)))
+    h = h[term, slot]
+    value = _mix(h)
     out = [f"{level:02x}"]
     for k in range(level, level + LEVELS):
         inside = h < np.uint64(1 << (64 - k))
-        total = np.where(inside, _mix(h + SEEDS), np.uint64(0)).sum(axis=0, dtype=np.uint64)
-        value = np.where(inside.any(axis=0), 1 + _mix(total) % np.uint64(4095), 0)
-        out.append("".join([f"{v:03x}" for v in value.tolist()]))
+        total = np.zeros(SLOTS, np.uint64)
+        np.add.at(total, slot[inside], value[inside])
+        some = np.bincount(slot[inside], minlength=SLOTS) > 0
+        out.append("".join([f"{v:03x}" for v in np.where(some, 1 + _mix(total) % np.uint64(4095), 0).tolist()]))
     return "".join(out)
 
 
