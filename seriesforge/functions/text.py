@@ -69,9 +69,16 @@ def collapse_space(c: Column) -> Column:
 
 def fold(c: Column) -> Column:
     """Search folding after compatibility normalisation."""
-    t = F.regexp_replace(c, TASHKEEL, "")
-    t = F.translate(t, FOLD_FROM + ARABIC_INDIC_DIGITS, FOLD_TO + ASCII_DIGITS)
-    return F.lower(F.trim(collapse_space(t)))
+    return fold_shown(F.trim(collapse_space(F.regexp_replace(c, TASHKEEL, ""))))
+
+
+def shown_form(c: Column) -> Column:
+    """Text whose positions are those of its search form: only letters differ."""
+    return F.replace(F.trim(collapse_space(F.regexp_replace(nfkc(c), TASHKEEL, ""))), F.lit("İ"), F.lit("I"))
+
+
+def fold_shown(c: Column) -> Column:
+    return F.lower(F.translate(c, FOLD_FROM + ARABIC_INDIC_DIGITS, FOLD_TO + ASCII_DIGITS))
 
 
 def search_form(c: Column, compose: bool = True) -> Column:

@@ -2,7 +2,7 @@
 
 All of them reduce both sides to one row per (keys, date) before the window, so a
 window holds at most two rows per calendar day of its key; the answer is then
-looked up by equality for the probe rows, salted against hot dates.
+looked up by equality for the probe rows; adaptive execution splits a hot date.
 """
 
 from __future__ import annotations
@@ -12,8 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesforge.operators.spread import default_salts, salted_lookup
-
 
 def _timeline(
     probe: DataFrame, obs: DataFrame, on: Sequence[str], at: str, obs_at: str, cols: Sequence[str], daily: bool
@@ -41,7 +39,7 @@ def _answer(
     if "_ask" in probe.columns:
         raise ValueError("probe already has a column _ask")
     found = asked.select(*on, F.col("_at").alias("_ask"), *picked)
-    return salted_lookup(probe.withColumn("_ask", F.col(at)), found, [*on, "_ask"]).drop("_ask")
+    return probe.withColumn("_ask", F.col(at)).join(found, [*on, "_ask"], "left").drop("_ask")
 
 
 def _picked(cols: Sequence[str], names: Sequence[str] | None, obs_at_name: str | None) -> list[Column]:
@@ -137,8 +135,6 @@ def label_regime(df: DataFrame, at: Column, regimes: Sequence[tuple[str, str | N
     The list is configuration (a handful of entries), so it is compiled into the
     expression: no join, no shuffle.
     """
-    if len(regimes) > 200:
-        raise ValueError("a declared regime list this long belongs in interval_join")
     expr = F.lit(None).cast("string")
     for lo, hi, label in reversed(list(regimes)):
         inside = at >= F.lit(lo).cast("date")
@@ -154,11 +150,13 @@ def interval_join(
     """Rows to every interval that covers their date, for interval tables of any size.
 
     Intervals are cut at month edges and joined by (month), an equality, with the
-    exact bounds checked after; an open end stops at `last_day`. Months are spread
-    over salts because one month may hold most rows.
+    exact bounds checked after; an open end stops at `last_day`. Only the distinct dates
+    of the rows meet the intervals, at most 31 a month; the rows join their date's
+    intervals by equality, where adaptive execution splits a hot date.
     """
-    salts = default_salts(df)
-    month = F.trunc(F.col(at), "month")
+    if "_day" in df.columns:
+        raise ValueError("rows already have a column _day")
+    days = df.select(F.col(at).alias("_day")).distinct().withColumn("_month", F.trunc("_day", "month"))
     spans = (
         intervals.withColumn("_hi", F.coalesce(F.col(hi), last_day.cast("date")))
         .filter(F.col(lo) <= F.col("_hi"))
@@ -170,17 +168,10 @@ def interval_join(
                 )
             ),
         )
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        .select("_month", "_salt", F.col(lo).alias("_lo"), "_hi", *cols)
-    )
-    rows = df.withColumn("_month", month).withColumn(
-        "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)).cast("int")
-    )
-    return (
-        rows.join(spans, ["_month", "_salt"], "inner")
-        .filter((F.col(at) >= F.col("_lo")) & (F.col(at) <= F.col("_hi")))
-        .drop("_month", "_salt", "_lo", "_hi")
+        .select("_month", F.col(lo).alias("_lo"), "_hi", *cols)
     )
+    covered = days.join(spans, "_month").filter((F.col("_day") >= F.col("_lo")) & (F.col("_day") <= F.col("_hi"))).select("_day", *cols)
+    return df.withColumn("_day", F.col(at)).join(covered, "_day").drop("_day")
 
 
 def step_daily(obs: DataFrame, until: Column) -> DataFrame:

@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesforge.operators.spread import salted_lookup
-
 
 def keep_first(obs: DataFrame, ord_col: str = "ord") -> DataFrame:
     """One value per (series_id, period): the first as served."""
@@ -19,15 +17,15 @@ def keep_first(obs: DataFrame, ord_col: str = "ord") -> DataFrame:
 def anomalies(obs: DataFrame, ord_col: str = "ord", dataset: str | None = None) -> DataFrame:
     """Later prints that differ from the one kept, one row per print.
 
-    Equal repeats collapse before the shuffle, and the kept value is looked up with
-    salting because one date of one series may carry most of the prints.
+    Equal repeats collapse before the shuffle; the kept value is looked up by a plain join,
+    whose hot keys adaptive execution splits.
     """
     prints = obs.groupBy("series_id", "period", "value").agg(
         F.min(ord_col).alias("_ord"), F.count(F.lit(1)).alias("_times")
     )
     kept = prints.groupBy("series_id", "period").agg(F.min_by("value", "_ord").alias("kept"))
     out = (
-        salted_lookup(prints, kept, ["series_id", "period"], "inner", spread_by=["value"])
+        prints.join(kept, ["series_id", "period"])
         .filter(F.col("value") != F.col("kept"))
         .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times"))))
         .select("series_id", "period", "kept", F.col("value").alias("discarded"))
@@ -108,7 +106,7 @@ def advertise(catalog: DataFrame, obs: DataFrame, owned: Sequence[str]) -> DataF
 def preserve_labels(new: DataFrame, old: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
     """Keep hand-written fields of the previous run where they are not empty."""
     was = old.groupBy(*keys).agg(*[F.max(f).alias(f"_old_{f}") for f in fields])
-    out = salted_lookup(new, was, list(keys))
+    out = new.join(was, list(keys), "left")
     for f in fields:
         hand = F.nullif(F.col(f"_old_{f}"), F.lit(""))
         out = out.withColumn(f, F.coalesce(hand, F.col(f)) if f in new.columns else hand)

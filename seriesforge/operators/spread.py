@@ -27,52 +27,6 @@ def _salt_of(df: DataFrame, salts: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)).cast("int")
 
 
-def salted_lookup(
-    big: DataFrame,
-    small: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    salts: int | None = None,
-    spread_by: Sequence[str] | None = None,
-) -> DataFrame:
-    """Join where `small` has one row per key and `big` may repeat a key without bound.
-
-    Rows of a hot key go to `salts` tasks; the lookup row is repeated to each of them.
-    """
-    salts = salts or default_salts(big)
-    basis = [F.col(c) for c in (spread_by or big.columns)]
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(*basis), F.lit(salts)).cast("int"))
-    right = small.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
-
-
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Give heavy row-wise work every core where the input comes in a few pieces.
-
-    A table of fewer scan partitions than cores gets one round-robin shuffle; a
-    large table has partitions enough and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def spread_for_python(df: DataFrame) -> DataFrame:
-    """Even partitions in front of a slow Python helper, which adaptive coalescing would merge."""
-    spark = df.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return df.repartition(n)
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast a list only after counting that it is short; otherwise leave it to a shuffle.
-
-    Runs a small job, so it belongs in steps that write, over inputs already written.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def top_per_group(
     df: DataFrame,
     keys: Sequence[str],

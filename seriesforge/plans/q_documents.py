@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from seriesforge.functions import text
 from seriesforge.operators import quality, search, statements
-from seriesforge.operators.spread import spread_for_python
 from seriesforge.plans import views as v
 from seriesforge.plans.catalog import query
 from seriesforge.plans.q_scalar import STOP_SQL
@@ -124,16 +123,26 @@ def sentence_sets(spark, sf):
     return s.select("conv_id", "turn", big("added"), big("removed"), big("common"), "jaccard")
 
 
-@query("m7_statement_diffs", "M7 M8 B11 M12")
+DIFF_SQL = f"""WITH s AS (SELECT conv_id, turn, {SENT_SQL} AS now, list_distinct(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS words FROM conversations),
+p AS (SELECT *, lag(now) OVER w AS was, lag(words) OVER w AS old_words FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY turn) QUALIFY lag(turn) OVER w IS NOT NULL),
+a AS (SELECT conv_id, turn, unnest(range(0, len(was))) AS i, unnest(was) AS s FROM p),
+b AS (SELECT conv_id, turn, unnest(range(0, len(now))) AS j, unnest(now) AS s FROM p),
+c AS (SELECT conv_id, turn, i, j FROM (SELECT conv_id, turn, s, min(i) AS i FROM a GROUP BY ALL HAVING count(*) = 1) JOIN (SELECT conv_id, turn, s, min(j) AS j FROM b GROUP BY ALL HAVING count(*) = 1) USING (conv_id, turn, s)),
+k AS (SELECT conv_id, turn, i, j FROM c QUALIFY j > coalesce(max(j) OVER (PARTITION BY conv_id, turn ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1)
+  UNION ALL SELECT conv_id, turn, -1, -1 FROM p UNION ALL SELECT conv_id, turn, len(was), len(now) FROM p),
+g AS (SELECT conv_id, turn, i, j, lead(i) OVER w - i - 1 AS gone, lead(j) OVER w - j - 1 AS come FROM k WINDOW w AS (PARTITION BY conv_id, turn ORDER BY i, j) QUALIFY lead(i) OVER w IS NOT NULL),
+d AS (SELECT conv_id, turn, CAST(sum(greatest(come - gone, 0)) AS INT) AS added, CAST(sum(greatest(gone - come, 0)) AS INT) AS removed,
+  CAST(sum(len(list_filter(range(1, least(gone, come) + 1), lambda t: was[i + 1 + t] <> now[j + 1 + t]))) AS INT) AS changed FROM g JOIN p USING (conv_id, turn) GROUP BY 1, 2),
+l AS (SELECT conv_id, turn, CASE WHEN len(words) + len(old_words) > 0 THEN 2 * len(list_intersect(words, old_words)) / (len(words) + len(old_words))::DOUBLE ELSE 1 END AS similarity,
+  CASE WHEN len(now) + len(was) > 0 THEN 2 * len(list_intersect(list_distinct(now), list_distinct(was))) / (len(list_distinct(now)) + len(list_distinct(was)))::DOUBLE ELSE 1 END AS sentence_overlap FROM p)
+SELECT conv_id, turn, similarity, sentence_overlap, added, removed, changed, CAST(floor((1 - similarity) * 100 + 0.5) AS INT) AS wording_changed_pct FROM l JOIN d USING (conv_id, turn)"""
+
+
+@query("m7_statement_diffs", "M7 M8 B11 M12", DIFF_SQL)
 def statement_diffs(spark, sf):
-    c = v.text_table(spark, sf, "conversations")
-    p = spread_for_python(statements.consecutive(c, ["conv_id"], "turn", ["text"]).filter("previous is not null"))
-    before, after = F.col("previous.text"), F.col("text")
-    d = p.select(
-        "conv_id", "turn",
-        statements.diff_texts(before, after, statements.sentences(before), statements.sentences(after)).alias("_d"),
-    ).select("conv_id", "turn", "_d.*")
-    return statements.slim_diffs(d)
+    p = statements.consecutive(v.text_table(spark, sf, "conversations"), ["conv_id"], "turn", ["text"]).filter("previous is not null")
+    d = statements.diff_texts(p, F.col("previous.text"), F.col("text"))
+    return statements.slim_diffs(d.select("conv_id", "turn", "similarity", "sentence_overlap", "added", "removed", "changed"))
 
 
 @query(
@@ -165,7 +174,7 @@ def rate_moves(spark, sf):
 
 POSTINGS_SQL = f""", raw AS (SELECT doc_id, page, unnest(regexp_extract_all(lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))), '[a-z0-9\\x{{0600}}-\\x{{06FF}}]+')) AS term FROM doc_pages),
 tok AS (SELECT * FROM raw WHERE length(term) BETWEEN 2 AND 28 AND term NOT IN ({STOP_SQL}) AND NOT regexp_full_match(term, '[0-9]+')),
-postings AS (SELECT term, doc_id, page, CAST(least(count(*), 255) AS INT) AS tf FROM tok GROUP BY ALL),
+postings AS (SELECT term, doc_id, page, CAST(count(*) AS INT) AS tf FROM tok GROUP BY ALL),
 freq AS (SELECT term, count(*) AS df FROM postings GROUP BY 1),
 terms AS (SELECT term, df, df > greatest(1, floor((SELECT count(*) FROM doc_pages) * 0.28)) AS common FROM freq),
 kept AS (SELECT p.* FROM postings p JOIN terms t USING (term) WHERE NOT t.common)
@@ -189,7 +198,7 @@ def document_frequency(spark, sf):
 @query("n2_common_terms", "N2", v.with_ctes("doc_pages", POSTINGS_SQL + "SELECT term, df, common FROM terms"))
 def common_terms(spark, sf):
     pages = v.doc_pages(spark, sf)
-    return search.term_table(search.term_counts(pages, _folded()), pages)
+    return search.term_table(search.term_counts(pages, _folded()), pages, search.MAX_DOC_FRACTION)
 
 
 SHARD_SQL = """CAST(list_reduce(list_prepend(5381::BIGINT, list_transform(string_split(term, ''), lambda c: unicode(c)::BIGINT)), lambda h, c: (h * 33 + c) % 4294967296) % 256 AS INT)"""
@@ -197,8 +206,7 @@ SHARD_SQL = """CAST(list_reduce(list_prepend(5381::BIGINT, list_transform(string
 
 @query(
     "n3_index_postings", "N3 J4 B17 C22",
-    v.with_ctes("doc_pages", POSTINGS_SQL + f"""SELECT term, doc_id, page, tf, {SHARD_SQL} AS shard FROM kept
-QUALIFY row_number() OVER (PARTITION BY term ORDER BY tf DESC, doc_id, page) <= 4000"""),
+    v.with_ctes("doc_pages", POSTINGS_SQL + f"""SELECT term, doc_id, page, tf, {SHARD_SQL} AS shard FROM postings"""),
 )
 def index_postings(spark, sf):
     return search.index_postings(v.doc_pages(spark, sf), _folded())
@@ -210,7 +218,7 @@ def index_postings(spark, sf):
 (SELECT * FROM kept QUALIFY row_number() OVER (PARTITION BY term ORDER BY tf DESC, doc_id, page) <= 25) GROUP BY 1"""),
 )
 def posting_cap(spark, sf):
-    p = search.index_postings(v.doc_pages(spark, sf), _folded(), cap=25)
+    p = search.index_postings(v.doc_pages(spark, sf), _folded(), fraction=search.MAX_DOC_FRACTION, cap=25)
     return p.groupBy("term").agg(F.count(F.lit(1)).alias("kept"), F.max("tf").alias("top_tf"), F.min("tf").alias("least_tf"))
 
 
@@ -219,12 +227,12 @@ QUERY = "The Elle, tion-que 12"
 
 @query(
     "n4_full_text", "N4 G13 J5",
-    v.with_ctes("doc_pages", POSTINGS_SQL + """SELECT doc_id, page, CAST(sum(tf) AS BIGINT) AS score FROM kept WHERE term IN ('elle', 'tion', 'que') GROUP BY 1, 2 HAVING count(*) = 3
+    v.with_ctes("doc_pages", POSTINGS_SQL + """SELECT doc_id, page, CAST(sum(tf) AS BIGINT) AS score FROM postings WHERE term IN ('elle', 'tion', 'que') GROUP BY 1, 2 HAVING count(*) = 3
 ORDER BY score DESC, doc_id, page LIMIT 60"""),
 )
 def full_text(spark, sf):
-    p = search.index_postings(v.doc_pages(spark, sf), _folded(), cap=None)
-    return search.full_text(p, QUERY)
+    p = search.index_postings(v.doc_pages(spark, sf), _folded())
+    return search.full_text(p, QUERY, limit=search.FULL_TEXT_HITS)
 
 
 @query(
@@ -235,27 +243,27 @@ HAVING count(*) = (SELECT count(*) FROM terms WHERE term IN ('of', 'erat', 'tion
 def full_text_ignoring_common(spark, sf):
     pages = v.doc_pages(spark, sf)
     counted = search.term_counts(pages, _folded())
-    common = search.term_table(counted, pages).filter("common")
+    common = search.term_table(counted, pages, search.MAX_DOC_FRACTION).filter("common")
     kept = counted.join(common.select("term"), "term", "left_anti")
     return search.full_text(kept, "of erat tion", common, limit=None)
 
 
 @query(
     "g13_conjunction", "G13",
-    v.with_ctes("doc_pages", POSTINGS_SQL + """SELECT doc_id, page, CAST(sum(tf) AS BIGINT) AS score FROM kept WHERE term IN ('der', 'und') GROUP BY 1, 2 HAVING count(*) = 2"""),
+    v.with_ctes("doc_pages", POSTINGS_SQL + """SELECT doc_id, page, CAST(sum(tf) AS BIGINT) AS score FROM postings WHERE term IN ('der', 'und') GROUP BY 1, 2 HAVING count(*) = 2"""),
 )
 def conjunction(spark, sf):
-    p = search.index_postings(v.doc_pages(spark, sf), _folded(), cap=None)
+    p = search.index_postings(v.doc_pages(spark, sf), _folded())
     return search.full_text(p, "und der", limit=None)
 
 
 @query(
     "n11_restricted_hits", "N11 D17",
-    v.with_ctes("doc_pages", POSTINGS_SQL + """, hits AS (SELECT doc_id, page, CAST(sum(tf) AS BIGINT) AS score FROM kept WHERE term IN ('elle', 'tion', 'que') GROUP BY 1, 2 HAVING count(*) = 3)
+    v.with_ctes("doc_pages", POSTINGS_SQL + """, hits AS (SELECT doc_id, page, CAST(sum(tf) AS BIGINT) AS score FROM postings WHERE term IN ('elle', 'tion', 'que') GROUP BY 1, 2 HAVING count(*) = 3)
 SELECT * FROM hits WHERE doc_id IN (SELECT doc_id FROM documents WHERE source IN ('src1', 'src2', 'src3'))"""),
 )
 def restricted_hits(spark, sf):
-    p = search.index_postings(v.doc_pages(spark, sf), _folded(), cap=None)
+    p = search.index_postings(v.doc_pages(spark, sf), _folded())
     hits = search.full_text(p, QUERY, limit=None)
     return search.restrict(hits, v.text_table(spark, sf, "documents"), F.col("source").isin("src1", "src2", "src3"))
 
@@ -267,41 +275,48 @@ def restricted_hits(spark, sf):
 )
 def index_metadata(spark, sf):
     pages = v.doc_pages(spark, sf)
-    terms = search.term_table(search.term_counts(pages, _folded()), pages)
+    terms = search.term_table(search.term_counts(pages, _folded()), pages, search.MAX_DOC_FRACTION)
     return search.index_metadata(pages, terms)
 
 
-@query("n8_snippets", "N8")
-def snippets(spark, sf):
-    pages = v.doc_pages(spark, sf)
-    p = search.index_postings(pages, _folded(), cap=None)
-    s = search.snippets(search.full_text(p, QUERY), pages, QUERY)
-    marked = F.filter("snippet", lambda x: x["mark"])
-    return s.select("doc_id", "page", "score", F.array_join(F.transform("snippet", lambda x: x["text"]), "").alias("quote"), F.size(marked).alias("marks"))
-
-
 def _positions(term: str, i: int) -> str:
     n, width = f"len(string_split(hay, '{term}')) - 1", len(term)
     return (
-        f"list_transform(range(1, least({n}, 40) + 1), lambda k: {{'at': length(array_to_string(list_slice(string_split(hay, '{term}'), 1, k), '{term}')), 'ti': {i}}})"
+        f"list_transform(range(1, {n} + 1), lambda k: {{'a': length(array_to_string(list_slice(string_split(hay, '{term}'), 1, k), '{term}')), 'ti': {i}, 'b': length(array_to_string(list_slice(string_split(hay, '{term}'), 1, k), '{term}')) + {width}, 'n': 1}})"
     )
 
 
-@query(
-    "n8_snippet_anchor", "N8",
-    v.with_ctes("doc_pages", POSTINGS_SQL + f""", hits AS (SELECT doc_id, page, CAST(sum(tf) AS BIGINT) AS score FROM kept WHERE term IN ('elle', 'tion', 'que') GROUP BY 1, 2 HAVING count(*) = 3
-  ORDER BY score DESC, doc_id, page LIMIT 60),
-h AS (SELECT doc_id, page, score, lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS hay FROM hits JOIN doc_pages USING (doc_id, page)),
-mk AS (SELECT doc_id, page, score, unnest(list_concat({_positions('elle', 0)}, {_positions('tion', 1)}, {_positions('que', 2)})) AS m FROM h),
-b AS (SELECT a.doc_id, a.page, a.score, a.m.at AS pos, count(DISTINCT o.m.ti) AS k FROM mk a JOIN mk o ON a.doc_id = o.doc_id AND a.page = o.page AND o.m.at >= a.m.at AND o.m.at < a.m.at + 260 GROUP BY ALL)
-SELECT doc_id, page, score, CAST(arg_max(pos, (k, -pos)) AS INT) AS anchor, CAST(max(k) AS INT) AS terms_in_window FROM b GROUP BY 1, 2, 3"""),
-)
+ANCHOR_SQL = v.with_ctes("doc_pages", POSTINGS_SQL + f""", hits AS (SELECT doc_id, page, CAST(sum(tf) AS BIGINT) AS score FROM postings WHERE term IN ('elle', 'tion', 'que') GROUP BY 1, 2 HAVING count(*) = 3),
+h AS (SELECT doc_id, page, score, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS shown, lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS hay FROM hits JOIN doc_pages USING (doc_id, page)),
+ml AS (SELECT doc_id, page, score, shown, list_sort(list_concat({_positions('elle', 0)}, {_positions('tion', 1)}, {_positions('que', 2)})) AS marks FROM h),
+mk AS (SELECT doc_id, page, score, unnest(marks) AS m FROM ml),
+b AS (SELECT a.doc_id, a.page, a.score, a.m.a AS pos, count(DISTINCT o.m.ti) AS k FROM mk a JOIN mk o ON a.doc_id = o.doc_id AND a.page = o.page AND o.m.a >= a.m.a AND o.m.a < a.m.a + 260 GROUP BY ALL),
+best AS (SELECT doc_id, page, score, CAST(arg_max(pos, (k, -pos)) AS INT) AS anchor, CAST(max(k) AS INT) AS terms_in_window FROM b GROUP BY 1, 2, 3)
+""")
+
+
+@query("n8_snippet_anchor", "N8", ANCHOR_SQL + "SELECT * FROM best")
 def snippet_anchor(spark, sf):
     pages = v.doc_pages(spark, sf)
-    p = search.index_postings(pages, _folded(), cap=None)
+    p = search.index_postings(pages, _folded())
     return search.best_anchor(search.full_text(p, QUERY), pages, QUERY)
 
 
+@query(
+    "n8_snippets", "N8",
+    ANCHOR_SQL + """, w AS (SELECT *, greatest(0, anchor - 65) AS lo, least(length(shown), greatest(0, anchor - 65) + 260) AS hi FROM best JOIN ml USING (doc_id, page, score)),
+r AS (SELECT *, list_reduce(list_prepend({'a': lo, 'ti': -1, 'b': lo, 'n': 0}, list_filter(marks, lambda m: m.a >= lo AND m.b <= hi)),
+  lambda acc, m: CASE WHEN m.a >= acc.b THEN {'a': m.a, 'ti': m.ti, 'b': m.b, 'n': acc.n + 1} ELSE acc END) AS last FROM w)
+SELECT doc_id, page, score, CASE WHEN lo > 0 THEN '…' ELSE '' END || substr(shown, lo + 1, hi - lo) || CASE WHEN hi < length(shown) THEN '…' ELSE '' END AS quote, CAST(last.n AS INT) AS marks FROM r""",
+)
+def snippets(spark, sf):
+    pages = v.doc_pages(spark, sf)
+    p = search.index_postings(pages, _folded())
+    s = search.snippets(search.full_text(p, QUERY), pages, QUERY)
+    marked = F.filter("snippet", lambda x: x["mark"])
+    return s.select("doc_id", "page", "score", F.array_join(F.transform("snippet", lambda x: x["text"]), "").alias("quote"), F.size(marked).alias("marks"))
+
+
 @query(
     "n5_title_search", "N5",
     """SELECT doc_id FROM documents WHERE contains(lower(trim(regexp_replace(substr(text, 1, instr(text || '.', '.')) || ' ' || source || ' ' || lang, '\\s+', ' ', 'g'))), 'en')
@@ -318,7 +333,7 @@ def title_search(spark, sf):
     v.with_ctes("parts", """SELECT series_id, title_en FROM parts WHERE contains(lower(series_id || ' ' || title_en), 'ring') AND contains(lower(series_id || ' ' || title_en), 'eco') ORDER BY series_id LIMIT 100"""),
 )
 def series_search(spark, sf):
-    return search.series_search(v.parts(spark, sf), "Ring ECO").select("series_id", "title_en")
+    return search.series_search(v.parts(spark, sf), "Ring ECO", limit=100).select("series_id", "title_en")
 
 
 def _score_sql(term: str) -> str:
@@ -344,7 +359,7 @@ def ranked_search(spark, sf):
         .unionByName(p.select("family").distinct().select(F.lit("Topic").alias("kind"), F.col("family").alias("label"), F.concat("family", F.lit(" tables of ring prices")).alias("hay")))
         .unionByName(v.text_table(spark, sf, "documents").select("source").distinct().select(F.lit("Documents").alias("kind"), F.col("source").alias("label"), F.concat("source", F.lit(" red papers")).alias("hay")))
     )
-    return search.ranked_search(pool, "R in", tie=("kind", "label", "hay")).select("kind", "label", "hay", "score")
+    return search.ranked_search(pool, "R in", search.RANKED_HITS, tie=("kind", "label", "hay")).select("kind", "label", "hay", "score")
 
 
 @query(

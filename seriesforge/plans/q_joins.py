@@ -15,10 +15,8 @@ from seriesforge.plans.catalog import query
 SELECT o.series_id, o.period, o.value, c.title_en, c.unit FROM obs_parts o LEFT JOIN c USING (series_id)"""), "period"),
 )
 def catalog_lookup(spark, sf):
-    from seriesforge.operators.spread import salted_lookup
-
     cat = v.parts(spark, sf).filter(F.substring("series_id", 6, 20).cast("bigint") % 4 != 0).select("series_id", "title_en", "unit")
-    return v.iso(salted_lookup(v.obs_parts(spark, sf), cat, ["series_id"], "left", spread_by=["period"]))
+    return v.iso(v.obs_parts(spark, sf).join(cat, ["series_id"], "left"))
 
 
 @query(

@@ -165,17 +165,17 @@ def category_codes(spark, sf):
     return v.table(spark, sf, "part").select("p_partkey", ids.category_code(cat).alias("code"), ids.category_family(cat).alias("family"))
 
 
-CAPTIONS = ["(LE mn)", "( US.$m. )", "EGP billion", "Index 2010 = 100", "Number of tourists", "(000 nights)", "plain words"]
+CAPTIONS = ["(LE mn)", "( US.$m. )", "EGP billion", "Index 2010 = 100", "Number of tourists", "(000 nights)", "plain words", "(بالمليون جنيه)", "مليار جنيه", "مليون دولار", "EUR mn", "GBP billion"]
 
 
 @query(
     "c15_units", "C15 C16",
     """SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN 'percent' WHEN l_returnflag = 'A' THEN 'USD billion'
-  ELSE list_extract(['EGP million', 'USD million', 'EGP billion', 'index', 'number', 'thousand', NULL], CAST(l_orderkey % 7 AS INT) + 1) END AS unit,
+  ELSE list_extract(['EGP million', 'USD million', 'EGP billion', 'index', 'number', 'thousand', NULL, 'EGP million', 'EGP billion', 'USD million', 'EUR million', 'GBP billion'], CAST(l_orderkey % 12 AS INT) + 1) END AS unit,
   CAST(l_linenumber // 2 AS INT) AS level FROM lineitem""",
 )
 def unit_sniffing(spark, sf):
-    cap = F.element_at(F.array(*[F.lit(c) for c in CAPTIONS]), (F.col("l_orderkey") % 7).cast("int") + 1)
+    cap = F.element_at(F.array(*[F.lit(c) for c in CAPTIONS]), (F.col("l_orderkey") % 12).cast("int") + 1)
     label = F.concat(
         F.repeat(F.lit(" "), F.col("l_linenumber")),
         F.when(F.col("l_returnflag") == "R", "Growth (%)").when(F.col("l_returnflag") == "A", "Debt, US$ bn").otherwise("Line"),

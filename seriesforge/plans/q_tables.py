@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from seriesforge.functions import dates
 from seriesforge.functions.numbers import number
 from seriesforge.operators import press, quality, statements
-from seriesforge.operators.spread import spread_for_python
 from seriesforge.plans import views as v
 from seriesforge.plans.catalog import query
 from seriesforge.sources import grids, tables
@@ -45,7 +44,7 @@ def order_fragments(spark, sf):
         .otherwise(first)
     )
     # Landed responses come as many files; a shuffled stand-in this small would come as one piece.
-    return spread_for_python(lines.select(F.col("l_orderkey").alias("doc_id"), body.alias("html")))
+    return lines.select(F.col("l_orderkey").alias("doc_id"), body.alias("html"))
 
 
 @query(
@@ -301,11 +300,12 @@ def releases(spark, sf):
     window = F.concat(F.lit("July/"), F.date_format(day, "MMMM"), F.lit(" of FY "), fy, F.lit("/"), fy + 1)
     verb = F.element_at(F.array(*[F.lit(x) for x in VERBS]), (F.col("o_orderkey") % 7).cast("int") + 1)
     rate = F.format_string("%d.%02d", F.floor(F.col("o_totalprice") / 10000), F.col("o_orderkey") % 100)
+    lend = F.format_string("%d.%02d", F.floor(F.col("o_totalprice") / 10000) + 1, F.col("o_orderkey") % 100)
     text = (
         F.when(kind == 0, F.concat(F.lit("Net International Reserves reached US$ "), F.format_number("o_totalprice", 2), F.lit(" mn at the end of the month.")))
         .when(kind == 1, F.concat(F.lit("Transfers surged during "), window, F.lit(", to register about USD "), bn, F.lit(" billion.")))
         .when(kind == 2, F.concat(F.lit("Transfers recorded USD "), bn, F.lit(" billion during "), window, F.lit(". Remittances rose by 3 percent in "), F.date_format(day, "MMMM yyyy"), F.lit(" to USD "), bn, F.lit(" billion.")))
-        .when(kind == 3, F.concat(F.lit("The Committee decided to "), verb, F.lit(" the overnight deposit rate, overnight lending rate, and the rate of the main operation by 1,050 basis points at "), rate, F.lit(" percent, "), rate, F.lit(" percent, and "), rate, F.lit(" percent, respectively. The discount rate stands at "), rate, F.lit(" percent.")))
+        .when(kind == 3, F.concat(F.lit("The Committee decided to "), verb, F.lit(" the overnight deposit rate, overnight lending rate, and the rate of the main operation by 1,050 basis points at "), rate, F.lit(" percent, "), lend, F.lit(" percent, and "), rate, F.lit(" percent, respectively. The discount rate stands at "), rate, F.lit(" percent.")))
         .otherwise(F.lit("Page not found"))
     )
     cats = (
@@ -335,13 +335,14 @@ def release_figures(spark, sf):
 @query(
     "m3_policy_statements", "M3 M4 M10",
     v.dated("""SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS date, CAST(printf('%d.%02d', CAST(floor(o_totalprice / 10000) AS BIGINT), o_orderkey % 100) AS DOUBLE) AS deposit_rate,
+  CAST(printf('%d.%02d', CAST(floor(o_totalprice / 10000) AS BIGINT) + 1, o_orderkey % 100) AS DOUBLE) AS lending_rate,
   CAST(printf('%d.%02d', CAST(floor(o_totalprice / 10000) AS BIGINT), o_orderkey % 100) AS DOUBLE) AS main_operation_rate, CAST(printf('%d.%02d', CAST(floor(o_totalprice / 10000) AS BIGINT), o_orderkey % 100) AS DOUBLE) AS discount_rate, 1050 AS basis_points,
   list_extract(['hold', 'hold', 'hike', 'cut', 'cut', 'cut', 'hike'], CAST(o_orderkey % 7 AS INT) + 1) AS decision FROM orders WHERE o_orderkey % 5 = 3""", "date"),
 )
 def policy_statements(spark, sf):
     _, st, _, _ = press.route_releases(releases(spark, sf))
     a = statements.archive(st)
-    return v.iso(a.select(F.col("url").cast("bigint").alias("k"), "date", "deposit_rate", "main_operation_rate", "discount_rate", "basis_points", "decision"))
+    return v.iso(a.select(F.col("url").cast("bigint").alias("k"), "date", "deposit_rate", "lending_rate", "main_operation_rate", "discount_rate", "basis_points", "decision"))
 
 
 @query(

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesforge.operators.shape import split_pages
-from seriesforge.operators.spread import spread_small_input
 
 REGIMES = [("1995-01-01", "1997-06-30", "A"), ("1997-07-01", "1999-12-31", "B"), ("2000-01-01", None, "C")]
 AS_OF = "2001-12-31"
@@ -21,8 +20,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def text_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table for heavy work on its text, spread where it is stored in few pieces."""
-    return spread_small_input(table(spark, sf, name))
+    """A table read for its text; `spark.sql.files.minPartitionNum` splits small files."""
+    return table(spark, sf, name)
 
 
 def obs_orders(spark: SparkSession, sf: str) -> DataFrame:

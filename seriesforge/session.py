@@ -41,7 +41,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None:
-            if not sc.master.startswith("local"):
+            if not (sc.master == "local" or sc.master.startswith("local[")):
                 raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
             named = tempfile.mkdtemp(prefix="spark-")
         sc.setCheckpointDir(named)

@@ -200,7 +200,7 @@ def write_search_index(postings: DataFrame, docs: DataFrame, meta: DataFrame, pa
 
 def build_search_index(
     pages: DataFrame, folded: Column, path: str, docs: DataFrame, doc: str = "doc_id",
-    fraction: float = search.MAX_DOC_FRACTION, cap: int | None = search.MAX_POSTINGS,
+    fraction: float | None = None, cap: int | None = None,
 ) -> None:
     """Build and publish an index in steps.
 
@@ -215,7 +215,7 @@ def build_search_index(
     search.term_table(postings, pages, fraction).write.mode("overwrite").parquet(f"{path}/terms")
     terms = spark.read.parquet(f"{path}/terms")
     write_search_index(
-        search.published_postings(postings, terms, cap, settled=True), docs, search.index_metadata(pages, terms, doc), path
+        search.published_postings(postings, terms, cap), docs, search.index_metadata(pages, terms, doc), path
     )
 
 

@@ -129,15 +129,6 @@ def test_top_per_group_matches_brute_force(spark, pairs, k):
     assert got == sorted(want, key=lambda r: tuple((False, str(x)) for x in r))
 
 
-def test_salted_lookup_keeps_every_row(spark):
-    big = spark.range(1000).select(F.lit("hot").alias("k"), F.col("id").alias("x"))
-    small = spark.createDataFrame([("hot", 1), ("cold", 2)], "k string, y int")
-    j = spread.salted_lookup(big, small, ["k"])
-    assert j.count() == 1000 and j.filter("y = 1").count() == 1000
-    none = spread.salted_lookup(big, small.filter("k = 'cold'"), ["k"])
-    assert none.filter("y is null").count() == 1000
-
-
 def test_even_sample_follows_the_stride(spark):
     for n in (1, 2, 5, 48, 49, 50, 97, 1000):
         o = obs(spark, A=[(i, i) for i in range(n)])
