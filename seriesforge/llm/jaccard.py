@@ -362,8 +362,11 @@ def linked(kept: DataFrame, similar: int) -> DataFrame:
             members = members.filter(F.col("rows") > SMALL)
         if members.isEmpty():
             return components(links) if turn >= DIVISIONS else labels
-        part = F.pmod(F.xxhash64("point", "region"), F.lit(4**turn))
-        pivots = members.groupBy("region", part.alias("part")).agg(F.max(F.struct("central", "point")).alias("top")).select("region", F.col("top.point").alias("pivot"))
+        part = F.pmod(F.xxhash64("point", "region"), F.lit(8**turn))
+        # Once points are connected, those outside the component of the most central one are the open question.
+        main = members.groupBy("region").agg(F.max_by("label", F.struct("central", "point")).alias("main"))
+        able = members if turn == 0 else members.join(main, "region").filter("label <> main")
+        pivots = able.groupBy("region", part.alias("part")).agg(F.max(F.struct("central", "point")).alias("top")).select("region", F.col("top.point").alias("pivot"))
         near = members.join(pivots, "region")
         pairs = near.filter("point <> pivot").select(F.least("point", "pivot").alias("point"), F.greatest("point", "pivot").alias("pivot")).distinct()
         told = written(distances(pairs, kept).withColumn("distance", 1 - F.col("shared") / F.col("united")), "distances")
