@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seriesforge.operators.spread import one_per_day
+
 
 def _timeline(
     probe: DataFrame, obs: DataFrame, on: Sequence[str], at: str, obs_at: str, cols: Sequence[str], daily: bool
@@ -174,8 +176,9 @@ def interval_join(
     return df.withColumn("_day", F.col(at)).join(covered, "_day").drop("_day")
 
 
-def step_daily(obs: DataFrame, until: Column) -> DataFrame:
+def step_daily(obs: DataFrame, until: Column, daily: bool = False) -> DataFrame:
     """A value that holds until changed, as one row per day up to `until`."""
+    obs = obs if daily else one_per_day(obs)
     w = Window.partitionBy("series_id").orderBy("period")
     stop = F.coalesce(F.date_sub(F.lead("period").over(w), 1), F.greatest(until.cast("date"), F.col("period")))
     return obs.withColumn("_stop", stop).select(

@@ -12,10 +12,10 @@ DISPLAY_PCT = 8.0
 RATES = ("deposit_rate", "lending_rate", "main_operation_rate", "discount_rate")
 
 
-def detect_breaks(obs: DataFrame, threshold: float = BREAK_PCT, kind: str = "fx_move") -> DataFrame:
+def detect_breaks(obs: DataFrame, threshold: float = BREAK_PCT, kind: str = "fx_move", daily: bool = False) -> DataFrame:
     """Single-step percent moves at or over the threshold, with their evidence."""
     return (
-        changes(obs)
+        changes(obs, daily)
         .filter(F.abs("pct_change") >= threshold)
         .select(
             F.col("period").alias("date"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seriesforge.operators.spread import one_per_day
+
 # The two float dates and the families they mean something to.
 FLOAT_DATES = [("since_2016_float", "2016-11-03"), ("since_march_2024", "2024-03-06")]
 FLOAT_FAMILIES = ["fx", "rates", "govt", "policy", "interest_rates"]
@@ -22,8 +24,9 @@ def range_start(rule: str | int | None, as_of: Column) -> Column | None:
     return F.lit(rule).cast("date")
 
 
-def apply_range(obs: DataFrame, rule: str | int | None, as_of: Column) -> DataFrame:
+def apply_range(obs: DataFrame, rule: str | int | None, as_of: Column, daily: bool = False) -> DataFrame:
     """Readings inside the window; the whole series where one or none would be left."""
+    obs = obs if daily else one_per_day(obs)
     start = range_start(rule, as_of)
     if start is None:
         return obs

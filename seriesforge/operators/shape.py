@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from seriesforge.functions import ids
 from seriesforge.functions.reading import tenor_bucket
+from seriesforge.operators.spread import one_per_day
 
 
 @dataclass(frozen=True)
@@ -195,10 +196,11 @@ def split_pages(docs: DataFrame, text: str = "text", doc: str = "doc_id", mark:
     )
 
 
-def series_documents(obs: DataFrame) -> DataFrame:
+def series_documents(obs: DataFrame, daily: bool = False) -> DataFrame:
     """Ordered [period, value] array and count per series.
 
-    `obs` has one row per (series_id, DATE), so an array is bounded by the calendar.
+    One point a day, so an array is bounded by the calendar; `daily` says that there are no more.
     """
+    obs = obs if daily else one_per_day(obs)
     points = F.array_sort(F.collect_list(F.struct("period", "value")))
     return obs.groupBy("series_id").agg(points.alias("observations")).withColumn("count", F.size("observations"))

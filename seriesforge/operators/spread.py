@@ -88,14 +88,13 @@ def neighbour_row(
     )
 
 
-def one_per_day(obs: DataFrame, prefer: Column | None = None) -> DataFrame:
-    """One row per (series_id, period), by partial aggregation.
+def one_per_day(obs: DataFrame) -> DataFrame:
+    """One row per (series_id, period) in the columns of `obs`: of several prints the largest value stands.
 
-    Without `prefer` the largest printed value stands for the day; with it, the
-    value of the first row in that order. `times` counts the prints.
+    A partial aggregation, so a day with very many prints is no hot group. Windows by
+    series behind it hold at most one row a calendar day.
     """
-    value = F.max("value") if prefer is None else F.min_by("value", prefer)
-    return obs.groupBy("series_id", "period").agg(
-        value.alias("value"),
-        F.count(F.lit(1)).alias("times"),
-    )
+    rest = [c for c in obs.columns if c not in ("series_id", "period")]
+    first = ["value", *[c for c in rest if c != "value"]]
+    top = obs.groupBy("series_id", "period").agg(F.max(F.struct(*first)).alias("_top"))
+    return top.select(*[F.col(c) if c in ("series_id", "period") else F.col(f"_top.{c}").alias(c) for c in obs.columns])

@@ -7,16 +7,19 @@ from pyspark.sql import functions as F
 
 from seriesforge.functions.dates import day_number
 from seriesforge.functions.reading import stale_limit
+from seriesforge.operators.spread import one_per_day
+
 
 def by_series():
     return Window.partitionBy("series_id").orderBy("period")
 
 
-def changes(obs: DataFrame) -> DataFrame:
+def changes(obs: DataFrame, daily: bool = False) -> DataFrame:
     """Previous reading, change and percent; a previous zero gives no percent.
 
-    Expects one row per (series_id, period).
+    Several prints of a day count as the largest; `daily` says that there are none.
     """
+    obs = obs if daily else one_per_day(obs)
     prev = F.lag("value").over(by_series())
     return (
         obs.withColumn("previous_period", F.lag("period").over(by_series()))
@@ -121,13 +124,13 @@ def flag_numbers(df: DataFrame, flags: str = "flags") -> DataFrame:
     )
 
 
-def newest_readings(obs: DataFrame, cap: int = 500) -> DataFrame:
-    """Readings newest first with the change from the one before, up to `cap` shown."""
+def newest_readings(obs: DataFrame, cap: int | None = None, daily: bool = False) -> DataFrame:
+    """Readings newest first with the change from the one before; only the newest `cap` where it is given."""
     newest = Window.partitionBy("series_id").orderBy(F.col("period").desc())
     return (
-        changes(obs)
+        changes(obs, daily)
         .withColumn("rank", F.row_number().over(newest))
-        .filter(F.col("rank") <= cap)
+        .filter(F.lit(True) if cap is None else F.col("rank") <= cap)
         .withColumn("_oldest_shown", F.max("rank").over(Window.partitionBy("series_id")))
         # The oldest reading shown has nothing under it to compare with.
         .withColumn("change", F.when(F.col("rank") < F.col("_oldest_shown"), F.col("change")))
@@ -135,13 +138,13 @@ def newest_readings(obs: DataFrame, cap: int = 500) -> DataFrame:
     )
 
 
-def year_on_year(obs: DataFrame, compat: bool = False) -> DataFrame:
+def year_on_year(obs: DataFrame, compat: bool = False, daily: bool = False) -> DataFrame:
     """Percent change on the reading nearest to a year earlier.
 
     The base lies less than 45 days from 365 days ago; ties go to the later one.
     `compat` also accepts any later candidate up to the reading itself.
     """
-    day = obs.withColumn("_day", day_number("period"))
+    day = (obs if daily else one_per_day(obs)).withColumn("_day", day_number("period"))
     by_day = Window.partitionBy("series_id").orderBy("_day")
     point = F.struct("_day", "period", "value")
     near = 0 if compat else -321
@@ -167,9 +170,10 @@ def year_on_year(obs: DataFrame, compat: bool = False) -> DataFrame:
     )
 
 
-def rebase(obs: DataFrame) -> DataFrame:
+def rebase(obs: DataFrame, daily: bool = False) -> DataFrame:
     """First reading = 100; unchanged where the first reading is zero."""
-    w = by_series().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    obs = obs if daily else one_per_day(obs)
+    w = by_series().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     first = F.first("value").over(w)
     return obs.withColumn("_first", first).select(
         "series_id", "period",
@@ -177,11 +181,12 @@ def rebase(obs: DataFrame) -> DataFrame:
     )
 
 
-def even_sample(obs: DataFrame, points: int = 48, digits: int | None = 4, min_points: int = 2, pos: str = "pos") -> DataFrame:
+def even_sample(obs: DataFrame, points: int = 48, digits: int | None = 4, min_points: int = 2, pos: str = "pos", daily: bool = False) -> DataFrame:
     """`points` readings at an even stride plus the last; short series whole.
 
     The stride test is arithmetic on the row's own position, so there is no join.
     """
+    obs = obs if daily else one_per_day(obs)
     n = F.count(F.lit(1)).over(Window.partitionBy("series_id"))
     at = (F.row_number().over(by_series()) - 1).cast("bigint")
     ranked = obs.withColumn("_n", n).withColumn(pos, at).filter(F.col("_n") >= min_points)

@@ -52,7 +52,7 @@ def clean_cells(spark, sf):
 
 @query(
     "b16_published_pages", "B16 C20",
-    v.with_ctes("doc_pages", """SELECT doc_id, page, md5(substr(trim(regexp_replace(text, '\\s+', ' ', 'g')), 1, 20000)) AS digest FROM doc_pages WHERE trim(regexp_replace(text, '\\s+', ' ', 'g')) <> ''"""),
+    v.with_ctes("doc_pages", """SELECT doc_id, page, md5(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS digest FROM doc_pages WHERE trim(regexp_replace(text, '\\s+', ' ', 'g')) <> ''"""),
 )
 def published_pages(spark, sf):
     p = publish.published_pages(v.doc_pages(spark, sf))
@@ -319,12 +319,11 @@ def snippets(spark, sf):
 
 @query(
     "n5_title_search", "N5",
-    """SELECT doc_id FROM documents WHERE contains(lower(trim(regexp_replace(substr(text, 1, instr(text || '.', '.')) || ' ' || source || ' ' || lang, '\\s+', ' ', 'g'))), 'en')
-  AND contains(lower(trim(regexp_replace(substr(text, 1, instr(text || '.', '.')) || ' ' || source || ' ' || lang, '\\s+', ' ', 'g'))), 'src1')""",
+    """SELECT doc_id FROM documents WHERE contains(lower(trim(regexp_replace(text || ' ' || source || ' ' || lang, '\\s+', ' ', 'g'))), 'en')
+  AND contains(lower(trim(regexp_replace(text || ' ' || source || ' ' || lang, '\\s+', ' ', 'g'))), 'src1')""",
 )
 def title_search(spark, sf):
-    first = F.substring("text", F.lit(1), F.instr(F.concat("text", F.lit(".")), "."))
-    docs = v.text_table(spark, sf, "documents").select("doc_id", first.alias("title"), F.array("source", "lang").alias("categories"))
+    docs = v.text_table(spark, sf, "documents").select("doc_id", F.col("text").alias("title"), F.array("source", "lang").alias("categories"))
     return search.title_search(docs, " EN  Src1 ").select("doc_id")
 
 

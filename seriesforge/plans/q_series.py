@@ -133,7 +133,7 @@ def changes(spark, sf):
 SELECT series_id, period, value, CASE WHEN rank < least(n, 500) THEN change END AS change, CAST(rank AS INT) AS rank FROM r WHERE rank <= 500"""), "period"),
 )
 def newest_readings(spark, sf):
-    return v.iso(summary.newest_readings(v.obs_orders(spark, sf)))
+    return v.iso(summary.newest_readings(v.obs_orders(spark, sf), 500))
 
 
 def _yoy_sql(near: int) -> str:

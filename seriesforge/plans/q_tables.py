@@ -143,7 +143,7 @@ def sheet_caps(spark, sf):
         F.col("l_suppkey").alias("file_id"), (F.col("l_orderkey") % 2000).cast("int").alias("r"), (F.col("l_linenumber") * 20).alias("c"),
         F.col("l_quantity").cast("string").alias("v"), F.lit(False).alias("is_text"),
     )
-    return grids.within_caps(c).groupBy("file_id").agg(F.count(F.lit(1)).alias("cells"))
+    return grids.within_caps(c, grids.MAX_ROWS, grids.MAX_COLS).groupBy("file_id").agg(F.count(F.lit(1)).alias("cells"))
 
 
 FLAGS = ["A", "N", "R"]

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesforge.functions import ids
-from seriesforge.functions.text import MAX_PAGE_CHARS, readable
+from seriesforge.functions.text import readable
 from seriesforge.operators import search
 from seriesforge.operators import summary as summary_ops
 from seriesforge.operators.quality import SCAN_THRESHOLD
@@ -173,16 +173,13 @@ def status_row(summaries: DataFrame, documents: DataFrame, built_at: Column, las
     )
 
 
-def published_pages(pages: DataFrame, compose: bool = True, doc: str = "doc_id", limit: int = MAX_PAGE_CHARS) -> DataFrame:
-    """Publishable page text, one row a page; empty pages are left out.
-
-    The published form is cut at `limit` characters by definition; the index and
-    every other operator read the whole page.
-    """
+def published_pages(pages: DataFrame, compose: bool = True, doc: str = "doc_id", limit: int | None = None) -> DataFrame:
+    """Publishable page text, one row a page; empty pages are left out. Cut only where a `limit` is given."""
+    text = F.col("_r.text") if limit is None else F.substring("_r.text", 1, limit)
+    cut = F.lit(False) if limit is None else F.length("_r.text") > limit
     return (
         pages.withColumn("_r", readable(F.col("text"), compose))
-        .select(doc, "page", F.substring("_r.text", 1, limit).alias("text"), F.col("_r.lost").alias("lost"),
-                (F.length("_r.text") > limit).alias("truncated"))
+        .select(doc, "page", text.alias("text"), F.col("_r.lost").alias("lost"), cut.alias("truncated"))
         .filter(F.length("text") > 0)
     )
 

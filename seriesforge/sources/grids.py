@@ -2,7 +2,7 @@
 
 Input: cells (file_id, r, c, v, is_text) and merges (file_id, r0, c0, r1, c1), both
 zero based. All files are read at once; each step is keyed by file, and a file is
-bounded by the row and column caps. Each header layout is its own expression over
+read whole. Each header layout is its own expression over
 the header cells; a file has exactly one layout.
 """
 
@@ -15,7 +15,7 @@ from seriesforge.functions import dates, ids, units
 from seriesforge.functions.numbers import number
 from seriesforge.functions.text import script_arabic
 
-# Bounds of a sheet, of a merge, and of the header search.
+# Bounds of a sheet and of a merge that a caller may pass, and those of the header search.
 MAX_ROWS = 1500
 MAX_COLS = 120
 MAX_MERGE_CELLS = 400
@@ -25,21 +25,17 @@ LABEL_COLUMNS = 4
 LAYOUTS = ("quarter", "fiscal_year", "month", "year")
 
 
-def within_caps(cells: DataFrame) -> DataFrame:
-    """The sheet cut to its caps; blank cells do not exist in a cell table."""
-    return cells.filter(
-        (F.col("r") < MAX_ROWS) & (F.col("c") < MAX_COLS) & F.col("v").isNotNull() & (F.trim("v") != "")
-    )
+def within_caps(cells: DataFrame, rows: int | None = None, cols: int | None = None) -> DataFrame:
+    """The sheet without blank cells, cut only to the caps that are given."""
+    kept = cells.filter(F.col("v").isNotNull() & (F.trim("v") != ""))
+    kept = kept if rows is None else kept.filter(F.col("r") < rows)
+    return kept if cols is None else kept.filter(F.col("c") < cols)
 
 
-def fill_merges(cells: DataFrame, merges: DataFrame) -> DataFrame:
-    """Top-left value spread over its rectangle, except very large merges."""
-    box = (
-        merges.withColumn("r1", F.least("r1", F.lit(MAX_ROWS - 1)))
-        .withColumn("c1", F.least("c1", F.lit(MAX_COLS - 1)))
-        .filter((F.col("r0") < MAX_ROWS) & (F.col("c0") < MAX_COLS))
-        .filter((F.col("r1") - F.col("r0") + 1) * (F.col("c1") - F.col("c0") + 1) <= MAX_MERGE_CELLS)
-    )
+def fill_merges(cells: DataFrame, merges: DataFrame, most: int | None = None) -> DataFrame:
+    """Top-left value spread over its rectangle; merges of more than `most` cells stay as they are where it is given."""
+    size = (F.col("r1") - F.col("r0") + 1) * (F.col("c1") - F.col("c0") + 1)
+    box = merges if most is None else merges.filter(size <= most)
     corner = cells.select("file_id", F.col("r").alias("r0"), F.col("c").alias("c0"), "v", "is_text")
     spread = (
         box.join(corner, ["file_id", "r0", "c0"])

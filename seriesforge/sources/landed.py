@@ -119,7 +119,7 @@ def manifest_from_items(items: DataFrame) -> DataFrame:
 
 
 def cells(spark: SparkSession, path: str) -> DataFrame:
-    """Landed spreadsheet cells, cut to the sheet caps."""
+    """Landed spreadsheet cells, without blank ones."""
     from seriesforge.sources.grids import within_caps
 
     return within_caps(spark.read.schema(schema.CELL).parquet(path))

@@ -127,7 +127,7 @@ def test_grid_layouts(spark):
 def test_years_below_months_and_large_merge(spark):
     cells = grid(spark, a=[["End of", "June", "June"], [None, 2005, 2006], ["Debt", 1, 2]])
     big = spark.createDataFrame([("a", 0, 0, 30, 30)], schema.MERGE)
-    filled = grids.fill_merges(grids.within_caps(cells), big)
+    filled = grids.fill_merges(grids.within_caps(cells), big, grids.MAX_MERGE_CELLS)
     assert filled.count() == cells.count()
     obs, _ = grids.melt(filled, files(spark, a="Annual"))
     assert rows(obs, "period", "value", "fy") == [(D(2005, 6, 30), 1.0, "FY2004/05"), (D(2006, 6, 30), 2.0, "FY2005/06")]
