@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from seriesforge.operators import events, index, quality, ranges, summary
+from seriesforge.operators import events, index, quality, ranges, shape, summary
 from seriesforge.operators.spread import top_per_group
 from seriesforge.plans import views as v
 from seriesforge.plans.catalog import query
@@ -120,6 +120,34 @@ CHANGES_SQL = """SELECT series_id, period, value, lag(period) OVER w AS previous
   FROM obs_orders WINDOW w AS (PARTITION BY series_id ORDER BY period)"""
 
 
+@query(
+    "i1_changes_of_raw_prints", "I1 L1",
+    v.dated(v.with_ctes("obs_events", ", obs_orders AS (SELECT series_id, period, max(value) AS value FROM obs_events GROUP BY 1, 2) " + CHANGES_SQL), "period", "previous_period"),
+)
+def changes_of_raw_prints(spark, sf):
+    return v.iso(summary.changes(v.obs_events(spark, sf).select("series_id", "period", "value")))
+
+
+@query(
+    "i4_rebase_raw_prints", "I4",
+    v.dated(v.with_ctes("obs_events", """, d AS (SELECT series_id, period, max(value) AS value FROM obs_events GROUP BY 1, 2)
+SELECT series_id, period, CASE WHEN first_value(value) OVER w <> 0 THEN value / first_value(value) OVER w * 100 ELSE value END AS value FROM d WINDOW w AS (PARTITION BY series_id ORDER BY period)"""), "period"),
+)
+def rebase_raw_prints(spark, sf):
+    return v.iso(summary.rebase(v.obs_events(spark, sf)))
+
+
+@query(
+    "b7_series_documents_raw", "B7 E16",
+    v.with_ctes("obs_events", """, d AS (SELECT series_id, period, max(value) AS value FROM obs_events GROUP BY 1, 2)
+SELECT series_id, count(*) AS points, CAST(min(period) AS VARCHAR) AS first, CAST(max(period) AS VARCHAR) AS last FROM d GROUP BY 1"""),
+)
+def series_documents_raw(spark, sf):
+    d = shape.series_documents(v.obs_events(spark, sf))
+    day = lambda k: F.element_at("observations", k)["period"].cast("string")
+    return d.select("series_id", F.col("count").cast("bigint").alias("points"), day(1).alias("first"), day(-1).alias("last"))
+
+
 @query("i1_changes", "I1", v.dated(v.with_ctes("obs_orders", CHANGES_SQL), "period", "previous_period"))
 def changes(spark, sf):
     return v.iso(summary.changes(v.obs_orders(spark, sf)))

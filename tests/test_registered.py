@@ -5,6 +5,8 @@ from conftest import SF
 from seriesforge.plans.catalog import load_all
 
 REGISTRY = load_all()
+#: Queries that find nothing in the smallest tables.
+EMPTY_ON_SMALL: set[str] = set()
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +19,7 @@ def duck():
 @pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_matches_its_sql(spark, duck, name):
     result, _, _ = compare(spark, duck, SF, REGISTRY[name])
-    assert result in ("ok", "rows only", "EMPTY"), result
+    assert result in ("ok", "rows only") or (result == "EMPTY" and name in EMPTY_ON_SMALL), result
 
 
 def test_entry_contract(spark):
