@@ -35,7 +35,6 @@ class Ids(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.path = path
         self.most, self.parts = most, {}
         self.whole = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
@@ -50,9 +49,6 @@ class Ids(dict):
         if suffix and all(vocabulary.get(a + b) == first + k for k, (a, b) in enumerate(merges)):
             self._open_ranks(vocabulary, suffix, told["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
 
-    def __reduce__(self):
-        return ids_of, (self.path,)
-
     def _open_ranks(self, vocabulary: dict[str, int], suffix: str, pattern: str) -> None:
         import regex
         import tiktoken
@@ -94,7 +90,14 @@ class Ids(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
-_open: dict[str, Ids] = {}
+class Opened(dict):
+    """What a process has opened; it travels to other processes empty."""
+
+    def __reduce__(self):
+        return Opened, ()
+
+
+_open = Opened()
 
 
 def ids_of(path: str) -> Ids:
