@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +47,7 @@ LEAST = 4
 STRETCH = 512
 FLUSH = 2_000_000
 LEVELS = 3  # of each text, so that texts with up to four times as many terms share one
+HEX = [f"{v:03x}" for v in range(4096)]
 EMPTY = "0" * (2 + 3 * LEVELS * SLOTS)
 
 
@@ -56,6 +58,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 SEEDS = _mix(np.arange(1, SLOTS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+FACTORS = (SEEDS >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
 def terms(text: bytes) -> np.ndarray:
@@ -63,7 +66,7 @@ def terms(text: bytes) -> np.ndarray:
     words = set(text.lower().split())
     if not words:
         return np.zeros(0, np.uint64)
-    return np.unique(pd.util.hash_array(np.array(list(words), dtype=object), categorize=False))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)))
 
 
 def lexicon(docs: DataFrame, band: tuple[float, float] = IDF_BAND) -> np.ndarray:
@@ -124,19 +127,25 @@ def fingerprint(text: bytes, lex: np.ndarray) -> str:
         at = np.minimum(np.searchsorted(lex, t), len(lex) - 1)
         inside = t[lex[at] == t]
         t = inside if len(inside) >= LEAST else t
-    level = (len(t) - 1).bit_length() + 1
-    # Terms are hashes already, so one odd factor a slot scatters them anew.
-    h = t[:, None] * SEEDS[None, :]
-    term, slot = np.nonzero(h < np.uint64(1 << (64 - level)))
-    h = h[term, slot]
-    value = _mix(h)
+    level = min((len(t) - 1).bit_length() + 1, 29)
+    # Terms are hashes already, so one odd factor a slot scatters them anew: 32 bits say whether a term is in a
+    # subset. Members come slot by slot.
+    h = FACTORS[:, None] * (t >> np.uint64(32)).astype(np.uint32)[None, :]
+    at = np.flatnonzero(h.ravel() < np.uint32(1 << (32 - level)))
+    slot, h = at // len(t), h.ravel()[at]
+    value = _mix(t[at % len(t)] ^ SEEDS[slot])
     out = [f"{level:02x}"]
     for k in range(level, level + LEVELS):
-        inside = h < np.uint64(1 << (64 - k))
-        total = np.zeros(SLOTS, np.uint64)
-        np.add.at(total, slot[inside], value[inside])
-        some = np.bincount(slot[inside], minlength=SLOTS) > 0
-        out.append("".join([f"{v:03x}" for v in np.where(some, 1 + _mix(total) % np.uint64(4095), 0).tolist()]))
+        if k > level:
+            inside = h < np.uint32(1 << (32 - k))
+            slot, h, value = slot[inside], h[inside], value[inside]
+        shown = ["000"] * SLOTS
+        if len(slot):
+            first = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
+            sums = (_mix(np.add.reduceat(value, first)) % np.uint64(4095)).tolist()
+            for s, v in zip(slot[first].tolist(), sums):
+                shown[s] = HEX[v + 1]
+        out += shown
     return "".join(out)
 
 

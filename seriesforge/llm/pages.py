@@ -7,8 +7,8 @@ Boosted trees turn them into a log-odds of being article text. Decoding takes th
 tree: a subtree is kept whole, dropped whole, or divided among its children, whichever scores
 best, so that no kept element lies in a dropped one against the better explanation of both.
 
-The trees learn from the pages themselves: on the documented sample of `SAMPLE` pages of
-smallest hash, elements inside article or main elements are article text, elements inside
+The trees learn from the pages themselves: on the documented sample of about `SAMPLE`
+pages, chosen by hash, elements inside article or main elements are article text, elements inside
 navigation, footers, sidebars, forms, adverts and the like are not, and other elements are not
 learned from. Each is learned twice, once with its tokens hidden, so that density alone can
 decide where a page has no telling names. All pages are decoded, from their whole HTML.
@@ -319,8 +319,10 @@ def by_tokens() -> Trees:
 
 
 def fit(pages: DataFrame, most: int = SAMPLE) -> Trees:
-    """Boosted trees from at most `most` pages, those of smallest hash; only features reach the driver."""
-    sample = pages.filter(F.length("html") > 0).select("html").orderBy(F.xxhash64("html"), "html").limit(most)
+    """Boosted trees from about `most` different pages, those whose hash is under a threshold; only features reach the driver."""
+    hashed = pages.filter(F.length("html") > 0).select("html", F.shiftrightunsigned(F.xxhash64("html"), 32).alias("_place"))
+    n = hashed.select("_place").distinct().count()
+    sample = hashed.filter(F.col("_place") < F.lit((1 << 32) * most // max(most, n))).dropDuplicates(["_place"]).select("html")
 
     @pandas_udf("binary")
     def rows(htmls: pd.Series) -> pd.Series:

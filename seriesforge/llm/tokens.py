@@ -12,6 +12,8 @@ from __future__ import annotations
 import json
 import re
 import struct
+import sys
+import types
 import unicodedata
 
 import numpy as np
@@ -31,7 +33,7 @@ def byte_letters() -> dict[str, int]:
 class Ids(dict):
     """Word to its ids, packed as little-endian 16-bit numbers."""
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 500_000):
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -90,18 +92,13 @@ class Ids(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
-class Opened(dict):
-    """What a process has opened; it travels to other processes empty."""
-
-    def __reduce__(self):
-        return Opened, ()
-
-
-_open = Opened()
-
-
 def ids_of(path: str) -> Ids:
-    """The file opened once in each Python worker."""
-    if path not in _open:
-        _open[path] = Ids(path)
-    return _open[path]
+    """The file opened once in each Python process, with the words it has seen.
+
+    Functions may travel to workers by value, each with globals of its own, so what is kept from
+    task to task is kept in a module of the process.
+    """
+    held = sys.modules.setdefault("seriesforge_opened_files", types.ModuleType("seriesforge_opened_files")).__dict__
+    if path not in held:
+        held[path] = Ids(path)
+    return held[path]
