@@ -142,11 +142,12 @@ def scanned(pages: DataFrame, doc: str = "doc_id") -> DataFrame:
     )
 
 
-def near_empty(pages: DataFrame, doc: str = "doc_id") -> DataFrame:
+def near_empty(pages: DataFrame, doc: str = "doc_id", per_page: int = NEAR_EMPTY_CHARS) -> DataFrame:
+    """Documents with fewer than `per_page` characters a page."""
     return (
         pages.groupBy(doc)
         .agg(F.count(F.lit(1)).alias("pages"), F.sum("chars").alias("chars"))
-        .filter(F.col("chars") < F.col("pages") * NEAR_EMPTY_CHARS)
+        .filter(F.col("chars") < F.col("pages") * per_page)
     )
 
 

@@ -145,8 +145,49 @@ def statement_diffs(spark, sf):
     return statements.slim_diffs(d.select("conv_id", "turn", "similarity", "sentence_overlap", "added", "removed", "changed"))
 
 
+def _statements(spark, sf):
+    """Conversations as statement archives, a statement a day."""
+    none = F.lit(None).cast("double")
+    return v.text_table(spark, sf, "conversations").select(
+        "conv_id", F.date_add(F.lit("2000-01-01").cast("date"), F.col("turn").cast("int")).alias("date"), "text",
+        none.alias("deposit_rate"), F.col("turn").cast("double").alias("lending_rate"), none.alias("main_operation_rate"),
+    )
+
+
+@query(
+    "g10_diffs_of_statements", "G10 M10",
+    f"WITH d AS ({DIFF_SQL}) SELECT c.conv_id, CAST(c.turn AS INT) AS turn, d.similarity, d.added, d.removed, d.changed FROM conversations c LEFT JOIN d USING (conv_id, turn)",
+)
+def diffs_of_statements(spark, sf):
+    st = _statements(spark, sf)
+    out = statements.with_diffs(st, statements.slim_diffs(statements.statement_diffs(st, ["conv_id"])), ["conv_id"])
+    return out.select("conv_id", F.datediff("date", F.lit("2000-01-01")).alias("turn"), "similarity", "added", "removed", "changed")
+
+
+@query(
+    "h11_diff_totals", "H11 M12 B11",
+    f"""WITH d AS ({DIFF_SQL}) SELECT conv_id, count(*) AS pairs, round(avg(similarity), 9) AS mean_similarity, CAST(arg_max(turn, (changed + added, -turn)) AS INT) AS most_changed,
+  count(*) AS pairs_with_rates FROM d GROUP BY 1""",
+)
+def diff_totals(spark, sf):
+    t = statements.diff_totals(statements.statement_diffs(_statements(spark, sf), ["conv_id"]), ["conv_id"])
+    return t.select(
+        "conv_id", "pairs", F.round("mean_similarity", 9).alias("mean_similarity"),
+        F.datediff("most_changed.to_date", F.lit("2000-01-01")).alias("most_changed"), "pairs_with_rates",
+    )
+
+
 @query(
-    "m9_rate_moves", "M9 M10 H11 G10",
+    "m10_archive_range", "M10",
+    "SELECT conv_id, count(*) AS statements, CAST(DATE '2000-01-01' + CAST(min(turn) AS INT) AS VARCHAR) AS first, CAST(DATE '2000-01-01' + CAST(max(turn) AS INT) AS VARCHAR) AS last FROM conversations GROUP BY 1",
+)
+def archive_range(spark, sf):
+    r = statements.archive_range(_statements(spark, sf), ["conv_id"])
+    return r.select("conv_id", "statements", F.col("first").cast("string").alias("first"), F.col("last").cast("string").alias("last"))
+
+
+@query(
+    "m9_rate_moves", "M9",
     v.dated(v.with_ctes("meetings obs_orders", """, s AS (SELECT m.series_id, m.date, o.value AS deposit_rate, CASE WHEN month(m.date) <> 1 THEN o.value + 1 END AS lending_rate
   FROM meetings m JOIN obs_orders o ON m.series_id = o.series_id AND m.date = o.period),
 l AS (SELECT *, lag(deposit_rate) OVER w AS pd, lag(lending_rate) OVER w AS pl, lag(date) OVER w AS from_date FROM s WINDOW w AS (PARTITION BY series_id ORDER BY date))
@@ -376,9 +417,7 @@ def collections(spark, sf):
     v.with_ctes("doc_pages", "SELECT doc_id FROM doc_pages GROUP BY 1 HAVING sum(chars) < count(*) * 60"),
 )
 def near_empty(spark, sf):
-    return (
-        quality.scanned(v.doc_pages(spark, sf)).filter(F.col("chars") < F.col("pages") * 60).select("doc_id")
-    )
+    return quality.near_empty(v.doc_pages(spark, sf), per_page=60).select("doc_id")
 
 
 @query(
