@@ -13,9 +13,8 @@ are one point) and never lists the pairs of a group:
    inequality a partner of a point within twice the radius of a pivot lies within three times the
    radius: such boundary points are replicated into the pivot's region, all other points go to
    the region of those far from every pivot. Regions whose points are already connected are
-   done, the others are divided again with more pivots. After `DIVISIONS` divisions a region of at
-   most `SMALL` points is joined by an index of its own; larger ones are divided on, until none
-   is left.
+   done, the others are divided again with more pivots. What is left after `DIVISIONS` divisions is
+   joined in blocks of `BLOCK` points, each pair of a region's blocks through an index of its own.
 
 Shingles that a large share of documents has are found first, a list whose length is bounded by
 the mean set size over that share; they come last in the order and are not sent through the
@@ -45,8 +44,8 @@ HOT_SHARE = 0.0025
 HOT_LEAST = 8
 FLUSH = 2_000_000  # postings gathered before they are sent
 BUCKET = 1_000_000  # postings of an index bucket, about
-DIVISIONS = 3  # of every region by pivots, before small ones are joined at once
-SMALL = 512  # points
+DIVISIONS = 2  # of every region by pivots, before what is left of them is joined by blocks
+BLOCK = 512  # points
 LOW = np.uint64((1 << 40) - 1)
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -318,13 +317,18 @@ def unfinished(members: DataFrame) -> DataFrame:
     return members.join(one.select("region", "rows"), "region").select("region", "point", "central", "label", "rows")
 
 
-def small_joins(members: DataFrame, kept: DataFrame, similar: int) -> DataFrame:
-    """(point, pivot): links between points of different components within regions of at most `SMALL` points, by a local index."""
+def block_joins(members: DataFrame, kept: DataFrame, similar: int) -> DataFrame:
+    """(point, pivot): links between points of different components of a region.
+
+    A region is cut into blocks of about `BLOCK` points; each pair of blocks meets once and joins
+    through a local index. A link inside a component found so far is not listed.
+    """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         m = len(rows)
         sets = [np.frombuffer(k, "<u8") for k in rows["keys"]]
         sizes, label, n, points_ = np.array([len(x) for x in sets]), rows["label"].to_numpy().copy(), rows["n"].to_numpy(), rows["point"].to_numpy()
+        block, same = rows["block"].to_numpy(), bool((rows["low"] == rows["high"]).iloc[0])
         key = np.unique(np.concatenate(sets), return_inverse=True)[1]
         owner = np.repeat(np.arange(m), sizes)
         order = np.argsort(key, kind="stable")
@@ -332,19 +336,26 @@ def small_joins(members: DataFrame, kept: DataFrame, similar: int) -> DataFrame:
         ends = np.concatenate([[0], np.cumsum(sizes)])
         out = []
         for i in range(m - 1):
-            mine = key[ends[i] : ends[i + 1]]
-            spans = [holders[first[k] : first[k + 1]] for k in mine]
+            apart = (label != label[i]) & (np.arange(m) > i)
+            if not same:
+                apart &= block != block[i]
+            if not apart.any():
+                continue
+            spans = [holders[first[k] : first[k + 1]] for k in key[ends[i] : ends[i + 1]]]
             both = np.bincount(np.concatenate(spans), minlength=m)
-            hit = (100 * both >= similar * (n + n[i] - both)) & (label != label[i])
-            hit[: i + 1] = False
-            for j in np.flatnonzero(hit):
+            for j in np.flatnonzero(apart & (100 * both >= similar * (n + n[i] - both))):
                 if label[j] != label[i]:
                     out.append((points_[i], points_[j]))
                     label[label == label[j]] = label[i]
         return pd.DataFrame(out, columns=["point", "pivot"], dtype="int64")
 
-    whole = members.join(kept.select("point", "n", "keys"), "point").select("region", "point", "label", "n", "keys")
-    return whole.groupBy("region").applyInPandas(run, "point long, pivot long")
+    blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
+    dealt = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("point", F.lit(1)), F.col("blocks")).cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "region", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "point", "label"
+    )
+    whole = met.join(kept.select("point", "n", "keys"), "point")
+    return whole.groupBy("region", "low", "high").applyInPandas(run, "point long, pivot long")
 
 
 def linked(kept: DataFrame, similar: int) -> DataFrame:
@@ -353,15 +364,10 @@ def linked(kept: DataFrame, similar: int) -> DataFrame:
     members = regions(kept, similar).join(kept.select("point", "central"), "point").withColumn("label", F.col("point"))
     links = kept.select("point", F.col("point").alias("pivot")).limit(0)
     labels = kept.select("point", F.col("point").alias("label")).limit(0)
-    turn = 0
-    while True:
+    for turn in range(DIVISIONS):
         members = written(unfinished(members), "regions")
-        if turn >= DIVISIONS:
-            # Divided so often, most regions are small: they join at once, the others are divided on.
-            links = links.unionByName(written(small_joins(members.filter(F.col("rows") <= SMALL), kept, similar), "links"))
-            members = members.filter(F.col("rows") > SMALL)
         if members.isEmpty():
-            return components(links) if turn >= DIVISIONS else labels
+            return labels
         part = F.pmod(F.xxhash64("point", "region"), F.lit(8**turn))
         # Once points are connected, those outside the component of the most central one are the open question.
         main = members.groupBy("region").agg(F.max_by("label", F.struct("central", "point")).alias("main"))
@@ -382,7 +388,10 @@ def linked(kept: DataFrame, similar: int) -> DataFrame:
             .select(F.xxhash64("region", F.lit("far")).alias("region"), "point", "central")
         )
         members = cells.unionByName(far).join(labels, "point", "left").withColumn("label", F.coalesce("label", "point"))
-        turn += 1
+    members = written(unfinished(members), "regions")
+    if members.isEmpty():
+        return labels
+    return components(links.unionByName(written(block_joins(members, kept, similar), "links")))
 
 
 def grouped(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
