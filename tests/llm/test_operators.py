@@ -365,7 +365,7 @@ def plain(rows):
     return sorted(tuple(-1 if x is None else x for x in r) for r in rows)
 
 
-def test_jaccard_components_match_brute_force(spark, corpus):
+def test_jaccard_components_match_brute_force(spark, corpus, monkeypatch):
     rng = random.Random(11)
     rows = list(corpus)
     for g in range(6):  # chains: each copy changes the last one a little, ends are far apart
@@ -379,6 +379,12 @@ def test_jaccard_components_match_brute_force(spark, corpus):
     rows += [(2000 + k, passage + " " + prose(rng, rng.randint(2, 30)), "p") for k in range(30)]
     docs = docs_of(spark, rows)
     assert plain(tuple(r) for r in jaccard.joined(docs).collect()) == plain(brute_components(rows))
+    # The same through many small blocks, and through blocks alone.
+    for divisions, block in ((1, 4), (0, 7)):
+        monkeypatch.setattr(jaccard, "DIVISIONS", divisions)
+        monkeypatch.setattr(jaccard, "BLOCK", block)
+        assert plain(tuple(r) for r in jaccard.joined(docs).collect()) == plain(brute_components(rows))
+    monkeypatch.undo()
     left = jaccard.one_of_each(docs)
     assert left.columns == docs.columns
     want = Counter(c if n else ("none", k) for k, (_, n, c) in enumerate(brute_components(rows)))
