@@ -285,6 +285,20 @@ def test_boilerplate_lines_go_and_copies_stay(spark, corpus):
     assert lines.without_boilerplate(docs.limit(0)).count() == 0
 
 
+def test_boilerplate_with_long_words_goes_from_different_documents(spark):
+    rng = random.Random(11)
+    site = ["Read our terms at https://www.example.org/terms-and-conditions-of-use", "Write to editorial-desk-and-letters@newspaper.example.org with questions", "All rights reserved by us"]
+    rows = [(k, "\n".join([prose(rng, 60), *site]), "a") for k in range(12)]
+    name = "Written and sent by Johnathan Smithson for the daily paper"
+    others = [(50 + k, prose(rng, 60) + "\n" + name.replace("Johnathan Smithson", prose(rng, 2)), "b") for k in range(10)]
+    base = prose(rng, 100).split()
+    near = [(100 + k, " ".join(w if j != 8 * k else prose(rng, 1) for j, w in enumerate(base)) + "\n" + name, "c") for k in range(12)]
+    one_line = [(200 + k, "Please switch on scripts in your browser to read this " + " ".join(str(rng.random()) for _ in range(4)), "d") for k in range(12)]
+    rows += others + near + one_line
+    got = {r["doc_id"]: r["text"] for r in lines.without_boilerplate(docs_of(spark, rows)).collect()}
+    assert got == {i: "" if s == "d" else t.split("\n")[0] for i, t, s in rows}
+
+
 # ---- packing
 
 
