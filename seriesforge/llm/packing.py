@@ -2,9 +2,10 @@
 
 Documents are dealt evenly over shards. A shard holds an inverted index of its documents' token
 ids; document frequencies and the mean length count the whole table. A window begins with what
-was cut off the last document, or with the next unused document, its seed. The index returns the
-unused documents that score best for the seed's most telling terms; they fill the window one
-after another, and the one that does not fit is cut, its rest being the next seed. So every
+was cut off the last document, or with the next unused document, its seed. The index ranks all
+unused documents of the shard that score for the seed's most telling terms; they fill the window
+one after another, and the one that does not fit is cut, its rest being the next seed. If they end
+before the window is full, the last of them is the seed of what follows. So every
 window but a shard's last is full, and that one is divided into sequences of powers of two, which
 need no padding.
 
@@ -134,8 +135,8 @@ def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean_length: float, wind
         else:
             if seed >= 0 and now:
                 score = np.where(unused, index.scores(seed), 0.0)
-                best = np.argsort(-score, kind="stable")[:16]
-                waiting = [int(x) for x in best if score[x] > 0][::-1]
+                scored = np.flatnonzero(score > 0)
+                waiting = scored[np.argsort(-score[scored], kind="stable")][::-1].tolist()
                 seed = -1
                 if waiting:
                     continue

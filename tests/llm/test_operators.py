@@ -347,6 +347,17 @@ def test_neighbours_share_terms():
     assert np.mean([len({d % 2 for d, _, _ in s}) == 1 for s in full]) > 0.7
 
 
+def test_a_seed_has_all_its_neighbours_before_theirs():
+    unique = iter(range(1000, 60_000))
+    arrays = [np.array([1] * (32 - k) + ([2] * k if k == 16 else [next(unique) for _ in range(k)]), "<u2") for k in range(32)]
+    arrays += [np.array([2] * 32, "<u2")] * 10 + [np.array([3] * 32, "<u2")] * 300
+    df = np.zeros(65_536)
+    for a in arrays:
+        df[np.unique(a)] += 1
+    sequences = packing.pack_shard(arrays, np.log1p((len(arrays) - df + 0.5) / (df + 0.5)), 32.0, 1024)
+    assert sorted(d for d, _, _ in sequences[0]) == list(range(32))
+
+
 # ---- jaccard
 
 
