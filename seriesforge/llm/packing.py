@@ -12,6 +12,7 @@ need no padding.
 Texts are tokenised once, into a table in the shared folder. Of it the driver gets one count for
 each vocabulary entry, a bound set by the tokenizer file. A shard is about `SHARD` rows, dealt by a
 row number of that table and not by any key, so that no key's or copy's weight gathers in one.
+That is a cut by input size: of N documents a seed can meet only about SHARD, chosen at random.
 
 Defined results: null or empty text is a document of the end id alone; repeated rows are separate
 documents; ties in score go to the earlier document; a document longer than the window is cut into
