@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from seriesforge.llm import chat, compression, fingerprints, jaccard, lines, mixing, packing, pages, rules, secrets
+from seriesforge.llm import centroids, chat, compression, fingerprints, jaccard, lines, mixing, packing, pages, rules, secrets
 
 QUERIES = {
     "op1_secret_scan": secrets.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_chat_format": chat.query,
     "op9_jaccard_join": jaccard.query,
     "op10_page_text": pages.query,
+    "op13_mean_variance_clusters": centroids.query,
 }
 
 #: Where SQL can express the result; the others are held against brute force in tests/llm.
@@ -22,4 +23,5 @@ SQL = {
     "op5_mix_sources": mixing.SQL,
     "op8_chat_format": chat.SQL,
     "op9_jaccard_join": jaccard.SQL,
+    "op13_mean_variance_clusters": centroids.SQL,
 }
