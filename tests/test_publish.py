@@ -76,8 +76,8 @@ def test_search_index_and_pages(spark, tmp_path):
     from seriesforge.operators import search
 
     p = spark.createDataFrame([(1, 1, "alpha beta"), (1, 2, "  "), (2, 1, "beta " * 6000)], "doc_id int, page int, text string")
-    pub = publish.published_pages(p)
-    assert rows(pub, "doc_id", "page", "truncated") == [(1, 1, False), (2, 1, True)]
+    assert rows(publish.published_pages(p), "doc_id", "page", "truncated") == [(1, 1, False), (2, 1, False)]
+    assert rows(publish.published_pages(p, limit=20_000), "doc_id", "page", "truncated") == [(1, 1, False), (2, 1, True)]
     path = str(tmp_path / "search")
     publish.build_search_index(p, text.search_form(F.col("text")), path, p.select("doc_id").distinct(), fraction=1.0)
     stored = spark.read.parquet(path + "/postings")
