@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from seriesforge.llm import centroids
+from seriesforge.llm import centroids, dualtree
 
 SYLLABLES = "an er th in on re ti es or te ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce".split()
 
@@ -85,3 +85,72 @@ def test_extreme_components_fit(spark):
     rows = [(k, [(-1) ** k * 3e38] * 64) for k in range(40)] + [(k, [float(k)] * 64) for k in range(40, 50)]
     found, _ = centroids.clustered(spark.createDataFrame(rows, EMBEDDINGS), k=2)
     assert {r["distance"] >= 0 for r in found.collect()} == {True} and found.count() == 50
+
+
+# ---- dual-tree search
+
+DOCUMENTS = "doc_id long, text string"
+ITEMS = "item_id long, text string"
+
+
+def terms_of(t):
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+
+
+def brute_ranks(docs, items, k=10):
+    split = [(i, terms_of(t)) for i, t in docs]
+    split = [(i, t) for i, t in split if t]
+    whole, total = len(split), sum(len(t) for _, t in split)
+    df = Counter(x for _, t in split for x in set(t))
+    out = []
+    for item, text in items:
+        scored = []
+        for i, t in split:
+            tf = Counter(t)
+            m = 100 - 90 + (90 * len(t) * whole) // total
+            score = sum(math.floor(1000 * math.log((2 * whole + 2) / (2 * df[x] + 1))) * ((1000000000 * tf[x]) // (1000 * tf[x] + 8 * m)) for x in set(terms_of(text)) if x in tf)
+            if score > 0:
+                scored.append((-score, i is None, i or 0, i))
+        out += [(item, r + 1, s[3], -s[0]) for r, s in enumerate(sorted(scored)[:k])]
+    return sorted(out, key=str)
+
+
+def searched(spark, docs, items, **kw):
+    d = spark.createDataFrame(docs, DOCUMENTS).selectExpr("*", "1 AS score", "2 AS n", "'x' AS terms").repartition(3)
+    i = spark.createDataFrame(items, ITEMS).selectExpr("*", "3 AS rank", "4L AS doc_id")
+    return sorted((tuple(r) for r in dualtree.ranked(d, i, **kw).collect()), key=str)
+
+
+def test_search_matches_brute_force(spark, monkeypatch):
+    rng = random.Random(8)
+    docs = [(k, prose(rng, rng.randint(1, 60))) for k in range(400)]
+    docs += [(500 + k, docs[3][1]) for k in range(30)]  # ties
+    docs += [(7, docs[7][1]), (None, docs[8][1]), (None, docs[3][1]), (900, None), (901, ""), (902, " --- \t"), (903, "é_É ÄÖ x" * 3), (904, prose(rng, 20000))]
+    items = [(k, " ".join(rng.sample(docs[k][1].split(), min(6, len(docs[k][1].split()))))) for k in range(40)]
+    items += [(3, docs[3][1]), (3, docs[3][1]), (None, "an er"), (50, None), (51, "..."), (52, "nowhere zzzz"), (53, "é Ä"), (54, "an"), (55, docs[-1][1])]
+    want = brute_ranks(docs, items)
+    assert len(want) > 300
+    assert searched(spark, docs, items) == want
+    monkeypatch.setattr(dualtree, "BLOCK", 50)
+    assert searched(spark, docs, items, group_terms=40) == want
+
+
+def test_search_of_nothing(spark):
+    assert searched(spark, [], [(1, "a b")]) == [] == searched(spark, [(1, "a b")], []) == searched(spark, [(1, None)], [(1, None)])
+    assert searched(spark, [(1, "a b")], [(4, "B")]) == brute_ranks([(1, "a b")], [(4, "B")])
+
+
+def test_node_pairs_are_pruned():
+    rng = random.Random(9)
+    topics = [prose(rng, 30).split() for _ in range(40)]
+    texts = [[rng.choice(topics[k % 40]) for _ in range(40)] for k in range(4000)]
+    items = dualtree.Items([(n, n, sorted({w.encode() for w in topics[n]})) for n in range(40)])
+    held = [sorted((items.vocabulary[w.encode()], c) for w, c in Counter(t).items()) for t in texts]
+    terms, times = np.array([t for h in held for t, _ in h]), np.array([c for h in held for _, c in h])
+    sizes = np.array([len(h) for h in held])
+    search = dualtree.Search(items, 10, leaf=16, item_leaf=2)
+    search.block(np.arange(4000), np.concatenate([[0], np.cumsum(sizes)]), terms, times)
+    for n in range(40):
+        score = sorted((-sum(c for t, c in h if t in set(items.terms[n])), i) for i, h in enumerate(held))[:10]
+        assert list(zip(search.best.held[n][0], search.best.held[n][1])) == [(-s, i) for s, i in score]
+    assert search.pairs < 0.5 * 40 * 4000
