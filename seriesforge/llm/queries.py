@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from seriesforge.llm import centroids, chat, compression, dualtree, fingerprints, jaccard, lines, mixing, packing, pages, rules, secrets
+from seriesforge.llm import centroids, chat, compression, dualtree, fingerprints, jaccard, lines, mixing, packing, pages, rules, secrets, superminhash
 
 QUERIES = {
     "op1_secret_scan": secrets.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_chat_format": chat.query,
     "op9_jaccard_join": jaccard.query,
     "op10_page_text": pages.query,
+    "op11_superminhash_groups": superminhash.query,
     "op12_dual_tree_search": dualtree.query,
     "op13_mean_variance_clusters": centroids.query,
 }
@@ -24,6 +25,7 @@ SQL = {
     "op5_mix_sources": mixing.SQL,
     "op8_chat_format": chat.SQL,
     "op9_jaccard_join": jaccard.SQL,
+    "op11_superminhash_groups": superminhash.SQL,
     "op12_dual_tree_search": dualtree.SQL,
     "op13_mean_variance_clusters": centroids.SQL,
 }

@@ -19,7 +19,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     yield con
     con.close()
@@ -45,7 +45,7 @@ def test_query_covers_its_table(spark, name):
 def test_everything_is_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names
-    assert [n for k in range(1, 11) for n in names if n.startswith(f"op{k}_")] == sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))
+    assert [n for k in range(1, 14) for n in names if n.startswith(f"op{k}_")] == sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))
 
 
 def test_pipeline_stages_one_by_one(spark, tmp_path):

@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from seriesforge.llm import centroids, dualtree
+from seriesforge.llm import centroids, dualtree, superminhash
 
 SYLLABLES = "an er th in on re ti es or te ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce".split()
 
@@ -154,3 +154,97 @@ def test_node_pairs_are_pruned():
         score = sorted((-sum(c for t, c in h if t in set(items.terms[n])), i) for i, h in enumerate(held))[:10]
         assert list(zip(search.best.held[n][0], search.best.held[n][1])) == [(-s, i) for s, i in score]
     assert search.pairs < 0.5 * 40 * 4000
+
+
+# ---- SuperMinHash groups
+
+
+def brute_groups(rows, width=4, similar=80):
+    sets = []
+    for _, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets.append({tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} if w else set())
+    label = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if label[a] != label[b] and sets[a] and sets[b] and 100 * min(len(sets[a]), len(sets[b])) >= similar * max(len(sets[a]), len(sets[b])):
+                both = len(sets[a] & sets[b])
+                if 100 * both >= similar * (len(sets[a]) + len(sets[b]) - both):
+                    label = [label[a] if x == label[b] else x for x in label]
+    low = {}
+    for n, (i, _) in zip(label, rows):
+        if i is not None:
+            low[n] = min(low.get(n, i), i)
+    out = [(i, len(s), low.get(n) if s else i) for (i, _), s, n in zip(rows, sets, label)]
+    return sorted(((i, n, c, i == c) for i, n, c in out), key=str)
+
+
+def edited(rng, words, share):
+    return " ".join(prose(rng, 1) if rng.random() < share else w for w in words)
+
+
+@pytest.fixture(scope="module")
+def copies():
+    """Copies of every likeness about the threshold, chains of copies of copies, a shared passage, and odd rows."""
+    rng = random.Random(11)
+    rows = [(k, prose(rng, rng.randint(1, 80))) for k in range(60)]
+    for group in range(6):
+        words = prose(rng, 120).split()
+        rows += [(100 + 50 * group + k, edited(rng, words, 0.005 * (k % 13))) for k in range(40)]
+    chain = prose(rng, 150).split()
+    for k in range(30):
+        chain = edited(rng, chain, 0.03).split()
+        rows.append((500 + k, " ".join(chain)))
+    shared = prose(rng, 60)
+    rows += [(600 + k, prose(rng, 50) + " " + shared) for k in range(25)]
+    rows += [(700 + k, "the same text in many rows") for k in range(40)] + [(760, "THE same\ttext\nin many  rows ")]
+    rows += [(800, None), (801, ""), (802, " \n\t"), (803, "one"), (803, "one"), (804, "One"), (None, "one"), (None, "of no id"), (None, None), (805, "a b c"), (806, "a b c d"), (807, "é ß 漢字 😀 x")]
+    long = prose(rng, 20000).split()
+    return [*rows, (900, " ".join(long)), (901, edited(rng, long, 0.01))]
+
+
+@pytest.mark.parametrize("block", [512, 7])
+def test_groups_match_brute_force(spark, copies, monkeypatch, block):
+    monkeypatch.setattr(superminhash, "BLOCK", block)
+    docs = spark.createDataFrame(copies, DOCUMENTS).selectExpr("*", "1 AS point", "'x' AS signature", "2 AS n", "false AS kept").repartition(5)
+    assert sorted((tuple(r) for r in superminhash.grouped(docs).collect()), key=str) == brute_groups(copies)
+
+
+def test_groups_of_nothing_and_of_one_text(spark):
+    assert superminhash.grouped(spark.createDataFrame([], DOCUMENTS)).collect() == []
+    for rows in ([(1, None)], [(k, "all rows are this text") for k in range(200)], [(3, "alone here")]):
+        assert sorted((tuple(r) for r in superminhash.grouped(spark.createDataFrame(rows, DOCUMENTS)).collect()), key=str) == brute_groups(rows)
+
+
+def brute_signature(elements, places):
+    """The shuffle one element after the other, each to its last rank."""
+    out = [1 << 32] * places
+    for e in elements:
+        order = list(range(places))
+        for rank in range(places):
+            drawn = int(superminhash.scrambled(np.array([(int(e) + (rank + 1) * int(superminhash.MULTIPLIER)) % 2**64], np.uint64))[0])
+            other = rank + ((drawn & 0xFFFFFFFF) * (places - rank) >> 32)
+            order[rank], order[other] = order[other], order[rank]
+            out[order[rank]] = min(out[order[rank]], rank << superminhash.FRACTION | drawn >> 64 - superminhash.FRACTION)
+    return out
+
+
+def test_early_stopping_changes_nothing(monkeypatch):
+    rng = np.random.default_rng(12)
+    sets = [np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in (0, 1, 2, 7, 50, 400)]
+    got = superminhash.signatures(sets)
+    assert (got[0] == 0xFFFFFFFF).all()
+    assert got[1:].tolist() == [brute_signature(s, superminhash.PLACES) for s in sets[1:]]
+    monkeypatch.setattr(superminhash, "CHUNK", 60)  # a long text in several pieces
+    assert (superminhash.signatures(sets) == got).all()
+
+
+def test_signatures_vary_less_than_minhash():
+    rng = np.random.default_rng(13)
+    told = []
+    for _ in range(400):
+        x = rng.integers(0, 2**63, 60, dtype=np.uint64)
+        a, b = superminhash.signatures([np.unique(x[:48]), np.unique(x[12:])])
+        told.append((a == b).mean())
+    assert abs(np.mean(told) - 0.6) < 0.006
+    assert np.std(told) < 0.85 * (0.6 * 0.4 / superminhash.PLACES) ** 0.5
