@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from seriesforge.operators import merge
@@ -9,6 +11,7 @@ from seriesforge.plans import views as v
 from seriesforge.plans.catalog import query
 from seriesforge.sinks import publish
 from seriesforge.sources import landed
+from seriesforge.session import checkpoint_dir
 from seriesforge.streaming import landing
 
 
@@ -311,3 +314,50 @@ SELECT series_id, period, arg_max(value, batch) AS value FROM i GROUP BY 1, 2"""
 def landed_batches(spark, sf):
     b = v.obs_events(spark, sf).withColumn("batch", F.floor(F.col("ord") / 1000))
     return v.iso(landing.merge_batches(b))
+
+
+def _event_content(batch):
+    """Landed event rows to observations in served order."""
+    told = F.from_json("content", "series string, day string, value double")
+    return batch.select(told.alias("c"), F.col("key").cast("bigint").alias("ord")).select("c.series", F.col("c.day").cast("date").alias("period"), "c.value", "ord").filter(
+        F.col("value").isNotNull()
+    ).withColumnRenamed("series", "series_id")
+
+
+@query(
+    "p1_incremental_landing", "P1 F1 F5 F6 F9",
+    v.dated(v.with_ctes("obs_events", """, landed AS (
+  SELECT series_id, period, value, ord, 0 AS batch FROM obs_events WHERE ord % 3 <> 2
+  UNION ALL SELECT series_id, period, value, ord, 1 FROM obs_events WHERE ord % 3 = 2
+  UNION ALL SELECT series_id, period, value + 1, ord, 2 FROM obs_events WHERE ord % 5 = 0),
+firsts AS (SELECT series_id, period, batch, arg_min(value, ord) AS value FROM landed GROUP BY 1, 2, 3),
+versions AS (SELECT *, lag(value) OVER (PARTITION BY series_id, period ORDER BY batch) AS previous FROM firsts),
+counted AS (SELECT series_id, period, arg_max(value, batch) AS value, count(*) FILTER (previous IS NOT NULL AND previous <> value) AS revisions FROM versions GROUP BY 1, 2),
+daily AS (SELECT series_id, count(*) AS days, arg_max(value, period) AS latest FROM counted GROUP BY 1),
+lost AS (SELECT l.series_id, count(*) AS anomalies FROM landed l JOIN firsts f USING (series_id, period, batch) WHERE l.value <> f.value GROUP BY 1)
+SELECT c.series_id, c.period, c.value, c.revisions, d.days, d.latest, coalesce(a.anomalies, 0) AS anomalies
+FROM counted c JOIN daily d USING (series_id) LEFT JOIN lost a USING (series_id)"""), "period"),
+)
+def incremental_landing(spark, sf):
+    """Three landings of the events through one stream that is started anew each time: most, the rest with a repeat of old rows, and revisions."""
+    home = f"{checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
+    events = v.obs_events(spark, sf).select(F.col("ord").cast("string").alias("key"), F.struct("series_id", "period", "value", "ord").alias("e"))
+
+    def content(value):
+        return F.to_json(F.struct(F.col("e.series_id").alias("series"), F.col("e.period").cast("string").alias("day"), value.alias("value"))).alias("content")
+
+    landings = [
+        events.filter("e.ord % 3 <> 2").select("key", content(F.col("e.value")), F.lit(1).alias("seen")),
+        events.filter("e.ord % 3 <> 1").select("key", content(F.col("e.value")), F.lit(2).alias("seen")),
+        events.filter("e.ord % 5 = 0").select("key", content(F.col("e.value") + 1), F.lit(3).alias("seen")),
+    ]
+    events_landing = landing.Landing(f"{home}/tables", _event_content, compact_after=2)
+    for rows in landings:
+        rows.write.mode("append").parquet(f"{home}/landed")
+        stream = landing.landed_stream(spark, f"{home}/landed", rows.schema, max_files=1_000_000)
+        events_landing.start(stream, f"{home}/progress").awaitTermination()
+    revised = events_landing.revisions(spark).groupBy("series_id", "period").agg(F.count(F.lit(1)).alias("revisions"))
+    lost = spark.read.parquet(f"{home}/tables/anomalies").groupBy("series_id").agg(F.count(F.lit(1)).alias("anomalies"))
+    told = events_landing.summaries(spark).select("series_id", F.col("n").alias("days"), F.col("last").alias("latest"))
+    out = events_landing.current(spark).join(revised, ["series_id", "period"], "left").join(told, "series_id").join(lost, "series_id", "left")
+    return v.iso(out.select("series_id", "period", "value", F.coalesce("revisions", F.lit(0)).alias("revisions"), "days", "latest", F.coalesce("anomalies", F.lit(0)).alias("anomalies")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -16,6 +16,8 @@ DEFAULTS = {
     # a scan task stays close to one row-group run.
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
+    # A union that keeps its branches' partitioning breaks where one branch is found empty at run time.
+    "spark.sql.unionOutputPartitioning": "false",
 }
 
 
@@ -46,9 +48,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
             named = tempfile.mkdtemp(prefix="spark-")
         sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of any executor."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

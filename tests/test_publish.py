@@ -1,10 +1,11 @@
 import datetime as dt
+import hashlib
 import json
+import random
 
 from conftest import rows
 from pyspark.sql import functions as F
 
-from seriesforge import session
 from seriesforge.operators import merge, summary
 from seriesforge.sinks import publish
 from seriesforge.sources import landed
@@ -82,7 +83,7 @@ def test_search_index_and_pages(spark, tmp_path):
     publish.build_search_index(p, text.search_form(F.col("text")), path, p.select("doc_id").distinct(), fraction=1.0)
     stored = spark.read.parquet(path + "/postings")
     hits = search.full_text(stored, "beta")
-    assert rows(hits) == [(1, 1, 1), (2, 1, 255)]
+    assert rows(hits) == [(1, 1, 1), (2, 1, 6000)]
     plan = hits._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(shard" in plan and "PushedFilters: [IsNotNull(term), EqualTo(term,beta)]" in plan
     assert spark.read.json(path + "/meta").first()["documents"] == 2
@@ -98,42 +99,86 @@ def test_changed_only_landing(spark, tmp_path):
     assert rows(changed, "key") == [("b",), ("c",)]
 
 
-def test_streaming_landing_is_restartable(spark, tmp_path):
+LANDED = "key string, content string, seen int"
+
+
+def landing_of(path, **kw):
+    def to_obs(raw):
+        parts = F.split("content", ",")
+        return raw.select(parts[0].alias("series_id"), parts[1].cast("date").alias("period"), parts[2].cast("double").alias("value"), F.col("key").alias("ord"))
+
+    return landing.Landing(path, to_obs, parts=4, **kw)
+
+
+def content(*readings):
+    return [(k, f"{s},{d},{v}", n) for k, s, d, v, n in readings]
+
+
+def test_landing_streams_restarts_and_revises(spark, tmp_path):
     src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
-    schema = "series_id string, period date, value double, ord int"
+    land_ = landing_of(out)
+    d = D(2020, 1, 1)
 
-    def land(*r):
-        spark.createDataFrame(list(r), schema).coalesce(1).write.mode("append").parquet(src)
+    def land(*rows_):
+        spark.createDataFrame(list(rows_), LANDED).coalesce(1).write.mode("append").parquet(src)
 
     def run():
-        q = landing.land_observations(landing.landed_stream(spark, src, spark.createDataFrame([], schema).schema), lambda b: b, out, ck)
-        q.awaitTermination(60)
+        q = land_.start(landing.landed_stream(spark, src, spark.createDataFrame([], LANDED).schema), ck)
+        q.awaitTermination(120)
         assert q.exception() is None
 
-    d = D(2020, 1, 1)
-    land(("A", d, 1.0, 1), ("A", d, 2.0, 2), ("B", d, 5.0, 3))
+    land(*content(("k1", "A", d, 1.0, 1), ("k2", "A", d, 2.0, 1), ("k3", "B", d, 5.0, 1)), (None, "A,2020-01-01,7", 1))
     run()
-    assert rows(landing.current_observations(spark, out)) == [("A", d, 1.0), ("B", d, 5.0)]
+    assert rows(land_.current(spark)) == [("A", d, 1.0), ("B", d, 5.0)]
     run()  # nothing new: nothing changes
-    land(("A", d, 9.0, 1))
+    land(*content(("k1", "A", d, 1.0, 2), ("k1", "A", d, 9.0, 2), ("k3", "B", d, 5.0, 2)))
     run()
-    assert rows(landing.current_observations(spark, out)) == [("A", d, 9.0), ("B", d, 5.0)]
+    assert rows(land_.current(spark)) == [("A", d, 9.0), ("B", d, 5.0)]
+    assert rows(land_.revisions(spark)) == [("A", d, 1.0, 9.0, 1)]
     assert rows(spark.read.parquet(out + "/anomalies"), "series_id", "kept", "discarded") == [("A", 1.0, 2.0)]
-
-
-def test_stream_drops_seen_content(spark, tmp_path):
-    src = str(tmp_path / "s")
-    rows_ = [("k", "same", dt.datetime(2020, 1, 1)), ("k", "same", dt.datetime(2020, 1, 2)), ("k", "new", dt.datetime(2020, 1, 3))]
-    spark.createDataFrame(rows_, "key string, body string, seen timestamp").coalesce(1).write.parquet(src)
-    stream = landing.new_content(spark.readStream.schema("key string, body string, seen timestamp").parquet(src), "key", "body", "seen")
-    q = stream.writeStream.format("memory").queryName("seen_content").outputMode("append").trigger(availableNow=True).option(
-        "checkpointLocation", str(tmp_path / "ck")
-    ).start()
-    q.awaitTermination(60)
-    assert sorted(r["body"] for r in spark.sql("select body from seen_content").collect()) == ["new", "same"]
-
-
-def test_lineage_is_cut_by_a_reliable_checkpoint(spark):
-    df = session.cut_lineage(spark.range(5).filter("id > 1"))
-    assert df.count() == 3 and spark.sparkContext.getCheckpointDir() == session.checkpoint_dir(spark)
-    assert "Scan ExistingRDD" in df._jdf.queryExecution().executedPlan().toString()
+    assert rows(land_.summaries(spark), "series_id", "n", "last") == [("A", 1, 9.0), ("B", 1, 5.0)]
+    # only series A was summarised again
+    assert [r[0] for r in spark.read.parquet(out + "/summaries/batch=000000001").select("series_id").collect()] == ["A"]
+
+
+def test_landing_equals_one_batch_whatever_its_cuts(spark, tmp_path):
+    rng = random.Random(4)
+    landed_rows, latest = [], {}
+    for n in range(9):
+        batch = [(f"k{rng.randrange(30):02d}", f"S{rng.randrange(4)},2021-01-{rng.randrange(1, 9):02d},{rng.randrange(6)}", n) for _ in range(25)]
+        landed_rows.append(batch)
+    plain = landing_of(str(tmp_path / "plain"))
+    snaps = landing_of(str(tmp_path / "snaps"), compact_after=3)
+    seen = {}
+    for n, batch in enumerate(landed_rows):
+        df = spark.createDataFrame(batch, LANDED)
+        plain.land(df, n)
+        snaps.land(df, n)
+        if n in (3, 6):
+            snaps.land(df, n)  # a repeat after a failure
+        new = sorted({(k, c) for k, c, _ in batch if seen.get(k) != c})
+        first = {}
+        for k, c in new:
+            s, p, v = c.split(",")
+            first.setdefault((s, p), {}).setdefault(k, []).append(float(v))
+        latest.update({at: min(prints.items())[1] for at, prints in first.items()})
+        for k in {k for k, _ in new}:  # of equal `seen` the larger hash stands
+            seen[k] = max((hashlib.sha256(c.encode()).hexdigest(), c) for k2, c in new if k2 == k)[1]
+    got = {(s, str(p)): v for s, p, v in rows(plain.current(spark))}
+    assert got.keys() == latest.keys() and all(v in latest[k] for k, v in got.items())
+    assert rows(snaps.current(spark)) == rows(plain.current(spark))
+    columns = ["series_id", "n", "last", "record_high"] if "record_high" in plain.summaries(spark).columns else ["series_id", "n", "last"]
+    whole = summary.summarise(plain.current(spark))
+    for one in (plain, snaps):
+        assert rows(one.summaries(spark), *columns) == rows(whole, *columns)
+    assert landing.complete_versions(spark, str(tmp_path / "snaps/snapshot/values"), "upto") == [2, 5, 8]
+
+
+def test_landing_reads_only_the_parts_it_touches(spark, tmp_path):
+    land_ = landing_of(str(tmp_path / "one"))
+    land_.land(spark.createDataFrame(content(*((f"k{n}", f"S{n}", D(2020, 1, 1), 1.0, 1) for n in range(40))), LANDED), 0)
+    state = land_.state(spark, "values", ["series_id", "period"], land_.value_schema, parts=[2])
+    assert 0 < state.count() < 40
+    assert "PartitionFilters: [" in (plan := state._jdf.queryExecution().executedPlan().toString()) and "(part" in plan
+    land_.land(spark.createDataFrame([], LANDED), 1)
+    assert land_.current(spark).count() == 40
