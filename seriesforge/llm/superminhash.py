@@ -9,8 +9,9 @@ off side by side, rank by rank.
 
 1. Places are cut into bands; texts of equal bands share a bucket. Two sets of the wanted
    likeness miss each other with a chance of (1 - 0.8^4)^32, 5 in 10^8 at the very threshold.
-2. In each bucket all points meet its smallest point. What the signatures do not rule out by six
-   standard errors is compared by full sets. The links are grouped.
+2. Only points that share a bucket have their texts read again, for full sets. In each bucket all
+   points meet its smallest point. What the signatures do not rule out by six standard errors is
+   compared by full sets. The links are grouped.
 3. Buckets with points of different groups are worked off once more: the points outside the
    bucket's main group meet all others in blocks of `BLOCK`; each pair in the first band that it
    shares. Points with an open pair get their full sets and are joined by union-find in the task,
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesforge.llm.common import in_batches, table, utf8, written
-from seriesforge.llm.jaccard import components, point_of, shingles
+from seriesforge.llm.jaccard import components, point_of, row_key, shingles
 
 WIDTH = 4
 SIMILAR = 80  # per cent
@@ -88,53 +89,63 @@ def _deal(out: np.ndarray, shingle: np.ndarray, owner: np.ndarray) -> None:
 
 
 def band_keys(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
-    """A 64-bit bucket for each row and band."""
+    """A 64-bit bucket for each row and band; its last bits are the band's number."""
     parts = signature.reshape(len(signature), bands, -1).astype(np.uint64)
     h = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(signature), 1))
     for k in range(parts.shape[2]):
         h = scrambled(h * MULTIPLIER + parts[:, :, k])
-    return h.view(np.int64)
+    return (h - h % np.uint64(bands) + np.arange(bands, dtype=np.uint64)).view(np.int64)
+
+
+def short(signature: np.ndarray) -> list[bytes]:
+    """Each row with the upper half of its numbers: all of a rank and 9 bits of the fraction, which can only make places equal, never different."""
+    return [x.tobytes() for x in (signature >> np.uint32(16)).astype("<u2")]
 
 
 def read_sets(docs: DataFrame, width: int) -> DataFrame:
-    """kind 0: a document's (doc_id, point, n); kind 1: (point, n, signature, shingles) of a point, at least once."""
+    """kind 0: a document's (doc_id, key, point, n); kind 1: (key, point, signature) of a point, at least once. The key tells rows apart."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
         for b in batches:
             sets = [shingles(t, width) for t in b["text"]]
             points = [point_of(s) for s in sets]
-            sizes = [len(s) for s in sets]
-            yield pd.DataFrame({"kind": 0, "doc_id": b["doc_id"].astype("Int64"), "point": points, "n": sizes, "signature": None, "shingles": None})
-            new = {p: s for p, s in zip(points, sets) if len(s) and p not in seen}
+            yield pd.DataFrame({"kind": 0, "doc_id": b["doc_id"].astype("Int64"), "key": b["key"], "point": points, "n": [len(s) for s in sets], "signature": None})
+            new = {p: (k, s) for p, k, s in zip(points, b["key"], sets) if len(s) and p not in seen}
             if len(seen) > SEEN:
                 seen.clear()
             seen.update(new)
-            s = signatures(list(new.values()))
-            yield pd.DataFrame(
-                {
-                    "kind": 1, "doc_id": pd.array([None] * len(new), dtype="Int64"), "point": list(new), "n": [len(x) for x in new.values()],
-                    "signature": [x.astype("<u4").tobytes() for x in s], "shingles": [x.astype("<u8").tobytes() for x in new.values()],
-                }
-            )
+            signs = short(signatures([s for _, s in new.values()]))
+            yield pd.DataFrame({"kind": 1, "doc_id": pd.array([None] * len(new), dtype="Int64"), "key": [k for k, _ in new.values()], "point": list(new), "n": 0, "signature": signs})
+
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(docs).alias("key"), utf8("text").alias("text"))
+    return in_batches(narrow).mapInPandas(run, "kind int, doc_id long, key long, point long, n long, signature binary")
+
+
+def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(point, n, signature, shingles) of the points in `wanted` (point, key), from the text of one row each."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            sets = [shingles(t, width) for t in b["text"]]
+            yield pd.DataFrame({"point": b["point"], "n": [len(s) for s in sets], "signature": short(signatures(sets)), "shingles": [s.astype("<u8").tobytes() for s in sets]})
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"))
-    return in_batches(narrow).mapInPandas(run, "kind int, doc_id long, point long, n long, signature binary, shingles binary")
+    texts = docs.select(row_key(docs).alias("key"), utf8("text").alias("text")).join(wanted, "key").groupBy("point").agg(F.first("text").alias("text"))
+    return in_batches(texts).mapInPandas(run, "point long, n long, signature binary, shingles binary")
 
 
 def bucketed(points: DataFrame) -> DataFrame:
-    """(bucket, band, point) for each band of each point."""
+    """(bucket, point) for each band of each point."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            keys = band_keys(_matrix(b["signature"]))
-            yield pd.DataFrame({"bucket": keys.ravel(), "band": np.tile(np.arange(BANDS, dtype=np.int32), len(b)), "point": np.repeat(b["point"].to_numpy(), BANDS)})
+            yield pd.DataFrame({"bucket": band_keys(_matrix(b["signature"])).ravel(), "point": np.repeat(b["point"].to_numpy(), BANDS)})
 
-    return points.select("point", "signature").mapInPandas(run, "bucket long, band int, point long")
+    return points.select("point", "signature").mapInPandas(run, "bucket long, point long")
 
 
 def _matrix(packed) -> np.ndarray:
-    return np.frombuffer(b"".join(packed), "<u4").reshape(-1, PLACES)
+    return np.frombuffer(b"".join(packed), "<u2").reshape(-1, PLACES)
 
 
 def least_equal(similar: int) -> float:
@@ -199,7 +210,7 @@ def in_runs(df: DataFrame, keys: list[str], work: Callable[[pd.DataFrame], pd.Da
 
 
 def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(bucket, band, point, label, main, rows, others) of buckets of more than one group; main is the group of most points."""
+    """(bucket, point, label, main, rows, others) of buckets of more than one group; main is the group of most points."""
     named = members.join(labels, "point", "left").withColumn("label", F.coalesce("label", "point"))
     groups = named.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("rows"))
     told = groups.groupBy("bucket").agg(F.count(F.lit(1)).alias("groups"), F.max_by("label", F.struct("rows", "label")).alias("main"), F.sum("rows").alias("rows"), F.max("rows").alias("most"))
@@ -214,7 +225,7 @@ def in_blocks(members: DataFrame) -> DataFrame:
     one = F.col("outer_blocks") * F.col("blocks") == 1
     all_rows = cut.withColumn("outer", F.explode(F.sequence(F.lit(0), F.col("outer_blocks") - 1))).withColumn("inner", block(2, "blocks")).withColumn("asks", one & (F.col("label") != F.col("main")))
     asking = cut.filter(~one & (F.col("label") != F.col("main"))).withColumn("outer", block(1, "outer_blocks")).withColumn("inner", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("asks", F.lit(True))
-    columns = ["bucket", "band", "outer", "inner", "asks", "point", "label"]
+    columns = ["bucket", "outer", "inner", "asks", "point", "label"]
     # A row that asks stands among the others too, where a bucket is one block.
     return all_rows.select(*columns, one.alias("single")).unionByName(asking.select(*columns, F.lit(False).alias("single")))
 
@@ -223,7 +234,7 @@ def _crossing(rows: pd.DataFrame, least: float, similar: int) -> tuple[np.ndarra
     """(asking row, other row, equal places) of the pairs of different groups that are not ruled out."""
     asks = np.flatnonzero(rows["asks"].to_numpy())
     others = np.flatnonzero(~rows["asks"].to_numpy() | rows["single"].to_numpy())
-    sign, label, n, point = _matrix(rows["signature"]).astype(np.uint16), rows["label"].to_numpy(), rows["n"].to_numpy(), rows["point"].to_numpy()
+    sign, label, n, point = _matrix(rows["signature"]), rows["label"].to_numpy(), rows["n"].to_numpy(), rows["point"].to_numpy()
     found = []
     for at in range(0, len(asks), 64):
         a = asks[at : at + 64]
@@ -246,7 +257,7 @@ def hopeful(members: DataFrame, points: DataFrame, similar: int) -> DataFrame:
     def work(rows: pd.DataFrame) -> pd.DataFrame:
         i, j, _ = _crossing(rows, least, similar)
         if len(i):
-            sign, band = _matrix(rows["signature"]), int(rows["band"].iloc[0])
+            sign, band = _matrix(rows["signature"]), int(rows["bucket"].iloc[0]) % BANDS
             shared = (sign[i] == sign[j]).reshape(len(i), BANDS, -1).all(2)
             first = shared.argmax(1) == band
             i, j = i[first], j[first]
@@ -282,30 +293,31 @@ def block_links(members: DataFrame, points: DataFrame, similar: int) -> DataFram
     return in_runs(whole, ["bucket", "outer", "inner"], work, "point long, pivot long")
 
 
-def linked(points: DataFrame, similar: int) -> DataFrame:
-    """(point, label) of all points that have a link."""
+def linked(docs: DataFrame, points: DataFrame, width: int, similar: int) -> DataFrame:
+    """(point, label) of all points that have a link; `points` has (key, point, signature)."""
     seen = bucketed(points)
     shared = written(seen.groupBy("bucket").agg(F.min("point").alias("pivot"), F.max("point").alias("last")).filter("pivot <> last").select("bucket", "pivot"), "buckets")
-    members = written(seen.join(shared, "bucket").groupBy("bucket", "point").agg(F.min("band").alias("band"), F.min("pivot").alias("pivot")), "members")
-    able = points.join(members.select("point").distinct(), "point", "left_semi").groupBy("point").agg(F.first("n").alias("n"), F.first("signature").alias("signature"), F.first("shingles").alias("shingles"))
-    points = written(able, "able")
-    pairs = written(possible(members.filter("point <> pivot").select("point", "pivot").distinct(), points, similar), "possible")
-    links = written(verified(pairs, points, similar), "links")
+    members = written(seen.join(shared, "bucket").distinct(), "members")
+    wanted = points.join(members.select("point").distinct(), "point", "left_semi").groupBy("point").agg(F.min("key").alias("key"))
+    able = written(full_sets(docs, wanted, width), "able")
+    pairs = written(possible(members.filter("point <> pivot").select("point", "pivot").distinct(), able, similar), "possible")
+    links = written(verified(pairs, able, similar), "links")
     labels = components(links)
     left = written(open_members(members.drop("pivot"), labels), "open")
-    hope = written(hopeful(left, points, similar).distinct(), "hopeful")
+    hope = written(hopeful(left, able, similar).distinct(), "hopeful")
     if hope.isEmpty():
         return labels
-    left = open_members(left.join(hope, ["bucket", "point"], "left_semi").select("bucket", "band", "point"), labels)
-    more = written(block_links(left, points, similar), "more")
+    left = open_members(left.join(hope, ["bucket", "point"], "left_semi").select("bucket", "point"), labels)
+    more = written(block_links(left, able, similar), "more")
     return labels if more.isEmpty() else components(links.unionByName(more))
 
 
 def grouped(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per document."""
+    docs = docs.select("doc_id", "text")
     told = written(read_sets(docs, width), "sets")
     rows = told.filter("kind = 0").select("doc_id", "point", F.col("n").alias("n_shingles"))
-    labels = linked(told.filter("kind = 1").select("point", "n", "signature", "shingles"), similar)
+    labels = linked(docs, told.filter("kind = 1").select("key", "point", "signature"), width, similar)
     full = rows.filter("n_shingles > 0").join(labels, "point", "left").withColumn("label", F.coalesce("label", "point"))
     smallest = full.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     out = full.join(smallest, "label").select("doc_id", "n_shingles", "component_id")
