@@ -250,7 +250,7 @@ SELECT supp || '-' || fy AS file_id, list_extract(['month', 'quarter', 'fiscal_y
 )
 def grid_layouts(spark, sf):
     cells, merged, _ = sheets(spark, sf)
-    found = grids.find_period_row(grids.fill_merges(grids.within_caps(cells), merged))
+    found = grids.header_rows(grids.fill_merges(grids.within_caps(cells), merged))
     return found.filter("strategy is not null").select("file_id", "strategy", "period_row")
 
 
@@ -267,8 +267,8 @@ def merged_cells(spark, sf):
 
 
 @query(
-    "e13_grid_quarantine", "E7 H10",
-    """SELECT DISTINCT l_suppkey || '-0' AS file_id, 'no period row found (best scores: month=0, quarter=0, fiscal_year=0, year=0)' AS reason FROM lineitem WHERE l_suppkey % 5 = 4""",
+    "e13_grid_quarantine", "E7 E13 H10",
+    """SELECT DISTINCT l_suppkey || '-0' AS file_id, '/-/media/' || l_suppkey || '-0' AS url, 'GDP' AS category, 'Supplier ' || l_suppkey AS subcategory, 'Annual' AS frequency, 'no period row found (best scores: month=0, quarter=0, fiscal_year=0, year=0)' AS reason FROM lineitem WHERE l_suppkey % 5 = 4""",
 )
 def grid_quarantine(spark, sf):
     cells, merged, files = sheets(spark, sf)
@@ -279,12 +279,25 @@ def grid_quarantine(spark, sf):
 @query(
     "e13_grid_catalog", "F6 E13 B6",
     """SELECT DISTINCT 'EG.XL.GDP.SUPPLIER_' || l_suppkey || '.FLAG_' || l_returnflag AS series_id, 'Supplier ' || l_suppkey || ' - Flag ' || l_returnflag AS title_en,
-  'بند ' || l_returnflag AS title_ar, 'gdp' AS family, 'EGP million' AS unit FROM lineitem WHERE l_suppkey % 5 < 4""",
+  'بند ' || l_returnflag AS title_ar, 'gdp' AS family, 'EGP million' AS unit, CASE l_suppkey % 5 WHEN 0 THEN 'M' WHEN 1 THEN 'Q' ELSE 'A' END AS freq,
+  'Egypt, 1 July to 30 June' AS fiscal_year_basis, 2 AS level FROM lineitem WHERE l_suppkey % 5 < 4""",
 )
 def grid_catalog(spark, sf):
     cells, merged, files = sheets(spark, sf)
     obs, _ = grids.melt(grids.fill_merges(grids.within_caps(cells), merged), files)
-    return grids.catalog_entries(obs).select("series_id", "title_en", "title_ar", "family", "unit")
+    return grids.catalog_entries(obs).select("series_id", "title_en", "title_ar", "family", "unit", "freq", "fiscal_year_basis", "level")
+
+
+@query("e12_tall_sheets", "E7 E8 E9 E10 E11 E12 E13", v.dated(SHEET_SQL, "period"))
+def tall_sheets(spark, sf):
+    """The same sheets with every header below row 20, labels from column 5 on, and notes above."""
+    cells, merged, files = sheets(spark, sf)
+    down = lambda df, *names: df.withColumns({n: F.col(n) + (20 if n.startswith("r") else 5) for n in names})
+    # A bare-year sheet names its month within the first three columns, so that cell stays at the left.
+    lower = down(cells, "r", "c").withColumn("c", F.when(F.col("v") == "End of December", 0).otherwise(F.col("c")))
+    notes = files.select("file_id", F.explode(F.sequence(F.lit(0), F.lit(19))).alias("r"), F.lit(0).alias("c"), F.lit("Note on the table").alias("v"), F.lit(True).alias("is_text"))
+    obs, _ = grids.melt(grids.fill_merges(grids.within_caps(lower.unionByName(notes)), down(merged, "r0", "r1", "c0", "c1")), files)
+    return v.iso(obs.select("series_id", "period", "fy", "value", "unit", "level"))
 
 
 VERBS = ["keep", "maintain", "raise", "cut", "lower", "reduce", "increase"]

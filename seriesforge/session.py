@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -48,3 +49,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
             named = tempfile.mkdtemp(prefix="spark-")
         sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """`df` computed once into the cluster's shared folder and read from there: safe against lost executors."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stored-{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

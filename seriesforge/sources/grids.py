@@ -1,9 +1,10 @@
 """Spreadsheet cell tables to observations.
 
 Input: cells (file_id, r, c, v, is_text) and merges (file_id, r0, c0, r1, c1), both
-zero based. All files are read at once; each step is keyed by file, and a file is
-read whole. Each header layout is its own expression over
-the header cells; a file has exactly one layout.
+zero based. All files are read at once, whole, and a header may stand in any row and labels in any
+column left of the periods. Steps are keyed by (file, row) or (file, column); only a header, one
+row of a sheet, is ever gathered by file. Each header layout is its own expression over the header
+cells; a file has exactly one layout.
 """
 
 from __future__ import annotations
@@ -14,13 +15,12 @@ from pyspark.sql import functions as F
 from seriesforge.functions import dates, ids, units
 from seriesforge.functions.numbers import number
 from seriesforge.functions.text import script_arabic
+from seriesforge.session import stored
 
-# Bounds of a sheet and of a merge that a caller may pass, and those of the header search.
+# Bounds of a sheet and of a merge that a caller may pass.
 MAX_ROWS = 1500
 MAX_COLS = 120
 MAX_MERGE_CELLS = 400
-HEADER_ROWS = 14
-LABEL_COLUMNS = 4
 
 LAYOUTS = ("quarter", "fiscal_year", "month", "year")
 
@@ -79,15 +79,14 @@ def _choose(hits: dict[str, Column], rows: dict[str, Column]) -> tuple[Column, C
     return strategy, row, F.when(strategy.isNull(), scores)
 
 
-def find_period_row(cells: DataFrame, compat: bool = False) -> DataFrame:
-    """(file_id, strategy, period_row, reason); strategy null and a reason where none was found."""
+def header_rows(cells: DataFrame, compat: bool = False) -> DataFrame:
+    """(file_id, strategy, period_row, reason); strategy null and a reason where none was found.
+
+    A sheet of any height: tokens are counted by row, and the best row of each kind is taken by
+    file, both with partial aggregation. Most hits win; the earliest row on a tie.
+    """
     tokens = _tokens(compat)
-    by_row = (
-        cells.filter(F.col("r") < HEADER_ROWS)
-        .groupBy("file_id", "r")
-        .agg(*[F.count_if(c.isNotNull()).alias(n) for n, c in tokens.items()])
-    )
-    # Most hits wins; the earliest row on a tie.
+    by_row = cells.groupBy("file_id", "r").agg(*[F.count(c).alias(n) for n, c in tokens.items()])
     best = by_row.groupBy("file_id").agg(
         *[F.max(F.struct(F.col(n).alias("hits"), (-F.col("r")).alias("up"))).alias(n) for n in tokens]
     )
@@ -128,71 +127,54 @@ def _year_layout(annual: Column) -> tuple[Column, Column]:
     return dates.month_end(y, m), F.when(m == 6, _fy(y)).otherwise(y.cast("string"))
 
 
-def read_headers(cells: DataFrame, files: DataFrame, compat: bool = False) -> DataFrame:
-    """Header and label cells with everything their sheet's layout says.
+def _month_years(head: DataFrame, years: DataFrame) -> DataFrame:
+    """(file_id, c, year_row, printed): the year row of a month header, and its years above or below the months.
 
-    One shuffle by file: every window below is keyed by file, or by file and row or
-    column, so they all run on that partitioning. A sheet is bounded by its caps.
+    The nearest row upward that has years in a third of the month columns, else up to three rows down.
     """
-    by_file = Window.partitionBy("file_id")
-    by_row = Window.partitionBy("file_id", "r")
-    by_col = Window.partitionBy("file_id", "c")
-    to_the_right = by_file.orderBy("c").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    months = head.filter("strategy = 'month'").select("file_id", "c", "period_row", F.count(F.lit(1)).over(Window.partitionBy("file_id")).alias("_months"))
+    off = F.col("r") - F.col("period_row")
+    met = years.join(months, ["file_id", "c"]).withColumn("_rank", F.when(off < 0, -off).when(off.between(1, 3), off + (1 << 30))).filter(F.col("_rank").isNotNull())
+    enough = F.greatest(F.lit(1), F.floor(F.col("_months") / 3))
+    rows = met.groupBy("file_id", "r", "_rank", "_months").agg(F.count(F.lit(1)).alias("_years")).filter(F.col("_years") >= enough)
+    row = rows.groupBy("file_id").agg(F.min_by("r", "_rank").alias("year_row"))
+    at = met.select("file_id", "c", F.col("r").alias("year_row"), F.col("year").alias("printed"))
+    return months.select("file_id", "c").join(row, "file_id").join(at, ["file_id", "c", "year_row"], "left").select("file_id", "c", "year_row", "printed")
 
-    tokens = _tokens(compat)
-    h = (
-        cells.filter((F.col("r") < HEADER_ROWS + 3) | (F.col("c") < LABEL_COLUMNS))
-        .join(files.select("file_id", "frequency"), "file_id")
-        .withColumns(tokens)
-    )
-    top = F.col("r") < HEADER_ROWS
-    h = h.withColumns({f"_n_{n}": F.count(F.when(top, F.col(n))).over(by_row) for n in tokens})
-    h = h.withColumns(
-        {
-            f"_best_{n}": F.max(
-                F.when(top, F.struct(F.col(f"_n_{n}").alias("hits"), (-F.col("r")).alias("up")))
-            ).over(by_file)
-            for n in tokens
-        }
-    )
-    strategy, row, reason = _choose(
-        {n: F.col(f"_best_{n}.hits") for n in tokens}, {n: -F.col(f"_best_{n}.up") for n in tokens}
-    )
-    h = h.withColumns({"strategy": strategy, "period_row": row, "reason": reason})
 
-    at = F.col("r") == F.col("period_row")
+def _quarter_years(head: DataFrame, years: DataFrame) -> DataFrame:
+    """(file_id, c, year_row, printed): years of a quarter header, one and two rows down, then up to three rows up."""
+    quarters = head.filter("strategy = 'quarter'").select("file_id", "c", "period_row")
     off = F.col("r") - F.col("period_row")
-    near = (off < 2) & (F.col("c") < 3) & F.col("is_text")
-    word = lambda w: F.coalesce(F.max(near & F.lower("v").contains(w)).over(by_file), F.lit(False))
-    # Years of a quarter header: one and two rows down, then up to three rows up.
-    rank_q = F.when(off.isin(1, 2), off).when(off.between(-3, -1), F.lit(2) - off)
-    h = h.withColumns(
-        {
-            "_col_month": F.max(F.when(at, F.col("month"))).over(by_col),
-            "_months": F.count(F.when(at, F.col("month"))).over(by_file),
-            "_june": word("june"),
-            "_december": word("december"),
-            "_year_q": F.min(
-                F.when(rank_q.isNotNull() & F.col("year").isNotNull(), F.struct(rank_q.alias("k"), F.col("year").alias("y")))
-            ).over(by_col)["y"],
-        }
-    )
-    # Year row of a month header: upward from the months, then up to three rows down.
-    rank_m = F.when(off < 0, -off).when(off.between(1, 3), off + 100_000)
-    enough = F.greatest(F.lit(1), F.floor(F.col("_months") / 3))
-    h = h.withColumn("_row_years", F.count(F.when(F.col("_col_month").isNotNull(), F.col("year"))).over(by_row))
-    h = h.withColumn(
-        "_year_row",
-        F.min(F.when(rank_m.isNotNull() & (F.col("_row_years") >= enough), F.struct(rank_m.alias("k"), F.col("r").alias("r")))).over(by_file)["r"],
+    rank = F.when(off.isin(1, 2), off).when(off.between(-3, -1), F.lit(2) - off)
+    met = years.join(quarters, ["file_id", "c"]).withColumn("_rank", rank).filter(F.col("_rank").isNotNull())
+    return met.groupBy("file_id", "c").agg(F.min_by("year", "_rank").alias("printed")).select("file_id", "c", F.lit(None).cast("int").alias("year_row"), "printed")
+
+
+def column_periods(cells: DataFrame, found: DataFrame, compat: bool = False) -> DataFrame:
+    """(file_id, c, period, fy, data_start) of the period columns of every sheet.
+
+    `found` is `header_rows` with `frequency`. Header cells are looked up by (file, row), years by
+    (file, column); the only window runs along the columns of a header.
+    """
+    tokens = _tokens(compat)
+    marked = cells.select("file_id", "r", "c", *[c.alias(n) for n, c in tokens.items()])
+    usable = found.filter("strategy is not null").select("file_id", "strategy", "frequency", "period_row", F.col("period_row").alias("r"))
+    own = F.coalesce(*[F.when((F.col("strategy") == n) & F.col(n).isNotNull(), F.lit(True)) for n in tokens])
+    head = marked.join(usable, ["file_id", "r"]).filter(own).drop("r")
+    years = marked.filter("year is not null").select("file_id", "r", "c", "year")
+    printed = _month_years(head, years).unionByName(_quarter_years(head, years)).groupBy("file_id", "c").agg(F.max("year_row").alias("year_row"), F.max("printed").alias("printed"))
+    near = cells.filter((F.col("c") < 3) & F.col("is_text") & F.lower("v").rlike("june|december"))
+    words = near.join(usable.filter("strategy = 'year'").select("file_id", "period_row"), "file_id").filter(F.col("r") < F.col("period_row") + 2).groupBy("file_id").agg(
+        F.max(F.lower("v").contains("june")).alias("_june"), F.max(F.lower("v").contains("december")).alias("_december")
     )
-    h = h.withColumn("_year_m", F.max(F.when(F.col("r") == F.col("_year_row"), F.col("year"))).over(by_col))
     # A column without a printed year inherits the one to its left.
-    printed = (
-        F.when(F.col("strategy") == "month", F.when(at & F.col("month").isNotNull(), F.col("_year_m")))
-        .when(F.col("strategy") == "quarter", F.when(at & F.col("quarter").isNotNull(), F.col("_year_q")))
+    leftward = Window.partitionBy("file_id").orderBy("c").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    told = (
+        head.join(printed, ["file_id", "c"], "left").join(words, "file_id", "left")
+        .withColumn("_year", F.last("printed", ignorenulls=True).over(leftward))
+        .withColumns({w: F.coalesce(w, F.lit(False)) for w in ("_june", "_december")})
     )
-    h = h.withColumn("_year", F.last(printed, ignorenulls=True).over(to_the_right))
-
     annual = F.coalesce(F.col("frequency") == "Annual", F.lit(False))
     layouts = {
         "month": _month_layout(annual),
@@ -202,50 +184,35 @@ def read_headers(cells: DataFrame, files: DataFrame, compat: bool = False) -> Da
     }
     period, fy = F.lit(None).cast("date"), F.lit(None).cast("string")
     for name, (p, label) in layouts.items():
-        mine = at & (F.col("strategy") == name) & F.col(name).isNotNull()
+        mine = F.col("strategy") == name
         period, fy = F.when(mine, p).otherwise(period), F.when(mine, label).otherwise(fy)
-    start = F.when(F.col("strategy") == "month", F.greatest("period_row", "_year_row")).otherwise(F.col("period_row"))
-    return h.select(
-        "file_id", "r", "c", "v", "is_text", "strategy", "period_row", "reason",
-        period.alias("period"), F.when(period.isNotNull(), fy).alias("fy"), start.alias("data_start"),
-    )
+    start = F.greatest("period_row", F.max("year_row").over(Window.partitionBy("file_id")))
+    return told.select("file_id", "c", period.alias("period"), fy.alias("fy"), start.alias("data_start")).filter("period is not null")
 
 
-def sheet_info(cells: DataFrame, files: DataFrame, compat: bool = False) -> DataFrame:
-    """One row per sheet: strategy, periods by column, label columns, first data row, caption.
+def label_columns(cells: DataFrame, starts: DataFrame) -> DataFrame:
+    """(file_id, en_col, ar_col): the first columns left of the periods with text on data lines, told apart by script.
 
-    The map of periods has at most MAX_COLS entries and the caption at most
-    HEADER_ROWS + 3 rows of cells.
+    `starts` has file_id, data_start and first_col.
     """
-    h = read_headers(cells, files, compat)
-    entry = F.struct("c", F.struct("period", "fy"))
-    above = F.struct("r", "c", "v")
-    labels = []
-    for i in range(LABEL_COLUMNS):
-        here = (F.col("c") == i) & F.col("is_text")
-        labels.append(F.max(F.when(here, F.when(script_arabic(F.col("v")), F.lit(2)).otherwise(F.lit(1)))).alias(f"_l{i}"))
-    # Cells without a strategy keep a null data_start and add nothing to the caption.
-    info = h.groupBy("file_id").agg(
-        F.max("strategy").alias("strategy"),
-        F.max("reason").alias("reason"),
-        F.max("data_start").alias("data_start"),
-        F.map_from_entries(F.collect_list(F.when(F.col("period").isNotNull(), entry))).alias("periods"),
-        F.min(F.when(F.col("period").isNotNull(), F.col("c"))).alias("_first"),
-        F.array_sort(F.collect_list(F.when(F.col("r") <= F.col("data_start"), above))).alias("_above"),
-        *labels,
+    told = (
+        cells.filter("is_text").join(starts, "file_id").filter((F.col("c") < F.col("first_col")) & (F.col("r") > F.col("data_start")))
+        .groupBy("file_id", "c").agg(F.max(script_arabic(F.col("v"))).alias("_arabic"))
     )
+    return told.groupBy("file_id").agg(F.min(F.when(~F.col("_arabic"), F.col("c"))).alias("en_col"), F.min(F.when(F.col("_arabic"), F.col("c"))).alias("ar_col"))
 
-    def first_column(kind: int) -> Column:
-        expr = F.lit(None).cast("int")
-        for i in reversed(range(LABEL_COLUMNS)):
-            expr = F.when((F.col(f"_l{i}") == kind) & (F.col("_first") > i), F.lit(i)).otherwise(expr)
-        return expr
 
-    return info.select(
-        "file_id", "strategy", "reason", "data_start", "periods",
-        first_column(1).alias("en_col"), first_column(2).alias("ar_col"),
-        F.array_join(F.transform("_above", lambda x: x["v"]), " ").alias("caption"),
-    )
+def caption_units(cells: DataFrame, starts: DataFrame) -> DataFrame:
+    """(file_id, caption_unit): what the rows down to the header say, row by row; money before percent before counts, then the upper row."""
+    above = cells.join(starts.select("file_id", "data_start"), "file_id").filter(F.col("r") <= F.col("data_start"))
+    line = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c", "v"))), lambda x: x["v"]), " ")
+    rows = above.groupBy("file_id", "r").agg(units.caption_unit(line).alias("unit")).filter("unit is not null")
+    rank = F.array_position(F.lit(["percent", *(unit for unit, _ in units.CAPTION_WORDS)]), F.col("unit"))
+    return rows.groupBy("file_id").agg(F.min_by("unit", F.struct(rank, "r")).alias("caption_unit"))
+
+
+FREQUENCIES = {"Annual": "A", "Quarterly": "Q", "Monthly": "M"}
+FISCAL_BASIS = "Egypt, 1 July to 30 June"
 
 
 def melt(cells: DataFrame, files: DataFrame, prefix: str = "EG.XL", compat: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -253,66 +220,61 @@ def melt(cells: DataFrame, files: DataFrame, prefix: str = "EG.XL", compat: bool
 
     `files` has file_id, category, subcategory, frequency, url and file_ord. An
     observation carries file_ord and row_ord, so `keep_last` merges files and
-    collisions inside one file stay visible. Cells are scanned twice: once for the
-    header and label cells, once for the values.
+    collisions inside one file stay visible. Periods meet their cells by (file, column) and
+    labels by (file, row), so a cell carries its own two facts only. The quarantine has one row a
+    file without observations, with the facts of the file and the reason.
     """
+    cells = stored(cells.select("file_id", "r", "c", "v", "is_text"), "cells")
     known = files.withColumn("frequency", F.coalesce("frequency", F.lit("Monthly")))
-    info = sheet_info(cells, known, compat)
-    usable = info.filter(
-        F.col("strategy").isNotNull() & (F.size("periods") > 0)
-        & (F.col("en_col").isNotNull() | F.col("ar_col").isNotNull())
-    ).join(known.select("file_id", "category", "subcategory", "file_ord", "url"), "file_id")
+    found = stored(header_rows(cells, compat).join(known.select("file_id", "frequency"), "file_id"), "headers")
+    periods = stored(column_periods(cells, found, compat), "periods")
+    starts = periods.groupBy("file_id").agg(F.min("c").alias("first_col"), F.max("data_start").alias("data_start"))
+    info = stored(starts.join(label_columns(cells, starts), "file_id", "left").join(caption_units(cells, starts), "file_id", "left"), "sheets")
 
-    usable = usable.withColumn("_caption_unit", units.caption_unit(F.col("caption"))).drop("caption", "strategy", "reason")
-
-    # What a label says is worked out on its own cell, then shared along the line.
-    line = Window.partitionBy("file_id", "r")
     name = F.trim("v")
-    label = F.when(
-        (F.col("c") == F.col("en_col")) | (F.col("c") == F.col("ar_col")),
-        F.when(
-            name != "",
-            F.struct(
-                name.alias("label"), ids.label_tail(name).alias("tail"),
-                units.label_unit(name).alias("unit"), units.indent_level(F.col("v")).alias("level"),
-            ),
-        ),
+    label = F.struct(name.alias("label"), ids.label_tail(name).alias("tail"), units.label_unit(name).alias("unit"), units.indent_level(F.col("v")).alias("level"))
+    lines = (
+        cells.join(info.select("file_id", "data_start", "en_col", "ar_col"), "file_id")
+        .filter((F.col("r") > F.col("data_start")) & ((F.col("c") == F.col("en_col")) | (F.col("c") == F.col("ar_col"))) & (name != ""))
+        .groupBy("file_id", "r").agg(
+            F.max(F.when(F.col("c") == F.col("en_col"), label)).alias("_en"), F.max(F.when(F.col("c") == F.col("ar_col"), label)).alias("_ar")
+        )
+        .select("file_id", "r", F.coalesce("_en", "_ar").alias("_line"), F.col("_ar.label").alias("label_ar"))
     )
-    shared = lambda col: F.max(F.when(F.col("c") == F.col(col), F.col("_label"))).over(line)
+    about = known.select("file_id", "file_ord", "category", "subcategory", "frequency", F.col("url").alias("source_file")).join(info.select("file_id", "caption_unit"), "file_id")
     obs = (
-        cells.join(usable, "file_id")
+        cells.join(periods, ["file_id", "c"])
         .filter(F.col("r") > F.col("data_start"))
-        .withColumn("_label", label)
-        .withColumns({"_en": shared("en_col"), "_ar": shared("ar_col")})
-        .withColumns({"_when": F.col("periods")[F.col("c")], "value": number("v", "sheet")})
-        .filter(F.col("_when").isNotNull() & F.col("value").isNotNull())
-        .withColumn("_line", F.coalesce("_en", "_ar"))
-        .filter(F.col("_line").isNotNull())
+        .select("file_id", "r", "c", "period", "fy", number("v", "sheet").alias("value"))
+        .filter("value is not null")
+        .join(lines, ["file_id", "r"])
+        .join(about, "file_id")
         .select(
             F.concat_ws(
                 ".", F.lit(prefix), ids.category_code(F.col("category")),
                 ids.label_slug(F.col("subcategory"), 30), F.col("_line.tail"),
             ).alias("series_id"),
-            F.col("_when.period").alias("period"), "value", F.col("_when.fy").alias("fy"), F.lit("end").alias("basis"),
+            "period", "value", "fy", F.lit("end").alias("basis"),
             "file_id", "file_ord", F.col("r").alias("row_ord"), F.col("c").alias("col_ord"),
-            F.col("_line.label").alias("label"), F.col("_ar.label").alias("label_ar"), F.col("_line.level").alias("level"),
-            F.coalesce("_line.unit", "_caption_unit").alias("unit"),
+            F.col("_line.label").alias("label"), "label_ar", F.col("_line.level").alias("level"),
+            F.coalesce("_line.unit", "caption_unit").alias("unit"),
             ids.category_family(F.col("category")).alias("family"),
-            F.concat_ws(" - ", "subcategory", "_line.label").alias("title_en"),
-            F.col("url").alias("source_file"),
+            F.element_at(F.create_map(*[F.lit(x) for kv in FREQUENCIES.items() for x in kv]), F.col("frequency")).alias("freq"),
+            F.concat_ws(" - ", "subcategory", "_line.label").alias("title_en"), "source_file",
         )
     )
     problem = (
-        F.when(F.col("reason").isNotNull(), F.col("reason"))
-        .when(F.size("periods") == 0, F.lit("no periods resolved"))
+        F.when(F.col("_seen").isNull(), F.lit("empty sheet"))
+        .when(F.col("reason").isNotNull(), F.col("reason"))
+        .when(F.col("first_col").isNull(), F.lit("no periods resolved"))
         .when(F.col("en_col").isNull() & F.col("ar_col").isNull(), F.lit("no label column found"))
+        .when(F.col("_read").isNull(), F.lit("parsed but produced no observations"))
     )
-    refused = info.select("file_id", problem.alias("reason")).filter(F.col("reason").isNotNull())
-    told = refused.select("file_id").unionByName(obs.select("file_id")).distinct()
-    quiet = files.select("file_id").join(told, "file_id", "left_anti").select(
-        "file_id", F.lit("parsed but produced no observations").alias("reason")
-    )
-    return obs, refused.unionByName(quiet)
+    told = known.join(found.select("file_id", "reason", F.lit(True).alias("_seen")), "file_id", "left")
+    told = told.join(info.select("file_id", "first_col", "en_col", "ar_col"), "file_id", "left")
+    told = told.join(obs.select("file_id").distinct().withColumn("_read", F.lit(True)), "file_id", "left")
+    quarantine = told.select("file_id", "url", "category", "subcategory", "frequency", problem.alias("reason")).filter("reason is not null")
+    return obs, quarantine
 
 
 def collisions(obs: DataFrame) -> DataFrame:
@@ -330,13 +292,14 @@ def collisions(obs: DataFrame) -> DataFrame:
 
 def catalog_entries(obs: DataFrame) -> DataFrame:
     """One catalog entry per series: the first row of a file, the last file."""
-    entry = F.struct("title_en", "label_ar", "family", "unit", "level", "source_file")
+    entry = F.struct("title_en", "label_ar", "family", "freq", "unit", "level", "source_file")
     at = F.struct(F.col("file_ord"), -F.col("row_ord"), -F.col("col_ord"))
     return (
         obs.groupBy("series_id")
         .agg(F.max_by(entry, at).alias("_e"))
         .select(
             "series_id", "_e.title_en", F.col("_e.label_ar").alias("title_ar"), F.lit("excel_archive").alias("dataset"),
-            "_e.family", "_e.unit", "_e.level", F.lit("end").alias("period_basis"), "_e.source_file",
+            "_e.family", "_e.freq", "_e.unit", "_e.level", F.lit("end").alias("period_basis"),
+            F.lit(FISCAL_BASIS).alias("fiscal_year_basis"), "_e.source_file",
         )
     )

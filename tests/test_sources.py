@@ -2,6 +2,7 @@ import datetime as dt
 import gzip
 import json
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -119,7 +120,7 @@ def test_grid_layouts(spark):
     meta = {(r["file_id"], r["label"]): (r["series_id"], r["unit"], r["level"], r["label_ar"]) for r in obs.collect()}
     assert meta[("month", "Deposits")] == ("EG.XL.BANK.TABLE_MONTH.DEPOSITS", "EGP million", 1, "ودائع")
     assert meta[("year", "Debt %")][1] == "percent"
-    reasons = dict(rows(bad))
+    reasons = dict(rows(bad, "file_id", "reason"))
     assert reasons["bad"].startswith("no period row found") and reasons["nolabel"] == "no label column found"
     assert set(reasons) == {"bad", "nolabel"}
 
@@ -133,6 +134,43 @@ def test_years_below_months_and_large_merge(spark):
     assert rows(obs, "period", "value", "fy") == [(D(2005, 6, 30), 1.0, "FY2004/05"), (D(2006, 6, 30), 2.0, "FY2005/06")]
 
 
+def test_header_and_labels_anywhere_in_a_tall_sheet(spark):
+    def tall(rows_, down, right):
+        notes = [["Note %d" % k] + [None] * 3 + ["remark"] for k in range(down)]
+        return notes + [[None] * right + list(r) for r in rows_]
+
+    fs = files(spark, month="Monthly", quarter="Quarterly", fy="Annual", year=None, single="Quarterly")
+    shapes = {k: SHEETS[k] for k in ("month", "quarter", "fy", "year", "single")}
+    plain = spark.createDataFrame([("month", 0, 2, 0, 3)], schema.MERGE)
+    want, _ = grids.melt(grids.fill_merges(grids.within_caps(grid(spark, **shapes)), plain), fs)
+    deep = spark.createDataFrame([("month", 40, 7, 40, 8)], schema.MERGE)
+    cells = grid(spark, **{k: tall(x, 40, 5) for k, x in shapes.items()})
+    # A bare-year sheet names its month within the first three columns.
+    cells = cells.unionByName(spark.createDataFrame([("year", 40, 1, "End of June", True)], cells.schema))
+    obs, bad = grids.melt(grids.fill_merges(grids.within_caps(cells), deep), fs)
+    columns = ["file_id", "series_id", "period", "value", "fy", "label", "label_ar", "unit", "level", "freq"]
+    assert rows(obs, *columns) == rows(want, *columns) and obs.count() == 13
+    assert bad.count() == 0
+
+
+@pytest.mark.parametrize("partitions", ["4", "16"])
+def test_quarantine_has_the_facts_of_one_bad_sheet(spark, partitions):
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        cells = grid(spark, bad=[["nothing", "here"]], silent=[[None, "2004/2005"], ["Loans", "n/a"]])
+        _, bad = grids.melt(cells, files(spark, bad="Monthly", silent="Annual", gone=None))
+        assert rows(bad, "file_id", "category", "subcategory", "frequency", "reason") == [
+            ("bad", "Banking Surveys", "Table bad", "Monthly", "no period row found (best scores: month=0, quarter=0, fiscal_year=0, year=0)"),
+            ("gone", "Banking Surveys", "Table gone", "Monthly", "empty sheet"),
+            ("silent", "Banking Surveys", "Table silent", "Annual", "parsed but produced no observations"),
+        ]
+        _, only = grids.melt(cells.filter("file_id = 'bad'"), files(spark, bad="Monthly"))
+        assert only.count() == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+
+
 def test_arabic_only_labels_and_collisions(spark):
     cells = grid(spark, a=[[None, "2004/2005"], ["دين", 5], ["دين اخر", 6]], b=[[None, "2004/2005"], ["Loans", 5], ["Loans", 6]])
     obs, _ = grids.melt(cells, files(spark, a="Annual", b="Annual"))
@@ -140,7 +178,7 @@ def test_arabic_only_labels_and_collisions(spark):
     assert len(set(ids_)) == 2 and all(".R" in i for i in ids_)
     assert rows(grids.collisions(obs), "file_id", "kept", "discarded") == [("b", 6.0, 5.0)]
     cat = grids.catalog_entries(obs)
-    assert cat.count() == 3 and cat.filter("period_basis = 'end'").count() == 3
+    assert cat.count() == 3 and cat.filter("period_basis = 'end' and freq = 'A' and fiscal_year_basis like 'Egypt%'").count() == 3
 
 
 def test_landed_files(spark, tmp_path):
