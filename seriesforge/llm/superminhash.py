@@ -10,7 +10,7 @@ off side by side, rank by rank.
 1. Places are cut into bands; texts of equal bands share a bucket. Two sets of the wanted
    likeness miss each other with a chance of (1 - 0.8^4)^32, 5 in 10^8 at the very threshold.
 2. Only points that share a bucket have their texts read again, for full sets. In each bucket all
-   points meet its smallest point. What the signatures do not rule out by six standard errors is
+   points meet its most central one. What the signatures do not rule out by six standard errors is
    compared by full sets. The links are grouped.
 3. Buckets with points of different groups are worked off once more: the points outside the
    bucket's main group meet all others in blocks of `BLOCK`; each pair in the first band that it
@@ -230,63 +230,90 @@ def in_blocks(members: DataFrame) -> DataFrame:
     return all_rows.select(*columns, one.alias("single")).unionByName(asking.select(*columns, F.lit(False).alias("single")))
 
 
-def _crossing(rows: pd.DataFrame, least: float, similar: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(asking row, other row, equal places) of the pairs of different groups that are not ruled out."""
+def _equal_places(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many places each row of a has in common with each row of b; a byte counts to 128."""
+    out = np.zeros((len(a), len(b)), np.uint8)
+    across, along = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+    for x, y in zip(across, along):
+        out += (x[:, None] == y[None, :]).view(np.uint8)
+    return out
+
+
+def _crossing(rows: pd.DataFrame, least: float, similar: int) -> tuple[np.ndarray, np.ndarray]:
+    """(asking rows, other rows) of the pairs of different groups that are not ruled out and share no earlier band."""
     asks = np.flatnonzero(rows["asks"].to_numpy())
     others = np.flatnonzero(~rows["asks"].to_numpy() | rows["single"].to_numpy())
     sign, label, n, point = _matrix(rows["signature"]), rows["label"].to_numpy(), rows["n"].to_numpy(), rows["point"].to_numpy()
-    found = []
-    for at in range(0, len(asks), 64):
-        a = asks[at : at + 64]
-        equal = (sign[a][:, None, :] == sign[others][None, :, :]).sum(2)
-        apart = label[a][:, None] != label[others][None, :]
-        small, large = np.minimum(n[a][:, None], n[others]), np.maximum(n[a][:, None], n[others])
-        i, j = np.nonzero(apart & (equal >= least) & (100 * small >= similar * large))
-        found.append((a[i], others[j], equal[i, j]))
-    if not found:
-        return np.zeros(0, int), np.zeros(0, int), np.zeros(0, int)
-    i, j, equal = (np.concatenate(x) for x in zip(*found))
-    once = point[i] != point[j]
-    return i[once], j[once], equal[once]
+    band = int(rows["bucket"].iloc[0]) % BANDS
+    # By size, so that a slice of the asking rows meets only others of a size that can fit.
+    asks, others = asks[np.argsort(n[asks], kind="stable")], others[np.argsort(n[others], kind="stable")]
+    found = [(np.zeros(0, int), np.zeros(0, int))]
+    for at in range(0, len(asks), 128):
+        a = asks[at : at + 128]
+        lo = np.searchsorted(n[others], -(-similar * n[a[0]] // 100))
+        hi = np.searchsorted(n[others], 100 * n[a[-1]] // similar, side="right")
+        o = others[lo:hi]
+        small, large = np.minimum(n[a][:, None], n[o]), np.maximum(n[a][:, None], n[o])
+        i, j = np.nonzero((label[a][:, None] != label[o][None, :]) & (_equal_places(sign[a], sign[o]) >= least) & (100 * small >= similar * large))
+        i, j = a[i], o[j]
+        shared = (sign[i] == sign[j]).reshape(len(i), BANDS, PLACES // BANDS).all(2)
+        first = (point[i] != point[j]) & (shared.argmax(1) == band)
+        found.append((i[first], j[first]))
+    i, j = (np.concatenate(x) for x in zip(*found))
+    return i, j
 
 
 def hopeful(members: DataFrame, points: DataFrame, similar: int) -> DataFrame:
-    """(bucket, point): members that have a partner of another group in the bucket, in the first band that both share."""
+    """(bucket, point): members that have a possible partner of another group in the bucket."""
     least = least_equal(similar)
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
-        i, j, _ = _crossing(rows, least, similar)
-        if len(i):
-            sign, band = _matrix(rows["signature"]), int(rows["bucket"].iloc[0]) % BANDS
-            shared = (sign[i] == sign[j]).reshape(len(i), BANDS, -1).all(2)
-            first = shared.argmax(1) == band
-            i, j = i[first], j[first]
-        at = np.unique(np.concatenate([i, j]))
+        at = np.unique(np.concatenate(_crossing(rows, least, similar)))
         return pd.DataFrame({"bucket": rows["bucket"].to_numpy()[at], "point": rows["point"].to_numpy()[at]})
 
     whole = in_blocks(members).join(points.select("point", "n", "signature"), "point")
     return in_runs(whole, ["bucket", "outer", "inner"], work, "bucket long, point long")
 
 
+class Overlaps:
+    """Sizes of the intersections of one set of a block with all of them, through the block's own inverted index."""
+
+    def __init__(self, packed):
+        sets = [np.frombuffer(x, "<u8") for x in packed]
+        self.sizes = np.array([len(x) for x in sets])
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.key = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        self.holders = np.repeat(np.arange(len(sets)), self.sizes)[np.argsort(self.key, kind="stable")]
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(self.key))])
+
+    def of(self, row: int) -> np.ndarray:
+        keys = self.key[self.starts[row] : self.starts[row + 1]]
+        lengths = self.first[keys + 1] - self.first[keys]
+        ends = np.cumsum(lengths)
+        at = np.arange(ends[-1]) + np.repeat(self.first[keys] - ends + lengths, lengths)
+        return np.bincount(self.holders[at], minlength=len(self.sizes))
+
+
 def block_links(members: DataFrame, points: DataFrame, similar: int) -> DataFrame:
-    """(point, pivot): links between different groups of a bucket, found by union-find over its possible pairs, likeliest first."""
+    """(point, pivot): links between different groups of a bucket, each pair of blocks joined exactly but for what is linked already."""
     least = least_equal(similar)
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
-        i, j, equal = _crossing(rows, least, similar)
-        root = {x: x for x in rows["label"]}
-
-        def find(x):
-            while root[x] != x:
-                root[x] = x = root[root[x]]
-            return x
-
-        label, point, sets, out = rows["label"].to_numpy(), rows["point"].to_numpy(), rows["shingles"].to_numpy(), []
-        for k in np.argsort(-equal, kind="stable"):
-            x, y = find(label[i[k]]), find(label[j[k]])
-            if x != y and alike(sets[i[k]], sets[j[k]], similar):
-                root[max(x, y)] = min(x, y)
-                out.append((point[i[k]], point[j[k]]))
+        i, j = _crossing(rows, least, similar)
+        label, point, out = rows["label"].to_numpy().copy(), rows["point"].to_numpy(), []
+        overlaps = Overlaps(rows["shingles"]) if len(i) else None
+        order = np.argsort(i, kind="stable")
+        i, j = i[order], j[order]
+        asks, cuts = np.unique(i, return_index=True)
+        for a, others in zip(asks, np.split(j, cuts[1:])):
+            others = others[label[others] != label[a]]
+            if not len(others):
+                continue
+            both = overlaps.of(a)[others]
+            for x in others[100 * both >= similar * (overlaps.sizes[a] + overlaps.sizes[others] - both)]:
+                if label[x] != label[a]:
+                    out.append((point[a], point[x]))
+                    label[label == label[x]] = label[a]
         return pd.DataFrame(out, columns=["point", "pivot"], dtype="int64")
 
     whole = in_blocks(members).join(points.select("point", "n", "signature", "shingles"), "point")
@@ -296,20 +323,20 @@ def block_links(members: DataFrame, points: DataFrame, similar: int) -> DataFram
 def linked(docs: DataFrame, points: DataFrame, width: int, similar: int) -> DataFrame:
     """(point, label) of all points that have a link; `points` has (key, point, signature)."""
     seen = bucketed(points)
-    shared = written(seen.groupBy("bucket").agg(F.min("point").alias("pivot"), F.max("point").alias("last")).filter("pivot <> last").select("bucket", "pivot"), "buckets")
-    members = written(seen.join(shared, "bucket").distinct(), "members")
+    shared = seen.groupBy("bucket").agg(F.min("point").alias("low"), F.max("point").alias("high"), F.count(F.lit(1)).alias("rows")).filter("low <> high")
+    members = written(seen.join(shared.select("bucket", "rows"), "bucket").distinct(), "members")
+    # The text that others were copied from shares more and larger buckets than its copies do.
+    central = members.groupBy("point").agg(F.sum("rows").alias("central"))
+    pivots = members.join(central, "point").groupBy("bucket").agg(F.max_by("point", F.struct("central", "point")).alias("pivot"))
     wanted = points.join(members.select("point").distinct(), "point", "left_semi").groupBy("point").agg(F.min("key").alias("key"))
     able = written(full_sets(docs, wanted, width), "able")
-    pairs = written(possible(members.filter("point <> pivot").select("point", "pivot").distinct(), able, similar), "possible")
+    pairs = written(possible(members.join(pivots, "bucket").filter("point <> pivot").select("point", "pivot").distinct(), able, similar), "possible")
     links = written(verified(pairs, able, similar), "links")
-    labels = components(links)
-    left = written(open_members(members.drop("pivot"), labels), "open")
+    near = links.groupBy("point").agg(F.min("pivot").alias("label"))  # linked to the same pivot: surely of one group
+    left = written(open_members(members.drop("rows"), near), "open")
     hope = written(hopeful(left, able, similar).distinct(), "hopeful")
-    if hope.isEmpty():
-        return labels
-    left = open_members(left.join(hope, ["bucket", "point"], "left_semi").select("bucket", "point"), labels)
-    more = written(block_links(left, able, similar), "more")
-    return labels if more.isEmpty() else components(links.unionByName(more))
+    left = open_members(left.join(hope, ["bucket", "point"], "left_semi").select("bucket", "point"), near)
+    return components(links.unionByName(written(block_links(left, able, similar), "more")))
 
 
 def grouped(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
