@@ -48,9 +48,16 @@ ERRORS = 6  # standard errors of the signatures' estimate that rule a pair out
 BLOCK = 512  # points
 CHUNK = 1 << 15  # shingles worked off side by side
 SEEN = 1_000_000  # points that a task remembers
+BATCH_BYTES = 8 << 20  # of rows that cross to Python together, whatever their number
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
+def bounded(df: DataFrame, rows: int = 500) -> DataFrame:
+    """Rows cross to Python in batches of so many, and of so many bytes."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return in_batches(df, rows)
+
+
 def scrambled(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
@@ -119,7 +126,7 @@ def read_sets(docs: DataFrame, width: int) -> DataFrame:
             yield pd.DataFrame({"kind": 1, "doc_id": pd.array([None] * len(new), dtype="Int64"), "key": [k for k, _ in new.values()], "point": list(new), "n": 0, "signature": signs})
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(docs).alias("key"), utf8("text").alias("text"))
-    return in_batches(narrow).mapInPandas(run, "kind int, doc_id long, key long, point long, n long, signature binary")
+    return bounded(narrow).mapInPandas(run, "kind int, doc_id long, key long, point long, n long, signature binary")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -131,7 +138,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             yield pd.DataFrame({"point": b["point"], "n": [len(s) for s in sets], "signature": short(signatures(sets)), "shingles": [s.astype("<u8").tobytes() for s in sets]})
 
     texts = docs.select(row_key(docs).alias("key"), utf8("text").alias("text")).join(wanted, "key").groupBy("point").agg(F.first("text").alias("text"))
-    return in_batches(texts).mapInPandas(run, "point long, n long, signature binary, shingles binary")
+    return bounded(texts).mapInPandas(run, "point long, n long, signature binary, shingles binary")
 
 
 def bucketed(points: DataFrame) -> DataFrame:
@@ -175,7 +182,7 @@ def possible(pairs: DataFrame, points: DataFrame, similar: int) -> DataFrame:
     a = points.select("point", F.col("n").alias("n_a"), F.col("signature").alias("sign_a"))
     b = points.select(F.col("point").alias("pivot"), F.col("n").alias("n_b"), F.col("signature").alias("sign_b"))
     fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * similar
-    return in_batches(pairs.join(a, "point").join(b, "pivot").filter(fits)).mapInPandas(run, "point long, pivot long")
+    return bounded(pairs.join(a, "point").join(b, "pivot").filter(fits)).mapInPandas(run, "point long, pivot long")
 
 
 def verified(pairs: DataFrame, points: DataFrame, similar: int) -> DataFrame:
@@ -187,7 +194,7 @@ def verified(pairs: DataFrame, points: DataFrame, similar: int) -> DataFrame:
 
     a = points.select("point", F.col("shingles").alias("a"))
     b = points.select(F.col("point").alias("pivot"), F.col("shingles").alias("b"))
-    return in_batches(pairs.join(a, "point").join(b, "pivot")).mapInPandas(run, "point long, pivot long")
+    return bounded(pairs.join(a, "point").join(b, "pivot"), 128).mapInPandas(run, "point long, pivot long")
 
 
 def in_runs(df: DataFrame, keys: list[str], work: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
@@ -206,7 +213,7 @@ def in_runs(df: DataFrame, keys: list[str], work: Callable[[pd.DataFrame], pd.Da
         if rest is not None and len(rest):
             yield work(rest)
 
-    return in_batches(df.repartition(*keys).sortWithinPartitions(*keys)).mapInPandas(run, schema)
+    return bounded(df.repartition(*keys).sortWithinPartitions(*keys), 256).mapInPandas(run, schema)
 
 
 def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -300,8 +307,12 @@ def block_links(members: DataFrame, points: DataFrame, similar: int) -> DataFram
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
         i, j = _crossing(rows, least, similar)
-        label, point, out = rows["label"].to_numpy().copy(), rows["point"].to_numpy(), []
-        overlaps = Overlaps(rows["shingles"]) if len(i) else None
+        if not len(i):
+            return pd.DataFrame({"point": [], "pivot": []}, dtype="int64")
+        met, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+        i, j = at[: len(i)], at[len(i) :]
+        label, point, out = rows["label"].to_numpy()[met], rows["point"].to_numpy()[met], []
+        overlaps = Overlaps(rows["shingles"].to_numpy()[met])
         order = np.argsort(i, kind="stable")
         i, j = i[order], j[order]
         asks, cuts = np.unique(i, return_index=True)
