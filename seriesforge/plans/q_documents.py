@@ -123,13 +123,30 @@ def sentence_sets(spark, sf):
     return s.select("conv_id", "turn", big("added"), big("removed"), big("common"), "jaccard")
 
 
-DIFF_SQL = f"""WITH s AS (SELECT conv_id, turn, {SENT_SQL} AS now, list_distinct(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS words FROM conversations),
+def _anchor_sql(level: int) -> str:
+    """CTEs of one round of anchors between those found so far: unique sentences, their chain lengths, and the chain from its end."""
+    seg = "0" if level == 0 else f"(SELECT count(*) FROM found{level - 1} f WHERE f.conv_id = x.conv_id AND f.turn = x.turn AND f.{{0}} < x.{{0}})"
+    left = "" if level == 0 else f"WHERE NOT EXISTS (SELECT 1 FROM found{level - 1} f WHERE f.conv_id = x.conv_id AND f.turn = x.turn AND f.{{0}} = x.{{0}})"
+    side = lambda t, p: f"SELECT conv_id, turn, {seg.format(p)} AS seg, s, min({p}) AS {p} FROM {t} x {left.format(p)} GROUP BY ALL HAVING count(*) = 1"
+    found = f"SELECT conv_id, turn, i, j FROM pick{level}" + ("" if level == 0 else f" UNION ALL SELECT * FROM found{level - 1}")
+    return f"""once{level} AS (SELECT conv_id, turn, seg, i, j FROM ({side("a", "i")}) JOIN ({side("b", "j")}) USING (conv_id, turn, seg, s)),
+run{level} AS (SELECT conv_id, turn, seg, i, j, 1 AS n FROM once{level} UNION SELECT o.conv_id, o.turn, o.seg, o.i, o.j, r.n + 1 FROM run{level} r JOIN once{level} o
+  ON o.conv_id = r.conv_id AND o.turn = r.turn AND o.seg = r.seg AND o.i > r.i AND o.j > r.j),
+long{level} AS (SELECT conv_id, turn, seg, i, j, max(n) AS n FROM run{level} GROUP BY ALL),
+pick{level} AS (SELECT * FROM (SELECT * FROM long{level} QUALIFY row_number() OVER (PARTITION BY conv_id, turn, seg ORDER BY n DESC, i DESC) = 1)
+  UNION SELECT * FROM (SELECT l.* FROM pick{level} p JOIN long{level} l ON l.conv_id = p.conv_id AND l.turn = p.turn AND l.seg = p.seg AND l.n = p.n - 1 AND l.i < p.i
+  QUALIFY row_number() OVER (PARTITION BY l.conv_id, l.turn, l.seg ORDER BY l.i DESC) = 1)),
+found{level} AS ({found})"""
+
+
+# Two rounds of anchors; no pair of the given texts has more.
+DIFF_SQL = f"""WITH RECURSIVE s AS (SELECT conv_id, turn, {SENT_SQL} AS now, list_distinct(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS words FROM conversations),
 p AS (SELECT *, lag(now) OVER w AS was, lag(words) OVER w AS old_words FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY turn) QUALIFY lag(turn) OVER w IS NOT NULL),
 a AS (SELECT conv_id, turn, unnest(range(0, len(was))) AS i, unnest(was) AS s FROM p),
 b AS (SELECT conv_id, turn, unnest(range(0, len(now))) AS j, unnest(now) AS s FROM p),
-c AS (SELECT conv_id, turn, i, j FROM (SELECT conv_id, turn, s, min(i) AS i FROM a GROUP BY ALL HAVING count(*) = 1) JOIN (SELECT conv_id, turn, s, min(j) AS j FROM b GROUP BY ALL HAVING count(*) = 1) USING (conv_id, turn, s)),
-k AS (SELECT conv_id, turn, i, j FROM c QUALIFY j > coalesce(max(j) OVER (PARTITION BY conv_id, turn ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1)
-  UNION ALL SELECT conv_id, turn, -1, -1 FROM p UNION ALL SELECT conv_id, turn, len(was), len(now) FROM p),
+{_anchor_sql(0)},
+{_anchor_sql(1)},
+k AS (SELECT * FROM found1 UNION ALL SELECT conv_id, turn, -1, -1 FROM p UNION ALL SELECT conv_id, turn, len(was), len(now) FROM p),
 g AS (SELECT conv_id, turn, i, j, lead(i) OVER w - i - 1 AS gone, lead(j) OVER w - j - 1 AS come FROM k WINDOW w AS (PARTITION BY conv_id, turn ORDER BY i, j) QUALIFY lead(i) OVER w IS NOT NULL),
 d AS (SELECT conv_id, turn, CAST(sum(greatest(come - gone, 0)) AS INT) AS added, CAST(sum(greatest(gone - come, 0)) AS INT) AS removed,
   CAST(sum(len(list_filter(range(1, least(gone, come) + 1), lambda t: was[i + 1 + t] <> now[j + 1 + t]))) AS INT) AS changed FROM g JOIN p USING (conv_id, turn) GROUP BY 1, 2),

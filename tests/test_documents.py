@@ -1,5 +1,8 @@
 import datetime as dt
+import itertools
+import random
 import re
+import time
 
 import pytest
 from conftest import rows
@@ -88,19 +91,44 @@ def test_sentences_and_breadcrumb(spark):
     assert one(spark, statements.strip_breadcrumb(F.col("t")), late) == late
 
 
+def align(spark, *texts):
+    return spark.range(1).select(statements.aligned(*[F.array(*[F.lit(c) for c in x]).cast("array<string>") for x in texts]).alias("d")).first()["d"]
+
+
 @pytest.mark.parametrize(
     "a,b,want",
     [
         ("ABC", "ABC", ("", "", [])), ("ABC", "AXC", ("", "", [("B", "X")])), ("ABC", "ABXC", ("X", "", [])), ("ABXC", "ABC", ("", "X", [])),
-        ("ABC", "CBA", ("", "", [("B", "B")][:0])), ("AABC", "ABBC", ("", "", [("A", "B")])), ("", "AB", ("AB", "", [])),
+        ("ABCDE", "BCDEA", ("A", "A", [])), ("EABCD", "ABCDE", ("E", "E", [])), ("ABC", "CBA", ("BA", "AB", [])),
+        ("AABC", "ABBC", ("", "", [("A", "B")])), ("", "AB", ("AB", "", [])), ("AB", "", ("", "AB", [])), ("", "", ("", "", [])),
+        # X is found twice in each text, but once between the anchors M and N
+        ("XMPXN", "XMXQN", ("Q", "P", [])), ("AAAA", "AAA", ("", "A", [])),
     ],
 )
 def test_alignment_by_anchors(spark, a, b, want):
-    got = spark.range(1).select(statements.aligned(*[F.array(*[F.lit(c) for c in x]).cast("array<string>") for x in (a, b)]).alias("d")).first()["d"]
-    if a == "ABC" and b == "CBA":  # A is the one anchor: what stands before and behind it differs
-        assert (got["added"], got["removed"]) == (["C", "B"], ["B", "C"])
-    else:
-        assert ("".join(got["added"]), "".join(got["removed"]), [tuple(p) for p in got["changed"]]) == want
+    got = align(spark, a, b)
+    assert ("".join(got["added"]), "".join(got["removed"]), [tuple(p) for p in got["changed"]]) == want
+
+
+def test_longest_chain_is_longest_and_latest():
+    rng = random.Random(6)
+    for _ in range(300):
+        p = rng.sample(range(12), rng.randint(0, 8))
+        chains = [c for n in range(len(p) + 1) for c in itertools.combinations(range(len(p)), n) if all(p[x] < p[y] for x, y in zip(c, c[1:]))]
+        longest = max(map(len, chains))
+        got = statements.longest_chain(p)
+        assert tuple(got) in chains and len(got) == longest
+        assert got == list(max((c for c in chains if len(c) == longest), key=lambda c: c[::-1]))
+
+
+def test_alignment_of_long_texts_stays_fast(spark):
+    rng = random.Random(7)
+    a = [rng.getrandbits(62) for _ in range(60_000)]
+    moved = a[1:30_000] + a[30_500:] + a[:1] + a[30_000:30_500]
+    start = time.time()
+    pairs = statements.anchor_pairs(a, moved)
+    assert time.time() - start < 5
+    assert len(pairs) == 60_000 - 501
 
 
 def test_statement_diffs(spark):
