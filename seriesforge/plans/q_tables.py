@@ -13,7 +13,7 @@ from seriesforge.functions.numbers import number
 from seriesforge.operators import press, quality, statements
 from seriesforge.plans import views as v
 from seriesforge.plans.catalog import query
-from seriesforge.sources import grids, tables
+from seriesforge.sources import datasets, grids, registry, tables
 
 
 def _wrap(tag, *parts):
@@ -87,6 +87,110 @@ def panels(spark, sf):
     ))
 
 
+PRICE_MEASURES = {"Line item - Price": {"suffix": "PRICE", "unit": "EGP"}, "Line item - Qty": {"suffix": "QTY", "unit": "number"}}
+DECLARED = registry.load([
+    {"key": "lines", "shape": "wide", "title_en": "Order lines", "family": "govt", "freq": "D", "path": "/lines", "date_col": "Issue Date", "expect_min_rows": 10,
+     "zero_is_missing": True, "variants": [{"radio": "even", "id_pattern": "E.{suffix}"}, {"radio": "odd", "id_pattern": "O.{suffix}"}],
+     "tables": [{"columns": PRICE_MEASURES}, {"columns": {"Tax": {"suffix": "TAX", "unit": "percent", "zero_ok": True}}}]},
+    {"key": "prices", "shape": "long_by_key", "title_en": "Prices by quantity", "family": "misc", "date_col": "Issue Date", "key_col": "Line item - Qty", "key_map": {"1": "ONE", "2": "TWO"},
+     "value_cols": ["Line item - Price"], "id_pattern": "K.{key}", "unit": "EGP", "path": "/prices", "expect_min_rows": 1000000000},
+    {"key": "printed", "shape": "records", "title_en": "As printed", "path": "/printed"},
+])
+
+
+def _landed(spark, sf):
+    """Each order's fragment as a landed response of all declared datasets, in two variants."""
+    f = order_fragments(spark, sf).withColumn("variant", F.when(F.col("doc_id") % 2 == 0, F.lit("even")).otherwise(F.lit("odd")))
+    return f.withColumn("variant", F.when(F.col("doc_id") % 23 != 0, F.col("variant")))
+
+
+# Printed lines: table 0 has price and quantity (none on line 2), table 1 the tax; both in the order of the printed rows.
+LINES_SQL = """l AS (SELECT l_orderkey AS doc_id, CASE WHEN l_orderkey % 23 <> 0 THEN CASE WHEN l_orderkey % 2 = 0 THEN 'even' ELSE 'odd' END END AS variant, CAST(l_shipdate AS DATE) AS period,
+  l_extendedprice AS price, CASE WHEN l_linenumber <> 2 THEN CAST(CAST(l_quantity AS INT) AS DOUBLE) END AS qty, CAST(CAST(trunc(l_tax * 100) AS INT) AS DOUBLE) AS tax,
+  '<tr><td>' || day(l_shipdate) || '/' || month(l_shipdate) || '/' || year(l_shipdate) || '</td><td><b>' || format('{:,.2f}', l_extendedprice) || '</b></td>' || CASE WHEN l_linenumber = 2 THEN '' ELSE '<td>' || CAST(l_quantity AS INT) || '</td>' END || '</tr>' AS price_row,
+  '<tr><td>' || day(l_shipdate) || '/' || month(l_shipdate) || '/' || year(l_shipdate) || '</td><td>' || CAST(trunc(l_tax * 100) AS INT) || ' %</td></tr>' AS tax_row
+  FROM lineitem WHERE l_orderkey % 17 <> 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY price_row) AS pr, row_number() OVER (PARTITION BY doc_id ORDER BY tax_row) AS tr FROM l)"""
+WIDE_SQL = f"""WITH {LINES_SQL}, x AS (
+  SELECT 'PRICE' AS suffix, variant, doc_id, 0 AS t, pr AS n, period, price AS value, 'EGP' AS unit, 'Line item - Price' AS label FROM r WHERE price <> 0
+  UNION ALL SELECT 'QTY', variant, doc_id, 0, pr, period, qty, 'number', 'Line item - Qty' FROM r WHERE qty <> 0
+  UNION ALL SELECT 'TAX', variant, doc_id, 1, tr, period, tax, 'percent', 'Tax' FROM r WHERE doc_id % 5 = 0 AND doc_id % 10 <> 0),
+p AS (SELECT upper(left(variant, 1)) || '.' || suffix AS series_id, * FROM x WHERE variant IS NOT NULL),
+f AS (SELECT series_id, period, arg_min(value, (doc_id, t, n)) AS value FROM p GROUP BY 1, 2)"""
+
+
+@query("a1_wide_dataset", "A1 E1 E3 E4 E5 F1 D1", v.dated(WIDE_SQL + "SELECT series_id, period, value FROM f", "period"))
+def wide_dataset(spark, sf):
+    return v.iso(datasets.run_dataset(_landed(spark, sf), DECLARED[0]).observations)
+
+
+@query(
+    "a1_dataset_anomalies", "A1 F1 D6",
+    v.dated(WIDE_SQL + "SELECT series_id, period, f.value AS kept, p.value AS discarded, 'lines' AS dataset FROM p JOIN f USING (series_id, period) WHERE p.value <> f.value", "period"),
+)
+def dataset_anomalies(spark, sf):
+    return v.iso(datasets.run_dataset(_landed(spark, sf), DECLARED[0]).anomalies)
+
+
+@query(
+    "a1_dataset_catalog", "A1 F6",
+    WIDE_SQL + """SELECT series_id, 'Order lines - ' || any_value(label) AS title_en, 'lines' AS dataset, 'govt' AS family, 'D' AS freq, any_value(unit) AS unit, 'https://example.org/lines' AS source_url FROM p GROUP BY 1""",
+)
+def dataset_catalog(spark, sf):
+    return datasets.run_dataset(_landed(spark, sf), DECLARED[0], "https://example.org").catalog
+
+
+@query(
+    "a1_keyed_dataset", "A1 E2 F1 C10",
+    v.dated(f"""WITH {LINES_SQL}, p AS (SELECT 'K.' || CASE qty WHEN 1 THEN 'ONE' WHEN 2 THEN 'TWO' ELSE CAST(CAST(qty AS INT) AS VARCHAR) END AS series_id, * FROM r WHERE doc_id % 5 <> 0 AND qty IS NOT NULL)
+SELECT series_id, period, arg_min(price, (doc_id, pr)) AS value FROM p GROUP BY 1, 2 UNION ALL
+SELECT 'K.' AS series_id, period, arg_min(price, (doc_id, pr)) AS value FROM r WHERE doc_id % 5 <> 0 AND qty IS NULL AND doc_id IN (SELECT doc_id FROM r WHERE qty IS NOT NULL) GROUP BY 1, 2""", "period"),
+)
+def keyed_dataset(spark, sf):
+    return v.iso(datasets.run_dataset(_landed(spark, sf), DECLARED[1]).observations)
+
+
+@query(
+    "a1_record_dataset", "A1 E5 A3",
+    f"""WITH {LINES_SQL}, d AS (SELECT doc_id, max(qty IS NOT NULL) AS wide FROM r GROUP BY 1)
+SELECT doc_id, 0 AS table_ix, CAST(pr - 1 AS INT) AS row_ix, 'Issue Date=' || day(period) || '/' || month(period) || '/' || year(period) || ';Line item - Price=' || format('{{:,.2f}}', price) ||
+  CASE WHEN wide THEN ';Line item - Qty=' || coalesce(CAST(CAST(qty AS INT) AS VARCHAR), '') ELSE '' END AS record FROM r JOIN d USING (doc_id)
+UNION ALL SELECT doc_id, 1, CAST(tr - 1 AS INT), CASE WHEN doc_id % 10 = 0 THEN 'Date=' ELSE 'Issue Date=' END || day(period) || '/' || month(period) || '/' || year(period) || ';Tax=' || CAST(tax AS INT) || ' %' FROM r WHERE doc_id % 5 = 0""",
+)
+def record_dataset(spark, sf):
+    rec = datasets.run_dataset(_landed(spark, sf), DECLARED[2]).records
+    shown = F.array_join(F.transform(F.array_sort(F.map_entries("record")), lambda e: F.concat_ws("=", e["key"], e["value"])), ";")
+    return rec.select("doc_id", "table_ix", "row_ix", shown.alias("record"))
+
+
+@query(
+    "a1_dataset_tables", "A1 E3 D3 D4",
+    f"""WITH {LINES_SQL}, t AS (SELECT doc_id, any_value(variant) AS variant, count(*) AS rows, max(qty IS NOT NULL) AS wide FROM r GROUP BY 1),
+a AS (SELECT * FROM t, (SELECT unnest([0, 1]) AS table_ix) WHERE table_ix = 0 OR doc_id % 5 = 0),
+j AS (SELECT 'lines' AS dataset, table_ix, rows, CASE WHEN variant IS NULL THEN 'undeclared variant' WHEN table_ix = 1 AND doc_id % 10 = 0 THEN 'no date column' ELSE 'read' END AS status FROM a
+  UNION ALL SELECT 'prices', table_ix, rows, CASE WHEN doc_id % 5 = 0 THEN 'several tables and no panels' WHEN NOT wide THEN 'no key column' ELSE 'read' END FROM a
+  UNION ALL SELECT 'printed', table_ix, rows, 'read' FROM a)
+SELECT dataset, table_ix, status, count(*) AS tables, CAST(sum(rows) AS BIGINT) AS rows FROM j GROUP BY 1, 2, 3""",
+)
+def dataset_tables(spark, sf):
+    told = datasets.run_registry(_all_landed(spark, sf), DECLARED).tables
+    return told.groupBy("dataset", "table_ix", "status").agg(F.count(F.lit(1)).alias("tables"), F.sum("rows").alias("rows"))
+
+
+def _all_landed(spark, sf):
+    return _landed(spark, sf).withColumn("dataset", F.explode(F.array(*[F.lit(d.key) for d in DECLARED])))
+
+
+@query(
+    "a1_dataset_status", "A1 D3",
+    WIDE_SQL + """, k AS (SELECT count(*) AS rows, count(DISTINCT coalesce(qty, -1)) AS series FROM r WHERE doc_id % 5 <> 0 AND doc_id IN (SELECT doc_id FROM r WHERE qty IS NOT NULL))
+SELECT 'lines' AS dataset, (SELECT count(*) FROM r WHERE variant IS NOT NULL) + (SELECT count(*) FROM r WHERE variant IS NOT NULL AND doc_id % 5 = 0 AND doc_id % 10 <> 0) AS rows, (SELECT count(DISTINCT series_id) FROM p) AS series, 'ok' AS status
+UNION ALL SELECT 'prices', rows, series, 'short' FROM k UNION ALL SELECT 'printed', count(*) + count(*) FILTER (doc_id % 5 = 0), 0, 'ok' FROM r""",
+)
+def dataset_status(spark, sf):
+    return datasets.run_registry(_all_landed(spark, sf), DECLARED).status
+
+
 @query(
     "d4_panel_guard", "D4",
     "SELECT DISTINCT l_orderkey AS doc_id FROM lineitem WHERE l_orderkey % 5 = 0 AND l_orderkey % 17 <> 0 AND l_orderkey % 2 = 1",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from seriesforge import schema
 from seriesforge.functions.numbers import number
 from seriesforge.operators import quality
-from seriesforge.sources import grids, landed, registry, tables
+from seriesforge.sources import datasets, grids, landed, registry, tables
 
 D = dt.date
 
@@ -252,3 +252,42 @@ def test_registry(spark, tmp_path):
             raise AssertionError("refused")
         except ValueError:
             pass
+
+
+TWO_PANELS = """<table><tr><th>Date</th><th>ON</th><th>1W</th></tr><tr><td>1/2/2020</td><td>10.5</td><td>0.000%</td></tr>
+<tr><td>1/2/2020</td><td>11.5</td><td>12</td></tr><tr><td>bad</td><td>1</td><td>1</td></tr></table>
+<table><tr><th>Date</th><th>ON</th></tr><tr><td>2/2/2020</td><td>0</td></tr></table><table><tr><th>Date</th><th>x</th></tr><tr><td>3/2/2020</td><td>5</td></tr></table>"""
+KEYED = "<table><tr><th>Date</th><th>Currency</th><th>Buy</th></tr><tr><td>1/2/2020</td><td> US Dollar </td><td>15.5</td></tr><tr><td>1/2/2020</td><td>New Pound</td><td>7</td></tr></table>"
+
+
+def test_a_declared_dataset_runs(spark):
+    wide = registry.dataset(
+        {"key": "ibk", "shape": "wide", "title_en": "Interbank", "family": "rates", "freq": "D", "unit": "percent", "date_col": "Date", "path": "/ibk", "zero_is_missing": True, "expect_min_rows": 9,
+         "tables": [{"id_pattern": "R.{suffix}", "columns": {"ON": {"suffix": "ON"}, "1W": {"suffix": "W1"}, "gone": {"suffix": "X"}}},
+                    {"id_pattern": "V.{suffix}", "unit": "EGP million", "columns": {"ON": {"suffix": "ON", "zero_ok": True}}}]}
+    )
+    landed_rows = spark.createDataFrame([(1, None, TWO_PANELS), (2, None, "<table><tr><td>x</td></tr></table>"), (3, None, "nothing"), (4, None, KEYED.replace("Date", "Day"))], "doc_id long, variant string, html string")
+    run = datasets.run_dataset(landed_rows, wide, "https://x.org")
+    assert rows(run.observations) == [("R.ON", D(2020, 2, 1), 10.5), ("R.W1", D(2020, 2, 1), 12.0), ("V.ON", D(2020, 2, 2), 0.0)]
+    assert rows(run.anomalies) == [("R.ON", D(2020, 2, 1), 10.5, 11.5, "ibk")]
+    assert rows(run.catalog, "series_id", "title_en", "unit", "freq", "source_url") == [
+        ("R.ON", "Interbank - ON", "percent", "D", "https://x.org/ibk"), ("R.W1", "Interbank - 1W", "percent", "D", "https://x.org/ibk"), ("V.ON", "Interbank - ON", "EGP million", "D", "https://x.org/ibk"),
+    ]
+    assert rows(run.tables, "doc_id", "table_ix", "status") == [(1, 0, "read"), (1, 1, "read"), (1, 2, "past the declared panels"), (2, 0, "no header row found"), (4, 0, "no date column")]
+    assert rows(run.status) == [("ibk", 4, 3, "short")]
+    assert run.records.count() == 0
+
+
+def test_variants_keys_records_and_guards(spark):
+    landed_rows = spark.createDataFrame([(1, "yy", KEYED), (2, "mm", KEYED.replace("15.5", "16")), (3, "odd", KEYED), (4, "yy", KEYED + KEYED)], "doc_id long, variant string, html string")
+    keyed = registry.dataset({"key": "fx", "shape": "long_by_key", "date_col": "Date", "key_col": "Currency", "key_map": "currencies", "value_cols": ["Buy", "Sell"], "id_pattern": "FX.{key}.{col}",
+                              "variants": [{"radio": "mm"}, {"radio": "yy", "id_pattern": "Y.{key}.{col}"}]})
+    run = datasets.run_dataset(landed_rows, keyed)
+    assert rows(run.observations) == [("FX.NEWPOUND.BUY", D(2020, 2, 1), 7.0), ("FX.USD.BUY", D(2020, 2, 1), 16.0), ("Y.NEWPOUND.BUY", D(2020, 2, 1), 7.0), ("Y.USD.BUY", D(2020, 2, 1), 15.5)]
+    assert rows(run.tables, "doc_id", "table_ix", "status") == [(1, 0, "read"), (2, 0, "read"), (3, 0, "undeclared variant"), (4, 0, "several tables and no panels"), (4, 1, "several tables and no panels")]
+    printed = registry.dataset({"key": "p", "shape": "records"})
+    both = datasets.run_registry(landed_rows.withColumn("dataset", F.lit("p")), [printed, keyed])
+    first = both.records.filter("doc_id = 4 and table_ix = 1 and row_ix = 0").first()
+    assert first["record"] == {"Date": "1/2/2020", "Currency": "US Dollar", "Buy": "15.5"} and both.records.count() == 10
+    assert rows(both.status) == [("fx", 0, 0, "ok"), ("p", 10, 0, "ok")]
+    assert both.observations.count() == 0
