@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from seriesforge.functions import text
@@ -9,6 +11,7 @@ from seriesforge.operators import quality, search, statements
 from seriesforge.plans import views as v
 from seriesforge.plans.catalog import query
 from seriesforge.plans.q_scalar import STOP_SQL
+from seriesforge.session import checkpoint_dir
 from seriesforge.sinks import publish
 from seriesforge.sources import landed
 
@@ -293,6 +296,58 @@ def full_text(spark, sf):
     return search.full_text(p, QUERY, limit=search.FULL_TEXT_HITS)
 
 
+def _folder(spark, name):
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query(
+    "b17_stored_index", "B17 N4 J5",
+    v.with_ctes("doc_pages", POSTINGS_SQL + """SELECT doc_id, page, CAST(sum(tf) AS BIGINT) AS score FROM postings WHERE term IN ('elle', 'tion', 'que') GROUP BY 1, 2 HAVING count(*) = 3
+ORDER BY score DESC, doc_id, page LIMIT 60"""),
+)
+def stored_index(spark, sf):
+    """The index written as blocks once, then searched block by block."""
+    pages = v.doc_pages(spark, sf)
+    documents = v.table(spark, sf, "documents").count()
+    blocks = publish.write_posting_blocks(search.index_postings(pages, _folded()), _folder(spark, "blocks"), documents, per_stretch=64)
+    return search.top_pages(blocks, QUERY).pages
+
+
+@query(
+    "b17_posting_blocks", "B17 N3",
+    v.with_ctes("doc_pages", POSTINGS_SQL + f"""SELECT term, {SHARD_SQL} AS shard, count(*) AS pages, max(tf) AS max_tf, CAST(sum(tf) AS BIGINT) AS tf FROM postings GROUP BY 1, 2"""),
+)
+def posting_blocks(spark, sf):
+    """What the stored blocks hold of each term."""
+    pages = v.doc_pages(spark, sf)
+    documents = v.table(spark, sf, "documents").count()
+    blocks = publish.write_posting_blocks(search.index_postings(pages, _folded()), _folder(spark, "blocks"), documents)
+    tf = F.aggregate("entries", F.lit(0).cast("bigint"), lambda acc, e: acc + e["tf"])
+    return blocks.groupBy("term", "shard").agg(F.sum(F.size("entries")).alias("pages"), F.max("max_tf").alias("max_tf"), F.sum(tf).alias("tf"))
+
+
+@query(
+    "n5_indexed_titles", "N5 N6",
+    """SELECT doc_id FROM documents WHERE contains(lower(trim(regexp_replace(text || ' ' || source || ' ' || lang, '\\s+', ' ', 'g'))), 'tion')
+  AND contains(lower(trim(regexp_replace(text || ' ' || source || ' ' || lang, '\\s+', ' ', 'g'))), 'src1')""",
+)
+def indexed_titles(spark, sf):
+    """The title search through stored trigrams of the titles, which are whole texts here."""
+    docs = v.text_table(spark, sf, "documents").select("doc_id", text.search_form(F.concat_ws(" ", "text", "source", "lang")).alias("hay"))
+    texts, pieces = publish.write_trigrams(docs, "doc_id", _folder(spark, "titles"))
+    return search.indexed_substrings(texts, pieces, " TION  Src1 ", "doc_id").select("doc_id")
+
+
+@query(
+    "n6_indexed_series", "N6",
+    v.with_ctes("parts", """SELECT series_id FROM parts WHERE contains(lower(series_id || ' ' || title_en), 'ring') AND contains(lower(series_id || ' ' || title_en), 'ec') AND contains(lower(series_id || ' ' || title_en), 'part.1')"""),
+)
+def indexed_series(spark, sf):
+    hay = text.search_form(F.concat_ws(" ", "series_id", "title_en"))
+    texts, pieces = publish.write_trigrams(v.parts(spark, sf).select("series_id", hay.alias("hay")), "series_id", _folder(spark, "series"))
+    return search.indexed_substrings(texts, pieces, "Ring EC PART.1", "series_id").select("series_id")
+
+
 @query(
     "n4_full_text_ignoring_common", "N4 D-05",
     v.with_ctes("doc_pages", POSTINGS_SQL + """SELECT doc_id, page, CAST(sum(tf) AS BIGINT) AS score FROM kept WHERE term IN ('of', 'erat', 'tion') GROUP BY 1, 2

@@ -216,6 +216,23 @@ def build_search_index(
     )
 
 
+def write_posting_blocks(postings: DataFrame, path: str, documents: int, per_stretch: int = search.STRETCH_DOCUMENTS) -> DataFrame:
+    """Postings (term, doc_id, page, tf, shard) as blocks, partitioned by shard and sorted by term; read back from `path`."""
+    blocks = search.posting_blocks(postings, search.stretch_count(documents, per_stretch))
+    blocks.repartitionByRange("shard", "term", "stretch").sortWithinPartitions("shard", "term", "stretch").write.mode("overwrite").partitionBy("shard").option("compression", "zstd").parquet(path)
+    return postings.sparkSession.read.parquet(path)
+
+
+def write_trigrams(rows: DataFrame, key: str, path: str, hay: str = "hay") -> tuple[DataFrame, DataFrame]:
+    """(rows, postings) read back from `path`: the folded texts by key, and their trigrams by shard, sorted."""
+    spark = rows.sparkSession
+    rows.write.mode("overwrite").parquet(f"{path}/texts")
+    texts = spark.read.parquet(f"{path}/texts")
+    postings = search.trigram_postings(texts, key, hay)
+    postings.repartitionByRange("shard", "piece", key).sortWithinPartitions("shard", "piece", key).write.mode("overwrite").partitionBy("shard").parquet(f"{path}/trigrams")
+    return texts, spark.read.parquet(f"{path}/trigrams")
+
+
 def integrity_manifest(spark: SparkSession, root: str) -> DataFrame:
     """path, bytes and sha256 of every published file."""
     files = (

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from seriesforge.functions import text
 from seriesforge.operators import events, press, search, statements
+from seriesforge.sinks import publish
 
 D = dt.date
 
@@ -220,3 +221,36 @@ def test_ranked_and_title_search(spark):
     docs = spark.createDataFrame([(1, "Économie  Review", ["A b"]), (2, None, ["review"])], "id int, title string, categories array<string>")
     assert rows(search.title_search(docs, "review a"), "id") == [(1,)]
     assert rows(search.collections(docs, [("review", "R")]), "category", "name", "documents") == [("review", "R", 1)]
+
+
+def test_blocks_give_the_pages_of_a_full_scan_and_stay_closed(spark, tmp_path):
+    rng = random.Random(5)
+    words = [f"w{k}x" for k in range(30)]
+    rows_ = []
+    for doc in range(400):
+        heavy = 30 if doc % 40 == 0 else 1  # a few documents say the words often
+        rows_ += [(doc, p, " ".join(rng.choices(words, k=40) + ["alpha", "beta"] * rng.randint(1, heavy))) for p in (1, 2)]
+    pages = spark.createDataFrame(rows_, "doc_id long, page int, text string")
+    postings = search.index_postings(pages, text.search_form(F.col("text")))
+    blocks = publish.write_posting_blocks(postings, str(tmp_path / "blocks"), 400, per_stretch=4)
+    assert blocks.agg(F.max("n")).first()[0] <= 60
+    for q, k in (("alpha beta", 5), ("beta w3x", 10), ("alpha", 1), ("alpha nowhere", 5), ("", 5), ("w1x w2x w3x", 5000)):
+        found = search.top_pages(blocks, q, k, probes=4)
+        want = search.full_text(postings, q, limit=k)
+        assert [tuple(r) for r in found.pages.collect()] == [tuple(r) for r in want.select("doc_id", "page", "score").collect()]
+    found = search.top_pages(blocks, "alpha beta", 5, probes=4)
+    assert 0 < found.read < 0.3 * found.named
+    plan = found.pages._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "In(term, [alpha,beta])" in plan
+
+
+def test_trigrams_find_what_a_scan_finds(spark, tmp_path):
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("abc ", k=rng.randint(0, 40))) for _ in range(300)] + ["بنك مصر المركزى", "", None, "ab"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, hay string")
+    stored, pieces = publish.write_trigrams(docs, "id", str(tmp_path / "t"))
+    for q in ("abc", "abca", "bca abb", "cab ab", "ab", "", "مصر", "abcabcabcabc", "zzz"):
+        want = docs.filter(search.all_terms(F.col("hay"), q))
+        got = search.indexed_substrings(stored, pieces, q, "id")
+        assert rows(got, "id") == rows(want, "id"), q
+    assert search.substring_candidates(pieces, "abcab", "id").count() < 150
