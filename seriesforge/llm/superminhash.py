@@ -45,7 +45,7 @@ PLACES = 128  # of a signature; a rank takes 7 bits
 BANDS = 32
 FRACTION = 25  # bits
 ERRORS = 6  # standard errors of the signatures' estimate that rule a pair out
-BLOCK = 512  # points
+BLOCK = 1024  # points
 CHUNK = 1 << 15  # shingles worked off side by side
 SEEN = 1_000_000  # points that a task remembers
 BATCH_BYTES = 8 << 20  # of rows that cross to Python together, whatever their number

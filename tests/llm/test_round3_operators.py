@@ -203,7 +203,7 @@ def copies():
     return [*rows, (900, " ".join(long)), (901, edited(rng, long, 0.01))]
 
 
-@pytest.mark.parametrize("block", [512, 7])
+@pytest.mark.parametrize("block", [1024, 7])
 def test_groups_match_brute_force(spark, copies, monkeypatch, block):
     monkeypatch.setattr(superminhash, "BLOCK", block)
     docs = spark.createDataFrame(copies, DOCUMENTS).selectExpr("*", "1 AS point", "'x' AS signature", "2 AS n", "false AS kept").repartition(5)
