@@ -98,3 +98,11 @@ def one_per_day(obs: DataFrame) -> DataFrame:
     first = ["value", *[c for c in rest if c != "value"]]
     top = obs.groupBy("series_id", "period").agg(F.max(F.struct(*first)).alias("_top"))
     return top.select(*[F.col(c) if c in ("series_id", "period") else F.col(f"_top.{c}").alias(c) for c in obs.columns])
+
+
+def settle(df: DataFrame, **cols: Column) -> DataFrame:
+    """Work columns out once, so that array lambdas further up read them as plain values.
+
+    A one-row generator: expressions are not folded through it, and it moves no data.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesforge.functions.text import clean_markup, collapse_space, unescape_entities
+from seriesforge.operators.spread import settle
 
 NO_RESULTS = r"(?i)There are no matching results"
 
@@ -24,14 +25,6 @@ def _all(c: Column, pattern: str, group: int) -> Column:
     return F.regexp_extract_all(c, F.lit(pattern), F.lit(group))
 
 
-def _settle(df: DataFrame, **cols: Column) -> DataFrame:
-    """Work columns out once, so that array lambdas further up read them as plain values.
-
-    A one-row generator: expressions are not folded through it, and it moves no data.
-    """
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
-
-
 def _span(cell: Column) -> Column:
     """Columns a cell covers; the pattern runs only where the attribute occurs."""
     opening = F.substring_index(cell, ">", 1)
@@ -64,13 +57,13 @@ def html_tables(docs: DataFrame, html: str = "html", doc: str = "doc_id", keep:
         ),
         lambda cells: F.size(cells) > 0,
     )
-    t = _settle(bodies, _grid=grid).drop("_body").filter(F.size("_grid") > 0)
+    t = settle(bodies, _grid=grid).drop("_body").filter(F.size("_grid") > 0)
     # Tags go and entities are decoded once per table, not per cell.
     joined = F.array_join(F.transform("_grid", lambda cells: F.array_join(cells, CELL_MARK)), ROW_MARK)
     bare = F.regexp_replace(joined, "<[^>]+>", " ")
     t = t.withColumn("_text", unescape_entities(bare) if unescape else bare)
     flat = collapse_space(F.col("_text"))
-    t = _settle(
+    t = settle(
         t,
         _texts=F.transform(
             F.split(flat, ROW_MARK), lambda r: F.transform(F.split(r, CELL_MARK), lambda x: F.trim(x))
@@ -79,7 +72,7 @@ def html_tables(docs: DataFrame, html: str = "html", doc: str = "doc_id", keep:
         _spans=F.transform("_grid", lambda cells: F.transform(cells, _span)),
     ).drop("_grid", "_text")
     first = F.array_position("_is_data", F.lit(True))
-    t = _settle(
+    t = settle(
         t,
         _heads=F.when(first > 0, first - 1).otherwise(F.size("_is_data")).cast("int"),
         _data=F.filter("_texts", lambda _r, i: F.get("_is_data", i)),
@@ -90,8 +83,8 @@ def html_tables(docs: DataFrame, html: str = "html", doc: str = "doc_id", keep:
             F.transform(cells, lambda text, c: F.array_repeat(text, F.get(F.get("_spans", r), c)))
         ),
     )
-    t = _settle(t, _head=head, _width=F.array_max(F.transform("_data", lambda r: F.size(r))))
-    t = _settle(t, _depth=F.array_max(F.transform("_head", lambda r: F.size(r))))
+    t = settle(t, _head=head, _width=F.array_max(F.transform("_data", lambda r: F.size(r))))
+    t = settle(t, _depth=F.array_max(F.transform("_head", lambda r: F.size(r))))
     names = F.transform(
         F.sequence(F.lit(0), F.coalesce("_width", "_depth", F.lit(1)) - 1),
         lambda i: F.when(i >= F.col("_depth"), F.concat(F.lit("col"), i)).otherwise(

@@ -23,6 +23,7 @@ def one(spark, expr, t):
     "t,want",
     [
         ("Net International Reserves reached US$ 56,293. More", 56293.0), ("reserves stood at about US $ 16,564.4 mn at the end", 16564.4),
+        ("Reserves fell to USD 33.5 billion after having reached USD 34 billion.", 33500.0), ("Reserves rose by USD 200 mn to reach USD 34 bn.", 34000.0),
         ("Reserves were high", None), ("Gold reserves rose to US$ 5", None),
     ],
 )
@@ -40,6 +41,14 @@ def test_remittances(spark):
     assert (got["period"], got["value"]) == (D(2024, 2, 29), 20500.0)
     got = one(spark, press.remittances_month(F.col("t")), c)
     assert (got["period"], got["value"]) == (D(2024, 8, 1), 2600.0)
+    for text_, month, want in (
+        ("Remittances increased by 10 percent to USD 2.5 billion in May 2023.", 5, 2500.0),
+        ("Remittances increased to USD 2.5 billion in May 2023, from USD 2.1 billion in May 2022.", 5, 2500.0),
+        ("Remittances rose in May 2023 to USD 2.5 billion, from USD 2.1 billion in May 2022.", 5, 2500.0),
+        ("With USD 2.5 billion sent home, remittances grew in May 2023.", 5, 2500.0),
+    ):
+        got = one(spark, press.remittances_month(F.col("t")), text_)
+        assert (got["period"], got["value"]) == (D(2023, month, 1), want), text_
     assert one(spark, press.remittances_to_date(F.col("t")), "calendar year 2024: USD 29 billion") is None
     far = "Transfers rose during July/May of FY 2025/2026, " + "as the bank has said in many words before, " * 5 + "to USD 43.1 billion."
     assert one(spark, press.remittances_to_date(F.col("t")), far)["value"] == 43100.0
