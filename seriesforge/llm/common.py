@@ -31,6 +31,12 @@ def in_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
     return df
 
 
+def bounded(df: DataFrame, rows: int = 500, size: int = 8 << 20) -> DataFrame:
+    """Rows cross to Python in batches of so many, and of so many bytes whatever their number."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+    return in_batches(df, rows)
+
+
 def utf8(column: str) -> Column:
     """The text as UTF-8 bytes, null as empty."""
     return F.coalesce(F.col(column).cast("string").cast("binary"), F.lit(b""))

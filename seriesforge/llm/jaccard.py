@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesforge.llm.common import WORD, fresh, in_batches, table, utf8, written
+from seriesforge.llm.common import WORD, bounded, fresh, table, utf8, written
 
 WIDTH = 5
 SIMILAR = 75  # per cent
@@ -45,7 +45,7 @@ HOT_LEAST = 8
 FLUSH = 2_000_000  # postings gathered before they are sent
 BUCKET = 1_000_000  # postings of an index bucket, about
 DIVISIONS = 2  # of every region by pivots, before what is left of them is joined by blocks
-BLOCK = 512  # points
+BLOCK = 1024  # points
 LOW = np.uint64((1 << 40) - 1)
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -92,8 +92,10 @@ def points(docs: DataFrame, width: int) -> DataFrame:
         count = 0
 
         def frequent():
-            keys, n = np.unique(np.concatenate([*held.values(), np.zeros(0, np.uint64)]), return_counts=True)
-            many = n >= max(2, HOT_SHARE * len(held))
+            points_, whole = len(held), np.concatenate([*held.values(), np.zeros(0, np.uint64)])
+            held.clear()  # before the sort takes as much again
+            keys, n = np.unique(whole, return_counts=True)
+            many = n >= max(2, HOT_SHARE * points_)
             k = int(many.sum())
             return pd.DataFrame({"kind": np.ones(k, int), "doc_id": pd.array([None] * k, dtype="Int64"), "key": np.zeros(k, int), "point": keys[many].view(np.int64), "n": n[many]})
 
@@ -112,7 +114,7 @@ def points(docs: DataFrame, width: int) -> DataFrame:
             yield frequent()
 
     whole = docs.select(F.col("doc_id").cast("long"), row_key(docs).alias("key"), utf8("text").alias("text"))
-    return in_batches(whole).mapInPandas(run, "kind int, doc_id long, key long, point long, n long")
+    return bounded(whole).mapInPandas(run, "kind int, doc_id long, key long, point long, n long")
 
 
 def row_key(docs: DataFrame) -> Column:
@@ -177,7 +179,7 @@ def postings(docs: DataFrame, width: int, bits: int, hot) -> DataFrame:
             yield flush()
 
     whole = docs.select(utf8("text").alias("text"))
-    return in_batches(whole).mapInPandas(run, "bucket int, ids binary, sizes binary, counts binary, keys binary")
+    return bounded(whole).mapInPandas(run, "bucket int, ids binary, sizes binary, counts binary, keys binary")
 
 
 def _rows(pdf: pd.DataFrame):
@@ -289,7 +291,7 @@ def distances(pairs: DataFrame, kept: DataFrame) -> DataFrame:
             union = x["n_a"].to_numpy(np.int64) + x["n_b"].to_numpy(np.int64) - both
             yield pd.DataFrame({"point": x["point"], "pivot": x["pivot"], "shared": both, "united": union})
 
-    joined = in_batches(pairs.join(a, "point").join(b, "pivot"), 2000)
+    joined = bounded(pairs.join(a, "point").join(b, "pivot"), 2000)
     return joined.mapInPandas(run, "point long, pivot long, shared long, united long")
 
 
@@ -341,8 +343,10 @@ def block_joins(members: DataFrame, kept: DataFrame, similar: int) -> DataFrame:
                 apart &= block != block[i]
             if not apart.any():
                 continue
-            spans = [holders[first[k] : first[k + 1]] for k in key[ends[i] : ends[i + 1]]]
-            both = np.bincount(np.concatenate(spans), minlength=m)
+            keys = key[ends[i] : ends[i + 1]]
+            spans = first[keys + 1] - first[keys]
+            upto = np.cumsum(spans)
+            both = np.bincount(holders[np.arange(upto[-1]) + np.repeat(first[keys] - upto + spans, spans)], minlength=m)
             for j in np.flatnonzero(apart & (100 * both >= similar * (n + n[i] - both))):
                 if label[j] != label[i]:
                     out.append((points_[i], points_[j]))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.llm.common import fresh, in_batches, table, utf8, written
+from seriesforge.llm.common import bounded, fresh, table, utf8, written
 from seriesforge.llm.jaccard import SIMILAR, shingles
 
 LEADING = 3
@@ -81,11 +81,11 @@ def _lines(docs: DataFrame, with_tokens: bool) -> DataFrame:
                     continue
                 seen.add(key)
                 for k, leaf, line, tokens in parsed(text):
-                    rows.append((leaf, line, doc, [xxhash.xxh32_intdigest(t) for t in tokens]) if with_tokens else (key, k, leaf, line, doc))
+                    rows.append((leaf, line, doc, b" ".join(tokens)) if with_tokens else (key, k, leaf, line, doc))
             yield pd.DataFrame(rows, columns=["leaf", "line", "doc", "tokens"] if with_tokens else ["key", "nth", "leaf", "line", "doc"])
 
-    schema = "leaf long, line long, doc long, tokens array<long>" if with_tokens else "key string, nth int, leaf long, line long, doc long"
-    return in_batches(docs.select(F.md5(utf8("text")).alias("key"), _doc(), utf8("text").alias("text"))).mapInPandas(run, schema)
+    schema = "leaf long, line long, doc long, tokens binary" if with_tokens else "key string, nth int, leaf long, line long, doc long"
+    return bounded(docs.select(F.md5(utf8("text")).alias("key"), _doc(), utf8("text").alias("text"))).mapInPandas(run, schema)
 
 
 def near(a: np.ndarray, b: np.ndarray, similar: int = SIMILAR) -> bool:
@@ -153,7 +153,7 @@ def differing(docs: DataFrame, held: DataFrame, documents: int) -> DataFrame:
             found.add(doc, [t], lambda packed=packed: np.frombuffer(packed, np.uint64))
         return out(found)[["template", "doc", "enough"]]
 
-    first = written(in_batches(dealt).mapInPandas(in_parts, schema), "differing")
+    first = written(bounded(dealt).mapInPandas(in_parts, schema), "differing")
     sure = first.filter("enough").select("template").distinct()
     rest = first.filter("NOT enough").join(sure, "template", "left_anti").groupBy("template").applyInPandas(together, "template long, doc long, enough boolean")
     return written(sure.select("template", F.lit(None).cast("long").alias("doc"), F.lit(True).alias("enough")).unionByName(rest), "told")
@@ -177,7 +177,8 @@ def recurring(docs: DataFrame, lines: DataFrame, documents: int = DOCUMENTS, con
     """(line): lines of templates that recur in at least so many documents."""
     busy = written(lines.groupBy("leaf").agg(F.countDistinct("doc").alias("texts")).filter(F.col("texts") >= documents).select("leaf"), "leaves")
     found = _lines(docs, True).join(busy, "leaf").groupBy("leaf", "line", "doc").agg(F.first("tokens").alias("tokens"))
-    found = written(found.withColumn("counts", F.lit(True)), "busy")
+    words = F.transform(F.split(F.col("tokens").cast("string"), " "), lambda t: F.xxhash64(t))
+    found = written(found.withColumn("tokens", words).withColumn("counts", F.lit(True)), "busy")
     gone = None
     while True:
         named = written(templates(found, documents, constant), "templates")

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.llm.common import in_batches, table, utf8, written
+from seriesforge.llm.common import bounded, table, utf8, written
 from seriesforge.llm.jaccard import components, point_of, row_key, shingles
 
 WIDTH = 4
@@ -48,16 +48,9 @@ ERRORS = 6  # standard errors of the signatures' estimate that rule a pair out
 BLOCK = 1024  # points
 CHUNK = 1 << 15  # shingles worked off side by side
 SEEN = 1_000_000  # points that a task remembers
-BATCH_BYTES = 8 << 20  # of rows that cross to Python together, whatever their number
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-def bounded(df: DataFrame, rows: int = 500) -> DataFrame:
-    """Rows cross to Python in batches of so many, and of so many bytes."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return in_batches(df, rows)
-
-
 def scrambled(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
