@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesforge.operators.summary import changes
@@ -44,6 +46,17 @@ def statement_events(statements: DataFrame) -> DataFrame:
     )
 
 
+def with_decision(statements: DataFrame, *decisions: str) -> DataFrame:
+    """Statements with one of these decisions."""
+    return statements.filter(F.col("decision").isin(*decisions))
+
+
+def neighbour_meetings(statements: DataFrame, keys: Sequence[str] = ("series_id",), date: str = "date") -> DataFrame:
+    """Each meeting with the dates of the one before and the one behind; an archive has at most a meeting a day."""
+    w = Window.partitionBy(*keys).orderBy(date)
+    return statements.withColumns({f"previous_{date}": F.lag(date).over(w), f"next_{date}": F.lead(date).over(w)})
+
+
 def timeline(breaks: DataFrame, statements: DataFrame) -> DataFrame:
     return breaks.unionByName(statement_events(statements), allowMissingColumns=True)
 

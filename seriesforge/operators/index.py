@@ -159,3 +159,13 @@ def series_view(
     if transform == "index":
         return summary.rebase(cut)
     raise ValueError(f"unknown transform {transform!r}")
+
+
+def facet_counts(docs: DataFrame, *facets: str, name: str = "documents") -> DataFrame:
+    """Documents by each combination of these facets."""
+    return docs.groupBy(*facets).agg(F.count(F.lit(1)).alias(name))
+
+
+def distinct_counts(df: DataFrame, **columns: str) -> DataFrame:
+    """One row: how many different values each named column has."""
+    return df.agg(*[F.count_distinct(c).alias(name) for name, c in columns.items()])

@@ -94,13 +94,25 @@ def replace_namespace(old: DataFrame, new: DataFrame, prefix: str, key: str = "s
     return old.filter(~F.col(key).startswith(prefix)).unionByName(new, allowMissingColumns=True)
 
 
-def advertise(catalog: DataFrame, obs: DataFrame, owned: Sequence[str]) -> DataFrame:
-    """Of the owned ids keep those with observations; leave all other entries alone."""
-    mine = F.col("series_id").isin(list(owned))
-    seen = obs.select("series_id").distinct()
-    return catalog.filter(~mine).unionByName(
-        catalog.filter(mine).join(seen, "series_id", "left_semi")
-    )
+def advertise(catalog: DataFrame, obs: DataFrame, owned: DataFrame | str | Sequence[str]) -> DataFrame:
+    """Of the owned entries keep those with observations; leave all other entries alone.
+
+    `owned` is a table of series_id, a prefix of ids, or a short list of them; a table of any size
+    is joined, nothing of it enters the plan.
+    """
+    seen = obs.select("series_id").distinct().withColumn("_seen", F.lit(True))
+    told = catalog.join(seen, "series_id", "left")
+    if isinstance(owned, DataFrame):
+        told = told.join(owned.select("series_id").distinct().withColumn("_mine", F.lit(True)), "series_id", "left")
+    else:
+        mine = F.col("series_id").startswith(owned) if isinstance(owned, str) else F.col("series_id").isin(list(owned))
+        told = told.withColumn("_mine", mine)
+    return told.filter(F.col("_seen").isNotNull() | ~F.coalesce("_mine", F.lit(False))).select(*catalog.columns)
+
+
+def present_only(manifest: DataFrame, files: DataFrame, key: str) -> DataFrame:
+    """The work list: manifest entries whose file is there."""
+    return manifest.join(files.select(key).distinct(), key, "left_semi")
 
 
 def preserve_labels(new: DataFrame, old: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:

@@ -28,6 +28,17 @@ def drop_unreadable(obs: DataFrame) -> DataFrame:
     return obs.dropna(subset=["period", "value"])
 
 
+def statement_texts(texts: DataFrame, text: str = "text", least: int = MIN_STATEMENT_CHARS) -> DataFrame:
+    """Texts long enough to be a statement."""
+    return texts.filter(F.length(text) >= least)
+
+
+def reason_counts(rejects: DataFrame, reason: str = "reason", most: int | None = None) -> DataFrame:
+    """(reason, n): how often each reason refused something; only the `most` frequent where it is given, equal ones by name."""
+    counted = rejects.groupBy(reason).agg(F.count(F.lit(1)).alias("n"))
+    return counted if most is None else counted.orderBy(F.col("n").desc(), reason).limit(most)
+
+
 def row_floor(rows: DataFrame, specs: DataFrame, key: str = "dataset") -> DataFrame:
     """Rows landed per declared dataset against its floor: status ok or short."""
     landed = rows.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))

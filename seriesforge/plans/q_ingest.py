@@ -145,7 +145,7 @@ def scanned_documents(spark, sf):
 )
 def statement_length(spark, sf):
     return (
-        v.table(spark, sf, "conversations").filter(F.length("text") >= quality.MIN_STATEMENT_CHARS)
+        quality.statement_texts(v.table(spark, sf, "conversations"))
         .groupBy("conv_id").agg(F.count(F.lit(1)).alias("statements"))
     )
 

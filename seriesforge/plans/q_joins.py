@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from seriesforge.operators import asof, statements
+from seriesforge.operators import asof, merge, statements
 from seriesforge.plans import views as v
 from seriesforge.plans.catalog import query
 
@@ -25,7 +25,7 @@ def catalog_lookup(spark, sf):
 )
 def on_disk(spark, sf):
     disk = v.table(spark, sf, "lineitem").filter("l_returnflag = 'R' and l_quantity > 45").select(F.col("l_partkey").alias("p_partkey")).distinct()
-    return v.table(spark, sf, "part").select("p_partkey").join(disk, "p_partkey", "left_semi")
+    return merge.present_only(v.table(spark, sf, "part").select("p_partkey"), disk, "p_partkey")
 
 
 @query(

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from seriesforge.operators import merge
+from seriesforge.operators import merge, quality
 from seriesforge.plans import views as v
 from seriesforge.plans.catalog import query
 from seriesforge.sinks import publish
@@ -65,7 +65,7 @@ def merge_items(spark, sf):
 
 
 @query(
-    "a13_listing_manifest", "A13 F4 C11 C30 J7",
+    "a13_listing_manifest", "A13 F4 C11 C30",
     """WITH i AS (SELECT substr(sha1('/en/' || sha1(text)), 1, 16) AS id, CAST(doc_id % 3 AS INT) AS src, doc_id, source FROM documents)
 SELECT id, arg_min(list_extract(['publications', 'News', 'circulars'], src + 1), (src, doc_id)) AS source, false AS is_file,
   array_to_string(list_sort(list_distinct(list(source))), ',') AS categories FROM i GROUP BY 1""",
@@ -300,8 +300,7 @@ FROM documents WHERE doc_id % 2 = 0 OR doc_id % 11 = 0 GROUP BY 1 ORDER BY n DES
 def reject_reasons(spark, sf):
     reason = F.when(F.col("doc_id") % 11 == 0, F.lit("file missing")).when(F.col("n_chars") < 500, F.lit("short")).otherwise(F.lit("no period row"))
     return (
-        v.table(spark, sf, "documents").filter("doc_id % 2 = 0 or doc_id % 11 = 0")
-        .groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "reason").limit(8)
+        quality.reason_counts(v.table(spark, sf, "documents").filter("doc_id % 2 = 0 or doc_id % 11 = 0").select(reason.alias("reason")), most=8)
     )
 
 
@@ -361,3 +360,41 @@ def incremental_landing(spark, sf):
     told = events_landing.summaries(spark).select("series_id", F.col("n").alias("days"), F.col("last").alias("latest"))
     out = events_landing.current(spark).join(revised, ["series_id", "period"], "left").join(told, "series_id").join(lost, "series_id", "left")
     return v.iso(out.select("series_id", "period", "value", F.coalesce("revisions", F.lit(0)).alias("revisions"), "days", "latest", F.coalesce("anomalies", F.lit(0)).alias("anomalies")))
+
+
+@query(
+    "f7_advertise_owned", "F7",
+    v.with_ctes("parts obs_parts", """, owned AS (SELECT 'PART.' || p_partkey AS series_id FROM part WHERE p_partkey % 3 = 0)
+SELECT series_id FROM parts WHERE series_id NOT IN (SELECT series_id FROM owned) OR series_id IN (SELECT series_id FROM obs_parts WHERE period >= DATE '1998-06-01')"""),
+)
+def advertise_owned(spark, sf):
+    """Owned entries given as a table."""
+    owned = v.parts(spark, sf).filter(F.substring("series_id", 6, 12).cast("int") % 3 == 0)
+    return merge.advertise(v.parts(spark, sf), v.obs_parts(spark, sf).filter("period >= '1998-06-01'"), owned).select("series_id")
+
+
+@query(
+    "b22_extraction_status", "B22 D14 D15 H9",
+    v.with_ctes("doc_pages", """, p AS (SELECT doc_id, count(*) AS pages, CAST(sum(chars) AS BIGINT) AS chars FROM (SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN 0 ELSE chars END AS chars FROM doc_pages WHERE doc_id % 11 <> 0) GROUP BY 1)
+SELECT doc_id, CASE WHEN doc_id % 17 = 0 THEN 'failed' WHEN pages IS NULL THEN 'missing' WHEN chars = 0 THEN 'empty' WHEN chars < pages * 90 THEN 'needs_ocr' ELSE 'read' END AS status,
+  pages, chars, CASE WHEN doc_id % 17 = 0 THEN 'damaged file' END AS reason FROM documents LEFT JOIN p USING (doc_id)"""),
+)
+def extraction_status(spark, sf):
+    docs = v.table(spark, sf, "documents").select("doc_id")
+    pages = v.doc_pages(spark, sf).filter("doc_id % 11 <> 0").select("doc_id", "page", F.lit("en").alias("lang"), F.when(F.col("doc_id") % 13 == 0, 0).otherwise(F.col("chars")).alias("chars"))
+    failed = docs.filter("doc_id % 17 = 0").withColumn("reason", F.lit("damaged file"))
+    return publish.extraction_status(docs, pages, failed).select("doc_id", "status", "pages", "chars", "reason")
+
+
+@query(
+    "b14_written_digests", "B14 D22",
+    """SELECT 'part=' || (doc_id // 100) AS folder, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes, sha256(string_agg(text || chr(10), '' ORDER BY doc_id)) AS sha256 FROM
+  (SELECT doc_id, replace(text, chr(13), ' ') AS text FROM documents) GROUP BY doc_id // 100""",
+)
+def written_digests(spark, sf):
+    """Texts written as files of a hundred documents each, and the manifest of these files."""
+    home = f"{checkpoint_dir(spark).rstrip('/')}/published-{uuid.uuid4().hex}"
+    docs = v.table(spark, sf, "documents").select(F.expr("doc_id div 100").alias("part"), "doc_id", F.translate("text", "\r", " ").alias("value"))
+    docs.repartition("part").sortWithinPartitions("part", "doc_id").select("part", "value").write.partitionBy("part").text(home)
+    files = publish.integrity_manifest(spark, home).filter(F.col("path").endswith(".txt"))
+    return files.select(F.regexp_extract("path", "(part=[0-9]+)/", 1).alias("folder"), "bytes", "sha256")

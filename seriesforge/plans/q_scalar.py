@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seriesforge.functions import dates, ids, numbers, reading, text, units
-from seriesforge.operators import summary
+from seriesforge.operators import ordering, summary
 from seriesforge.plans import views as v
 from seriesforge.plans.catalog import query
 
@@ -316,7 +316,7 @@ def tenor_buckets(spark, sf):
 SELECT l_partkey, CASE WHEN top / med >= 2 THEN printf('%.1f', top / med) || '×' ELSE printf('%.0f', abs((top / med - 1) * 100)) || '% above' END AS said FROM m""",
 )
 def against_median(spark, sf):
-    m = v.table(spark, sf, "lineitem").groupBy("l_partkey").agg(
-        F.percentile("l_extendedprice", F.lit(0.5)).alias("med"), F.max("l_extendedprice").alias("top")
-    )
+    prices = v.table(spark, sf, "lineitem").select("l_partkey", "l_extendedprice")
+    top = prices.groupBy("l_partkey").agg(F.max("l_extendedprice").alias("top"))
+    m = top.join(ordering.medians(prices, "l_partkey", "l_extendedprice").withColumnRenamed("median", "med"), "l_partkey")
     return m.select("l_partkey", reading.against_median(F.col("top"), F.col("med")).alias("said"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from seriesforge.operators import events, index, quality, ranges, shape, summary
+from seriesforge.operators import events, index, ordering, quality, ranges, shape, summary
 from seriesforge.operators.spread import top_per_group
 from seriesforge.plans import views as v
 from seriesforge.plans.catalog import query
@@ -101,7 +101,7 @@ def topic_counts(spark, sf):
     "SELECT source, lang, count(*) AS documents FROM documents GROUP BY 1, 2",
 )
 def facet_counts(spark, sf):
-    return v.table(spark, sf, "documents").groupBy("source", "lang").agg(F.count(F.lit(1)).alias("documents"))
+    return index.facet_counts(v.table(spark, sf, "documents"), "source", "lang")
 
 
 @query(
@@ -109,9 +109,7 @@ def facet_counts(spark, sf):
     v.with_ctes("obs_events", "SELECT count(DISTINCT series_id) AS series, count(DISTINCT period) AS periods FROM obs_events"),
 )
 def distinct_counts(spark, sf):
-    return v.obs_events(spark, sf).agg(
-        F.count_distinct("series_id").alias("series"), F.count_distinct("period").alias("periods")
-    )
+    return index.distinct_counts(v.obs_events(spark, sf), series="series_id", periods="period")
 
 
 CHANGES_SQL = """SELECT series_id, period, value, lag(period) OVER w AS previous_period, lag(value) OVER w AS previous,
@@ -243,11 +241,7 @@ def first_k(spark, sf):
   FROM meetings WINDOW w AS (PARTITION BY series_id ORDER BY date)"""), "date", "previous_date", "next_date"),
 )
 def next_meeting(spark, sf):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("series_id").orderBy("date")
-    m = v.meetings(spark, sf)
-    return v.iso(m.select("series_id", "date", F.lag("date").over(w).alias("previous_date"), F.lead("date").over(w).alias("next_date")))
+    return v.iso(events.neighbour_meetings(v.meetings(spark, sf)))
 
 
 @query(
@@ -525,11 +519,124 @@ def series_order(spark, sf):
 
 
 @query(
-    "j2_newest_documents", "J2 J7",
+    "j2_newest_documents", "J2",
     "SELECT doc_id, source, n_chars FROM documents ORDER BY n_chars DESC, doc_id DESC LIMIT 60",
 )
 def newest_documents(spark, sf):
-    return v.table(spark, sf, "documents").select("doc_id", "source", "n_chars").orderBy(F.desc("n_chars"), F.desc("doc_id")).limit(60)
+    return ordering.newest(v.table(spark, sf, "documents").select("doc_id", "source", "n_chars"), 60, F.desc("n_chars"), F.desc("doc_id"))
+
+
+def _manifest(spark, sf):
+    """Documents as a manifest with few dates, so that titles and ids settle most places."""
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("doc_id") % 20).cast("int"))
+    d = v.table(spark, sf, "documents")
+    return d.select(F.col("doc_id").cast("string").alias("id"), F.when(F.col("doc_id") % 7 != 0, day).alias("date"), "lang", "source")
+
+
+MANIFEST_SQL = "m AS (SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % 7 <> 0 THEN DATE '2020-01-01' + CAST(doc_id % 20 AS INT) END AS date, lang, source FROM documents)"
+
+
+@query(
+    "j7_manifest_order", "J7 J1",
+    v.dated(f"WITH {MANIFEST_SQL} SELECT id, date, lang AS title, row_number() OVER (ORDER BY date DESC NULLS LAST, lang DESC NULLS LAST, id) - 1 AS position FROM m", "date"),
+)
+def manifest_order(spark, sf):
+    return v.iso(ordering.newest_first(_manifest(spark, sf).select("id", "date", F.col("lang").alias("title"))))
+
+
+@query("j7_category_order", "J7", f"WITH {MANIFEST_SQL} SELECT source AS category, id AS url, row_number() OVER (ORDER BY source NULLS FIRST, id) - 1 AS position FROM m")
+def category_order(spark, sf):
+    return ordering.by_category(_manifest(spark, sf).select(F.col("source").alias("category"), F.col("id").alias("url")))
+
+
+@query(
+    "j1_observation_order", "J1",
+    v.dated(v.with_ctes("obs_parts", "SELECT series_id, period, value, row_number() OVER (ORDER BY series_id, period) - 1 AS position FROM obs_parts"), "period"),
+)
+def observation_order(spark, sf):
+    return v.iso(ordering.positions(v.obs_parts(spark, sf), [F.col("series_id").asc(), F.col("period").asc()]))
+
+
+@query(
+    "j6_group_positions", "J6",
+    v.with_ctes("parts", """SELECT "table", series, row_number() OVER (ORDER BY series DESC, "table") - 1 AS position FROM
+  (SELECT substr(title_en, 1, instr(title_en, ' - ') - 1) AS "table", count(*) AS series FROM parts GROUP BY 1)"""),
+)
+def group_positions(spark, sf):
+    from seriesforge.functions.reading import table_of
+
+    return ordering.groups_by_size(v.parts(spark, sf), table_of(F.col("title_en"), F.col("dataset")), "table", "series")
+
+
+@query(
+    "c32_hot_median", "C32 H1",
+    """SELECT CASE WHEN l_orderkey % 3 <> 0 THEN l_suppkey END AS key, round(median(l_extendedprice), 6) AS median FROM lineitem GROUP BY 1""",
+)
+def hot_median(spark, sf):
+    """Median price by supplier, a third of all lines under one key of none."""
+    rows = v.table(spark, sf, "lineitem").select(F.when(F.col("l_orderkey") % 3 != 0, F.col("l_suppkey")).alias("key"), "l_extendedprice")
+    return ordering.medians(rows, "key", "l_extendedprice").select("key", F.round("median", 6).alias("median"))
+
+
+@query(
+    "d20_shown_breaks", "D20 L1",
+    v.dated(v.with_ctes("obs_events", """, o AS (SELECT series_id, period, max(value) + 200 AS value FROM obs_events GROUP BY 1, 2),
+c AS (SELECT *, lag(value) OVER w AS previous FROM o WINDOW w AS (PARTITION BY series_id ORDER BY period)),
+p AS (SELECT period AS date, round_even((value - previous) / previous * 100, 2) AS pct FROM c WHERE previous <> 0 AND abs((value - previous) / previous * 100) >= 4)
+SELECT date, (CASE WHEN pct > 0 THEN '+' ELSE '' END) || CAST(floor(pct + 0.5) AS BIGINT) || '%' AS label FROM p WHERE abs(pct) >= 8"""), "date"),
+)
+def shown_breaks(spark, sf):
+    """Breaks of 4 % and more, of which only those of 8 % and more are shown."""
+    obs = v.obs_events(spark, sf).select("series_id", "period", (F.col("value") + 200).alias("value"))
+    return v.iso(events.shown_breaks(events.detect_breaks(obs)))
+
+
+NOTICE_SQL = """SELECT 'S' || l_suppkey AS series_id, CAST(max(l_shipdate) AS DATE) AS last_period, CASE WHEN l_suppkey % 3 = 0 THEN CAST(l_suppkey AS INT) END AS stale_days,
+  CASE WHEN l_suppkey % 4 = 0 THEN count(*) FILTER (l_discount = 0) END AS zero_values, CASE WHEN l_suppkey % 5 = 0 THEN count(*) - count(DISTINCT CAST(l_shipdate AS DATE)) ELSE 0 END AS duplicate_periods FROM lineitem GROUP BY l_suppkey"""
+
+
+@query(
+    "l13_all_notices", "L13",
+    v.dated(f"""WITH s AS ({NOTICE_SQL}) SELECT *, concat_ws(',', CASE WHEN stale_days IS NOT NULL THEN 'discontinued' END, CASE WHEN zero_values IS NOT NULL THEN 'zeros' END, CASE WHEN duplicate_periods > 0 THEN 'duplicates' END) AS notices
+FROM s WHERE stale_days IS NOT NULL OR zero_values IS NOT NULL OR duplicate_periods > 0""", "last_period"),
+)
+def all_notices(spark, sf):
+    key, day = F.col("l_suppkey"), F.col("l_shipdate").cast("date")
+    s = v.table(spark, sf, "lineitem").groupBy("l_suppkey").agg(
+        F.max(day).alias("last_period"), F.count_if(F.col("l_discount") == 0).alias("_z"), (F.count(F.lit(1)) - F.count_distinct(day)).alias("_d")
+    )
+    s = s.select(
+        F.concat(F.lit("S"), key).alias("series_id"), "last_period", F.when(key % 3 == 0, key.cast("int")).alias("stale_days"),
+        F.when(key % 4 == 0, F.col("_z")).alias("zero_values"), F.when(key % 5 == 0, F.col("_d")).otherwise(F.lit(0)).alias("duplicate_periods"),
+    )
+    return v.iso(index.quality_notice(s).withColumn("notices", F.array_join("notices", ",")))
+
+
+@query(
+    "e14_whole_panel", "E14",
+    """WITH m AS (SELECT l_linestatus AS prefix, list_extract(['3M', '6M', '9M', '12M', '24M'], CAST(l_linenumber % 5 AS INT) + 1) AS tenor, l_extendedprice AS p, l_quantity AS q, l_tax AS t, l_discount AS d FROM lineitem)
+SELECT prefix, tenor, max(p) AS yield_latest, max(q) AS yield_change, max(t) AS yield_min, max(d) AS yield_max, max(p + q) AS cover, max(q + t) AS submitted, max(q + d) AS accepted FROM m WHERE tenor <> '24M' GROUP BY 1, 2""",
+)
+def whole_panel(spark, sf):
+    """Every column of the panel, from an index with all six measures."""
+    tenor = F.element_at(F.array(*[F.lit(t) for t in ("3M", "6M", "9M", "12M", "24M")]), (F.col("l_linenumber") % 5 + 1).cast("int"))
+    p, q, t, d = (F.col(c) for c in ("l_extendedprice", "l_quantity", "l_tax", "l_discount"))
+    measures = {"YLD.WAVG": p, "YLD.MIN": t, "YLD.MAX": d, "BIDCOVER": p + q, "AMT.SUB": q + t, "AMT.ACC": q + d}
+    lines = F.array(*[F.struct(F.lit(n).alias("measure"), c.cast("double").alias("latest"), q.cast("double").alias("change")) for n, c in measures.items()])
+    return shape.tenor_panel(v.table(spark, sf, "lineitem").select(F.col("l_linestatus").alias("prefix"), tenor.alias("tenor"), F.inline(lines)))
+
+
+@query(
+    "b18_whole_lines", "B18",
+    v.with_ctes("parts", """, o AS (SELECT 'PART.' || l_partkey AS series_id, CAST(l_shipdate AS DATE) AS period, max(l_quantity) AS value FROM lineitem GROUP BY 1, 2),
+s AS (SELECT series_id, count(*) AS n, min(period) AS a, max(period) AS b, arg_max(value, period) AS last FROM o GROUP BY 1)
+SELECT series_id, '| `' || series_id || '` | ' || a || ' to ' || b || ' | ' || format('{:,}', n) || ' | ' || CASE WHEN last >= 10 THEN printf('%.4f', last) ELSE printf('%.5f', last) END || ' | ' || coalesce(unit, '') || ' |' AS line FROM s LEFT JOIN parts USING (series_id)"""),
+)
+def whole_lines(spark, sf):
+    """The lines of the report as a reader gets them, with the latest value and the unit."""
+    obs = v.table(spark, sf, "lineitem").groupBy(F.concat(F.lit("PART."), "l_partkey").alias("series_id"), F.col("l_shipdate").cast("date").alias("period")).agg(F.max("l_quantity").alias("value"))
+    lines = publish.coverage_rows(summary.summarise(obs, v.parts(spark, sf)))
+    return lines.filter("section = 1").select("series_id", "line")
 
 
 @query(

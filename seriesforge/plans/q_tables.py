@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from seriesforge.functions import dates
 from seriesforge.functions.numbers import number
-from seriesforge.operators import press, quality, statements
+from seriesforge.operators import events, press, quality, statements
 from seriesforge.plans import views as v
 from seriesforge.plans.catalog import query
 from seriesforge.sources import datasets, grids, registry, tables
@@ -478,7 +478,22 @@ FROM orders WHERE o_orderkey % 5 = 3 GROUP BY 1 HAVING decision <> 'hold'""",
 )
 def decision_filter(spark, sf):
     _, st, _, _ = press.route_releases(releases(spark, sf))
-    return st.filter(F.col("decision").isin("hike", "cut")).groupBy("decision").agg(F.count(F.lit(1)).alias("statements"))
+    return events.with_decision(st, "hike", "cut").groupBy("decision").agg(F.count(F.lit(1)).alias("statements"))
+
+
+@query(
+    "l2_statement_events", "L2 L3",
+    v.dated("""SELECT CAST(o_orderdate AS DATE) AS date, 'mpc' AS type, 'Release ' || o_orderkey AS label, CAST(o_orderkey AS VARCHAR) AS url,
+  list_extract(['hold', 'hold', 'hike', 'cut', 'cut', 'cut', 'hike'], CAST(o_orderkey % 7 AS INT) + 1) AS decision, 4 AS stated,
+  CAST(printf('%d.%02d', CAST(floor(o_totalprice / 10000) AS BIGINT), o_orderkey % 100) AS DOUBLE) AS deposit_rate,
+  CAST(printf('%d.%02d', CAST(floor(o_totalprice / 10000) AS BIGINT) + 1, o_orderkey % 100) AS DOUBLE) AS lending_rate FROM orders WHERE o_orderkey % 5 = 3""", "date"),
+)
+def statement_events(spark, sf):
+    """Statements as events, with their decision, address and rates."""
+    _, st, _, _ = press.route_releases(releases(spark, sf))
+    e = events.statement_events(st)
+    rate = lambda n: F.col("rates")[n].alias(n)
+    return v.iso(e.select("date", "type", "label", "url", "decision", F.size("rates").alias("stated"), rate("deposit_rate"), rate("lending_rate")))
 
 
 @query(

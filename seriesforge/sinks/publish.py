@@ -279,3 +279,20 @@ def extraction_report(pages: DataFrame, doc: str = "doc_id") -> DataFrame:
         F.sum("pages").alias("pages"),
         F.count_if(F.col("chars") < F.col("pages") * SCAN_THRESHOLD).alias("needs_ocr"),
     )
+
+
+def extraction_status(manifest: DataFrame, pages: DataFrame, failures: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """One row a document of the manifest: what its extraction gave, and why nothing where it gave nothing.
+
+    `failures` has the document and a reason. A document is failed, missing (no page, no failure),
+    empty (pages without a character), needs_ocr, or read.
+    """
+    told = manifest.select(doc).join(dominant_language(pages, doc), doc, "left").join(failures.groupBy(doc).agg(F.min("reason").alias("reason")), doc, "left")
+    status = (
+        F.when(F.col("reason").isNotNull(), F.lit("failed"))
+        .when(F.col("pages").isNull(), F.lit("missing"))
+        .when(F.coalesce("chars", F.lit(0)) == 0, F.lit("empty"))
+        .when(F.col("chars") < F.col("pages") * SCAN_THRESHOLD, F.lit("needs_ocr"))
+        .otherwise(F.lit("read"))
+    )
+    return told.select(doc, status.alias("status"), "lang", "pages", "chars", "reason")
