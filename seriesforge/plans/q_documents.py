@@ -266,7 +266,7 @@ SHARD_SQL = """CAST(list_reduce(list_prepend(5381::BIGINT, list_transform(string
 
 
 @query(
-    "n3_index_postings", "N3 J4 B17 C22",
+    "n3_index_postings", "N3 J4 C22",
     v.with_ctes("doc_pages", POSTINGS_SQL + f"""SELECT term, doc_id, page, tf, {SHARD_SQL} AS shard FROM postings"""),
 )
 def index_postings(spark, sf):

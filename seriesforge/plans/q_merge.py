@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from seriesforge.functions.numbers import number
 from seriesforge.operators import merge, quality
 from seriesforge.plans import views as v
 from seriesforge.plans.catalog import query
@@ -398,3 +399,31 @@ def written_digests(spark, sf):
     docs.repartition("part").sortWithinPartitions("part", "doc_id").select("part", "value").write.partitionBy("part").text(home)
     files = publish.integrity_manifest(spark, home).filter(F.col("path").endswith(".txt"))
     return files.select(F.regexp_extract("path", "(part=[0-9]+)/", 1).alias("folder"), "bytes", "sha256")
+
+
+@query(
+    "a12_record_tables", "A12 B2",
+    "SELECT l_orderkey, l_linenumber, CAST(l_quantity * 8 AS DOUBLE) AS tenor, l_extendedprice AS submitted, CASE WHEN l_linenumber = 3 THEN '' ELSE l_comment END AS note FROM (SELECT *, 'a \"b\", ' || l_returnflag AS l_comment FROM lineitem)",
+)
+def record_tables(spark, sf):
+    """Records written as printed, with their headers, and scanned again as text."""
+    home = f"{checkpoint_dir(spark).rstrip('/')}/records-{uuid.uuid4().hex}"
+    note = F.when(F.col("l_linenumber") != 3, F.concat(F.lit('a "b", '), "l_returnflag")).otherwise(F.lit(""))
+    printed = v.table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("Order"), F.col("l_linenumber").alias("Line"), (F.col("l_quantity").cast("int") * 8).cast("string").alias("Tenor (days)"),
+        F.format_number("l_extendedprice", 2).alias("Submitted Amount"), note.alias("Note"),
+    )
+    printed.write.option("header", True).option("escape", '"').csv(home)
+    rec = landed.record_tables(spark, home)
+    return rec.select(
+        F.col("Order").cast("bigint").alias("l_orderkey"), F.col("Line").cast("int").alias("l_linenumber"), number("Tenor (days)").alias("tenor"),
+        number("Submitted Amount").alias("submitted"), F.coalesce("Note", F.lit("")).alias("note"),
+    )
+
+
+@query("b6_written_catalog", "B6", v.with_ctes("parts", "SELECT series_id, title_en, dataset, family, freq, unit FROM parts"))
+def written_catalog(spark, sf):
+    """The catalog written and read back."""
+    home = f"{checkpoint_dir(spark).rstrip('/')}/catalog-{uuid.uuid4().hex}"
+    publish.write_catalog(v.parts(spark, sf).drop("title_ar"), home)
+    return spark.read.parquet(home).select("series_id", "title_en", "dataset", "family", "freq", "unit")

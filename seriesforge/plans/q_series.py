@@ -256,7 +256,7 @@ def breaks(spark, sf):
 
 
 @query(
-    "l1_large_breaks", "L1 D20",
+    "l1_large_breaks", "L1",
     v.dated(v.with_ctes("obs_parts", """, c AS (SELECT *, lag(value) OVER w AS previous FROM obs_parts
   WINDOW w AS (PARTITION BY series_id ORDER BY period)),
 p AS (SELECT period AS date, round_even((value - previous) / previous * 100, 2) AS pct FROM c WHERE previous <> 0 AND abs((value - previous) / previous * 100) >= 1000)

@@ -48,7 +48,7 @@ def order_fragments(spark, sf):
 
 
 @query(
-    "a3_table_records", "A3 A5 A6 A7 A2 E5 C1 C3",
+    "a3_table_records", "A3 A5 A6 A7 C1 C3",
     v.dated("""SELECT l_orderkey AS doc_id, CAST(l_shipdate AS DATE) AS issued, l_extendedprice AS price,
   CASE WHEN l_linenumber <> 2 THEN l_quantity END AS qty FROM lineitem WHERE l_orderkey % 17 <> 0""", "issued"),
 )
@@ -381,7 +381,7 @@ def grid_quarantine(spark, sf):
 
 
 @query(
-    "e13_grid_catalog", "F6 E13 B6",
+    "e13_grid_catalog", "F6 E13",
     """SELECT DISTINCT 'EG.XL.GDP.SUPPLIER_' || l_suppkey || '.FLAG_' || l_returnflag AS series_id, 'Supplier ' || l_suppkey || ' - Flag ' || l_returnflag AS title_en,
   'بند ' || l_returnflag AS title_ar, 'gdp' AS family, 'EGP million' AS unit, CASE l_suppkey % 5 WHEN 0 THEN 'M' WHEN 1 THEN 'Q' ELSE 'A' END AS freq,
   'Egypt, 1 July to 30 June' AS fiscal_year_basis, 2 AS level FROM lineitem WHERE l_suppkey % 5 < 4""",

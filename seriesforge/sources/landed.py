@@ -30,7 +30,7 @@ def raw_snapshots(spark: SparkSession, path: str) -> DataFrame:
 
 def series_csv(spark: SparkSession, path: str) -> DataFrame:
     """Tidy series files; rows with a missing key or an unreadable value are skipped."""
-    raw = spark.read.schema(schema.OBSERVATION_RAW).option("header", True).csv(path)
+    raw = spark.read.schema(schema.OBSERVATION_RAW).option("header", True).option("escape", '"').csv(path)
     return readable_observations(raw)
 
 
@@ -82,7 +82,7 @@ def explode_pages(docs: DataFrame) -> DataFrame:
 
 def record_tables(spark: SparkSession, path: str) -> DataFrame:
     """Record tables as printed: header names and strings, nothing inferred."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    return spark.read.option("header", True).option("inferSchema", False).option("escape", '"').csv(path)
 
 
 def listing_items(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:

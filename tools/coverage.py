@@ -10,16 +10,16 @@ ROOT = pathlib.Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 
 MODULES = {
-    "A": "sources/landed.py, sources/tables.py, sources/registry.py",
+    "A": "sources/landed.py, sources/tables.py, sources/registry.py, sources/datasets.py",
     "B": "sinks/publish.py",
     "C": "functions/ (numbers, dates, ids, units, text, reading)",
     "D": "operators/quality.py",
     "E": "operators/shape.py, sources/grids.py, sources/tables.py",
     "F": "operators/merge.py",
     "G": "operators/asof.py, operators/index.py, operators/spread.py",
-    "H": "operators/summary.py, operators/index.py",
+    "H": "operators/summary.py, operators/index.py, operators/ordering.py",
     "I": "operators/summary.py, operators/spread.py",
-    "J": "operators/spread.py, operators/events.py, operators/search.py",
+    "J": "operators/ordering.py, operators/spread.py, operators/events.py, operators/search.py",
     "K": "operators/merge.py, operators/statements.py, sinks/publish.py",
     "L": "operators/events.py, operators/ranges.py, operators/asof.py, operators/index.py, operators/summary.py",
     "M": "operators/press.py, operators/statements.py",
@@ -27,7 +27,7 @@ MODULES = {
     "P": "streaming/landing.py",
 }
 UNIT_ONLY = {
-    "A1": "tests/test_sources.py::test_registry",
+    "A2": "tests/test_sources.py::test_landed_files",
     "A10": "tests/test_sources.py::test_landed_files",
     "B2": "tests/test_publish.py::test_records_catalog_and_anomalies",
 }
