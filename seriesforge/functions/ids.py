@@ -143,7 +143,3 @@ def file_extension(url: Column) -> Column:
 
 def is_file_url(url: Column) -> Column:
     return ~(url.startswith("/en/") | url.startswith("/ar/"))
-
-
-def absolute_url(url: Column, site: str) -> Column:
-    return F.when(url.rlike("^https?://"), url).otherwise(F.concat(F.lit(site), url))

@@ -125,10 +125,10 @@ def readable(c: Column, compose: bool = True) -> Column:
     return F.struct(text.alias("text"), share.cast("double").alias("lost"))
 
 
-def indexable(t: Column) -> Column:
-    """Whether one raw token is a term of the index."""
+def indexable(t: Column, least: int = MIN_TERM, most: int | None = MAX_TERM) -> Column:
+    """Whether one raw token is a term of the index; without an upper length where `most` is None."""
     return (
-        F.length(t).between(MIN_TERM, MAX_TERM)
+        (F.length(t) >= least) & (F.lit(True) if most is None else F.length(t) <= most)
         & ~t.isin(stop_words())
         & ~t.rlike(r"^\p{Nd}+$")
     )

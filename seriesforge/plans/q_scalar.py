@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from seriesforge.functions import dates, ids, numbers, reading, text, units
+from seriesforge.functions import dates, ids, numbers, reading, sql, text, units
 from seriesforge.operators import ordering, summary
 from seriesforge.plans import views as v
 from seriesforge.plans.catalog import query
@@ -320,3 +320,25 @@ def against_median(spark, sf):
     top = prices.groupBy("l_partkey").agg(F.max("l_extendedprice").alias("top"))
     m = top.join(ordering.medians(prices, "l_partkey", "l_extendedprice").withColumnRenamed("median", "med"), "l_partkey")
     return m.select("l_partkey", reading.against_median(F.col("top"), F.col("med")).alias("said"))
+
+
+@query(
+    "c_sql_functions", "C1 C3 C7 C10 C13 C29",
+    v.dated("""SELECT l_orderkey, l_linenumber, l_extendedprice AS price, CAST(l_shipdate AS DATE) AS day, CAST(l_shipdate AS DATE) AS text_day,
+  'FY' || (year(l_shipdate) - CASE WHEN month(l_shipdate) >= 7 THEN 0 ELSE 1 END) || '/' || right(CAST(year(l_shipdate) + CASE WHEN month(l_shipdate) >= 7 THEN 1 ELSE 0 END AS VARCHAR), 2) AS fiscal_year,
+  'NATION' || l_linenumber AS key, CASE WHEN l_quantity * 8 BETWEEN 60 AND 120 THEN '3M' WHEN l_quantity * 8 BETWEEN 150 AND 200 THEN '6M' WHEN l_quantity * 8 BETWEEN 240 AND 290 THEN '9M' WHEN l_quantity * 8 BETWEEN 330 AND 400 THEN '12M' END AS tenor
+  FROM lineitem""", "day", "text_day"),
+)
+def sql_functions(spark, sf):
+    """Readings of printed lines by a plain SELECT over the session's SQL functions."""
+    sql.register(spark, only=["number", "period", "period_dmy_text", "fiscal_year", "key_slug", "tenor_bucket"])
+    day = F.col("l_shipdate").cast("date")
+    printed = v.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.format_number("l_extendedprice", 2).alias("price"), F.date_format(day, "d/M/yyyy").alias("day"), F.date_format(day, "d MMMM yyyy").alias("text_day"),
+        F.concat(F.lit("Nation-"), "l_linenumber").alias("name"), (F.col("l_quantity") * 8).cast("int").alias("days"),
+    )
+    return v.iso(spark.sql(
+        """SELECT l_orderkey, l_linenumber, sf_number(price) AS price, sf_period(day) AS day, sf_period_dmy_text(text_day) AS text_day, sf_fiscal_year(sf_period(day)) AS fiscal_year,
+        sf_key_slug(name) AS key, sf_tenor_bucket(days) AS tenor FROM {printed}""",
+        printed=printed,
+    ))

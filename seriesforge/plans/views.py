@@ -20,7 +20,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def text_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table read for its text; `spark.sql.files.minPartitionNum` splits small files."""
+    """A table read for its text."""
     return table(spark, sf, name)
 
 

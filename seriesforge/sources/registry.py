@@ -11,7 +11,6 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from seriesforge.functions.dates import DATE_KINDS
 from seriesforge.operators.shape import Measure
@@ -103,16 +102,3 @@ def specs_frame(spark: SparkSession, datasets: Sequence[Dataset]) -> DataFrame:
         rows,
         "dataset string, shape string, family string, freq string, unit string, panels int, expect_min_rows int",
     )
-
-
-def catalog_frame(obs: DataFrame, d: Dataset, site: str = "") -> DataFrame:
-    """Catalog entries of one dataset from its observations' ids and labels."""
-    return obs.groupBy("series_id").agg(F.min("label").alias("_label"), F.min("unit").alias("unit")).select(
-        "series_id",
-        F.concat(F.lit(d.title_en + " - "), "_label").alias("title_en"),
-        F.lit(d.key).alias("dataset"),
-        F.lit(d.family).alias("family"),
-        F.lit(d.freq).cast("string").alias("freq"),
-        "unit",
-        F.lit(site + d.path).alias("source_url"),
-    )

@@ -127,13 +127,6 @@ def records(rows: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -
     return rows.select("doc_id", *keep, "table_ix", "row_ix", *[named(c) for c in columns])
 
 
-def cell_values(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """(doc_id, table_ix, row_ix, col_ix, name, text) of every data cell."""
-    return rows.select(
-        "doc_id", *keep, "table_ix", "row_ix", "columns", F.posexplode("cells").alias("col_ix", "text")
-    ).select("doc_id", *keep, "table_ix", "row_ix", "col_ix", F.get("columns", F.col("col_ix")).alias("name"), "text")
-
-
 def panel_rows(rows: DataFrame, panels: Sequence[dict]) -> DataFrame:
     """Table i of a response under panel i: adds `pattern`. Tables past the last panel are left out."""
     patterns = F.array(*[F.lit(p["id_pattern"]) for p in panels])

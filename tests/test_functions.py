@@ -1,4 +1,5 @@
 import datetime as dt
+import itertools
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -138,3 +139,20 @@ def test_readings(spark):
     assert one(spark, reading.table_of(F.lit("A - b - c"), F.lit("d"))) == "A"
     assert one(spark, reading.line_of(F.lit("A - b - c"), F.lit("d"))) == "b - c"
     assert one(spark, reading.topic_of(F.lit("govt"))) == "rates"
+
+
+def test_sql_functions_say_what_column_functions_say(spark):
+    from seriesforge.functions import sql
+
+    given = {
+        "string": ["1,234.5", "(3.5)", "٣٫٥", "12/3/2020", "1/1/2020 - 31/1/2020", "Jan - 2020", "Jan 2020", "3 Feb 2021", "Sept.", "Q 2", "a-b, c'd \\ \"e\"", "  Deposits", "EG.FX.USD", "/-/media/a.pdf?x=1", "/en/b", "M", "percent", "fx", "", None],
+        "int": [0, 6, 91, 364, 2020, None], "double": [1.0, -2.5, 0.0, None], "date": [dt.date(2020, 8, 1), dt.date(2021, 2, 3), None],
+    }
+    made = sql.register(spark)
+    assert made == ["sf_" + name for name in sql.FUNCTIONS]
+    for name, (arguments, function) in sql.FUNCTIONS.items():
+        kinds = [a.split()[1] for a in arguments.split(", ")]
+        rows_ = list(itertools.product(*[given[k] for k in kinds]))
+        df = spark.createDataFrame(rows_, arguments)
+        got = df.selectExpr("*", f"sf_{name}({', '.join(df.columns)}) AS got").withColumn("want", function(*[F.col(c) for c in df.columns]))
+        assert got.filter("NOT (got <=> want)").count() == 0, name
