@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,14 @@ def bounded(df: DataFrame, rows: int = 500, size: int = 8 << 20) -> DataFrame:
     return in_batches(df, rows)
 
 
+def release() -> None:
+    """Give a worker's free memory back to the system: between stages it stays alive beside the JVM, holding what it once needed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def utf8(column: str) -> Column:
     """The text as UTF-8 bytes, null as empty."""
     return F.coalesce(F.col(column).cast("string").cast("binary"), F.lit(b""))

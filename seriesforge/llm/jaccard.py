@@ -29,14 +29,14 @@ the others; an empty table gives an empty table; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesforge.llm.common import WORD, bounded, fresh, table, utf8, written
+from seriesforge.llm.common import WORD, bounded, fresh, release, table, utf8, written
 
 WIDTH = 5
 SIMILAR = 75  # per cent
@@ -46,6 +46,7 @@ FLUSH = 2_000_000  # postings gathered before they are sent
 BUCKET = 1_000_000  # postings of an index bucket, about
 DIVISIONS = 2  # of every region by pivots, before what is left of them is joined by blocks
 BLOCK = 1024  # points
+LARGE = 24  # rows of a group, packed or single, after which a worker gives its memory back
 LOW = np.uint64((1 << 40) - 1)
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -112,6 +113,8 @@ def points(docs: DataFrame, width: int) -> DataFrame:
                 held, count = {}, 0
         if len(held) >= HOT_LEAST:
             yield frequent()
+        held.clear()
+        release()
 
     whole = docs.select(F.col("doc_id").cast("long"), row_key(docs).alias("key"), utf8("text").alias("text"))
     return bounded(whole).mapInPandas(run, "kind int, doc_id long, key long, point long, n long")
@@ -121,6 +124,18 @@ def row_key(docs: DataFrame) -> Column:
     return F.xxhash64(docs["doc_id"].cast("long"), utf8("text"))
 
 
+def _released(work: Callable[[pd.DataFrame], pd.DataFrame]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """`work`, and after a large group its memory given back."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        out = work(rows)
+        if len(rows) >= LARGE:
+            release()
+        return out
+
+    return run
+
+
 def _five(h: np.ndarray) -> bytes:
     return np.ascontiguousarray((h & LOW).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
 
@@ -177,6 +192,8 @@ def postings(docs: DataFrame, width: int, bits: int, hot) -> DataFrame:
                 held, count = {}, 0
         if held:
             yield flush()
+        held.clear()
+        release()
 
     whole = docs.select(utf8("text").alias("text"))
     return bounded(whole).mapInPandas(run, "bucket int, ids binary, sizes binary, counts binary, keys binary")
@@ -234,7 +251,7 @@ def shared_shingles(index: DataFrame, parts: int) -> DataFrame:
                 # The top bit sets frequent shingles apart, and no df makes them the last in order.
                 yield deal(-1, points_, sizes, owner, keys | np.uint64(1 << 63), np.full(len(keys), 0xFFFFFFFF, np.uint64))
 
-    rare = index.filter("bucket >= 0").groupBy("bucket").applyInPandas(cold, schema)
+    rare = index.filter("bucket >= 0").groupBy("bucket").applyInPandas(_released(cold), schema)
     return rare.unionByName(index.filter("bucket = -1").mapInPandas(hot, schema))
 
 
@@ -260,7 +277,7 @@ def survivors(shared: DataFrame, similar: int) -> DataFrame:
                 out.append((int(p), int(n), int(n - c), float(central), own.astype("<u8").tobytes()))
         return pd.DataFrame(out, columns=["point", "n", "own", "central", "keys"])
 
-    return shared.groupBy("part").applyInPandas(run, "point long, n long, own long, central double, keys binary")
+    return shared.groupBy("part").applyInPandas(_released(run), "point long, n long, own long, central double, keys binary")
 
 
 def regions(kept: DataFrame, similar: int) -> DataFrame:
@@ -359,7 +376,7 @@ def block_joins(members: DataFrame, kept: DataFrame, similar: int) -> DataFrame:
         "region", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "point", "label"
     )
     whole = met.join(kept.select("point", "n", "keys"), "point")
-    return whole.groupBy("region", "low", "high").applyInPandas(run, "point long, pivot long")
+    return whole.groupBy("region", "low", "high").applyInPandas(_released(run), "point long, pivot long")
 
 
 def linked(kept: DataFrame, similar: int) -> DataFrame:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.llm.common import bounded, fresh, table, utf8, written
+from seriesforge.llm.common import bounded, fresh, release, table, utf8, written
 from seriesforge.llm.jaccard import SIMILAR, shingles
 
 LEADING = 3
@@ -146,6 +146,8 @@ def differing(docs: DataFrame, held: DataFrame, documents: int) -> DataFrame:
                     found, now = Differing(documents), part
                 found.add(doc, templates, lambda text=text: shingles(text))
         yield out(found)
+        found = None
+        release()
 
     def together(rows: pd.DataFrame) -> pd.DataFrame:
         found, t = Differing(documents), rows["template"].iloc[0]
