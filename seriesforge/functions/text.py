@@ -136,7 +136,7 @@ def indexable(t: Column, least: int = MIN_TERM, most: int | None = MAX_TERM) ->
 
 def tokens(folded: Column) -> Column:
     """Array of index terms of folded text, in order."""
-    return F.filter(F.regexp_extract_all(folded, F.lit(TOKEN), F.lit(0)), indexable)
+    return F.filter(F.regexp_extract_all(folded, F.lit(TOKEN), F.lit(0)), lambda t: indexable(t))
 
 
 def clean_markup(c: Column, unescape: bool = True) -> Column:
