@@ -31,9 +31,9 @@ def byte_letters() -> dict[str, int]:
 
 
 class Ids(dict):
-    """Word to its ids, packed as little-endian 16-bit numbers."""
+    """Word to its ids, packed as little-endian 16-bit numbers; at most so many words are kept, about 40 MB."""
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 100_000):
         from tokenizers import Tokenizer
 
         super().__init__()
