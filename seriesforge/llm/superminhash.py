@@ -48,6 +48,7 @@ ERRORS = 6  # standard errors of the signatures' estimate that rule a pair out
 BLOCK = 1024  # points
 CHUNK = 1 << 15  # shingles worked off side by side
 SEEN = 1_000_000  # points that a task remembers
+BROADCAST_ROWS = 2_000_000  # of two 64-bit numbers, 32 MB
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -130,6 +131,9 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             sets = [shingles(t, width) for t in b["text"]]
             yield pd.DataFrame({"point": b["point"], "n": [len(s) for s in sets], "signature": short(signatures(sets)), "shingles": [s.astype("<u8").tobytes() for s in sets]})
 
+    wanted = written(wanted, "wanted")
+    if wanted.count() <= BROADCAST_ROWS:  # then the texts stay where they are; else they are shuffled to their keys
+        wanted = F.broadcast(wanted)
     texts = docs.select(row_key(docs).alias("key"), utf8("text").alias("text")).join(wanted, "key").groupBy("point").agg(F.first("text").alias("text"))
     return bounded(texts).mapInPandas(run, "point long, n long, signature binary, shingles binary")
 
