@@ -75,14 +75,33 @@ def tenor_bucket(days: Column) -> Column:
     return expr
 
 
+def _whole(x: Column) -> Column:
+    """A double rounded to a whole number as C prints it: ties to even. Spark's own `%.0f` rounds them up."""
+    return F.format_string("%.0f", F.rint(x))
+
+
+def _tenths(x: Column) -> Column:
+    """A double rounded to one digit as C prints it: by its exact value, true ties to even.
+
+    Spark's own `%.1f` rounds the shortest decimal that names the double, so 2.55, which is a little
+    less, goes up. Here 20x is held exactly as a sum and its error, and compared with odd numbers.
+    """
+    a, b = x * 16, x * 4
+    s = a + b
+    err = (a - (s - (s - a))) + (b - (s - a))
+    half = s % 2 == 1
+    tenths = F.when(half & (err > 0), (s + 1) / 2).when(half & (err < 0), (s - 1) / 2).otherwise(F.rint(s / 2))
+    return F.format_string("%.1f", tenths / 10)
+
+
 def against_median(latest: Column, median: Column) -> Column:
     """`6.6×` from a ratio of two up, otherwise `n% above` or `n% below`; blank across zero."""
     ratio = latest / F.nullif(median, F.lit(0.0))
-    pct = F.format_string("%.0f", F.abs((ratio - 1) * 100))
+    pct = _whole(F.abs((ratio - 1) * 100))
     return (
         F.when(latest.isNull() | median.isNull() | (median == 0), F.lit(""))
         .when((median > 0) != (latest > 0), F.lit(""))
-        .when(ratio >= 2, F.concat(F.format_string("%.1f", ratio), F.lit("×")))
+        .when(ratio >= 2, F.concat(_tenths(ratio), F.lit("×")))
         .otherwise(F.concat(pct, F.when(ratio >= 1, F.lit("% above")).otherwise(F.lit("% below"))))
     )
 
