@@ -151,8 +151,9 @@ def prefer_source(items: DataFrame, keys: Sequence[str], preference: Sequence[st
 
 
 def bilingual(english: DataFrame, other: DataFrame, key: str, fields: Sequence[str], suffix: str = "_ar") -> DataFrame:
-    """The second language's labels beside the first's."""
-    add = other.select(key, *[F.col(f).alias(f + suffix) for f in fields])
+    """The second language's labels beside the first's; of several rows of a key the largest stands."""
+    one = other.groupBy(key).agg(F.max(F.struct(*[F.col(f) for f in fields])).alias("_one"))
+    add = one.select(key, *[F.col(f"_one.{f}").alias(f + suffix) for f in fields])
     return english.join(add, key, "left")
 
 
