@@ -126,8 +126,9 @@ def preserve_labels(new: DataFrame, old: DataFrame, keys: Sequence[str], fields:
 
 
 def carry_forward(manifest: DataFrame, previous: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
-    """Fields known from the last run filled in by key."""
-    was = previous.select(key, *[F.col(f).alias(f"_old_{f}") for f in fields])
+    """Fields known from the last run filled in by key; of several earlier rows of a key the largest stands."""
+    last = previous.groupBy(key).agg(F.max(F.struct(*[F.col(f) for f in fields])).alias("_was"))
+    was = last.select(key, *[F.col(f"_was.{f}").alias(f"_old_{f}") for f in fields])
     out = manifest.join(was, key, "left")
     for f in fields:
         now = F.col(f) if f in manifest.columns else F.lit(None)
