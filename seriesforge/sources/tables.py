@@ -43,12 +43,12 @@ def html_tables(docs: DataFrame, html: str = "html", doc: str = "doc_id", keep:
     are `col{i}`. A table that does not open with a header row is kept with
     has_header false and no columns.
     """
+    # Marks are rare: a text without them is not rewritten.
+    marked = F.col(html).contains(CELL_MARK) | F.col(html).contains(ROW_MARK)
+    clear = F.when(marked, F.translate(html, CELL_MARK + ROW_MARK, "")).otherwise(F.col(html))
     bodies = (
         docs.filter(~F.col(html).rlike(NO_RESULTS))
-        .select(
-            F.col(doc).alias("doc_id"), *keep,
-            F.posexplode(_all(F.translate(html, CELL_MARK + ROW_MARK, ""), r"(?s)<table[^>]*>(.*?)</table>", 1)).alias("table_ix", "_body"),
-        )
+        .select(F.col(doc).alias("doc_id"), *keep, F.posexplode(_all(clear, r"(?s)<table[^>]*>(.*?)</table>", 1)).alias("table_ix", "_body"))
     )
     grid = F.filter(
         F.transform(
@@ -58,33 +58,34 @@ def html_tables(docs: DataFrame, html: str = "html", doc: str = "doc_id", keep:
         lambda cells: F.size(cells) > 0,
     )
     t = settle(bodies, _grid=grid).drop("_body").filter(F.size("_grid") > 0)
+    is_data = F.transform("_grid", lambda cells: F.exists(cells, lambda c: F.substring(c, 2, 2) != "th"))
     # Tags go and entities are decoded once per table, not per cell.
     joined = F.array_join(F.transform("_grid", lambda cells: F.array_join(cells, CELL_MARK)), ROW_MARK)
-    bare = F.regexp_replace(joined, "<[^>]+>", " ")
-    t = t.withColumn("_text", unescape_entities(bare) if unescape else bare)
-    flat = collapse_space(F.col("_text"))
+    t = settle(t, _is_data=is_data, _bare=F.regexp_replace(joined, "<[^>]+>", " "))
+    first = F.array_position("_is_data", F.lit(True))
+    heads = F.when(first > 0, first - 1).otherwise(F.size("_is_data")).cast("int")
+    # Only headers are spread, so only they keep their tags.
+    spans = F.transform(F.slice("_grid", F.lit(1), heads), lambda cells: F.transform(cells, _span))
+    t = t.select(
+        "doc_id", *keep, "table_ix", "_is_data", heads.alias("_heads"), spans.alias("_spans"),
+        (unescape_entities("_bare") if unescape else F.col("_bare")).alias("_text"),
+    )
     t = settle(
         t,
         _texts=F.transform(
-            F.split(flat, ROW_MARK), lambda r: F.transform(F.split(r, CELL_MARK), lambda x: F.trim(x))
+            F.split(collapse_space(F.col("_text")), ROW_MARK), lambda r: F.transform(F.split(r, CELL_MARK), lambda x: F.trim(x))
         ),
-        _is_data=F.transform("_grid", lambda cells: F.exists(cells, lambda c: F.substring(c, 2, 2) != "th")),
-        _spans=F.transform("_grid", lambda cells: F.transform(cells, _span)),
-    ).drop("_grid", "_text")
-    first = F.array_position("_is_data", F.lit(True))
-    t = settle(
-        t,
-        _heads=F.when(first > 0, first - 1).otherwise(F.size("_is_data")).cast("int"),
-        _data=F.filter("_texts", lambda _r, i: F.get("_is_data", i)),
-    )
+    ).drop("_text")
     head = F.transform(
         F.slice("_texts", F.lit(1), F.col("_heads")),
         lambda cells, r: F.flatten(
             F.transform(cells, lambda text, c: F.array_repeat(text, F.get(F.get("_spans", r), c)))
         ),
     )
-    t = settle(t, _head=head, _width=F.array_max(F.transform("_data", lambda r: F.size(r))))
-    t = settle(t, _depth=F.array_max(F.transform("_head", lambda r: F.size(r))))
+    data = F.filter("_texts", lambda _r, i: F.get("_is_data", i))
+    t = settle(t, _head=head, _data=data).drop("_texts", "_spans", "_is_data")
+    widest = lambda rows: F.array_max(F.transform(rows, lambda r: F.size(r)))
+    t = settle(t, _width=widest("_data"), _depth=widest("_head"))
     names = F.transform(
         F.sequence(F.lit(0), F.coalesce("_width", "_depth", F.lit(1)) - 1),
         lambda i: F.when(i >= F.col("_depth"), F.concat(F.lit("col"), i)).otherwise(
@@ -94,7 +95,7 @@ def html_tables(docs: DataFrame, html: str = "html", doc: str = "doc_id", keep:
             )
         ),
     )
-    pad = lambda r: F.concat(r, F.array_repeat(F.lit(""), F.col("_width") - F.size(r)))
+    pad = lambda r: F.when(F.size(r) < F.col("_width"), F.concat(r, F.array_repeat(F.lit(""), F.col("_width") - F.size(r)))).otherwise(r)
     ok = F.col("_heads") > 0
     return t.select(
         "doc_id", *keep, F.col("table_ix"),
