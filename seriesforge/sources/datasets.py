@@ -69,13 +69,14 @@ def _variants(d: Dataset) -> list[Mapping]:
     return [{"name": x.get("radio", x.get("name")), **x} for x in d.variants] or [{"name": None}]
 
 
-def judged_tables(landed: DataFrame, d: Dataset, unescape: bool = True) -> DataFrame:
-    """Every table of the responses with `status`: read, or why it is left out.
-
-    `landed` has doc_id, variant and html.
-    """
+def parsed_tables(landed: DataFrame, keep: Sequence[str] = (), unescape: bool = True) -> DataFrame:
+    """Every table of the responses (doc_id, variant, html), with `_tables`, how many its response has."""
     counted = landed.withColumn("_tables", F.regexp_count("html", F.lit(r"(?s)<table[^>]*>.*?</table>")))
-    found = html_tables(counted, keep=["variant", "_tables"], unescape=unescape)
+    return html_tables(counted, keep=["variant", *keep, "_tables"], unescape=unescape)
+
+
+def _verdict(d: Dataset) -> Column:
+    """read, or why a parsed table is left out."""
     status = F.when(~F.col("has_header"), F.lit(NO_HEADER))
     if d.shape != "records":
         if d.variants:
@@ -86,7 +87,15 @@ def judged_tables(landed: DataFrame, d: Dataset, unescape: bool = True) -> DataF
         status = F.coalesce(status, F.when(~F.array_contains("columns", d.date_col or ""), F.lit(NO_DATE)))
         if d.shape == "long_by_key":
             status = F.coalesce(status, F.when(~F.array_contains("columns", d.key_col or ""), F.lit(NO_KEY)))
-    return found.withColumn("status", F.coalesce(status, F.lit(READ))).drop("_tables")
+    return F.coalesce(status, F.lit(READ))
+
+
+def judged_tables(landed: DataFrame, d: Dataset, unescape: bool = True) -> DataFrame:
+    """Every table of the responses with `status`: read, or why it is left out.
+
+    `landed` has doc_id, variant and html.
+    """
+    return parsed_tables(landed, unescape=unescape).withColumn("status", _verdict(d)).drop("_tables")
 
 
 def _wide_lines(d: Dataset, panel: Mapping, pattern: str) -> list[Column]:
@@ -114,12 +123,8 @@ def _keyed_lines(d: Dataset, pattern: str) -> list[Column]:
     ]
 
 
-def readings(tables: DataFrame, d: Dataset) -> DataFrame:
-    """(series_id, period, value, ord, unit, label) of every print in the tables that are read.
-
-    One pass: a row explodes to the lines of its own variant and panel, nothing is shuffled.
-    """
-    rows = table_rows(tables.filter(F.col("status") == READ), keep=["variant"])
+def _lines(d: Dataset) -> tuple[Column, Column]:
+    """(rank of the variant, array of the lines) of a row under its own variant and panel."""
     lines, rank = F.array(), F.lit(0)
     for n, variant in enumerate(_variants(d)):
         mine = F.lit(True) if variant["name"] is None else F.col("variant") == variant["name"]
@@ -129,6 +134,16 @@ def readings(tables: DataFrame, d: Dataset) -> DataFrame:
             made = _wide_lines(d, panel, pattern) if d.shape == "wide" else _keyed_lines(d, pattern)
             if made:
                 lines = F.when(mine & (F.col("table_ix") == i), F.array(*made)).otherwise(lines)
+    return rank, lines
+
+
+def readings(tables: DataFrame, d: Dataset) -> DataFrame:
+    """(series_id, period, value, ord, unit, label) of every print in the tables that are read.
+
+    One pass: a row explodes to the lines of its own variant and panel, nothing is shuffled.
+    """
+    rows = table_rows(tables.filter(F.col("status") == READ), keep=["variant"])
+    rank, lines = _lines(d)
     out = (
         rows.select(dates.period(_cell(d.date_col), d.date_kind).alias("period"), F.struct(rank.alias("variant_ix"), "doc_id", "table_ix", "row_ix").alias("ord"), F.explode(lines).alias("_m"))
         .select("_m.series_id", "period", "_m.value", "ord", "_m.unit", "_m.label", "_m.zero_ok")
@@ -139,6 +154,26 @@ def readings(tables: DataFrame, d: Dataset) -> DataFrame:
     return out.drop("zero_ok")
 
 
+def _counts(zero: Column):
+    """Whether a line is a reading: it has a series and a value, and zeros count where they may."""
+    return lambda m: m["value"].isNotNull() & m["series_id"].isNotNull() & (zero | m["zero_ok"] | (m["value"] != 0))
+
+
+def _series_of(tables: DataFrame, datasets: Sequence[Dataset]) -> DataFrame:
+    """(dataset, series): how many series the read tables of each dataset give, all datasets in one pass."""
+    period, found = F.lit(None).cast("date"), F.array().cast("array<string>")
+    for d in datasets:
+        if d.shape == "records":
+            continue
+        _, lines = _lines(d)
+        told = F.filter(lines, _counts(F.lit(not d.zero_is_missing)))
+        mine = F.col("dataset") == d.key
+        period = F.when(mine, dates.period(_cell(d.date_col), d.date_kind)).otherwise(period)
+        found = F.when(mine, F.transform(told, lambda m: m["series_id"])).otherwise(found)
+    rows = table_rows(tables.filter(F.col("status") == READ), keep=["variant", "dataset"]).filter(period.isNotNull())
+    return rows.select("dataset", F.explode(found).alias("series_id")).distinct().groupBy("dataset").agg(F.count(F.lit(1)).alias("series"))
+
+
 EMPTY = {
     "observations": "series_id string, period date, value double",
     "anomalies": "series_id string, period date, kept double, discarded double, dataset string",
@@ -177,8 +212,36 @@ def run_dataset(landed: DataFrame, d: Dataset, site: str = "", unescape: bool =
     return Run(**{**empty, **made}, tables=told, status=status)
 
 
+def judged_registry(landed: DataFrame, datasets: Sequence[Dataset], unescape: bool = True) -> DataFrame:
+    """Every table of every dataset's responses with `dataset` and `status`: each response is parsed once.
+
+    `dataset` is a key, or an array of the keys of all datasets a response belongs to.
+    """
+    found = parsed_tables(landed.select("dataset", "doc_id", "variant", "html"), ["dataset"], unescape)
+    if found.schema["dataset"].dataType.typeName() == "array":
+        found = found.withColumn("dataset", F.explode("dataset"))
+    status = F.lit(None).cast("string")
+    for d in datasets:
+        status = F.when(F.col("dataset") == d.key, _verdict(d)).otherwise(status)
+    return found.withColumn("status", status).filter(F.col("status").isNotNull()).drop("_tables")
+
+
 def run_registry(landed: DataFrame, datasets: Sequence[Dataset], site: str = "", unescape: bool = True) -> Run:
-    """Every declared dataset over its own responses; `landed` has dataset beside doc_id, variant and html."""
-    runs = [run_dataset(landed.filter(F.col("dataset") == d.key), d, site, unescape) for d in datasets]
+    """Every declared dataset over its own responses; `landed` has dataset beside doc_id, variant and html.
+
+    `dataset` is a key, or an array of the keys of all datasets a response belongs to. What was
+    read and why not, and the status, come from one parse of each response for all datasets.
+    """
+    many = landed.schema["dataset"].dataType.typeName() == "array"
+    mine = lambda d: F.array_contains("dataset", d.key) if many else F.col("dataset") == d.key
+    runs = [run_dataset(landed.filter(mine(d)), d, site, unescape) for d in datasets]
     both = lambda name: reduce(lambda a, b: a.unionByName(b), [getattr(r, name) for r in runs])
-    return Run(**{name: both(name) for name in Run.__dataclass_fields__})
+    found = judged_registry(landed, datasets, unescape)
+    told = found.select("dataset", "doc_id", "variant", "table_ix", F.size("rows").alias("rows"), "status")
+    declared = landed.sparkSession.createDataFrame([(d.key, d.expect_min_rows or 0) for d in datasets], "dataset string, _floor long")
+    read = told.groupBy("dataset").agg(F.coalesce(F.sum(F.when(F.col("status") == READ, F.col("rows"))), F.lit(0)).cast("bigint").alias("rows"))
+    zero = lambda n: F.coalesce(n, F.lit(0).cast("bigint"))
+    status = declared.join(read, "dataset", "left").join(_series_of(found, datasets), "dataset", "left").select(
+        "dataset", zero("rows").alias("rows"), zero("series").alias("series"), F.when(zero("rows") < F.col("_floor"), F.lit(SHORT)).otherwise(F.lit(OK)).alias("status")
+    )
+    return Run(**{name: both(name) for name in ("observations", "anomalies", "records", "catalog")}, tables=told, status=status)
