@@ -176,6 +176,29 @@ def interval_join(
     return df.withColumn("_day", F.col(at)).join(covered, "_day").drop("_day")
 
 
+def interval_totals(daily: DataFrame, at: str, value: str, intervals: DataFrame, lo: str, hi: str, last_day: Column, name: str) -> DataFrame:
+    """The intervals that hold a day of `daily`, each with the sum of the whole numbers `value` over its days.
+
+    Running totals along the calendar, at most a row a day, are looked up at both ends of an interval by
+    equality: an interval costs two lookups, however long it is. An open end stops at `last_day`.
+    """
+    days = daily.filter(F.col(at).isNotNull()).groupBy(F.col(at).alias("_day")).agg(F.sum(value).alias("_sum"), F.count(F.lit(1)).alias("_seen"))
+    first, last = days.agg(F.min("_day")).scalar(), days.agg(F.max("_day")).scalar()
+    edges = days.agg(F.min("_day").alias("_a"), F.max("_day").alias("_b")).filter("_a is not null")
+    along = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    calendar = edges.select(F.explode(F.sequence("_a", "_b")).alias("_day"))
+    totals = calendar.join(days, "_day", "left").select(
+        "_day", F.coalesce(F.sum("_sum").over(along), F.lit(0)).alias("_total"), F.sum(F.coalesce("_seen", F.lit(0))).over(along).alias("_days")
+    )
+    end = F.coalesce(F.col(hi), last_day.cast("date"))
+    asked = intervals.filter((F.col(lo) <= end) & (F.col(lo) <= last) & (end >= first)).withColumns({"_from": F.date_sub(lo, 1), "_to": F.least(end, last)})
+    upto = totals.select(F.col("_day").alias("_to"), F.col("_total").alias("_t2"), F.col("_days").alias("_d2"))
+    before = totals.select(F.col("_day").alias("_from"), F.col("_total").alias("_t1"), F.col("_days").alias("_d1"))
+    met = asked.join(upto, "_to").join(before, "_from", "left")
+    zero = F.lit(0).cast("bigint")
+    return met.filter(F.col("_d2") > F.coalesce("_d1", zero)).select(*intervals.columns, (F.col("_t2") - F.coalesce("_t1", zero)).alias(name))
+
+
 def step_daily(obs: DataFrame, until: Column, daily: bool = False) -> DataFrame:
     """A value that holds until changed, as one row per day up to `until`."""
     obs = obs if daily else one_per_day(obs)

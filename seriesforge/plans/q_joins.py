@@ -122,8 +122,8 @@ def interval_join(spark, sf):
     d = v.obs_parts(spark, sf).select("series_id", "period")
     # Readings of a day count together before they meet the intervals.
     daily = d.groupBy("period").agg(F.count(F.lit(1)).alias("_n"))
-    j = asof.interval_join(daily, "period", spans, "lo", "hi", ["span"], F.lit("2001-12-31"))
-    return j.groupBy("span").agg(F.sum("_n").alias("readings"))
+    j = asof.interval_totals(daily, "period", "_n", spans, "lo", "hi", F.lit("2001-12-31"), "_readings")
+    return j.groupBy("span").agg(F.sum("_readings").alias("readings"))
 
 
 @query(
