@@ -64,13 +64,22 @@ def unescape_entities(text: pa.Array) -> pa.Array:
     )
 
 
+def plain_ascii(c: Column) -> Column:
+    return F.length(c) == F.octet_length(c)
+
+
+def composed(c: Column) -> Column:
+    """Compatibility form; ASCII text is in it already and is not sent to Python."""
+    return F.when(plain_ascii(c), c).otherwise(nfkc(F.when(~plain_ascii(c), c)))
+
+
 def collapse_space(c: Column) -> Column:
     return F.regexp_replace(c, SPACES, " ")
 
 
 def fold(c: Column) -> Column:
-    """Search folding after compatibility normalisation."""
-    return fold_shown(F.trim(collapse_space(F.regexp_replace(c, TASHKEEL, ""))))
+    """Search folding after compatibility normalisation; ASCII text has no marks and no letters to fold."""
+    return F.when(plain_ascii(c), F.lower(F.trim(collapse_space(c)))).otherwise(fold_shown(F.trim(collapse_space(F.regexp_replace(c, TASHKEEL, "")))))
 
 
 def shown_form(c: Column) -> Column:
@@ -79,12 +88,13 @@ def shown_form(c: Column) -> Column:
 
 
 def fold_shown(c: Column) -> Column:
-    return F.lower(F.translate(c, FOLD_FROM + ARABIC_INDIC_DIGITS, FOLD_TO + ASCII_DIGITS))
+    # Every letter and digit that is folded stands in the Arabic block.
+    return F.lower(F.when(script_arabic(c), F.translate(c, FOLD_FROM + ARABIC_INDIC_DIGITS, FOLD_TO + ASCII_DIGITS)).otherwise(c))
 
 
 def search_form(c: Column, compose: bool = True) -> Column:
     """Index and query form. `compose=False` leaves out NFKC for text known to be composed."""
-    return fold(nfkc(c) if compose else c)
+    return fold(composed(c) if compose else c)
 
 
 def fold_text(s: str) -> str:
@@ -131,7 +141,7 @@ def indexable(t: Column, least: int = MIN_TERM, most: int | None = MAX_TERM) ->
     return (
         (F.length(t) >= least) & (F.lit(True) if most is None else F.length(t) <= most)
         & ~t.isin(stop_words())
-        & ~t.rlike(r"^\p{Nd}+$")
+        & (t.between("a", "z") | ~t.rlike(r"^\p{Nd}+$"))
     )
 
 

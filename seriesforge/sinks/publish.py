@@ -218,8 +218,10 @@ def build_search_index(
 
 def write_posting_blocks(postings: DataFrame, path: str, documents: int, per_stretch: int = search.STRETCH_DOCUMENTS) -> DataFrame:
     """Postings (term, doc_id, page, tf, shard) as blocks, partitioned by shard and sorted by term; read back from `path`."""
-    blocks = search.posting_blocks(postings, search.stretch_count(documents, per_stretch))
-    blocks.repartitionByRange("shard", "term", "stretch").sortWithinPartitions("shard", "term", "stretch").write.mode("overwrite").partitionBy("shard").option("compression", "zstd").parquet(path)
+    stretches = search.stretch_count(documents, per_stretch)
+    # Dealt by shard and part of the stretches: no sample of the keys, which would work the blocks out twice.
+    part = F.pmod(F.col("stretch"), F.lit(-(-stretches // search.FILE_STRETCHES)))
+    search.posting_blocks(postings, stretches).repartition("shard", part).sortWithinPartitions("shard", "term", "stretch").write.mode("overwrite").partitionBy("shard").option("compression", "zstd").parquet(path)
     return postings.sparkSession.read.parquet(path)
 
 

@@ -3,6 +3,7 @@ import itertools
 import random
 import re
 import time
+from collections import Counter
 
 import pytest
 from conftest import rows
@@ -253,6 +254,29 @@ def test_blocks_give_the_pages_of_a_full_scan_and_stay_closed(spark, tmp_path):
     assert "PartitionFilters: [" in plan and "In(term, [alpha,beta])" in plan
 
 
+def test_pages_are_counted_inside_their_rows(spark, tmp_path):
+    """A page may come in several rows, of any key; texts are shuffled by page, tokens are not, and blocks need no sample of their keys."""
+    said = [
+        (1, 1, "Bank bank 2024 a2024 ٢٠٢٤ ۱۲ x"), (1, 1, "bank إجمالى"), (2, 1, None), (2, 2, ""), (2, 3, "the a 12"), (None, 1, "note note"), (None, 1, "note"),
+        (3, None, "ﬁne ﬁne fine"), (4, 1, "é" * 28 + " " + "z" * 28 + " " + "z" * 29), (5, 1, "İSTANBUL ratio\u2003Ratio"), (5, 2, "إِجمالى اجمالي أجمالى"),
+    ]
+    p = spark.createDataFrame(said, "doc_id long, page int, text string")
+    want = Counter()
+    for doc, page, t in said:
+        for w in re.findall(text.TOKEN, text.fold_text(t or "")):
+            if 2 <= len(w) <= 28 and w not in text.stop_words() and not w.isdecimal():
+                want[w, doc, page] += 1
+    counted = search.term_counts(p, text.search_form(F.col("text")))
+    assert Counter({(r["term"], r["doc_id"], r["page"]): r["tf"] for r in counted.collect()}) == want and counted.count() == len(want)
+    assert rows(search.term_counts(p, text.search_form(F.col("text")), tf_cap=2).filter("term = 'note'"), "tf") == [(2,)]
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc_id" in plan
+    assert plan.split("Initial Plan")[0].count("hashpartitioning(term") == 1  # of pages in several rows alone
+    blocks = search.posting_blocks(search.index_postings(p, text.search_form(F.col("text"))), 4)
+    grouped = blocks._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [term" in grouped and "Aggregate [shard" not in grouped
+
+
 def test_trigrams_find_what_a_scan_finds(spark, tmp_path):
     rng = random.Random(6)
     texts = ["".join(rng.choices("abc ", k=rng.randint(0, 40))) for _ in range(300)] + ["بنك مصر المركزى", "", None, "ab"]
