@@ -82,14 +82,16 @@ def period(raw: Column | str, kind: str | None = None) -> Column:
 def month_token(v: Column | str) -> Column:
     """Month number of a header cell, whatever punctuation it carries."""
     c = F.col(v) if isinstance(v, str) else v
-    return _lookup(_month_spellings())[F.lower(F.regexp_replace(c, "[^A-Za-z]", ""))]
+    # A cell without letters, as most figures are, is not looked up.
+    return F.when(F.lower(c) != F.upper(c), _lookup(_month_spellings())[F.lower(F.regexp_replace(c, "[^A-Za-z]", ""))])
 
 
 def year_token(v: Column | str, compat: bool = False) -> Column:
     """First 19xx/20xx in the cell. Digit boundaries are required unless `compat`."""
     c = F.col(v) if isinstance(v, str) else v
     p = r"((?:19|20)\d{2})" if compat else r"(?<!\d)((?:19|20)\d{2})(?!\d)"
-    return F.regexp_extract(ascii_digits(c), p, 1).try_cast("int")
+    s = ascii_digits(c)
+    return F.when(s.contains("19") | s.contains("20"), F.regexp_extract(s, p, 1).try_cast("int"))
 
 
 def fiscal_token(v: Column | str) -> Column:
@@ -102,14 +104,14 @@ def fiscal_token(v: Column | str) -> Column:
     end = F.when(F.length(tail) == 4, tail.try_cast("int")).otherwise(start + 1)
     label = F.concat(F.lit("FY"), start, F.lit("/"), F.substring(end.cast("string"), 3, 2))
     return F.when(
-        start.isNotNull() & (end >= start) & (end - start <= 1),
+        c.contains("/") & start.isNotNull() & (end >= start) & (end - start <= 1),
         F.struct(end.alias("end_year"), label.alias("label")),
     )
 
 
 def quarter_token(v: Column | str) -> Column:
     c = F.col(v) if isinstance(v, str) else v
-    return F.regexp_extract(ascii_digits(c), r"(?i)^\s*Q\s*([1-4])\s*$", 1).try_cast("int")
+    return F.when(c.contains("Q") | c.contains("q"), F.regexp_extract(ascii_digits(c), r"(?i)^\s*Q\s*([1-4])\s*$", 1).try_cast("int"))
 
 
 def month_end(y: Column, m: Column) -> Column:

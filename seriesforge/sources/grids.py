@@ -60,6 +60,11 @@ def _tokens(compat: bool) -> dict[str, Column]:
     }
 
 
+def with_tokens(cells: DataFrame, compat: bool = False) -> DataFrame:
+    """Cells with what each says as a header, `month`, `quarter`, `fiscal_year` and `year`, unless they hold it already."""
+    return cells if set(LAYOUTS) <= set(cells.columns) else cells.withColumns(_tokens(compat))
+
+
 def _choose(hits: dict[str, Column], rows: dict[str, Column]) -> tuple[Column, Column, Column]:
     """(strategy, row, reason) from the best row of each detector.
 
@@ -85,13 +90,12 @@ def header_rows(cells: DataFrame, compat: bool = False) -> DataFrame:
     A sheet of any height: tokens are counted by row, and the best row of each kind is taken by
     file, both with partial aggregation. Most hits win; the earliest row on a tie.
     """
-    tokens = _tokens(compat)
-    by_row = cells.groupBy("file_id", "r").agg(*[F.count(c).alias(n) for n, c in tokens.items()])
+    by_row = with_tokens(cells, compat).groupBy("file_id", "r").agg(*[F.count(n).alias(n) for n in LAYOUTS])
     best = by_row.groupBy("file_id").agg(
-        *[F.max(F.struct(F.col(n).alias("hits"), (-F.col("r")).alias("up"))).alias(n) for n in tokens]
+        *[F.max(F.struct(F.col(n).alias("hits"), (-F.col("r")).alias("up"))).alias(n) for n in LAYOUTS]
     )
     strategy, row, reason = _choose(
-        {n: F.col(f"{n}.hits") for n in tokens}, {n: -F.col(f"{n}.up") for n in tokens}
+        {n: F.col(f"{n}.hits") for n in LAYOUTS}, {n: -F.col(f"{n}.up") for n in LAYOUTS}
     )
     return best.select("file_id", strategy.alias("strategy"), row.alias("period_row"), reason.alias("reason"))
 
@@ -157,10 +161,9 @@ def column_periods(cells: DataFrame, found: DataFrame, compat: bool = False) ->
     `found` is `header_rows` with `frequency`. Header cells are looked up by (file, row), years by
     (file, column); the only window runs along the columns of a header.
     """
-    tokens = _tokens(compat)
-    marked = cells.select("file_id", "r", "c", *[c.alias(n) for n, c in tokens.items()])
+    marked = with_tokens(cells, compat).select("file_id", "r", "c", *LAYOUTS)
     usable = found.filter("strategy is not null").select("file_id", "strategy", "frequency", "period_row", F.col("period_row").alias("r"))
-    own = F.coalesce(*[F.when((F.col("strategy") == n) & F.col(n).isNotNull(), F.lit(True)) for n in tokens])
+    own = F.coalesce(*[F.when((F.col("strategy") == n) & F.col(n).isNotNull(), F.lit(True)) for n in LAYOUTS])
     head = marked.join(usable, ["file_id", "r"]).filter(own).drop("r")
     years = marked.filter("year is not null").select("file_id", "r", "c", "year")
     printed = _month_years(head, years).unionByName(_quarter_years(head, years)).groupBy("file_id", "c").agg(F.max("year_row").alias("year_row"), F.max("printed").alias("printed"))
@@ -224,7 +227,8 @@ def melt(cells: DataFrame, files: DataFrame, prefix: str = "EG.XL", compat: bool
     labels by (file, row), so a cell carries its own two facts only. The quarantine has one row a
     file without observations, with the facts of the file and the reason.
     """
-    cells = stored(cells.select("file_id", "r", "c", "v", "is_text"), "cells")
+    # What a cell says as a header is read in several steps, so it is worked out once and kept beside the cell.
+    cells = stored(with_tokens(cells.select("file_id", "r", "c", "v", "is_text"), compat), "cells")
     known = files.withColumn("frequency", F.coalesce("frequency", F.lit("Monthly")))
     found = stored(header_rows(cells, compat).join(known.select("file_id", "frequency"), "file_id"), "headers")
     periods = stored(column_periods(cells, found, compat), "periods")

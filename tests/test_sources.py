@@ -153,6 +153,19 @@ def test_header_and_labels_anywhere_in_a_tall_sheet(spark):
     assert bad.count() == 0
 
 
+def test_header_words_of_a_cell_are_worked_out_once(spark, monkeypatch):
+    worked, tokens = [], grids._tokens
+    monkeypatch.setattr(grids, "_tokens", lambda compat: worked.append(compat) or tokens(compat))
+    obs, _ = grids.melt(grid(spark, fy=SHEETS["fy"]), files(spark, fy="Annual"))
+    assert obs.count() == 2 and worked == [False]
+    said = ["Sept.", "٢٠٠٤/٢٠٠٥", "2004/05", "12,345.67", "q ٣", "Q5", "1999.5", "السنة", "é", "FY 2010", "1 999", "", None]
+    got = grids.with_tokens(spark.createDataFrame([(v,) for v in said], "v string")).select("month", "quarter", "fiscal_year.label", "year").collect()
+    assert [tuple(r) for r in got] == [
+        (9, None, None, None), (None, None, "FY2004/05", 2004), (None, None, "FY2004/05", 2004), (None, None, None, None), (None, 3, None, None), (None, None, None, None),
+        (None, None, None, 1999), (None,) * 4, (None,) * 4, (None, None, None, 2010), (None,) * 4, (None,) * 4, (None,) * 4,
+    ]
+
+
 @pytest.mark.parametrize("partitions", ["4", "16"])
 def test_quarantine_has_the_facts_of_one_bad_sheet(spark, partitions):
     was = spark.conf.get("spark.sql.shuffle.partitions")
