@@ -32,20 +32,22 @@ def changes(obs: DataFrame, daily: bool = False) -> DataFrame:
     )
 
 
-def summarise(obs: DataFrame, catalog: DataFrame | None = None, as_of: Column | None = None, annual_stale: bool = False) -> DataFrame:
+def summarise(obs: DataFrame, catalog: DataFrame | None = None, as_of: Column | None = None, annual_stale: bool = False, daily: bool = False) -> DataFrame:
     """One row per series: coverage, latest, extremes, median, biggest move, flags.
 
     Two shuffles: (series_id, period) with partial aggregation, which bounds a series
     to one row per day and counts duplicate prints, then series_id for the window
     and the aggregation together. A repeated period counts once, by its largest
-    print, and is reported in the flags.
+    print, and is reported in the flags. `daily` says that no period is repeated:
+    then a task does not hold its days a second time to count them.
     """
-    daily = obs.groupBy("series_id", "period").agg(
-        F.max("value").alias("value"), F.count(F.lit(1)).alias("times"),
-        F.count_if(F.col("value") == 0).alias("_zeros"),
-    )
+    zero = F.col("value") == 0
+    if daily:
+        days = obs.select("series_id", "period", "value", F.lit(1).cast("bigint").alias("times"), F.when(zero, 1).otherwise(0).cast("bigint").alias("_zeros"))
+    else:
+        days = obs.groupBy("series_id", "period").agg(F.max("value").alias("value"), F.count(F.lit(1)).alias("times"), F.count_if(zero).alias("_zeros"))
     day = day_number("period")
-    moved = daily.withColumn("_prev", F.lag("value").over(by_series())).withColumn(
+    moved = days.withColumn("_prev", F.lag("value").over(by_series())).withColumn(
         "_move",
         F.when(
             F.col("_prev") != 0,

@@ -50,12 +50,12 @@ def with_summary(obs: str, tail: str, extra: str = "") -> str:
 
 @query("h1_series_summary", "H1 H2 A9 D9", v.dated(with_summary("obs_orders", f"SELECT {', '.join(SUMMARY_COLS)} FROM summary"), *SUMMARY_DATES))
 def series_summary(spark, sf):
-    return v.iso(summary.summarise(v.obs_orders(spark, sf)).select(*SUMMARY_COLS))
+    return v.iso(summary.summarise(v.obs_orders(spark, sf), daily=True).select(*SUMMARY_COLS))
 
 
 @query("h1_many_series_summary", "H1 H2", v.dated(with_summary("obs_parts", f"SELECT {', '.join(SUMMARY_COLS)} FROM summary"), *SUMMARY_DATES))
 def many_series_summary(spark, sf):
-    return v.iso(summary.summarise(v.obs_parts(spark, sf)).select(*SUMMARY_COLS))
+    return v.iso(summary.summarise(v.obs_parts(spark, sf), daily=True).select(*SUMMARY_COLS))
 
 
 @query(
@@ -63,7 +63,7 @@ def many_series_summary(spark, sf):
     v.dated(with_summary("obs_orders", "SELECT series_id, move_period, move_change, move_abs_pct, move_pct FROM big"), "move_period"),
 )
 def biggest_move(spark, sf):
-    out = summary.summarise(v.obs_orders(spark, sf))
+    out = summary.summarise(v.obs_orders(spark, sf), daily=True)
     return v.iso(out.select("series_id", "move_period", "move_change", "move_abs_pct", "move_pct"))
 
 
@@ -92,7 +92,7 @@ def density(spark, sf):
 SELECT topic, count(*) AS series, CAST(sum(n) AS BIGINT) AS observations FROM placed GROUP BY 1""", "parts"),
 )
 def topic_counts(spark, sf):
-    s = summary.summarise(v.obs_parts(spark, sf), v.parts(spark, sf))
+    s = summary.summarise(v.obs_parts(spark, sf), v.parts(spark, sf), daily=True)
     return index.topic_counts(index.with_place(s))
 
 
@@ -328,7 +328,7 @@ SELECT series_id, concat_ws(',', CASE WHEN 1 < years AND per_year >= 4 THEN '1y'
   'all', CASE WHEN year(last_period) >= 2001 AND per_year >= 4 THEN 'ytd' END) AS ranges FROM p"""),
 )
 def offered_ranges(spark, sf):
-    s = summary.summarise(v.obs_parts(spark, sf), v.parts(spark, sf))
+    s = summary.summarise(v.obs_parts(spark, sf), v.parts(spark, sf), daily=True)
     return ranges.offered_ranges(s, as_of()).select("series_id", F.array_join("ranges", ",").alias("ranges"))
 
 
@@ -344,7 +344,7 @@ GAUGE_SQL = "CASE WHEN highest <> lowest THEN greatest(0.0::DOUBLE, least(1.0::D
 def gauge(spark, sf):
     from seriesforge.functions.reading import against_median
 
-    s = summary.gauge(summary.summarise(v.obs_parts(spark, sf)))
+    s = summary.gauge(summary.summarise(v.obs_parts(spark, sf), daily=True))
     text = against_median(F.col("last"), F.col("median"))
     side = F.when(text.endswith("×"), "many times").when(text.endswith("above"), "above").when(text.endswith("below"), "below").otherwise("")
     return s.select("series_id", "gauge", "gauge_median", side.alias("side"))
@@ -356,7 +356,7 @@ def gauge(spark, sf):
 FROM summary s LEFT JOIN parts p USING (series_id)""", "parts"),
 )
 def readable_move(spark, sf):
-    s = summary.summarise(v.obs_parts(spark, sf), v.parts(spark, sf))
+    s = summary.summarise(v.obs_parts(spark, sf), v.parts(spark, sf), daily=True)
     return summary.readable_move(s).select("series_id", "move_change", "shown_pct")
 
 
@@ -371,7 +371,7 @@ HEADLINES = [("Urgent", ["ORD.1", "ORD.2"]), ("Rest", ["ORD.3", "ORD.5"])]
   {GAUGE_SQL.format(x='median')} AS gauge_median, last_period AS as_of FROM summary WHERE series_id IN ('ORD.1', 'ORD.2', 'ORD.3', 'ORD.5')"""), "as_of"),
 )
 def headline_table(spark, sf):
-    return v.iso(index.headline(summary.summarise(v.obs_orders(spark, sf)), HEADLINES))
+    return v.iso(index.headline(summary.summarise(v.obs_orders(spark, sf), daily=True), HEADLINES))
 
 
 PLACED_SQL = """, placed AS (SELECT s.*, p.title_en, p.freq, p.unit, p.family, substr(p.title_en, 1, instr(p.title_en, ' - ') - 1) AS "table",
@@ -381,7 +381,7 @@ PLACED_SQL = """, placed AS (SELECT s.*, p.title_en, p.freq, p.unit, p.family, s
 
 
 def _placed(spark, sf):
-    return index.with_place(summary.summarise(v.obs_parts(spark, sf), v.parts(spark, sf), as_of()))
+    return index.with_place(summary.summarise(v.obs_parts(spark, sf), v.parts(spark, sf), as_of(), daily=True))
 
 
 @query(
@@ -467,7 +467,7 @@ def flag_numbers(spark, sf):
 UNION ALL SELECT 1, series_id, '| `' || series_id || '` | ' || first_period || ' to ' || last_period || ' | ' || format('{:,}', n) FROM summary"""),
 )
 def coverage_report(spark, sf):
-    rows = publish.coverage_rows(summary.summarise(v.obs_orders(spark, sf)))
+    rows = publish.coverage_rows(summary.summarise(v.obs_orders(spark, sf), daily=True))
     short = F.when(F.col("section") == 1, F.regexp_extract("line", r"^(\|[^|]*\|[^|]*\|[^|]*?) \|", 1)).otherwise(F.col("line"))
     return rows.select("section", "series_id", short.alias("line"))
 
@@ -478,7 +478,7 @@ def coverage_report(spark, sf):
   (SELECT count(*) FROM obs_parts) AS observations, (SELECT count(*) FROM documents) AS documents"""),
 )
 def status(spark, sf):
-    s = summary.summarise(v.obs_parts(spark, sf))
+    s = summary.summarise(v.obs_parts(spark, sf), daily=True)
     return publish.status_row(s, v.table(spark, sf, "documents"), F.lit(v.AS_OF), F.lit(None)).drop("last_scrape")
 
 
@@ -667,7 +667,7 @@ def topic_filter(spark, sf):
 WHERE date_diff('day', last_period, DATE '{v.AS_OF}') > CASE freq WHEN 'D' THEN 21 WHEN 'M' THEN 75 WHEN 'Q' THEN 200 WHEN 'A' THEN 500 END""", "parts"),
 )
 def stale_series(spark, sf):
-    s = summary.summarise(v.obs_parts(spark, sf), v.parts(spark, sf))
+    s = summary.summarise(v.obs_parts(spark, sf), v.parts(spark, sf), daily=True)
     return quality.stale_series(s, as_of(), annual=True).select("series_id", "freq", "stale_days")
 
 
@@ -701,7 +701,7 @@ def compare_two(spark, sf):
     with_summary("obs_parts", "SELECT series_id, n, last FROM summary ORDER BY n DESC, series_id LIMIT 100"),
 )
 def top_series(spark, sf):
-    s = summary.summarise(v.obs_parts(spark, sf))
+    s = summary.summarise(v.obs_parts(spark, sf), daily=True)
     return s.select("series_id", "n", "last").orderBy(F.desc("n"), "series_id").limit(100)
 
 

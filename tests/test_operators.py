@@ -31,6 +31,14 @@ def test_summary_ties_zeros_and_single_points(spark):
     assert (s["N"]["move_abs_pct"], s["N"]["move_change"]) == (50.0, 2.0)
 
 
+def test_summary_of_days_does_not_group_them_again(spark):
+    o = obs(spark, A=[(0, 1), (1, 5), (2, 5), (3, 0), (4, 2)], B=[(0, 7)], C=[(0, 0), (1, 0), (2, 3)]).unionByName(spark.createDataFrame([("A", D(2021, 1, 1), None), ("Z", D(2021, 1, 1), None)], SCHEMA))
+    plain, once = summary.summarise(o), summary.summarise(o, daily=True)
+    assert once.dtypes == plain.dtypes and rows(once) == rows(plain)
+    grouped = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [series_id")
+    assert (grouped(plain), grouped(once)) == (2, 1)
+
+
 def test_summary_duplicates_staleness_and_prose(spark):
     o = obs(spark, A=[(0, 1), (0, 2), (1, 3), (2, 0), (3, 4)])
     cat = spark.createDataFrame([("A", "T", "D", "percent")], "series_id string, title_en string, freq string, unit string")
