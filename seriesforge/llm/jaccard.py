@@ -3,8 +3,13 @@
 Jaccard distance is a metric. The join works on distinct shingle sets (documents of equal sets
 are one point) and never lists the pairs of a group:
 
-1. An inverted index in packed form finds for each point its shingles that another point has.
-   A point with less than the wanted share of such shingles has no partner and is done.
+1. One shingle in `SAMPLE`, chosen by its hash, goes through a packed index that tells which of them
+   another row has. A linked point lacks at most a quarter of its shingles in its partner, so a point
+   with more sampled shingles of its own than that has no partner and is done. The index names a
+   point by its place in a stretch of the input, about a byte for a posting however many buckets
+   there are; equal sets of different stretches keep each other, which the next step mends.
+   The points that are left have their texts read again. An inverted index of all their shingles
+   finds for each those that another point has, and drops it if they are less than the wanted share.
 2. The rest is ordered rarest shingle first. Two points within the radius share a shingle among
    the first few of either, so each such shingle opens a region; regions of equal membership are
    one region.
@@ -14,7 +19,9 @@ are one point) and never lists the pairs of a group:
    radius: such boundary points are replicated into the pivot's region, all other points go to
    the region of those far from every pivot. Regions whose points are already connected are
    done, the others are divided again with more pivots. What is left after `DIVISIONS` divisions is
-   joined in blocks of `BLOCK` points, each pair of a region's blocks through an index of its own.
+   joined in blocks of `BLOCK` points. Counts of shingles in `CELLS` cells bound what two sets can
+   share; only points that have a possible partner by that bound meet with their shingles, each pair
+   of a region's blocks through an index of its own.
 
 Shingles that a large share of documents has are found first, a list whose length is bounded by
 the mean set size over that share; they come last in the order and are not sent through the
@@ -29,6 +36,7 @@ the others; an empty table gives an empty table; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -42,6 +50,9 @@ WIDTH = 5
 SIMILAR = 75  # per cent
 HOT_SHARE = 0.0025
 HOT_LEAST = 8
+SAMPLE = 3  # one shingle in so many goes through the first index
+CELLS = 256  # that bound the overlap of two sets
+BROADCAST_ROWS = 2_000_000  # of two 64-bit numbers, 32 MB
 FLUSH = 2_000_000  # postings gathered before they are sent
 BUCKET = 1_000_000  # postings of an index bucket, about
 DIVISIONS = 2  # of every region by pivots, before what is left of them is joined by blocks
@@ -146,10 +157,108 @@ def _from_five(b: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def _steps(ascending: np.ndarray) -> bytes:
+    """Ascending numbers as the bytes of their differences; a byte of 255 says that the difference goes on in the next."""
+    more, rest = np.divmod(np.diff(ascending, prepend=0), 255)
+    ends = np.cumsum(more + 1)
+    out = np.full(ends[-1] if len(ends) else 0, 255, np.uint8)
+    out[ends - 1] = rest
+    return out.tobytes()
+
+
+def _from_steps(b: bytes) -> np.ndarray:
+    step = np.frombuffer(b, np.uint8)
+    return np.cumsum(step, dtype=np.int64)[step < 255]
+
+
+def bucket_bits(count: int) -> int:
+    return min(22, max(4, count // BUCKET).bit_length())
+
+
+def sampled_postings(docs: DataFrame, width: int, similar: int, bits: int, hot) -> DataFrame:
+    """(bucket, stretch, owners, keys, sent, ids, least): sampled shingles of a stretch of the input by bucket, 32 bits of each, frequent ones left out.
+
+    A row of a bucket below 0 is the list of a stretch: its points, and of each how many sampled shingles others must have.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        frequent = hot.value
+        held: dict[int, np.ndarray] = {}
+        spare: list[int] = []
+        count = 0
+
+        def flush():
+            ids = np.fromiter(held, "<i8", len(held))
+            # The same wherever and whenever it is computed.
+            stretch = int.from_bytes(hashlib.blake2b(ids.tobytes(), digest_size=8).digest(), "little", signed=True)
+            h = np.concatenate(list(held.values()))
+            owner = np.repeat(np.arange(len(ids)), [len(s) for s in held.values()])
+            rare = ~np.isin(h, frequent)
+            h, owner = h[rare], owner[rare]
+            least = np.maximum(0, np.bincount(owner, minlength=len(ids)) - np.array(spare))
+            out = [(-1 - stretch % (1 << bits), stretch, b"", b"", -len(h), ids.tobytes(), least.astype("<u4").tobytes())]
+            bucket = (h >> np.uint64(64 - bits)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            h, owner, bucket = h[order], owner[order], bucket[order]
+            cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
+            for lo, hi in zip(cuts, cuts[1:]):
+                out.append((int(bucket[lo]), stretch, _steps(owner[lo:hi]), h[lo:hi].astype("<u4").tobytes(), int(hi - lo), None, None))
+            return pd.DataFrame(out, columns=["bucket", "stretch", "owners", "keys", "sent", "ids", "least"])
+
+        for b in batches:
+            for t in b["text"]:
+                s = shingles(t, width)
+                if len(s):
+                    p = point_of(s)
+                    if p not in held:
+                        held[p] = s[s % np.uint64(SAMPLE) == 0]
+                        spare.append(len(s) - -(-similar * len(s) // 100))
+                        count += len(held[p])
+            if count >= FLUSH:
+                yield flush()
+                held, spare, count = {}, [], 0
+        if held:
+            yield flush()
+        held.clear()
+        release()
+
+    whole = docs.select(utf8("text").alias("text"))
+    return bounded(whole).mapInPandas(run, "bucket int, stretch long, owners binary, keys binary, sent long, ids binary, least binary")
+
+
+def candidates(docs: DataFrame, width: int, similar: int, bits: int, hot) -> DataFrame:
+    """(point): those with so few sampled shingles of their own that they may have a partner."""
+
+    def met(pdf: pd.DataFrame) -> pd.DataFrame:
+        if pdf["bucket"].iloc[0] < 0:
+            return pdf[["stretch", "owners", "sent", "ids", "least"]]
+        owners = [_from_steps(x) for x in pdf["owners"]]
+        key = np.concatenate([np.frombuffer(x, "<u4") for x in pdf["keys"]])
+        _, inverse, n = np.unique(key, return_inverse=True, return_counts=True)
+        parts = np.split(n[inverse] > 1, np.cumsum([len(o) for o in owners])[:-1])
+        told = pdf[["stretch", "sent"]].copy()
+        told["owners"] = [_steps(o[m]) for o, m in zip(owners, parts)]
+        told["ids"] = told["least"] = None
+        return told[["stretch", "owners", "sent", "ids", "least"]]
+
+    def enough(pdf: pd.DataFrame) -> pd.DataFrame:
+        lists = pdf[pdf["ids"].notna()]
+        if not len(lists):
+            return pd.DataFrame({"point": np.zeros(0, np.int64)})
+        ids, least = np.frombuffer(lists["ids"].iloc[0], "<i8"), np.frombuffer(lists["least"].iloc[0], "<u4")
+        shared = np.bincount(np.concatenate([_from_steps(x) for x in pdf["owners"]]), minlength=len(ids))
+        # A list counts what it sent below 0. Should a task that ran again have cut its input otherwise, no point of it is dropped.
+        return pd.DataFrame({"point": ids[(shared >= least) | (pdf["sent"].sum() != 0)]})
+
+    schema = "stretch long, owners binary, sent long, ids binary, least binary"
+    told = sampled_postings(docs, width, similar, bits, hot).groupBy("bucket").applyInPandas(_released(met), schema)
+    return told.groupBy("stretch").applyInPandas(_released(enough), "point long").distinct()
+
+
 def postings(docs: DataFrame, width: int, bits: int, hot) -> DataFrame:
     """Packed index: rows of a bucket hold points, their set sizes, numbers of postings, and 40 bits of each shingle.
 
-    Bucket -1 holds the frequent shingles of each point, whole.
+    Buckets below 0 hold the frequent shingles of each point, whole.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -169,7 +278,7 @@ def postings(docs: DataFrame, width: int, bits: int, hot) -> DataFrame:
                 at, n = np.unique(o, return_counts=True)
                 out.append((bucket, ids[at].astype("<i8").tobytes(), sizes[at].astype("<u4").tobytes(), n.astype("<u4").tobytes(), keys))
 
-            row(-1, owner[common], h[common].astype("<u8").tobytes())
+            row(-1 - int(ids[0]) % (1 << bits), owner[common], h[common].astype("<u8").tobytes())
             h, owner = h[~common], owner[~common]
             bucket = (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
             order = np.argsort(bucket, kind="stable")
@@ -227,8 +336,10 @@ def shared_shingles(index: DataFrame, parts: int) -> DataFrame:
 
     schema = "part int, ids binary, sizes binary, counts binary, keys binary, df binary"
 
-    def cold(pdf: pd.DataFrame) -> pd.DataFrame:
+    def found(pdf: pd.DataFrame) -> pd.DataFrame:
         bucket = int(pdf["bucket"].iloc[0])
+        if bucket < 0:
+            return pd.concat([frequent(pdf.iloc[k : k + 1]) for k in range(len(pdf))])
         points_, sizes, owner = _rows(pdf)
         keys = np.concatenate([_from_five(x) for x in pdf["keys"]])
         order = np.lexsort((owner, keys))
@@ -243,20 +354,17 @@ def shared_shingles(index: DataFrame, parts: int) -> DataFrame:
         keys = (keys | (np.uint64(bucket) << np.uint64(40)))[many]
         return deal(bucket, points_, sizes, owner[many], keys, df[many])
 
-    def hot(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for k in range(len(b)):
-                points_, sizes, owner = _rows(b.iloc[k : k + 1])
-                keys = np.frombuffer(b["keys"].iloc[k], "<u8")
-                # The top bit sets frequent shingles apart, and no df makes them the last in order.
-                yield deal(-1, points_, sizes, owner, keys | np.uint64(1 << 63), np.full(len(keys), 0xFFFFFFFF, np.uint64))
+    def frequent(row: pd.DataFrame) -> pd.DataFrame:
+        points_, sizes, owner = _rows(row)
+        keys = np.frombuffer(row["keys"].iloc[0], "<u8")
+        # The top bit sets frequent shingles apart, and no df makes them the last in order.
+        return deal(-1, points_, sizes, owner, keys | np.uint64(1 << 63), np.full(len(keys), 0xFFFFFFFF, np.uint64))
 
-    rare = index.filter("bucket >= 0").groupBy("bucket").applyInPandas(_released(cold), schema)
-    return rare.unionByName(index.filter("bucket = -1").mapInPandas(hot, schema))
+    return index.groupBy("bucket").applyInPandas(_released(found), schema)
 
 
 def survivors(shared: DataFrame, similar: int) -> DataFrame:
-    """(point, n, own, central, keys): points with enough shared shingles, keys rarest first; own counts the others."""
+    """(point, n, own, central, keys, cells): points with enough shared shingles, keys rarest first; own counts the others."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         points_, sizes, owner = _rows(pdf)
@@ -274,25 +382,27 @@ def survivors(shared: DataFrame, similar: int) -> DataFrame:
             if 100 * c >= similar * n:
                 own = keys[bounds[i] : bounds[i + 1]]
                 central = c / n + np.log2(df[bounds[i] : bounds[i + 1]].astype(float)).mean() / 64
-                out.append((int(p), int(n), int(n - c), float(central), own.astype("<u8").tobytes()))
-        return pd.DataFrame(out, columns=["point", "n", "own", "central", "keys"])
+                cells = np.bincount((own * MULTIPLIER >> np.uint64(56)).astype(np.int64), minlength=CELLS)
+                out.append((int(p), int(n), int(n - c), float(central), own.astype("<u8").tobytes(), np.minimum(cells, 255).astype(np.uint8).tobytes()))
+        return pd.DataFrame(out, columns=["point", "n", "own", "central", "keys", "cells"])
 
-    return shared.groupBy("part").applyInPandas(_released(run), "point long, n long, own long, central double, keys binary")
+    return shared.groupBy("part").applyInPandas(_released(run), "point long, n long, own long, central double, keys binary, cells binary")
 
 
 def regions(kept: DataFrame, similar: int) -> DataFrame:
-    """(region, point): a region for each shingle that may be the first shared one of a pair."""
+    """(region, point, central): a region for each shingle that may be the first shared one of a pair."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             took = []
-            for p, n, own, keys in zip(b["point"], b["n"], b["own"], b["keys"]):
+            for p, n, own, central, keys in zip(b["point"], b["n"], b["own"], b["central"], b["keys"]):
                 prefix = n - -(-similar * n // 100) + 1
                 first = np.frombuffer(keys, "<i8")[: prefix - own]
-                took.append((np.full(len(first), p), first))
-            yield pd.DataFrame({"region": np.concatenate([k for _, k in took]), "point": np.concatenate([p for p, _ in took])})
+                took.append((np.full(len(first), p), first, np.full(len(first), central)))
+            p, k, c = (np.concatenate(x) for x in zip(*took))
+            yield pd.DataFrame({"region": k, "point": p, "central": c})
 
-    return kept.select("point", "n", "own", "keys").mapInPandas(run, "region long, point long")
+    return kept.select("point", "n", "own", "central", "keys").mapInPandas(run, "region long, point long, central double")
 
 
 def distances(pairs: DataFrame, kept: DataFrame) -> DataFrame:
@@ -336,6 +446,30 @@ def unfinished(members: DataFrame) -> DataFrame:
     return members.join(one.select("region", "rows"), "region").select("region", "point", "central", "label", "rows")
 
 
+def hopeful(blocks: DataFrame, kept: DataFrame, similar: int) -> DataFrame:
+    """Those rows of pairs of blocks that have a possible partner there: one of another component, of a fitting size, with enough in common by cells."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("n", kind="stable")
+        cells = np.frombuffer(b"".join(rows["cells"]), np.uint8).reshape(-1, CELLS)
+        n, label, block, full = rows["n"].to_numpy(), rows["label"].to_numpy(), rows["block"].to_numpy(), (cells == 255).any(1)
+        same = bool((rows["low"] == rows["high"]).iloc[0])
+        hope = np.zeros(len(rows), bool)
+        upto = np.searchsorted(n, 100 * n // similar, side="right")
+        for i in range(len(rows) - 1):
+            j = np.arange(i + 1, upto[i])
+            j = j[(label[j] != label[i]) & (same | (block[j] != block[i]))]
+            if len(j):
+                both = np.minimum(cells[j], cells[i]).sum(1, dtype=np.uint16)
+                j = j[full[j] | full[i] | (100 * both.astype(np.int64) >= similar * (n[j] + n[i] - both))]
+                hope[j] = True
+                hope[i] |= len(j) > 0
+        return rows.loc[hope, ["region", "low", "high", "block", "point", "label"]]
+
+    whole = blocks.join(kept.select("point", "n", "cells"), "point")
+    return whole.groupBy("region", "low", "high").applyInPandas(_released(run), "region long, low int, high int, block int, point long, label long")
+
+
 def block_joins(members: DataFrame, kept: DataFrame, similar: int) -> DataFrame:
     """(point, pivot): links between points of different components of a region.
 
@@ -375,14 +509,14 @@ def block_joins(members: DataFrame, kept: DataFrame, similar: int) -> DataFrame:
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "region", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "point", "label"
     )
-    whole = met.join(kept.select("point", "n", "keys"), "point")
+    whole = written(hopeful(met, kept, similar), "hopeful").join(kept.select("point", "n", "keys"), "point")
     return whole.groupBy("region", "low", "high").applyInPandas(_released(run), "point long, pivot long")
 
 
 def linked(kept: DataFrame, similar: int) -> DataFrame:
     """(point, label) of all points that have a link."""
     radius = 1 - similar / 100
-    members = regions(kept, similar).join(kept.select("point", "central"), "point").withColumn("label", F.col("point"))
+    members = regions(kept, similar).withColumn("label", F.col("point"))
     links = kept.select("point", F.col("point").alias("pivot")).limit(0)
     labels = kept.select("point", F.col("point").alias("label")).limit(0)
     for turn in range(DIVISIONS):
@@ -424,8 +558,15 @@ def grouped(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR) -> Data
     often = told.filter("kind = 1").groupBy("point").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(HOT_LEAST, HOT_SHARE * sizes["rows"]))
     # At most mean set size / HOT_SHARE rows.
     hot = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in often.select("point").collect()], np.int64).view(np.uint64)))
-    bits = min(22, max(4, int(sizes["postings"] or 0) // BUCKET).bit_length())
-    kept = written(survivors(shared_shingles(postings(docs, width, bits, hot), 1 << bits), similar), "shared")
+    able = candidates(docs, width, similar, bucket_bits(int(sizes["postings"] or 0) // SAMPLE), hot)
+    wanted = written(narrow.join(able, "point", "left_semi").groupBy("point").agg(F.min("key").alias("key"), F.first("n").alias("n")), "wanted")
+    left = wanted.agg(F.sum("n").alias("postings"), F.count(F.lit(1)).alias("rows")).first()
+    keys = wanted.select("key")
+    if left["rows"] <= BROADCAST_ROWS:  # then the texts stay where they are; else they are shuffled to their keys
+        keys = F.broadcast(keys)
+    texts = docs.select(row_key(docs).alias("key"), "text").join(keys, "key", "left_semi")
+    bits = bucket_bits(int(left["postings"] or 0))
+    kept = written(survivors(shared_shingles(postings(texts, width, bits, hot), 1 << bits), similar), "shared")
     labels = linked(kept, similar)
     return narrow.join(labels, "point", "left").select("doc_id", "key", F.col("n").alias("n_shingles"), F.coalesce("label", "point").alias("label"))
 
