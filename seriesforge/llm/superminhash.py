@@ -123,6 +123,11 @@ def read_sets(docs: DataFrame, width: int) -> DataFrame:
     return bounded(narrow).mapInPandas(run, "kind int, doc_id long, key long, point long, n long, signature binary")
 
 
+def brought(few: DataFrame) -> DataFrame:
+    """A written table of numbers, sent to the texts or sets that it is joined with if it is short; else those are shuffled to its keys."""
+    return F.broadcast(few) if few.count() <= BROADCAST_ROWS else few
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(point, n, signature, shingles) of the points in `wanted` (point, key), from the text of one row each."""
 
@@ -132,9 +137,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             yield pd.DataFrame({"point": b["point"], "n": [len(s) for s in sets], "signature": short(signatures(sets)), "shingles": [s.astype("<u8").tobytes() for s in sets]})
 
     wanted = written(wanted, "wanted")
-    if wanted.count() <= BROADCAST_ROWS:  # then the texts stay where they are; else they are shuffled to their keys
-        wanted = F.broadcast(wanted)
-    texts = docs.select(row_key(docs).alias("key"), utf8("text").alias("text")).join(wanted, "key").groupBy("point").agg(F.first("text").alias("text"))
+    texts = docs.select(row_key(docs).alias("key"), utf8("text").alias("text")).join(brought(wanted), "key").groupBy("point").agg(F.first("text").alias("text"))
     return bounded(texts).mapInPandas(run, "point long, n long, signature binary, shingles binary")
 
 
@@ -183,15 +186,16 @@ def possible(pairs: DataFrame, points: DataFrame, similar: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, points: DataFrame, similar: int) -> DataFrame:
-    """Those pairs whose full sets have the wanted likeness."""
+    """Those of the written pairs whose full sets have the wanted likeness. Only sets of points in a pair travel, and to the pivot's place alone."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield b.loc[[alike(x, y, similar) for x, y in zip(b["a"], b["b"])], ["point", "pivot"]]
 
-    a = points.select("point", F.col("shingles").alias("a"))
-    b = points.select(F.col("point").alias("pivot"), F.col("shingles").alias("b"))
-    return bounded(pairs.join(a, "point").join(b, "pivot"), 128).mapInPandas(run, "point long, pivot long")
+    pivots = written(pairs.select("pivot").distinct(), "pivots")
+    a = points.select("point", F.col("shingles").alias("a")).join(brought(pairs), "point")
+    b = points.select(F.col("point").alias("pivot"), F.col("shingles").alias("b")).join(brought(pivots), "pivot", "left_semi")
+    return bounded(a.join(b, "pivot"), 128).mapInPandas(run, "point long, pivot long")
 
 
 def in_runs(df: DataFrame, keys: list[str], work: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
@@ -324,7 +328,9 @@ def block_links(members: DataFrame, points: DataFrame, similar: int) -> DataFram
                     label[label == label[x]] = label[a]
         return pd.DataFrame(out, columns=["point", "pivot"], dtype="int64")
 
-    whole = in_blocks(members).join(points.select("point", "n", "signature", "shingles"), "point")
+    asked = written(members.select("point").distinct(), "asked")
+    sets = points.select("point", "n", "signature", "shingles").join(brought(asked), "point", "left_semi")
+    whole = in_blocks(members).join(sets, "point")
     return in_runs(whole, ["bucket", "outer", "inner"], work, "point long, pivot long")
 
 
@@ -343,7 +349,7 @@ def linked(docs: DataFrame, points: DataFrame, width: int, similar: int) -> Data
     near = links.groupBy("point").agg(F.min("pivot").alias("label"))  # linked to the same pivot: surely of one group
     left = written(open_members(members.drop("rows"), near), "open")
     hope = written(hopeful(left, able, similar).distinct(), "hopeful")
-    left = open_members(left.join(hope, ["bucket", "point"], "left_semi").select("bucket", "point"), near)
+    left = written(open_members(left.join(hope, ["bucket", "point"], "left_semi").select("bucket", "point"), near), "open")
     return components(links.unionByName(written(block_links(left, able, similar), "more")))
 
 

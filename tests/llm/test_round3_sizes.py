@@ -4,7 +4,8 @@ import random
 
 import numpy as np
 
-from seriesforge.llm import jaccard
+from seriesforge.llm import jaccard, superminhash
+from seriesforge.llm.common import written
 
 DOCUMENTS = "doc_id long, text string"
 
@@ -44,3 +45,13 @@ def test_candidates_keep_all_that_are_linked(spark):
     alone = spark.createDataFrame(texts(random.Random(7), 60), DOCUMENTS)
     # A text that few of its shingles are sampled from stays, whatever the others are.
     assert jaccard.candidates(alone, 5, 75, 4, none).count() < 10
+
+
+def test_only_sets_of_asked_pairs_travel(spark):
+    sets = [np.arange(k, k + 40, dtype="<u8") for k in range(0, 4000, 4)]
+    able = written(spark.createDataFrame([(k, bytearray(s.tobytes())) for k, s in enumerate(sets)], "point long, shingles binary"), "able")
+    pairs = written(spark.createDataFrame([(1, 2), (1, 9)], "point long, pivot long"), "possible")
+    got = superminhash.verified(pairs, able, 80)
+    assert [tuple(r) for r in got.collect()] == [(1, 2)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 2 and "hashpartitioning(point" not in plan
