@@ -31,13 +31,18 @@ def byte_letters() -> dict[str, int]:
 
 
 class Ids(dict):
-    """Word to its ids, packed as little-endian 16-bit numbers; at most so many words are kept, about 40 MB."""
+    """Word to its ids, packed as little-endian 16-bit numbers; about so many words are kept, 40 MB.
+
+    Words come in two generations: when the new one is full it becomes the old one, and a word that is
+    met again moves to the new one. So frequent words stay, however many there are that occur once.
+    """
 
     def __init__(self, path: str, most: int = 100_000):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.most, self.parts = most, {}
+        self.most, self.parts, self.old = most // 2, {}, {}
+        self.packers = [struct.Struct(f"<{n}H").pack for n in range(64)]
         self.whole = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             told = json.load(f)
@@ -69,23 +74,32 @@ class Ids(dict):
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        if self.piece is None or not PLAIN.match(word):
-            got = self.by_file(word)
-        else:
-            low = unicodedata.normalize("NFC", word).lower()
-            parts = [low] if low.isalpha() else self.split.findall(low)
-            got = b"".join([self.parts.get(p) or self._part(p) for p in parts])
+        got = self.old.get(word)
+        if got is None:
+            if self.piece is None or not (word.isascii() and word.isprintable() or PLAIN.match(word)):
+                got = self.by_file(word)
+            else:
+                low = word.lower() if word.isascii() else unicodedata.normalize("NFC", word).lower()
+                if low.isalpha():
+                    got = self._part(low)
+                else:
+                    got = b"".join([self.parts.get(p) or self._kept(p) for p in self.split.findall(low)])
         if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
         self[word] = got
         return got
 
-    def _part(self, part: str) -> bytes:
+    def _kept(self, part: str) -> bytes:
         if len(self.parts) >= self.most:
             self.parts.clear()
-        got = self.parts[part] = struct.pack(f"<{len(ids := self.piece(part.encode() + END_BYTE))}H", *ids)
+        got = self.parts[part] = self._part(part)
         return got
 
+    def _part(self, part: str) -> bytes:
+        ids = self.piece(part.encode() + END_BYTE)
+        return self.packers[len(ids)](*ids) if len(ids) < len(self.packers) else struct.pack(f"<{len(ids)}H", *ids)
+
     def of(self, text: str) -> bytes:
         if ODD.search(text):
             return self.by_file(text)

@@ -4,8 +4,9 @@ import random
 
 import numpy as np
 
-from seriesforge.llm import jaccard, superminhash
+from seriesforge.llm import jaccard, packing, superminhash
 from seriesforge.llm.common import written
+from seriesforge.llm.tokens import Ids
 
 DOCUMENTS = "doc_id long, text string"
 
@@ -55,3 +56,15 @@ def test_only_sets_of_asked_pairs_travel(spark):
     assert [tuple(r) for r in got.collect()] == [(1, 2)]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") >= 2 and "hashpartitioning(point" not in plan
+
+
+def test_frequent_words_stay_beside_words_that_occur_once():
+    ids = Ids(packing.default_tokenizer(), most=40)
+    asked = []
+    whole = ids.piece
+    ids.piece = lambda b: asked.append(b) or whole(b)
+    for k in range(300):
+        text = f"frequent wordno{'abcdefghij'[k % 10]}{'abcdefghij'[k // 10 % 10]}{'xyz'[k // 100]}"
+        assert ids.of(text) == ids.by_file(text)
+    assert sum(b.startswith(b"frequent") for b in asked) == 1
+    assert len(ids) + len(ids.old) <= 40
