@@ -26,10 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.llm.common import in_batches, table, written
+from seriesforge.llm.common import bounded, release, table, written
 from seriesforge.llm.tokens import ids_of
 
 WINDOW = 4096
@@ -50,24 +51,27 @@ def tokenised(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """(doc_id, ids): each whole text as packed 16-bit ids with the end id behind."""
     end = np.array([end_id], "<u2").tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = ids_of(path)
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "ids": [ids.of(t) + end for t in b["text"]]})
+            yield pa.RecordBatch.from_arrays([b.column(0), ids.of_all(b.column(1), end)], ["doc_id", "ids"])
+        release()
 
     whole = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return in_batches(whole).mapInPandas(run, "doc_id long, ids binary")
+    return bounded(whole, 1000, 4 << 20).mapInArrow(run, "doc_id long, ids binary")
 
 
 def document_frequencies(ids: DataFrame) -> np.ndarray:
     """For each id the number of documents that have it; the last entry counts documents, the one before all ids."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(65_538, np.int64)
+        counts, slot = np.zeros(65_538, np.int64), np.empty(65_536, np.int32)
         for b in batches:
             for packed in b["ids"]:
                 one = np.frombuffer(packed, "<u2")
-                counts[np.unique(one)] += 1
+                places = np.arange(len(one), dtype=np.int32)
+                slot[one] = places
+                counts[one[slot[one] == places]] += 1  # of an id's places one is left in its slot
                 counts[65_536] += len(one)
                 counts[65_537] += 1
         at = np.flatnonzero(counts)

@@ -5,6 +5,9 @@ the file's own result as long as normalising and splitting never look across whi
 holds for printable Latin text; any other word, and any text with control or special strings,
 goes through the tokenizer itself. Words are merged by the rank of the merged piece: ids ascend
 with the order of merges in these files, which `Ids` checks when it opens one.
+
+A batch of texts is worked on as a whole: its different words are found by Arrow, lowered and cut
+together, and their different parts merged in one call. Nothing of that is kept for the next batch.
 """
 
 from __future__ import annotations
@@ -17,10 +20,14 @@ import types
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 PLAIN = re.compile(r"[!-~¡-įı-ɏ]+\Z")
 ODD = re.compile(r"[\x1c-\x1f]|<\|")
-END_BYTE = b"\xff"  # no UTF-8 text has it: it stands for the end of a word
+END_BYTE = b"\0"  # no plain word has it: it stands for the end of a word
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LETTER, DIGIT = 1, 2
 
 
 def byte_letters() -> dict[str, int]:
@@ -52,7 +59,7 @@ class Ids(dict):
             raise ValueError("ids must fit in 16 bits")
         merges = [m if isinstance(m, list) else m.split(" ") for m in told["model"]["merges"]]
         first = len(vocabulary) - len(merges)
-        self.piece = None
+        self.piece, self.plain_split = None, False
         if suffix and all(vocabulary.get(a + b) == first + k for k, (a, b) in enumerate(merges)):
             self._open_ranks(vocabulary, suffix, told["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
 
@@ -68,7 +75,12 @@ class Ids(dict):
             if all(c in letters for c in body):
                 ranks[bytes(letters[c] for c in body) + END_BYTE * ended] = rank
         self.split = regex.compile(pattern)
-        self.piece = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+        self.ends_marked = tiktoken.Encoding("words", pat_str=r"[^\x00]*\x00", mergeable_ranks=ranks, special_tokens={})
+        self.piece = self.ends_marked._core_bpe.encode_single_piece
+        self.plain_split = pattern == SPLIT
+        self.ended = np.zeros(self.size, bool)
+        self.ended[[rank for token, rank in ranks.items() if token.endswith(END_BYTE)]] = True
+        self.kinds = np.array([{"L": LETTER, "N": DIGIT}.get(unicodedata.category(chr(c))[0], 0) for c in range(0x3000)], np.uint8)
 
     def by_file(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
@@ -105,6 +117,71 @@ class Ids(dict):
             return self.by_file(text)
         return b"".join(map(self.__getitem__, text.split()))
 
+    def of_all(self, texts: pa.Array, end: bytes) -> pa.Array:
+        """The ids of each text with `end` behind; a word is looked up once, however often the texts have it."""
+        odd = pc.match_substring_regex(texts, ODD.pattern)
+        words = pc.utf8_split_whitespace(pc.if_else(odd, "", texts))
+        coded = words.flatten().dictionary_encode()
+        ids = self._different(coded.dictionary).take(coded.indices)
+        at = offsets(ids)[offsets(words) - words.offsets[0].as_py()].tolist()
+        packed = ids.buffers()[2] or b""
+        out = [bytes(packed[a:b]) + end for a, b in zip(at, at[1:])]
+        for k in np.flatnonzero(odd.to_numpy(zero_copy_only=False)):
+            out[k] = self.by_file(texts[k].as_py()) + end
+        return pa.array(out, pa.binary())
+
+    def _different(self, words: pa.Array) -> pa.Array:
+        """The ids of each word, words being different: most are lowered, cut and merged together, the others one by one."""
+        quick = np.zeros(len(words), bool)
+        if self.plain_split:
+            plain = pc.match_substring_regex(words, r"\A" + PLAIN.pattern.replace(r"\Z", r"\z"))
+            quick = pc.and_not(plain, pc.match_substring(words, "'")).to_numpy(zero_copy_only=False)
+        low = pc.utf8_lower(words.filter(pa.array(quick))).dictionary_encode()
+        rest = [self[w] for w in words.filter(pa.array(~quick)).to_pylist()]
+        both = pa.concat_arrays([self._cut(low.dictionary).take(low.indices), pa.array(rest, pa.large_binary())])
+        place = np.empty(len(words), np.int64)
+        place[np.concatenate([np.flatnonzero(quick), np.flatnonzero(~quick)])] = np.arange(len(words))
+        return both.take(pa.array(place))
+
+    def _cut(self, words: pa.Array) -> pa.Array:
+        """The ids of plain words in small letters, cut where the split does: runs of letters, of other signs, single digits."""
+        if not len(words):
+            return pa.array([], pa.large_binary())
+        bounds = offsets(words)
+        raw = np.frombuffer(words.buffers()[2], np.uint8)[: bounds[-1]]
+        kind = self.kinds[np.frombuffer(str(raw, "utf-8").encode("utf-32-le"), "<u4")]
+        at = np.flatnonzero(raw & 0xC0 != 0x80)
+        first = np.zeros(len(raw), bool)
+        first[bounds[:-1]] = True
+        first = first[at]
+        first[1:] |= (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+        cuts = np.append(at[first], len(raw)).astype(np.int32)
+        parts = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), words.buffers()[2]).dictionary_encode()
+        ids = self._merged(parts.dictionary).take(parts.indices)
+        return large_binary(offsets(ids)[np.searchsorted(cuts, bounds)], ids.buffers()[2])
+
+    def _merged(self, parts: pa.Array) -> pa.Array:
+        """The ids of each part; the tokens that end a part tell them from each other."""
+        bounds = offsets(parts)
+        raw = np.frombuffer(parts.buffers()[2], np.uint8)[: bounds[-1]]
+        ids = np.array(self.ends_marked.encode_ordinary(str(np.insert(raw, bounds[1:], END_BYTE[0]), "utf-8")), "<u2")
+        last = np.flatnonzero(self.ended[ids]) + 1
+        if len(last) != len(parts):
+            raise ValueError("a part must end with one token of a word's end")
+        return large_binary(np.append(0, 2 * last), pa.py_buffer(ids))
+
+
+def offsets(array: pa.Array) -> np.ndarray:
+    """Where the values of a list, text or large binary array begin and end."""
+    wide = np.int64 if pa.types.is_large_binary(array.type) else np.int32
+    if array.buffers()[1] is None:
+        return np.zeros(1, wide)
+    return np.frombuffer(array.buffers()[1], wide)[array.offset : array.offset + len(array) + 1]
+
+
+def large_binary(bounds: np.ndarray, data: pa.Buffer) -> pa.Array:
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), data])
+
 
 def ids_of(path: str) -> Ids:
     """The file opened once in each Python process, with the words it has seen.

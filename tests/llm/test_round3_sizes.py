@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from seriesforge.llm import jaccard, packing, superminhash
 from seriesforge.llm.common import written
@@ -68,3 +69,33 @@ def test_frequent_words_stay_beside_words_that_occur_once():
         assert ids.of(text) == ids.by_file(text)
     assert sum(b.startswith(b"frequent") for b in asked) == 1
     assert len(ids) + len(ids.old) <= 40
+
+
+def test_a_batch_merges_each_different_part_once():
+    ids = Ids(packing.default_tokenizer())
+    asked = []
+    marked = ids.ends_marked
+
+    class Counted:
+        def encode_ordinary(self, text):
+            asked.append(text)
+            return marked.encode_ordinary(text)
+
+    ids.ends_marked, ids.piece = Counted(), None
+    texts = [f"Frequent, wordno{'abcdefghij'[k % 10]} FREQUENT frequent3 x2x." for k in range(300)]
+    got = ids.of_all(pa.array(texts), b"\2\0").to_pylist()
+    assert got == [ids.by_file(t) + b"\2\0" for t in texts]
+    assert len(asked) == 1 and sorted(asked[0].split("\0")) == sorted(["", ",", ".", "2", "3", "frequent", "x", *(f"wordno{c}" for c in "abcdefghij")])
+
+
+def test_a_batch_has_the_ids_of_its_file():
+    rng = random.Random(3)
+    ids = Ids(packing.default_tokenizer())
+    texts = ["Don't we'll IT'S 3.14² ½", "İstanbul Σίσυφος ſ", "naïve ﬁ ＡＢ 中文 😀", "a b c\x85d", "x\x1cy", "<|endoftext|> z", "", " ", "µ ª ­", "a\0b \x7f"]
+    signs = "".join(map(chr, [*range(0x20, 0x180), 0x1C4, 0x23A, 0x23E, 0x24F, 0x300, 0x30C, 0x3A3, 0x2028, 0x1F600]))
+    texts += ["".join(rng.choices(signs + "abcIJS  " * 20, k=rng.randrange(60))) for _ in range(2000)]
+    want = [ids.by_file(t) + b"\2\0" for t in texts]
+    assert ids.of_all(pa.array(texts), b"\2\0").to_pylist() == want
+    assert ids.of_all(pa.array(texts)[700:900], b"\2\0").to_pylist() == want[700:900]
+    for few in (["", " "], ["<|"], [" \n"], []):
+        assert ids.of_all(pa.array(few, pa.string()), b"\2\0").to_pylist() == [ids.by_file(t) + b"\2\0" for t in few]
