@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from html.entities import html5
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -64,6 +65,26 @@ def unescape_entities(text: pa.Array) -> pa.Array:
     )
 
 
+# A reference closed by its semicolon; `&amp` is read without one too.
+CLOSED_REFERENCE = re.compile(r"&amp;?|&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);")
+
+
+def _closed(m: re.Match) -> str:
+    name = m[1]
+    if name is None:
+        return "&"
+    return html.unescape(m[0]) if name[0] == "#" or f"{name};" in html5 else m[0]
+
+
+@arrow_udf(T.StringType())
+def unescape_closed(text: pa.Array) -> pa.Array:
+    """Entities decoded but for those cut off before their semicolon, which stay as printed."""
+    return pa.array(
+        [t if t is None or "&" not in t else CLOSED_REFERENCE.sub(_closed, t) for t in text.to_pylist()],
+        type=pa.string(),
+    )
+
+
 def plain_ascii(c: Column) -> Column:
     return F.length(c) == F.octet_length(c)
 
@@ -150,11 +171,14 @@ def tokens(folded: Column) -> Column:
     return F.filter(F.regexp_extract_all(folded, F.lit(TOKEN), F.lit(0)), lambda t: indexable(t))
 
 
-def clean_markup(c: Column, unescape: bool = True) -> Column:
-    """Tags out, entities decoded, whitespace collapsed."""
+def clean_markup(c: Column, unescape: bool = True, cut_off: bool = True) -> Column:
+    """Tags out, entities decoded, whitespace collapsed.
+
+    An entity cut off before its semicolon (`&quot`) is decoded as HTML does, or kept as printed without `cut_off`.
+    """
     t = F.regexp_replace(c, "<[^>]+>", " ")
     if unescape:
-        t = unescape_entities(t)
+        t = unescape_entities(t) if cut_off else unescape_closed(t)
     return F.trim(collapse_space(t))
 
 
