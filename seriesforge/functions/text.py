@@ -182,8 +182,8 @@ def clean_markup(c: Column, unescape: bool = True, cut_off: bool = True) -> Colu
     return F.trim(collapse_space(t))
 
 
-def page_text(c: Column, unescape: bool = True) -> Column:
-    """Body text of a page: between the header and the footer, without code or trailer."""
+def page_text(c: Column, unescape: bool = True, cut_off: bool = True) -> Column:
+    """Body text of a page: between the header and the footer, without code or trailer; entities as in `clean_markup`."""
     head = F.instr(c, "</header>")
     foot = F.instr(c, "<footer")
     start = F.when(head > 1, head).otherwise(F.lit(1))
@@ -191,7 +191,7 @@ def page_text(c: Column, unescape: bool = True) -> Column:
     body = F.substring(c, start, F.greatest(stop - start, F.lit(0)))
     body = F.regexp_replace(body, "(?s)<script.*?</script>", " ")
     body = F.regexp_replace(body, "(?s)<style.*?</style>", " ")
-    text = clean_markup(body, unescape)
+    text = clean_markup(body, unescape, cut_off)
     return F.trim(F.regexp_replace(text, "This page was last updated.*$", ""))
 
 

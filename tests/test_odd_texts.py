@@ -28,7 +28,7 @@ def check_on(spark, folder, name, table, columns):
         return compare(spark, con, str(folder), load_all()[name])
 
 
-@pytest.mark.parametrize("name", ["a5_clean_cells"])
+@pytest.mark.parametrize("name", ["a5_clean_cells", "a8_page_text"])
 def test_an_entity_cut_off_stays_as_printed(spark, tmp_path, name):
     columns = {"page_id": pa.array(range(len(PAGES)), pa.int64()), "html": pa.array(PAGES, pa.string())}
     assert check_on(spark, tmp_path, name, "pages", columns)[:2] == ("ok", len(PAGES))
