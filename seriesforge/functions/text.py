@@ -149,10 +149,10 @@ def language(c: Column) -> Column:
 
 
 def readable(c: Column, compose: bool = True) -> Column:
-    """struct(text, lost): publishable text and the share that was private-use glyphs."""
+    """struct(text, lost): publishable text and the share that was private-use glyphs, both null where there is no text."""
     t = F.regexp_replace(nfkc(c) if compose else c, CONTROL, "")
     lost = F.regexp_count(t, F.lit(PRIVATE_USE))
-    share = F.when(F.length(t) > 0, lost / F.length(t)).otherwise(F.lit(0.0))
+    share = F.when(F.length(t) > 0, lost / F.length(t)).when(F.length(t) == 0, F.lit(0.0))
     text = F.trim(collapse_space(F.regexp_replace(t, PRIVATE_USE, " ")))
     return F.struct(text.alias("text"), share.cast("double").alias("lost"))
 

@@ -41,3 +41,14 @@ def test_entities_with_and_without_their_semicolon(spark):
     ).first()
     assert r["closed"] == "<b> 'x' &nosuch; &notit; &quot &lt & &x"
     assert r["all"] == "<b> 'x' &nosuch; ¬it; \" < & &x"
+
+
+@pytest.mark.parametrize("texts", [[""], [None], ["A.", "", "e", " \n", None, "Éaux e."]])
+def test_a_share_of_no_text_is_as_in_sql(spark, tmp_path, texts):
+    columns = {"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())}
+    assert check_on(spark, tmp_path, "c20_readable_text", "documents", columns)[:2] == ("ok", len(texts))
+
+
+def test_no_text_has_no_lost_share(spark):
+    r = spark.range(1).select(text.readable(F.lit(None).cast("string")).alias("none"), text.readable(F.lit("")).alias("empty")).first()
+    assert tuple(r["none"]) == (None, None) and tuple(r["empty"]) == ("", 0.0)
