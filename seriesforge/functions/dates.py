@@ -50,11 +50,9 @@ def safe_date(y: Column, m: Column, d: Column) -> Column:
 def dmy(raw: Column | str) -> Column:
     """Strict `d/m/yyyy` prefix."""
     c = F.col(raw) if isinstance(raw, str) else raw
-    p = r"^(\d{1,2})/(\d{1,2})/(\d{4})"
-    hit = F.regexp_extract(F.trim(ascii_digits(c)), p, 0)
-    part = lambda i: F.split_part(hit, F.lit("/"), F.lit(i))
-    # Without a match every part is empty and there is no such date.
-    return safe_date(part(3), part(2), part(1))
+    # One pass over the text: without a match every part is empty and there is no such date.
+    p = r"(?s)^(?:(\d{1,2})/(\d{1,2})/(\d{4}))?.*"
+    return F.regexp_replace(F.trim(ascii_digits(c)), p, "$3-$2-$1").try_cast("date")
 
 
 def period(raw: Column | str, kind: str | None = None) -> Column:

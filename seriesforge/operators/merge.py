@@ -18,17 +18,21 @@ def anomalies(obs: DataFrame, ord_col: str = "ord", dataset: str | None = None)
     """Later prints that differ from the one kept, one row per print.
 
     Equal repeats collapse before the shuffle; the kept value is looked up by a plain join,
-    whose hot keys adaptive execution splits.
+    whose hot keys adaptive execution splits. Both sides of the join read all columns of the
+    collapsed prints, so that they are worked out and shuffled once for both.
     """
     prints = obs.groupBy("series_id", "period", "value").agg(
         F.min(ord_col).alias("_ord"), F.count(F.lit(1)).alias("_times")
     )
-    kept = prints.groupBy("series_id", "period").agg(F.min_by("value", "_ord").alias("kept"))
+    first = F.min(F.when(F.col("_ord").isNotNull(), F.struct("_ord", "value", "_times")))
+    kept = prints.groupBy("series_id", "period").agg(first.alias("_first"))
     out = (
         prints.join(kept, ["series_id", "period"])
-        .filter(F.col("value") != F.col("kept"))
+        # `coalesce` keeps the comparison here: pushed below one side of the join it would make the two sides differ.
+        .filter(F.coalesce(F.col("value") != F.col("_first.value"), F.lit(False)))
+        .filter(F.col("_ord").isNull() | (F.col("_ord") >= F.col("_first._ord")))
         .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times"))))
-        .select("series_id", "period", "kept", F.col("value").alias("discarded"))
+        .select("series_id", "period", F.col("_first.value").alias("kept"), F.col("value").alias("discarded"))
     )
     return out if dataset is None else out.withColumn("dataset", F.lit(dataset))
 

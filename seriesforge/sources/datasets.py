@@ -11,7 +11,7 @@ Rows are served in the order of variant, response, table and row; the first prin
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -22,6 +22,7 @@ from seriesforge.functions import dates, ids
 from seriesforge.functions.numbers import number
 from seriesforge.operators.merge import anomalies, keep_first
 from seriesforge.operators.shape import Measure
+from seriesforge.operators.spread import settle
 from seriesforge.sources.registry import Dataset
 from seriesforge.sources.tables import html_tables, table_rows
 
@@ -54,12 +55,6 @@ class Run:
     status: DataFrame
 
 
-def _cell(name: str) -> Column:
-    """The cell under a column name, null where the table has none."""
-    at = F.array_position("columns", F.lit(name)).cast("int")
-    return F.when(at > 0, F.get("cells", at - 1))
-
-
 def _panels(d: Dataset) -> list[Mapping]:
     return list(d.tables) or [{}]
 
@@ -98,40 +93,75 @@ def judged_tables(landed: DataFrame, d: Dataset, unescape: bool = True) -> DataF
     return parsed_tables(landed, unescape=unescape).withColumn("status", _verdict(d)).drop("_tables")
 
 
-def _wide_lines(d: Dataset, panel: Mapping, pattern: str) -> list[Column]:
-    columns: Mapping[str, Measure] = panel.get("columns") or d.columns
+def _columns(d: Dataset, panel: Mapping) -> Mapping[str, Measure]:
+    return panel.get("columns") or d.columns
+
+
+def _measured(d: Dataset) -> list[str]:
+    """Names of the columns that hold figures, in any panel."""
+    if d.shape == "records":
+        return []
+    return list(d.value_cols) if d.shape == "long_by_key" else list(dict.fromkeys(name for panel in _panels(d) for name in _columns(d, panel)))
+
+
+def _rows_read(tables: DataFrame, datasets: Sequence[Dataset], keep: Sequence[str]) -> DataFrame:
+    """Rows of the tables that are read, with `period`, `_key` (text under the key column) and `_figures`.
+
+    Columns are looked up once a table, and dates and figures read once a row, so that the lines
+    made of them are short expressions. Rows without a period are left out.
+    """
+    shaped = [d for d in datasets if d.shape != "records"]
+    measured = list(dict.fromkeys(name for d in shaped for name in _measured(d)))
+    names = list(dict.fromkeys([*measured, *[n for d in shaped for n in (d.date_col, d.key_col) if n]]))
+    at = F.array(*[F.array_position("columns", F.lit(n)).cast("int") - 1 for n in names]).cast("array<int>")
+    placed = settle(tables.filter(F.col("status") == READ), _at=at)
+    # Before the first cell there is none: a name the table lacks reads null.
+    cell = lambda name: F.get("cells", F.get("_at", F.lit(names.index(name)))) if name in names else F.lit(None).cast("string")
+    period, key = F.lit(None).cast("date"), F.lit(None).cast("string")
+    for d in shaped:
+        mine = F.col("dataset") == d.key if "dataset" in keep else F.lit(True)
+        period = F.when(mine, dates.period(cell(d.date_col), d.date_kind)).otherwise(period)
+        key = F.when(mine, F.trim(cell(d.key_col))).otherwise(key) if d.key_col else key
+    figures = F.transform(F.array(*[cell(name) for name in measured]).cast("array<string>"), lambda c: number(c))
+    rows = placed.select("doc_id", *keep, "table_ix", "_at", F.posexplode("rows").alias("row_ix", "cells"))
+    return settle(rows, period=period, _key=key, _figures=figures).drop("_at", "cells").filter(F.col("period").isNotNull())
+
+
+def _wide_lines(d: Dataset, panel: Mapping, pattern: str, figure: Callable[[str], Column]) -> list[Column]:
     unit = panel.get("unit", d.unit)
     return [
         F.struct(
-            ids.from_pattern(pattern, suffix=F.lit(m.suffix)).alias("series_id"), number(_cell(name)).alias("value"),
+            ids.from_pattern(pattern, suffix=F.lit(m.suffix)).alias("series_id"), figure(name).alias("value"),
             F.lit(m.unit or unit).cast("string").alias("unit"), F.lit(name).alias("label"), F.lit(m.zero_ok).alias("zero_ok"), F.lit(k).alias("column_ix"),
         )
-        for k, (name, m) in enumerate(columns.items())
+        for k, (name, m) in enumerate(_columns(d, panel).items())
     ]
 
 
-def _keyed_lines(d: Dataset, pattern: str) -> list[Column]:
-    name = F.trim(_cell(d.key_col))
+def _keyed_lines(d: Dataset, pattern: str, figure: Callable[[str], Column]) -> list[Column]:
+    name = F.col("_key")
     mapped = ids.literal_map(dict(d.key_map))[name] if d.key_map else F.lit(None).cast("string")
     key = F.coalesce(mapped, ids.key_slug(name))
     return [
         F.struct(
-            ids.from_pattern(pattern, key=key, col=F.lit(v.upper())).alias("series_id"), number(_cell(v)).alias("value"),
+            ids.from_pattern(pattern, key=key, col=F.lit(v.upper())).alias("series_id"), figure(v).alias("value"),
             F.lit(d.unit).cast("string").alias("unit"), F.concat(name, F.lit(f" {v}")).alias("label"), F.lit(False).alias("zero_ok"), F.lit(k).alias("column_ix"),
         )
         for k, v in enumerate(d.value_cols)
     ]
 
 
-def _lines(d: Dataset) -> tuple[Column, Column]:
-    """(rank of the variant, array of the lines) of a row under its own variant and panel."""
+def _lines(d: Dataset, datasets: Sequence[Dataset]) -> tuple[Column, Column]:
+    """(rank of the variant, array of the lines) of a row of `_rows_read(datasets)` under its own variant and panel."""
+    measured = list(dict.fromkeys(name for x in datasets for name in _measured(x)))
+    figure = lambda name: F.get("_figures", F.lit(measured.index(name)))
     lines, rank = F.array(), F.lit(0)
     for n, variant in enumerate(_variants(d)):
         mine = F.lit(True) if variant["name"] is None else F.col("variant") == variant["name"]
         rank = F.when(mine, n).otherwise(rank)
         for i, panel in enumerate(_panels(d)):
             pattern = panel.get("id_pattern") or variant.get("id_pattern") or d.id_pattern
-            made = _wide_lines(d, panel, pattern) if d.shape == "wide" else _keyed_lines(d, pattern)
+            made = _wide_lines(d, panel, pattern, figure) if d.shape == "wide" else _keyed_lines(d, pattern, figure)
             if made:
                 lines = F.when(mine & (F.col("table_ix") == i), F.array(*made)).otherwise(lines)
     return rank, lines
@@ -142,12 +172,12 @@ def readings(tables: DataFrame, d: Dataset) -> DataFrame:
 
     One pass: a row explodes to the lines of its own variant and panel, nothing is shuffled.
     """
-    rows = table_rows(tables.filter(F.col("status") == READ), keep=["variant"])
-    rank, lines = _lines(d)
+    rank, lines = _lines(d, [d])
     out = (
-        rows.select(dates.period(_cell(d.date_col), d.date_kind).alias("period"), F.struct(rank.alias("variant_ix"), "doc_id", "table_ix", "row_ix").alias("ord"), F.explode(lines).alias("_m"))
+        _rows_read(tables, [d], ["variant"])
+        .select("period", F.struct(rank.alias("variant_ix"), "doc_id", "table_ix", "row_ix").alias("ord"), F.explode(lines).alias("_m"))
         .select("_m.series_id", "period", "_m.value", "ord", "_m.unit", "_m.label", "_m.zero_ok")
-        .filter(F.col("period").isNotNull() & F.col("value").isNotNull() & F.col("series_id").isNotNull())
+        .filter(F.col("value").isNotNull() & F.col("series_id").isNotNull())
     )
     if d.zero_is_missing:
         out = out.filter(F.col("zero_ok") | (F.col("value") != 0))
@@ -161,16 +191,14 @@ def _counts(zero: Column):
 
 def _series_of(tables: DataFrame, datasets: Sequence[Dataset]) -> DataFrame:
     """(dataset, series): how many series the read tables of each dataset give, all datasets in one pass."""
-    period, found = F.lit(None).cast("date"), F.array().cast("array<string>")
+    found = F.array().cast("array<string>")
     for d in datasets:
         if d.shape == "records":
             continue
-        _, lines = _lines(d)
+        _, lines = _lines(d, datasets)
         told = F.filter(lines, _counts(F.lit(not d.zero_is_missing)))
-        mine = F.col("dataset") == d.key
-        period = F.when(mine, dates.period(_cell(d.date_col), d.date_kind)).otherwise(period)
-        found = F.when(mine, F.transform(told, lambda m: m["series_id"])).otherwise(found)
-    rows = table_rows(tables.filter(F.col("status") == READ), keep=["variant", "dataset"]).filter(period.isNotNull())
+        found = F.when(F.col("dataset") == d.key, F.transform(told, lambda m: m["series_id"])).otherwise(found)
+    rows = _rows_read(tables, datasets, ["variant", "dataset"])
     return rows.select("dataset", F.explode(found).alias("series_id")).distinct().groupBy("dataset").agg(F.count(F.lit(1)).alias("series"))
 
 

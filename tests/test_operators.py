@@ -296,3 +296,25 @@ def test_interval_totals_are_those_of_the_join(spark):
     assert rows(got, "span", "total") == sorted(want, key=lambda r: tuple((x is None, str(x)) for x in r))
     none = asof.interval_totals(daily.filter("false"), "period", "n", iv, "lo", "hi", F.lit("2020-01-15"), "total")
     assert none.count() == 0
+
+
+def test_anomalies_read_their_prints_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def told(parts):
+        for p in parts:
+            read.add(len(p))
+            yield p
+
+    schema = "series_id string, period date, value double, ord int"
+    prints = [("A", D(2001, 1, 1), 1.0, 1), ("A", D(2001, 1, 1), 2.0, 2), ("A", D(2001, 1, 1), 2.0, 3), ("A", D(2001, 1, 1), 1.0, 4), ("A", D(2001, 1, 1), 3.0, None), ("B", D(2001, 1, 2), 5.0, 9)]
+    obs = spark.createDataFrame(prints, schema).mapInPandas(told, schema)
+    got = merge.anomalies(obs).collect()
+    assert sorted((r["kept"], r["discarded"]) for r in got) == [(1.0, 2.0), (1.0, 2.0), (1.0, 3.0)]
+    assert read.value == len(prints)
+
+
+def test_first_print_of_several_is_kept_by_order_then_value(spark):
+    prints = [("A", D(2001, 1, 1), 2.0, 1), ("A", D(2001, 1, 1), 1.0, 1), ("A", D(2001, 1, 1), 4.0, 0)]
+    got = merge.anomalies(spark.createDataFrame(prints, "series_id string, period date, value double, ord int"), dataset="x").collect()
+    assert sorted((r["kept"], r["discarded"], r["dataset"]) for r in got) == [(4.0, 1.0, "x"), (4.0, 2.0, "x")]

@@ -335,3 +335,21 @@ def test_spaces_of_every_script_collapse_and_marks_go(spark):
     docs = spark.createDataFrame([(1, "<table><tr><th>a\x01</th><th>b</th></tr><tr><td>1\x02</td></tr><tr><td>2</td><td>3</td><td>4</td></tr></table>")], "doc_id long, html string")
     got = tables.html_tables(docs).first()
     assert (got["columns"], got["rows"]) == (["a", "b", "col2"], [["1", "", ""], ["2", "3", "4"]])
+
+
+def test_dataset_readings_stay_within_compiled_method_size(spark):
+    # The JVM leaves methods of more than 8,000 bytes of code to its interpreter.
+    import re
+
+    from seriesforge.plans.q_tables import DECLARED
+
+    landed = spark.createDataFrame([(1, "even", "<table><tr><th>Issue Date</th></tr><tr><td>1/2/2001</td></tr></table>")], "doc_id long, variant string, html string")
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = datasets.readings(datasets.judged_tables(landed, DECLARED[0]), DECLARED[0])._jdf.queryExecution().executedPlan()
+        code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(plan)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
