@@ -219,10 +219,25 @@ def build_search_index(
 def write_posting_blocks(postings: DataFrame, path: str, documents: int, per_stretch: int = search.STRETCH_DOCUMENTS) -> DataFrame:
     """Postings (term, doc_id, page, tf, shard) as blocks, partitioned by shard and sorted by term; read back from `path`."""
     stretches = search.stretch_count(documents, per_stretch)
+    return _write_blocks(search.posting_blocks(postings, stretches), path, documents, stretches)
+
+
+def write_page_blocks(pages: DataFrame, folded: Column, path: str, documents: int, per_stretch: int = search.STRETCH_DOCUMENTS, doc: str = "doc_id") -> DataFrame:
+    """The blocks of all terms of the pages, written as `write_posting_blocks` does, without a shuffle of their postings."""
+    stretches = search.stretch_count(documents, per_stretch)
+    return _write_blocks(search.page_blocks(pages, folded, stretches, _tasks(pages, documents), doc), path, documents, stretches)
+
+
+def _tasks(df: DataFrame, documents: int) -> int:
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-documents // search.TASK_DOCUMENTS))
+
+
+def _write_blocks(blocks: DataFrame, path: str, documents: int, stretches: int) -> DataFrame:
     # Dealt by shard and part of the stretches: no sample of the keys, which would work the blocks out twice.
     part = F.pmod(F.col("stretch"), F.lit(-(-stretches // search.FILE_STRETCHES)))
-    search.posting_blocks(postings, stretches).repartition("shard", part).sortWithinPartitions("shard", "term", "stretch").write.mode("overwrite").partitionBy("shard").option("compression", "zstd").parquet(path)
-    return postings.sparkSession.read.parquet(path)
+    dealt = blocks.repartition(_tasks(blocks, documents), "shard", part)
+    dealt.sortWithinPartitions("shard", "term", "stretch").write.mode("overwrite").partitionBy("shard").option("compression", "zstd").parquet(path)
+    return blocks.sparkSession.read.parquet(path)
 
 
 def write_trigrams(rows: DataFrame, key: str, path: str, hay: str = "hay") -> tuple[DataFrame, DataFrame]:

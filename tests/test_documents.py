@@ -287,3 +287,17 @@ def test_trigrams_find_what_a_scan_finds(spark, tmp_path):
         got = search.indexed_substrings(stored, pieces, q, "id")
         assert rows(got, "id") == rows(want, "id"), q
     assert search.substring_candidates(pieces, "abcab", "id").count() < 150
+
+
+def test_page_blocks_are_those_of_the_postings_with_one_shuffle(spark, tmp_path):
+    words = ["rate", "note", "bank", "gold", "oil"]
+    told = [(i % 40, i % 3, " ".join(words[j % 5] for j in range(i % 7 + 1))) for i in range(300)] + [(None, 1, "gold"), (None, 1, "gold oil"), (41, 0, ""), (42, 0, None)]
+    p = spark.createDataFrame(told, "doc_id long, page int, text string")
+    folded = text.search_form(F.col("text"))
+    got = search.page_blocks(p, folded, 8, 4)
+    want = search.posting_blocks(search.index_postings(p, folded), 8)
+    assert got.columns == want.columns and rows(got) == rows(want)
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(stretch" in plan
+    stored = publish.write_page_blocks(p, folded, str(tmp_path / "blocks"), 43, per_stretch=6)
+    assert rows(stored.select(*want.columns)) == rows(want)
